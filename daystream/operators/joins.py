@@ -1,0 +1,22 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Row bound under which a side is broadcast by hint.
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
+
+    The check is ``df.limit(max_rows + 1).count()``: a job that stops
+    reading once the bound is exceeded, so it stays cheap even when the
+    side turns out to be large. Above the bound the side is returned
+    unchanged and the planner (AQE) picks sort-merge / shuffled-hash, so a
+    large side can never be shipped to every executor by this hint.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
