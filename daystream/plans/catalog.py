@@ -53,7 +53,10 @@ def _pages(spark, sf, with_position=True):
 
 
 def _latest_dims(spark, sf):
-    changes = cdc.with_op(cdc.parse_changes(change_envelopes_from(spark, sf)))
+    # Only the dimension sources: the other tables' changes would be dropped
+    # by the routing semi join anyway.
+    env = change_envelopes_from(spark, sf, tables=("user_info", "base_province"))
+    changes = cdc.with_op(cdc.parse_changes(env))
     return cdc.dim_latest(cdc.dim_changes(changes, routing_table(spark)))
 
 

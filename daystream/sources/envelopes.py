@@ -115,63 +115,72 @@ def _change_rows(df: DataFrame, table: str, key: Column, slot: int, type_sql: st
         F.to_json(data).alias("data_json"))
 
 
-def change_envelopes(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
-                     customer: DataFrame, nation: DataFrame) -> DataFrame:
+SOURCE_TABLES = ("order_info", "order_detail", "sku_info", "user_info", "base_province")
+
+
+def change_envelopes(orders: DataFrame | None, lineitem: DataFrame | None,
+                     part: DataFrame | None, customer: DataFrame | None,
+                     nation: DataFrame | None, tables=SOURCE_TABLES) -> DataFrame:
     """Change-event messages for five source tables.
 
     ``order_info`` (orders) and ``order_detail`` (lineitem) are fact tables,
     ``user_info`` (customer, keys with ``c_custkey % 7 = 0`` left out so a
     user lookup can miss) and ``base_province`` (nation) are dimensions,
-    ``sku_info`` (part) is listed nowhere.
+    ``sku_info`` (part) is listed nowhere. ``tables`` limits the output to
+    the changes of some source tables (the positions of the others are
+    simply not produced), e.g. a job that only maintains dimensions.
     """
-    types = "element_at(array(" + ", ".join(f"'{t}'" for t in CHANGE_TYPES) + "), cast(k6 as int) + 1)"
+    types = ("element_at(array(" + ", ".join(f"'{t}'" for t in CHANGE_TYPES)
+             + "), cast(k6 as int) + 1)")
 
     def by_key(sql_key):
         return types.replace("k6", f"({sql_key}) % 6")
 
-    parts = [
-        _change_rows(orders, "order_info", F.col("o_orderkey"), _SLOTS["order_info"],
-                     by_key("o_orderkey"),
-                     _e("""named_struct('id', o_orderkey, 'user_id', o_custkey,
-                          'order_status', o_orderstatus, 'total_amount', o_totalprice,
-                          'create_time', date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss'))""")),
-        _change_rows(lineitem, "order_detail", _e("l_orderkey * 8 + l_linenumber"),
-                     _SLOTS["order_detail"], by_key("l_orderkey * 8 + l_linenumber"),
-                     _e("""named_struct('id', l_orderkey * 8 + l_linenumber,
-                          'order_id', l_orderkey, 'sku_id', l_partkey,
-                          'sku_num', cast(l_quantity as bigint),
-                          'order_price', l_extendedprice)""")),
-        _change_rows(part, "sku_info", F.col("p_partkey"), _SLOTS["sku_info"],
-                     by_key("p_partkey"),
-                     _e("""named_struct('id', p_partkey, 'sku_name', p_name,
-                          'tm_name', p_brand, 'price', p_retailprice)""")),
-    ]
-    users = customer.where(F.col("c_custkey") % 7 != 0)
-    v1, v2 = _SLOTS["user_info"]
-    parts += [
-        _change_rows(users, "user_info", F.col("c_custkey"), v1, "'bootstrap-insert'",
-                     _e("""named_struct('id', c_custkey, 'login_name', c_name,
-                          'gender', 'U', 'birthday', '1990-01-01')""")),
-        _change_rows(users, "user_info", F.col("c_custkey"), v2, by_key("c_custkey"),
-                     _e("""named_struct('id', c_custkey, 'login_name', c_name,
-                          'gender', case when c_custkey % 2 = 0 then 'M' else 'F' end,
-                          'birthday', date_format(date_add(date'1950-01-01',
-                                         cast((c_custkey * 37) % 20000 as int)), 'yyyy-MM-dd'))""")),
-    ]
-    v1, v2 = _SLOTS["base_province"]
-    parts += [
-        _change_rows(nation, "base_province", F.col("n_nationkey"), v1, "'bootstrap-insert'",
-                     _e("""named_struct('id', n_nationkey, 'name', concat(n_name, '_v1'),
-                          'region_id', n_regionkey, 'area_code', '0',
-                          'iso_code', concat('ISO_', n_nationkey),
-                          'iso_3166_2', concat('CN-', n_nationkey))""")),
-        _change_rows(nation, "base_province", F.col("n_nationkey"), v2, by_key("n_nationkey"),
-                     _e("""named_struct('id', n_nationkey, 'name', n_name,
-                          'region_id', n_regionkey,
-                          'area_code', cast(110000 + n_nationkey * 10000 as string),
-                          'iso_code', concat('ISO_', n_nationkey),
-                          'iso_3166_2', concat('CN-', n_nationkey))""")),
-    ]
+    users = customer.where(F.col("c_custkey") % 7 != 0) if customer is not None else None
+    u1, u2 = _SLOTS["user_info"]
+    n1, n2 = _SLOTS["base_province"]
+    builders = {
+        "order_info": lambda: [_change_rows(
+            orders, "order_info", F.col("o_orderkey"), _SLOTS["order_info"],
+            by_key("o_orderkey"),
+            _e("""named_struct('id', o_orderkey, 'user_id', o_custkey,
+                 'order_status', o_orderstatus, 'total_amount', o_totalprice,
+                 'create_time', date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss'))"""))],
+        "order_detail": lambda: [_change_rows(
+            lineitem, "order_detail", _e("l_orderkey * 8 + l_linenumber"),
+            _SLOTS["order_detail"], by_key("l_orderkey * 8 + l_linenumber"),
+            _e("""named_struct('id', l_orderkey * 8 + l_linenumber,
+                 'order_id', l_orderkey, 'sku_id', l_partkey,
+                 'sku_num', cast(l_quantity as bigint), 'order_price', l_extendedprice)"""))],
+        "sku_info": lambda: [_change_rows(
+            part, "sku_info", F.col("p_partkey"), _SLOTS["sku_info"], by_key("p_partkey"),
+            _e("""named_struct('id', p_partkey, 'sku_name', p_name,
+                 'tm_name', p_brand, 'price', p_retailprice)"""))],
+        "user_info": lambda: [
+            _change_rows(users, "user_info", F.col("c_custkey"), u1, "'bootstrap-insert'",
+                         _e("""named_struct('id', c_custkey, 'login_name', c_name,
+                              'gender', 'U', 'birthday', '1990-01-01')""")),
+            _change_rows(users, "user_info", F.col("c_custkey"), u2, by_key("c_custkey"),
+                         _e("""named_struct('id', c_custkey, 'login_name', c_name,
+                              'gender', case when c_custkey % 2 = 0 then 'M' else 'F' end,
+                              'birthday', date_format(date_add(date'1950-01-01',
+                                  cast((c_custkey * 37) % 20000 as int)), 'yyyy-MM-dd'))"""))],
+        "base_province": lambda: [
+            _change_rows(nation, "base_province", F.col("n_nationkey"), n1,
+                         "'bootstrap-insert'",
+                         _e("""named_struct('id', n_nationkey, 'name', concat(n_name, '_v1'),
+                              'region_id', n_regionkey, 'area_code', '0',
+                              'iso_code', concat('ISO_', n_nationkey),
+                              'iso_3166_2', concat('CN-', n_nationkey))""")),
+            _change_rows(nation, "base_province", F.col("n_nationkey"), n2,
+                         by_key("n_nationkey"),
+                         _e("""named_struct('id', n_nationkey, 'name', n_name,
+                              'region_id', n_regionkey,
+                              'area_code', cast(110000 + n_nationkey * 10000 as string),
+                              'iso_code', concat('ISO_', n_nationkey),
+                              'iso_3166_2', concat('CN-', n_nationkey))"""))],
+    }
+    parts = [df for t in SOURCE_TABLES if t in tables for df in builders[t]()]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
@@ -190,10 +199,15 @@ def change_envelopes(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
     )
 
 
-def change_envelopes_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+_SOURCE_OF = {"order_info": "orders", "order_detail": "lineitem", "sku_info": "part",
+              "user_info": "customer", "base_province": "nation"}
+
+
+def change_envelopes_from(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES) -> DataFrame:
     from daystream.session import read_table
-    t = {n: read_table(spark, sf_dir, n) for n in ("orders", "lineitem", "part", "customer", "nation")}
-    return change_envelopes(t["orders"], t["lineitem"], t["part"], t["customer"], t["nation"])
+    t = {_SOURCE_OF[n]: read_table(spark, sf_dir, _SOURCE_OF[n]) for n in tables}
+    return change_envelopes(t.get("orders"), t.get("lineitem"), t.get("part"),
+                            t.get("customer"), t.get("nation"), tables=tables)
 
 
 def log_envelopes_from(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,6 +222,10 @@ ROUTING = [("order_info", "fact"), ("order_detail", "fact"), ("base_province", "
 
 
 def routing_table(spark: SparkSession, rows=None) -> DataFrame:
-    """Routing configuration ``(table, kind)``; in a running job this is a
-    small table re-read at every micro-batch."""
-    return spark.createDataFrame(rows or ROUTING, "table string, kind string")
+    """Routing configuration ``(table, kind)`` as an inline relation (no
+    job to build it); in a running job this is a small table re-read at
+    every micro-batch."""
+    def q(x):
+        return "'" + str(x).replace("'", "''") + "'"
+    values = ", ".join(f"({q(t)}, {q(k)})" for t, k in (rows or ROUTING))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS routing(table, kind)")
