@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "daystream") -> SparkSession:
+              app_name: str = "daystream", checkpoint_dir: str | None = None) -> SparkSession:
     """Session with the settings every job here relies on.
 
     On a cluster, ``master`` stays ``None`` so the launcher decides; the
@@ -29,6 +29,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint_dir:
+        # Only a default: a cluster-provided shared folder takes precedence.
+        existing = SparkSession.getActiveSession()
+        if existing is None or not _conf_checkpoint_dir(existing):
+            b = b.config("spark.checkpoint.dir", checkpoint_dir)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -41,20 +46,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     it is only filled in here (with a fresh local folder) when unset, as in
     tests and single-machine runs.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    root = conf_dir or sc_dir
+    global _LOCAL_ROOT
+    root = _conf_checkpoint_dir(spark)
     if not root:
-        root = tempfile.mkdtemp(prefix="daystream-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", root)
-        except Exception:  # noqa: BLE001 - core conf may be read-only
-            pass
-    if not sc_dir:
-        spark.sparkContext.setCheckpointDir(root)
+        sc_dir = spark.sparkContext.getCheckpointDir()
+        if sc_dir:
+            root = sc_dir
+        else:
+            if _LOCAL_ROOT is None:
+                _LOCAL_ROOT = tempfile.mkdtemp(prefix="daystream-ckpt-")
+            root = _LOCAL_ROOT
+            spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+_LOCAL_ROOT: str | None = None
+
+
+def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
