@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from daystream import schemas
 from daystream.functions.routing import TOPIC_SUFFIX, fact_topic, op_code
 from daystream.operators.joins import bounded_broadcast
-from daystream.operators.parse import parse_json
+from daystream.operators.parse import evaluate_once, parse_json
 
 #: Bound on the routing configuration (number of listed source tables).
 MAX_ROUTING_ROWS = 10_000
@@ -18,13 +18,13 @@ def parse_changes(env: DataFrame) -> DataFrame:
     """Change envelopes -> ``(src_partition, src_offset, src_ts, type, table,
     data, corrupt)``; ``data`` stays JSON text."""
     j = parse_json("value", schemas.CHANGE_JSON).alias("j")
-    return env.select(F.col("partition").alias("src_partition"),
-                      F.col("offset").alias("src_offset"),
-                      F.col("timestamp").alias("src_ts"), j).select(
+    return evaluate_once(env.select(F.col("partition").alias("src_partition"),
+                                    F.col("offset").alias("src_offset"),
+                                    F.col("timestamp").alias("src_ts"), j).select(
         "src_partition", "src_offset", "src_ts",
         F.col("j.type").alias("type"), F.col("j.table").alias("table"),
         F.col("j.data").alias("data"),
-        F.col(f"j.{schemas.CORRUPT_COL}").alias("corrupt"))
+        F.col(f"j.{schemas.CORRUPT_COL}").alias("corrupt")))
 
 
 def with_op(changes: DataFrame) -> DataFrame:

@@ -11,6 +11,20 @@ from daystream.functions.values import is_blank, to_long
 _PARSE_OPTS = {"columnNameOfCorruptRecord": schemas.CORRUPT_COL, "mode": "PERMISSIVE"}
 
 
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """Evaluate ``df``'s columns once per row before any later filter.
+
+    Catalyst pushes a filter below a projection by substituting the
+    projected expressions into the condition; for an expensive projection
+    (``from_json`` over the message text) that parses every message again
+    inside the filter, once per referenced field, and a condition that
+    large falls out of code generation. A one-element ``inline`` is a
+    generator, which filters on its output cannot be pushed through: the
+    parse happens once, the filter runs on its result.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def parse_json(value, schema) -> Column:
     """JSON text -> struct; malformed text fills ``_corrupt`` instead of
     failing the job."""
@@ -42,8 +56,9 @@ def parse_log(env: DataFrame) -> DataFrame:
             .when(ts.isNull(), "missing_ts")
             .when(F.col("page").isNotNull() & to_long("page.during_time").isNull(),
                   "missing_during_time"))
-    return p.select("src_partition", "src_offset", "value", "common", "page", "displays",
-                    "actions", "start", "err", ts.alias("ts"), dead.alias("dead_reason"))
+    return evaluate_once(p.select(
+        "src_partition", "src_offset", "value", "common", "page", "displays", "actions",
+        "start", "err", ts.alias("ts"), dead.alias("dead_reason")))
 
 
 def usable(parsed: DataFrame) -> DataFrame:
@@ -83,7 +98,7 @@ def parse_page_messages(env: DataFrame) -> DataFrame:
                    F.col("offset").alias("src_offset"), leaves)
     cols = [to_long(f"j.{f.name}").alias(f.name) if f.dataType == schemas.L
             else F.col(f"j.{f.name}").alias(f.name) for f in schemas.PAGE_LOG.fields]
-    return p.select(*cols, "src_partition", "src_offset")
+    return evaluate_once(p.select(*cols, "src_partition", "src_offset"))
 
 
 def _all_string(schema):
