@@ -216,8 +216,10 @@ def q_dau_new_only(spark, sf):
     """Restore scenario: the sink holds the days up to SPLIT_DT; the stream
     is re-read from RESUME_DT; only devices not yet counted come out."""
     path = _dau_sink(spark, sf, SPLIT_DT)
-    seen = dau.seen_mids(read_table(spark, path, schemas.DAU_INFO))
     first = _first_seen(spark, sf).where(F.col("dt") >= RESUME_DT)
+    # the same day predicate prunes the stored partitions statically
+    seen = (read_table(spark, path, schemas.DAU_INFO).where(F.col("dt") >= RESUME_DT)
+            .select("dt", "mid"))
     return _dau(spark, sf, first=dau.new_only(first, seen))
 
 

@@ -19,7 +19,8 @@ from daystream.operators import cdc, dau, ledger, log_split
 from daystream.operators.parse import parse_log
 from daystream.session import scratch_path
 from daystream.sinks.topics import write_messages
-from daystream.sinks.upsert import read_table, table_exists, upsert_partitions
+from daystream.sinks.upsert import (append_partitions, read_table, table_exists,
+                                    touched_partitions, upsert_partitions)
 from daystream.sources.envelopes import (CHANGE_TOPIC, LOG_TOPIC, change_envelopes_from,
                                          log_envelopes_from, routing_table)
 
@@ -113,17 +114,29 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, d
     """One batch of the DAU job.
 
     The result table is the seen-set: devices already stored for a day are
-    removed (anti join on ``(dt, mid)``; only the days present in the batch
-    are read), the rest are enriched and upserted. Replaying a batch
-    therefore adds nothing twice, and losing the streaming state loses
-    nothing, for every day the batch touches.
+    removed (anti join on ``(dt, mid)`` against only the days present in
+    the batch), the rest are enriched and appended: their keys are new, so
+    no stored partition is rewritten. Replaying a batch therefore adds
+    nothing twice, and losing the streaming state loses nothing, for every
+    day the batch touches.
+
+    The first-seen rows are written to a staging table under the
+    checkpoint root first: the same rows feed the touched-day probe, the
+    anti join and the write, and the lineage back to the source is cut.
     """
     first = dau.first_seen(dau.session_first_pages(pages), tz=tz)
-    if table_exists(spark, dau_path):
-        seen = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
-        first = dau.new_only(first, seen)
+    if not table_exists(spark, dau_path):
+        out = dau.dau_info(first, cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of,
+                           tz=tz)
+        upsert_partitions(spark, out, dau_path, ["dt", "mid"])
+        return
+    staging = scratch_path(spark, "dau-first-seen")
+    first.write.parquet(staging)
+    first = spark.read.schema(first.schema).parquet(staging)
+    stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
+    first = dau.new_only(first, touched_partitions(stored, first, "dt"))
     out = dau.dau_info(first, cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of, tz=tz)
-    upsert_partitions(spark, out, dau_path, ["dt", "mid"])
+    append_partitions(out, dau_path)
 
 
 def dau_job(spark: SparkSession, sf_dir: str, dau_path: str, dims_path: str | None = None,

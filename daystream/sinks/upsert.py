@@ -3,8 +3,8 @@
 A document index replaces a document with the same id; plain files cannot
 do that, so an upsert rewrites the partitions it touches:
 
-1. read only the touched partitions of the stored table (semi join on the
-   partition column; dynamic partition pruning skips the rest),
+1. read only the touched partitions of the stored table (a static
+   partition filter on the touched values, see :func:`touched_partitions`),
 2. keep stored rows whose key is not in the incoming batch, add the
    incoming rows,
 3. write the result to a staging table under the shared checkpoint root
@@ -20,9 +20,14 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daystream.session import scratch_path
 
+#: Most partition values (e.g. days) one batch may touch for the static
+#: partition filter; above it the stored side is pruned by a semi join.
+MAX_TOUCHED_PARTITIONS = 10_000
+
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -37,16 +42,32 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def touched_partitions(stored: DataFrame, incoming: DataFrame, partition_col: str,
+                       max_values: int = MAX_TOUCHED_PARTITIONS) -> DataFrame:
+    """Rows of ``stored`` in the partitions that ``incoming`` touches.
+
+    The distinct partition values of a batch (days) are few and bounded by
+    the calendar, so they are fetched (at most ``max_values`` + 1 of them)
+    and applied as a literal filter: the scan then lists and reads only
+    those partition folders. Dynamic partition pruning is not used because
+    it does not apply to the anti joins downstream. Above the bound the
+    stored side is pruned with a semi join instead.
+    """
+    vals = [r[0] for r in incoming.select(partition_col).distinct()
+            .limit(max_values + 1).collect()]
+    if len(vals) <= max_values:
+        return stored.where(F.col(partition_col).isin(vals)) if vals else stored.limit(0)
+    return stored.join(incoming.select(partition_col).distinct(), partition_col, "left_semi")
+
+
 def upsert_partitions(spark: SparkSession, incoming: DataFrame, path: str,
                       keys: list[str], partition_col: str = "dt") -> None:
     """Upsert ``incoming`` (unique on ``keys``, which include
     ``partition_col``) into the parquet table at ``path``."""
-    cols = incoming.columns
     if table_exists(spark, path):
-        stored = read_table(spark, path, incoming.schema)
-        touched = incoming.select(partition_col).distinct()
-        kept = (stored.join(touched, partition_col, "left_semi")
-                .join(incoming.select(*keys), keys, "left_anti"))
+        stored = touched_partitions(read_table(spark, path, incoming.schema), incoming,
+                                    partition_col)
+        kept = stored.join(incoming.select(*keys), keys, "left_anti")
         merged = kept.unionByName(incoming)
     else:
         merged = incoming
@@ -55,3 +76,9 @@ def upsert_partitions(spark: SparkSession, incoming: DataFrame, path: str,
     (read_table(spark, staging, incoming.schema).write
      .mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
+
+
+def append_partitions(incoming: DataFrame, path: str, partition_col: str = "dt") -> None:
+    """Append rows whose keys are known to be new (e.g. after an anti join
+    against the stored table): no stored partition is rewritten."""
+    (incoming.write.mode("append").partitionBy(partition_col).parquet(path))
