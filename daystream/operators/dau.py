@@ -10,9 +10,6 @@ from daystream import schemas
 from daystream.functions.dates import age_years, dt_of, hr_of
 from daystream.operators.joins import bounded_broadcast
 
-#: Bound on the province dimension for the broadcast hint (a country has
-#: tens of provinces; above the bound the planner decides).
-MAX_PROVINCE_ROWS = 100_000
 
 
 def session_first_pages(pages: DataFrame) -> DataFrame:
@@ -59,10 +56,19 @@ def join_user(df: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
 
 
 def join_province(df: DataFrame, provinces: DataFrame,
-                  max_rows: int = MAX_PROVINCE_ROWS) -> DataFrame:
-    """Left join on ``province_id`` adding name and codes (broadcast when
-    the dimension is proven small)."""
-    return df.join(bounded_broadcast(provinces, max_rows), "province_id", "left")
+                  max_rows: int | None = None) -> DataFrame:
+    """Left join on ``province_id`` adding name and codes.
+
+    The province dimension is tens of rows, but it is the output of an
+    aggregation, so its size is measured rather than assumed: by default
+    AQE materialises it and turns the join into a broadcast join when the
+    measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+    (sort-merge otherwise), with no extra job. ``max_rows`` instead probes
+    the row count first (:func:`bounded_broadcast`) and hints a broadcast
+    under that bound.
+    """
+    side = bounded_broadcast(provinces, max_rows) if max_rows else provinces
+    return df.join(side, "province_id", "left")
 
 
 def dau_info(first: DataFrame, users: DataFrame, provinces: DataFrame,
@@ -100,8 +106,8 @@ def funnel_counts(pages: DataFrame, first: DataFrame | None = None,
     else:
         f = f.withColumn("_u", F.lit(None).cast("int"))
     if provinces is not None:
-        f = f.join(bounded_broadcast(provinces.select("province_id", F.lit(1).alias("_p")),
-                                     MAX_PROVINCE_ROWS), "province_id", "left")
+        f = f.join(provinces.select("province_id", F.lit(1).alias("_p")), "province_id",
+                   "left")
     else:
         f = f.withColumn("_p", F.lit(None).cast("int"))
     firsts = f.agg(F.count(F.lit(1)).alias("first_seen"),

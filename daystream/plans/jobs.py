@@ -19,7 +19,7 @@ from daystream.operators import cdc, dau, ledger, log_split
 from daystream.operators.parse import parse_log
 from daystream.session import scratch_path
 from daystream.sinks.topics import write_messages
-from daystream.sinks.upsert import (append_partitions, read_table, table_exists,
+from daystream.sinks.upsert import (append_partitions, read_table, stage, table_exists,
                                     touched_partitions, upsert_partitions)
 from daystream.sources.envelopes import (CHANGE_TOPIC, LOG_TOPIC, change_envelopes_from,
                                          log_envelopes_from, routing_table)
@@ -130,9 +130,7 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, d
                            tz=tz)
         upsert_partitions(spark, out, dau_path, ["dt", "mid"])
         return
-    staging = scratch_path(spark, "dau-first-seen")
-    first.write.parquet(staging)
-    first = spark.read.schema(first.schema).parquet(staging)
+    first = stage(spark, first, "dau-first-seen")
     stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
     first = dau.new_only(first, touched_partitions(stored, first, "dt"))
     out = dau.dau_info(first, cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of, tz=tz)

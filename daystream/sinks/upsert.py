@@ -60,22 +60,47 @@ def touched_partitions(stored: DataFrame, incoming: DataFrame, partition_col: st
     return stored.join(incoming.select(partition_col).distinct(), partition_col, "left_semi")
 
 
+def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once to a fresh folder under the shared checkpoint root
+    and read it back: later steps reuse the rows instead of recomputing
+    them, and a lost executor recomputes from the copy, not the source."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def write_clustered(df: DataFrame, path: str, partition_col: str, keys: list[str],
+                    mode: str = "overwrite") -> None:
+    """Write ``df`` partitioned by ``partition_col`` with rows range-clustered
+    on the keys, so each task writes one or two partition folders (few,
+    well-sized files) and a partition holding a third of all rows is still
+    split over many tasks. ``df`` should be cheap to re-read (staged): the
+    range bounds are sampled from it. Existing partitions not in ``df`` are
+    kept (dynamic partition overwrite)."""
+    order = [partition_col] + [k for k in keys if k != partition_col]
+    (df.repartitionByRange(*order).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+
+
 def upsert_partitions(spark: SparkSession, incoming: DataFrame, path: str,
                       keys: list[str], partition_col: str = "dt") -> None:
     """Upsert ``incoming`` (unique on ``keys``, which include
-    ``partition_col``) into the parquet table at ``path``."""
+    ``partition_col``) into the parquet table at ``path``.
+
+    ``incoming`` is staged once; the touched-partition probe, the anti join
+    and the merge all read the staged copy. The merge is staged again so
+    the final overwrite never reads the partitions it replaces.
+    """
+    incoming = stage(spark, incoming, "upsert-incoming")
     if table_exists(spark, path):
         stored = touched_partitions(read_table(spark, path, incoming.schema), incoming,
                                     partition_col)
         kept = stored.join(incoming.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(incoming)
+        merged = stage(spark, kept.unionByName(incoming), "upsert-merged")
     else:
         merged = incoming
-    staging = scratch_path(spark, "upsert-staging")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    (read_table(spark, staging, incoming.schema).write
-     .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    write_clustered(merged, path, partition_col, keys)
 
 
 def append_partitions(incoming: DataFrame, path: str, partition_col: str = "dt") -> None:

@@ -203,16 +203,44 @@ _SOURCE_OF = {"order_info": "orders", "order_detail": "lineitem", "sku_info": "p
               "user_info": "customer", "base_province": "nation"}
 
 
-def change_envelopes_from(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES) -> DataFrame:
+#: Inputs smaller than this (Catalyst's size estimate) are not worth a
+#: shuffle to spread them.
+MIN_SPREAD_BYTES = 1 << 20
+
+
+def min_parallelism(df: DataFrame, partitions: int | None = None,
+                    min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A table stored as one large row group is read by one task, and every
+    per-row step after it (JSON building and parsing) would run on one
+    core. Below ``partitions`` (default: the default parallelism) the rows
+    are redistributed round-robin (skew-free); a scan that already has
+    enough partitions (the normal case at scale) or is too small to matter
+    is left alone, so this never adds a shuffle to a large, well-split
+    input. It plays the role of the Kafka source's ``minPartitions`` option
+    for file-backed envelopes.
+    """
+    want = partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(want) if size >= min_bytes else df
+
+
+def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     from daystream.session import read_table
-    t = {_SOURCE_OF[n]: read_table(spark, sf_dir, _SOURCE_OF[n]) for n in tables}
+    return min_parallelism(read_table(spark, sf_dir, name))
+
+
+def change_envelopes_from(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES) -> DataFrame:
+    t = {_SOURCE_OF[n]: _source(spark, sf_dir, _SOURCE_OF[n]) for n in tables}
     return change_envelopes(t.get("orders"), t.get("lineitem"), t.get("part"),
                             t.get("customer"), t.get("nation"), tables=tables)
 
 
 def log_envelopes_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from daystream.session import read_table
-    return log_envelopes(read_table(spark, sf_dir, "events"))
+    return log_envelopes(_source(spark, sf_dir, "events"))
 
 
 # Which source tables are facts and which are dimensions
