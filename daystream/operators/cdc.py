@@ -15,13 +15,14 @@ MAX_ROUTING_ROWS = 10_000
 
 
 def parse_changes(env: DataFrame) -> DataFrame:
-    """Change envelopes -> ``(src_partition, src_offset, src_ts, type, table,
-    data, corrupt)``; ``data`` stays JSON text."""
+    """Change envelopes -> ``(src_topic, src_partition, src_offset, src_ts,
+    type, table, data, corrupt)``; ``data`` stays JSON text."""
     j = parse_json("value", schemas.CHANGE_JSON).alias("j")
-    return evaluate_once(env.select(F.col("partition").alias("src_partition"),
+    return evaluate_once(env.select(F.col("topic").alias("src_topic"),
+                                    F.col("partition").alias("src_partition"),
                                     F.col("offset").alias("src_offset"),
                                     F.col("timestamp").alias("src_ts"), j).select(
-        "src_partition", "src_offset", "src_ts",
+        "src_topic", "src_partition", "src_offset", "src_ts",
         F.col("j.type").alias("type"), F.col("j.table").alias("table"),
         F.col("j.data").alias("data"),
         F.col(f"j.{schemas.CORRUPT_COL}").alias("corrupt")))

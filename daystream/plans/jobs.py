@@ -13,6 +13,7 @@ import os
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daystream import schemas
 from daystream.operators import cdc, dau, ledger, log_split
@@ -36,7 +37,8 @@ DIM_COLS = ["table", "id", "data", "op", "src_partition", "src_offset", "src_ts"
 def save_ledger(spark: SparkSession, path: str, env: DataFrame, group_id: str,
                 batch_id: int) -> None:
     """Ledger upsert after a batch is processed: end offsets of every
-    partition the batch read (a cheap scan of the position columns)."""
+    partition the batch read (only the position columns of ``env`` are
+    read: ``topic, partition, offset``)."""
     ranges = ledger.offset_ranges(env.select("topic", "partition", "offset"))
     stored = (spark.read.schema(schemas.LEDGER).parquet(path)
               if table_exists(spark, path) else None)
@@ -85,19 +87,23 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
     persisted for the duration of the batch.
     """
     routing = routing if routing is not None else routing_table(spark)
-    changes = cdc.with_op(cdc.parse_changes(env)).persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = cdc.parse_changes(env).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        changes = cdc.with_op(parsed)
         write_messages(cdc.fact_route(changes, routing), os.path.join(out_dir, "topics"),
                        batch_id=batch_id)
         dims_path = os.path.join(out_dir, "dims")
         stored = (spark.read.schema(DIM_SCHEMA).parquet(dims_path)
                   if table_exists(spark, dims_path) else None)
         latest = cdc.dim_latest(cdc.dim_changes(changes, routing), stored, on_delete)
-        _replace_table(spark, latest.select(*DIM_COLS),
-                       dims_path, "table")
+        _replace_table(spark, latest.select(*DIM_COLS), dims_path, "table")
+        # positions of every message read, including dropped change types
+        positions = parsed.select(F.col("src_topic").alias("topic"),
+                                  F.col("src_partition").alias("partition"),
+                                  F.col("src_offset").alias("offset"))
+        save_ledger(spark, os.path.join(out_dir, "ledger"), positions, group_id, batch_id)
     finally:
-        changes.unpersist()
-    save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id)
+        parsed.unpersist()
 
 
 def cdc_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int = 0) -> str:
