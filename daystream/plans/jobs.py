@@ -30,8 +30,18 @@ CHANGE_GROUP = "ODS_BASE_DB_GROUP"
 DAU_GROUP = "dwd_dau"
 
 DIM_SCHEMA = "table string, id string, data string, op string, src_partition int, " \
-             "src_offset bigint, src_ts timestamp"
-DIM_COLS = ["table", "id", "data", "op", "src_partition", "src_offset", "src_ts"]
+             "src_offset bigint, src_ts timestamp, deleted boolean, dim_part string"
+DIM_COLS = ["table", "id", "data", "op", "src_partition", "src_offset", "src_ts", "deleted",
+            "dim_part"]
+#: Hash buckets per dimension table: a micro-batch rewrites only the
+#: buckets its changed keys fall in, not the whole dimension.
+DIM_BUCKETS = 256
+
+
+def dim_part(table="table", key="id", buckets: int = DIM_BUCKETS):
+    """Storage partition of a dimension row: ``<table>_<bucket of id>``."""
+    b = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
+    return F.concat_ws("_", F.col(table), F.lpad(b.cast("string"), 4, "0"))
 
 
 def save_ledger(spark: SparkSession, path: str, env: DataFrame, group_id: str,
@@ -79,8 +89,9 @@ def log_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int
 def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int,
                          routing: DataFrame | None = None, on_delete: str = "keep",
                          group_id: str = CHANGE_GROUP) -> None:
-    """One batch of the change split: fact messages, the merged dimension
-    table (``out_dir/dims``, partitioned by source table), the ledger.
+    """One batch of the change split: fact messages, the dimension table
+    (``out_dir/dims``, partitioned by table and hash bucket of the key; a
+    batch rewrites only the buckets it touches), the ledger.
 
     The routing table is re-read for every batch so list changes apply
     without a restart. The parsed batch feeds two outputs, so it is
@@ -92,11 +103,14 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
         changes = cdc.with_op(parsed)
         write_messages(cdc.fact_route(changes, routing), os.path.join(out_dir, "topics"),
                        batch_id=batch_id)
-        dims_path = os.path.join(out_dir, "dims")
-        stored = (spark.read.schema(DIM_SCHEMA).parquet(dims_path)
-                  if table_exists(spark, dims_path) else None)
-        latest = cdc.dim_latest(cdc.dim_changes(changes, routing), stored, on_delete)
-        _replace_table(spark, latest.select(*DIM_COLS), dims_path, "table")
+        # latest change per key in this batch, upserted into the touched
+        # buckets only; a later batch always wins over the stored row
+        # (on_delete="drop": a delete is stored as a tombstone readers skip)
+        latest = cdc.dim_latest(cdc.dim_changes(changes, routing))
+        deleted = (F.col("op") == "D") if on_delete == "drop" else F.lit(False)
+        latest = latest.withColumn("deleted", deleted).withColumn("dim_part", dim_part())
+        upsert_partitions(spark, latest.select(*DIM_COLS), os.path.join(out_dir, "dims"),
+                          ["dim_part", "table", "id"], partition_col="dim_part")
         # positions of every message read, including dropped change types
         positions = parsed.select(F.col("src_topic").alias("topic"),
                                   F.col("src_partition").alias("partition"),
@@ -111,8 +125,16 @@ def cdc_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int
     return out_dir
 
 
-def read_dims(spark: SparkSession, dims_path: str) -> DataFrame:
-    return spark.read.schema(DIM_SCHEMA).parquet(dims_path)
+def read_dims(spark: SparkSession, dims_path: str,
+              tables: tuple[str, ...] = ("user_info", "base_province")) -> DataFrame:
+    """Live stored dimension rows of ``tables`` (partition-pruned by the
+    table prefix of ``dim_part``; tombstones left out)."""
+    df = spark.read.schema(DIM_SCHEMA).parquet(dims_path).where(~F.col("deleted"))
+    cond = None
+    for t in tables:
+        c = F.col("dim_part").startswith(f"{t}_")
+        cond = c if cond is None else cond | c
+    return df.where(cond) if cond is not None else df
 
 
 def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, dau_path: str,

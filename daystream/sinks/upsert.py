@@ -17,8 +17,6 @@ Applying the same batch twice gives the same table.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,10 +28,12 @@ MAX_TOUCHED_PARTITIONS = 10_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists. (A write with dynamic partition
+    overwrite leaves no ``_SUCCESS`` marker at the root, so the folder
+    itself is the test; an empty folder reads as an empty table.)"""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path) and fs.exists(
-        spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS")))
+    return bool(fs.exists(jvm_path))
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -88,6 +88,10 @@ def upsert_partitions(spark: SparkSession, incoming: DataFrame, path: str,
     """Upsert ``incoming`` (unique on ``keys``, which include
     ``partition_col``) into the parquet table at ``path``.
 
+    Deletes are stored as rows (tombstones, e.g. a ``deleted`` flag that
+    readers filter): a partition left without rows would not be rewritten
+    by a dynamic partition overwrite.
+
     ``incoming`` is staged once; the touched-partition probe, the anti join
     and the merge all read the staged copy. The merge is staged again so
     the final overwrite never reads the partitions it replaces.

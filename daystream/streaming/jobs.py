@@ -25,6 +25,7 @@ from daystream.operators import cdc, dau
 from daystream.operators.parse import parse_page_messages
 from daystream.plans import jobs
 from daystream.sinks.upsert import upsert_partitions
+from daystream.sources.kafka import kafka_stream  # noqa: F401  (re-export)
 
 #: Micro-batch interval of the original jobs.
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
@@ -39,33 +40,6 @@ def envelope_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.load(path)
 
 
-def kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
-                 starting_offsets: str | dict = "latest", group_id: str | None = None,
-                 extra: dict | None = None) -> DataFrame:
-    """Streaming envelopes from Kafka.
-
-    ``starting_offsets`` is ``"latest"`` / ``"earliest"`` or a per-partition
-    map ``{topic: {partition: offset}}`` (e.g. from the offset ledger); it
-    applies on the first start only, afterwards the checkpoint decides.
-    Needs the Kafka connector package (not bundled with PySpark).
-    """
-    import json
-    so = starting_offsets if isinstance(starting_offsets, str) else json.dumps(
-        {t: {str(p): int(o) for p, o in parts.items()} for t, parts in starting_offsets.items()})
-    r = (spark.readStream.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap)
-         .option("subscribe", topic)
-         .option("startingOffsets", so))
-    if group_id:
-        r = r.option("kafka.group.id", group_id)
-    for k, v in (extra or {}).items():
-        r = r.option(k, v)
-    df = r.load()
-    return df.select(F.col("key").cast("string").alias("key"),
-                     F.col("value").cast("string").alias("value"),
-                     "topic", "partition", "offset", "timestamp")
-
-
 def _start(df: DataFrame, fn: Callable, checkpoint: str, trigger: dict | None,
            name: str | None) -> StreamingQuery:
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
@@ -150,5 +124,15 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
     return _start(first, run, checkpoint, trigger, name)
 
 
-__all__ = ["envelope_stream", "kafka_stream", "page_records", "start_change_split",
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows the state store refused as older than the watermark, summed over
+    the progress reports still held by ``query``."""
+    n = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) or []:
+            n += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return n
+
+
+__all__ = ["dropped_late_rows", "envelope_stream", "kafka_stream", "page_records", "start_change_split",
            "start_dau", "start_log_split"]

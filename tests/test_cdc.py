@@ -72,3 +72,30 @@ def test_dim_latest_merges_with_stored_state(spark):
     u = {r.user_id: r.user_gender for r in cdc.user_dim(cdc.dim_latest(second, first))
          .collect()}
     assert u == {"1": "M", "2": "F"}
+
+
+def test_dimension_table_across_batches(spark):
+    from daystream.plans import jobs
+    from daystream.session import scratch_path
+    out = scratch_path(spark, "dims-batches")
+
+    def batch(vals, n, on_delete="keep"):
+        env = envelopes(spark, vals, topic="ODS_BASE_DB", start_offset=100 - 10 * n)
+        jobs.process_change_batch(spark, env, out, n, on_delete=on_delete)
+        return {(r.table, r.id): json.loads(r.data)
+                for r in jobs.read_dims(spark, f"{out}/dims").collect()}
+
+    got = batch([change("insert", "user_info", {"id": k, "v": 0}) for k in range(50)]
+                + [change("insert", "base_province", {"id": 1, "name": "a"})], 0)
+    assert len(got) == 51
+    # later batch wins even with lower offsets; untouched keys stay
+    got = batch([change("update", "user_info", {"id": 3, "v": 1}),
+                 change("delete", "user_info", {"id": 4, "v": 2})], 1)
+    assert got[("user_info", "3")]["v"] == 1 and got[("user_info", "4")]["v"] == 2
+    assert got[("user_info", "7")]["v"] == 0 and len(got) == 51
+    got = batch([change("delete", "user_info", {"id": 5, "v": 9})], 2, on_delete="drop")
+    assert ("user_info", "5") not in got and len(got) == 50
+    only_users = jobs.read_dims(spark, f"{out}/dims", tables=("user_info",))
+    assert only_users.where("table <> 'user_info'").count() == 0
+    ledger = spark.read.parquet(f"{out}/ledger").collect()
+    assert [(r.group_id, r.batch_id) for r in ledger] == [("ODS_BASE_DB_GROUP", 2)]

@@ -142,3 +142,41 @@ def test_dau_stream_state_mode_same_keys(spark):
     got = {(r.dt, r.mid) for r in read_table(spark, sink, schemas.DAU_INFO).collect()}
     want = {(r.dt, r.mid) for r in _batch_dau(spark, dims_path).collect()}
     assert got == want
+
+
+def test_late_rows_state_mode_drops_sink_mode_accepts(spark):
+    import json as _json
+    day = 86_400_000
+    base = 1704067200000  # 2024-01-01
+
+    def msgs(rows, off0):
+        out = []
+        for n, (mid, ts) in enumerate(rows):
+            rec = {"mid": mid, "user_id": "1", "province_id": "1", "page_id": "home",
+                   "during_time": 1, "ts": ts}
+            out.append((None, _json.dumps(rec), PAGE_TOPIC, 0, off0 + n, None))
+        return spark.createDataFrame(out, schemas.ENVELOPE)
+
+    dims_path = _dims(spark, scratch_path(spark, "late-dims"))
+    results = {}
+    for mode in ("state", "sink"):
+        src, ck, sink = (scratch_path(spark, n) for n in ("lsrc", "lck", "lsink"))
+        batches = [msgs([("a", base + 1000)], 0),
+                   msgs([("b", base + 5 * day + 1000)], 10),
+                   msgs([("c", base + 1 * day + 5), ("b", base + 5 * day + 9)], 20)]
+        q = None
+        for b in batches:
+            b.write.mode("append").parquet(src)
+            stream = sjobs.page_records(sjobs.envelope_stream(spark, src))
+            q = sjobs.start_dau(stream, dims_path, sink, ck, trigger=AVAILABLE_NOW,
+                                tz="UTC", mode=mode, watermark="1 day")
+            q.awaitTermination(120)
+            if mode == "state":
+                results.setdefault("dropped", 0)
+                results["dropped"] += sjobs.dropped_late_rows(q)
+        results[mode] = {(r.dt, r.mid) for r in read_table(spark, sink, schemas.DAU_INFO)
+                         .collect()}
+    assert results["sink"] == {("2024-01-01", "a"), ("2024-01-06", "b"), ("2024-01-02", "c")}
+    # the state store refuses the row two days older than the newest day
+    assert results["state"] == {("2024-01-01", "a"), ("2024-01-06", "b")}
+    assert results["dropped"] >= 1
