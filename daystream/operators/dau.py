@@ -121,3 +121,11 @@ def funnel_counts(pages: DataFrame, first: DataFrame | None = None,
 
     return long(totals, ["pages", "session_first"]).unionByName(
         long(firsts, ["first_seen", "user_matched", "province_matched"]))
+
+
+def rows_per_task(df: DataFrame) -> DataFrame:
+    """Rows held by each task of ``df`` (``task``, ``rows``): a debugging
+    view of how evenly a stage is spread; the totals are
+    :func:`funnel_counts`."""
+    return (df.groupBy(F.spark_partition_id().alias("task"))
+            .agg(F.count(F.lit(1)).alias("rows")))

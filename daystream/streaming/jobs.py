@@ -124,6 +124,12 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
     return _start(first, run, checkpoint, trigger, name)
 
 
+def run_until_stopped(spark: SparkSession, timeout_s: float | None = None) -> None:
+    """Block until any active query stops (or fails, which re-raises its
+    error here), like the original jobs' run-forever loop."""
+    spark.streams.awaitAnyTermination(timeout_s)
+
+
 def dropped_late_rows(query: StreamingQuery) -> int:
     """Rows the state store refused as older than the watermark, summed over
     the progress reports still held by ``query``."""
@@ -134,5 +140,5 @@ def dropped_late_rows(query: StreamingQuery) -> int:
     return n
 
 
-__all__ = ["dropped_late_rows", "envelope_stream", "kafka_stream", "page_records", "start_change_split",
+__all__ = ["dropped_late_rows", "run_until_stopped", "envelope_stream", "kafka_stream", "page_records", "start_change_split",
            "start_dau", "start_log_split"]
