@@ -108,10 +108,14 @@ def province_dim(latest: DataFrame) -> DataFrame:
 def route_counts(changes: DataFrame, routing: DataFrame,
                  suffix: str = TOPIC_SUFFIX) -> DataFrame:
     """Rows sent to each fact topic plus dimension writes per table
-    (``DIM:<TABLE>``): ``(target, messages)``."""
-    op = with_op(changes)
-    facts = fact_route(op, routing, suffix).select(F.col("topic").alias("target"))
-    dims = dim_changes(op, routing).select(
-        F.concat(F.lit("DIM:"), F.upper("table")).alias("target"))
-    return (facts.unionByName(dims).groupBy("target")
-            .agg(F.count(F.lit(1)).alias("messages")))
+    (``DIM:<TABLE>``): ``(target, messages)``.
+
+    One pass: each change meets its routing rows (0, 1 or 2: a table may be
+    both a fact and a dimension) in a broadcast join, and the targets are
+    counted with a partial aggregation.
+    """
+    kinds = routing.where(F.col("kind").isin("fact", "dim")).select("table", "kind").distinct()
+    routed = with_op(changes).join(bounded_broadcast(kinds, MAX_ROUTING_ROWS), "table")
+    target = F.when(F.col("kind") == "fact", fact_topic("table", "op", suffix)).otherwise(
+        F.concat(F.lit("DIM:"), F.upper("table")))
+    return routed.groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("messages"))

@@ -22,7 +22,7 @@ from daystream.operators.parse import (dead_letter, envelope_summary, parse_log,
                                        parse_page_messages)
 from daystream.operators.project import project_like
 from daystream.session import scratch_path
-from daystream.sinks.upsert import read_table, upsert_partitions
+from daystream.sinks.upsert import read_table, stage, upsert_partitions
 from daystream.sources.envelopes import (LOG_TOPIC, change_envelopes_from, log_envelopes_from,
                                          routing_table)
 
@@ -225,9 +225,11 @@ def q_dau_new_only(spark, sf):
 
 def q_dau_upsert(spark, sf):
     """First half of the month, then the whole month twice: the table must
-    hold each (dt, mid) once."""
-    path = _dau_sink(spark, sf, SPLIT_DT)
-    whole = _dau(spark, sf)
+    hold each (dt, mid) once. The month's records are computed once and
+    staged; the three upserts read the staged copy."""
+    path = scratch_path(spark, "dau")
+    whole = stage(spark, _dau(spark, sf), "dau-month")
+    upsert_partitions(spark, whole.where(F.col("dt") <= SPLIT_DT), path, ["dt", "mid"])
     upsert_partitions(spark, whole, path, ["dt", "mid"])
     upsert_partitions(spark, whole, path, ["dt", "mid"])
     return read_table(spark, path, schemas.DAU_INFO)
