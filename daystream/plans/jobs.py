@@ -73,12 +73,27 @@ def _replace_table(spark: SparkSession, df: DataFrame, path: str,
 
 
 def process_log_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int,
-                      group_id: str = LOG_GROUP) -> None:
-    """One batch of the log split: messages to ``out_dir/topics`` (the
-    batch's own partitions are replaced on replay), then the ledger."""
-    msgs = log_split.route_messages(parse_log(env))
-    write_messages(msgs, os.path.join(out_dir, "topics"), batch_id=batch_id)
-    save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id)
+                      group_id: str = LOG_GROUP, persist: bool = False,
+                      sink_format: str = "parquet", sink_options: dict | None = None) -> None:
+    """One batch of the log split: every routed message in one pass (to
+    ``out_dir/topics``, where a replayed batch replaces its own partitions,
+    or to Kafka with ``sink_format="kafka"``), then the ledger.
+
+    ``persist`` keeps the batch for the ledger step instead of reading the
+    source again: right for a bounded micro-batch (a Kafka source cannot
+    prune columns), not for a large back-fill whose file source can read
+    the position columns alone.
+    """
+    if persist:
+        env = env.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        msgs = log_split.route_messages(parse_log(env))
+        write_messages(msgs, os.path.join(out_dir, "topics"), batch_id=batch_id,
+                       fmt=sink_format, options=sink_options)
+        save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id)
+    finally:
+        if persist:
+            env.unpersist()
 
 
 def log_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int = 0) -> str:
@@ -88,7 +103,8 @@ def log_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int
 
 def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int,
                          routing: DataFrame | None = None, on_delete: str = "keep",
-                         group_id: str = CHANGE_GROUP) -> None:
+                         group_id: str = CHANGE_GROUP, sink_format: str = "parquet",
+                         sink_options: dict | None = None) -> None:
     """One batch of the change split: fact messages, the dimension table
     (``out_dir/dims``, partitioned by table and hash bucket of the key; a
     batch rewrites only the buckets it touches), the ledger.
@@ -102,7 +118,7 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
     try:
         changes = cdc.with_op(parsed)
         write_messages(cdc.fact_route(changes, routing), os.path.join(out_dir, "topics"),
-                       batch_id=batch_id)
+                       batch_id=batch_id, fmt=sink_format, options=sink_options)
         # latest change per key in this batch, upserted into the touched
         # buckets only; a later batch always wins over the stored row
         # (on_delete="drop": a delete is stored as a tombstone readers skip)

@@ -43,8 +43,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at shared storage;
-    it is only filled in here (with a fresh local folder) when unset, as in
-    tests and single-machine runs.
+    it is only filled in here (with a fresh local folder) when unset and
+    the session runs in local mode, as in tests. A cluster session without
+    it is an error: a machine-local folder is not visible to the other
+    executors and does not survive losing the machine.
     """
     global _LOCAL_ROOT
     root = _conf_checkpoint_dir(spark)
@@ -53,6 +55,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         if sc_dir:
             root = sc_dir
         else:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on "
+                                   "HDFS or object storage) for staging and checkpoints")
             if _LOCAL_ROOT is None:
                 _LOCAL_ROOT = tempfile.mkdtemp(prefix="daystream-ckpt-")
             root = _LOCAL_ROOT

@@ -50,25 +50,31 @@ def _start(df: DataFrame, fn: Callable, checkpoint: str, trigger: dict | None,
 
 
 def start_log_split(envelopes: DataFrame, out_dir: str, checkpoint: str,
-                    trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Log split: every routed message of a batch in one pass, then the
-    ledger of the batch."""
+                    trigger: dict | None = None, name: str | None = None,
+                    sink_format: str = "parquet",
+                    sink_options: dict | None = None) -> StreamingQuery:
+    """Log split: every routed message of a batch in one pass (files under
+    ``out_dir/topics`` or Kafka), then the ledger of the batch. The
+    micro-batch is persisted while both steps read it."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        jobs.process_log_batch(batch.sparkSession, batch, out_dir, batch_id)
+        jobs.process_log_batch(batch.sparkSession, batch, out_dir, batch_id, persist=True,
+                               sink_format=sink_format, sink_options=sink_options)
     return _start(envelopes, run, checkpoint, trigger, name)
 
 
 def start_change_split(envelopes: DataFrame, out_dir: str, checkpoint: str,
                        routing_loader: Callable[[SparkSession], DataFrame] | None = None,
                        trigger: dict | None = None, on_delete: str = "keep",
-                       name: str | None = None) -> StreamingQuery:
+                       name: str | None = None, sink_format: str = "parquet",
+                       sink_options: dict | None = None) -> StreamingQuery:
     """Change split; ``routing_loader`` is called for every batch, so the
     fact / dimension lists can change while the query runs."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         routing = routing_loader(spark) if routing_loader else None
         jobs.process_change_batch(spark, batch, out_dir, batch_id, routing=routing,
-                                  on_delete=on_delete)
+                                  on_delete=on_delete, sink_format=sink_format,
+                                  sink_options=sink_options)
     return _start(envelopes, run, checkpoint, trigger, name)
 
 
