@@ -35,13 +35,25 @@ def ledger_save(ledger: DataFrame | None, ranges: DataFrame, group_id: str,
     partitions alone. ``batch_id`` is a literal or the name of a column of
     ``ranges``; of several saves of one partition the latest batch wins.
     """
-    b = F.col(batch_id) if isinstance(batch_id, str) else F.lit(batch_id)
-    new = ranges.select(F.lit(group_id).alias("group_id"), "topic",
-                        F.col("partition").cast("int").alias("partition"),
-                        F.col("until_offset").cast("bigint").alias("until_offset"),
-                        b.cast("bigint").alias("batch_id"))
+    new = save_rows(ranges, group_id, batch_id)
     rows = new if ledger is None else ledger.select(*new.columns).unionByName(new)
-    return (rows.groupBy("group_id", "topic", "partition")
+    return latest(rows)
+
+
+def save_rows(ranges: DataFrame, group_id: str, batch_id) -> DataFrame:
+    """The rows one save appends to the ledger log."""
+    b = F.col(batch_id) if isinstance(batch_id, str) else F.lit(batch_id)
+    return ranges.select(F.lit(group_id).alias("group_id"), "topic",
+                         F.col("partition").cast("int").alias("partition"),
+                         F.col("until_offset").cast("bigint").alias("until_offset"),
+                         b.cast("bigint").alias("batch_id"))
+
+
+def latest(saves: DataFrame) -> DataFrame:
+    """Current ledger from a log of saves ``(group_id, topic, partition,
+    until_offset, batch_id)``: per partition, the position of its latest
+    save (a replayed batch repeats its rows, which changes nothing)."""
+    return (saves.groupBy("group_id", "topic", "partition")
             .agg(F.max_by("until_offset", "batch_id").alias("until_offset"),
                  F.max("batch_id").alias("batch_id")))
 

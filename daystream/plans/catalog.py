@@ -263,6 +263,53 @@ def q_read_from_offsets(spark, sf):
     return rest.select("partition", "offset")
 
 
+def _daily_files(df: DataFrame, ts_col: str, path: str) -> str:
+    """Writes ``df`` as one folder per calendar day of ``ts_col`` (arrival
+    order for the streaming queries)."""
+    (df.withColumn("arrival_day", F.date_format(F.col(ts_col), "yyyyMMdd"))
+     .repartition("arrival_day").write.partitionBy("arrival_day").parquet(path))
+    return path
+
+
+def q_stream_route_counts(spark, sf):
+    """The log split as a stream: daily envelope files, several micro-batches
+    (``availableNow``), messages counted per topic from what was written."""
+    from daystream.streaming import jobs as sjobs
+    src = _daily_files(log_envelopes_from(spark, sf), "timestamp", scratch_path(spark, "s-log"))
+    out = scratch_path(spark, "s-log-out")
+    stream = (spark.readStream.schema(schemas.ENVELOPE).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", "10").parquet(src))
+    sjobs.start_log_split(stream, out, scratch_path(spark, "s-log-ck"),
+                          trigger={"availableNow": True}).awaitTermination()
+    written = spark.read.parquet(f"{out}/topics")
+    return written.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def q_stream_dau_info(spark, sf):
+    """The DAU job as a stream: dimensions from a change-split batch, page
+    messages in daily files, several micro-batches, result read back."""
+    from daystream.plans import jobs
+    from daystream.streaming import jobs as sjobs
+    dims_out = scratch_path(spark, "s-dims")
+    jobs.process_change_batch(spark, change_envelopes_from(
+        spark, sf, tables=("user_info", "base_province")), dims_out, 0)
+    pages = _pages(spark, sf)
+    msgs = pages.select(
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(F.struct(*schemas.PAGE_LOG.names)).alias("value"),
+        F.lit(PAGE_TOPIC).alias("topic"),
+        F.col("src_partition").alias("partition"), F.col("src_offset").alias("offset"),
+        F.timestamp_millis("ts").alias("timestamp"))
+    src = _daily_files(msgs, "timestamp", scratch_path(spark, "s-pages"))
+    sink = scratch_path(spark, "s-dau")
+    stream = sjobs.page_records(
+        spark.readStream.schema(schemas.ENVELOPE).option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", "10").parquet(src))
+    sjobs.start_dau(stream, f"{dims_out}/dims", sink, scratch_path(spark, "s-dau-ck"),
+                    trigger={"availableNow": True}, as_of=AS_OF, tz=TZ).awaitTermination()
+    return read_table(spark, sink, schemas.DAU_INFO)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_envelope": q_parse_envelope,
     "parse_page_log": q_parse_page_log,
@@ -294,4 +341,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offset_ledger_save": q_offset_ledger_save,
     "offset_ledger_read": q_offset_ledger_read,
     "read_from_offsets": q_read_from_offsets,
+    "stream_route_counts": q_stream_route_counts,
+    "stream_dau_info": q_stream_dau_info,
 }

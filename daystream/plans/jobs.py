@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from daystream import schemas
 from daystream.operators import cdc, dau, ledger, log_split
 from daystream.operators.parse import parse_log
-from daystream.session import scratch_path
 from daystream.sinks.topics import write_messages
 from daystream.sinks.upsert import (append_partitions, read_table, stage, table_exists,
                                     touched_partitions, upsert_partitions)
@@ -46,30 +45,19 @@ def dim_part(table="table", key="id", buckets: int = DIM_BUCKETS):
 
 def save_ledger(spark: SparkSession, path: str, env: DataFrame, group_id: str,
                 batch_id: int) -> None:
-    """Ledger upsert after a batch is processed: end offsets of every
+    """Ledger save after a batch is processed: the end offsets of every
     partition the batch read (only the position columns of ``env`` are
-    read: ``topic, partition, offset``)."""
+    read: ``topic, partition, offset``) are appended to the ledger log at
+    ``path``; :func:`read_ledger` gives the current positions. Appending
+    one tiny file per batch keeps the per-batch cost flat."""
     ranges = ledger.offset_ranges(env.select("topic", "partition", "offset"))
-    stored = (spark.read.schema(schemas.LEDGER).parquet(path)
-              if table_exists(spark, path) else None)
-    new = ledger.ledger_save(stored, ranges, group_id, batch_id)
-    _replace_table(spark, new, path)
-
-
-def _replace_table(spark: SparkSession, df: DataFrame, path: str,
-                   partition_col: str | None = None) -> None:
-    """Overwrite a table with a result that may read it: the result is first
-    written to a staging copy under the checkpoint root."""
-    staging = scratch_path(spark, "replace-staging")
-    w = df.write.mode("overwrite")
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.parquet(staging)
-    out = spark.read.schema(df.schema).parquet(staging).select(*df.columns).write.mode(
-        "overwrite")
-    if partition_col:
-        out = out.partitionBy(partition_col)
-    out.parquet(path)
+    ledger.save_rows(ranges, group_id, batch_id).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """Current positions ``(group_id, topic, partition, until_offset,
+    batch_id)`` from the ledger log."""
+    return ledger.latest(spark.read.schema(schemas.LEDGER).parquet(path))
 
 
 def process_log_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int,
@@ -196,4 +184,4 @@ def dau_job(spark: SparkSession, sf_dir: str, dau_path: str, dims_path: str | No
 
 __all__ = ["CHANGE_TOPIC", "LOG_TOPIC", "cdc_split_job", "dau_job", "log_split_job",
            "process_change_batch", "process_log_batch", "process_page_batch", "read_dims",
-           "save_ledger"]
+           "read_ledger", "save_ledger"]

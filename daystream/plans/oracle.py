@@ -296,3 +296,7 @@ SELECT r.src_partition AS partition, r.src_offset AS "offset"
 FROM rec r LEFT JOIN saved s ON r.src_partition = s.src_partition
 WHERE r.src_offset >= coalesce(s.until_offset, 0)""",
 }
+
+# The streaming forms must give the batch answers.
+ORACLE_SQL["stream_route_counts"] = ORACLE_SQL["route_all_topics"]
+ORACLE_SQL["stream_dau_info"] = ORACLE_SQL["dau_info"]

@@ -97,5 +97,5 @@ def test_dimension_table_across_batches(spark):
     assert ("user_info", "5") not in got and len(got) == 50
     only_users = jobs.read_dims(spark, f"{out}/dims", tables=("user_info",))
     assert only_users.where("table <> 'user_info'").count() == 0
-    ledger = spark.read.parquet(f"{out}/ledger").collect()
+    ledger = jobs.read_ledger(spark, f"{out}/ledger").collect()
     assert [(r.group_id, r.batch_id) for r in ledger] == [("ODS_BASE_DB_GROUP", 2)]

@@ -55,7 +55,7 @@ def test_log_split_stream_equals_batch(spark):
                                trigger=AVAILABLE_NOW)
     q2.awaitTermination(300)
     assert spark.read.parquet(os.path.join(out, "topics")).count() == sum(want.values())
-    led = spark.read.schema(schemas.LEDGER).parquet(os.path.join(out, "ledger"))
+    led = jobs.read_ledger(spark, os.path.join(out, "ledger"))
     ends = {r.partition: r.until_offset for r in led.collect()}
     full = {r.partition: r.m for r in env.groupBy("partition")
             .agg((F.max("offset") + 1).alias("m")).collect()}
