@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 100_000
 
 
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """``df`` has at most ``max_rows`` rows (stops reading past the bound)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast-hint ``df`` only if it has at most ``max_rows`` rows.
 
@@ -18,5 +23,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     unchanged and the planner (AQE) picks sort-merge / shuffled-hash, so a
     large side can never be shipped to every executor by this hint.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df

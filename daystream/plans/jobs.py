@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from daystream import schemas
 from daystream.operators import cdc, dau, ledger, log_split
+from daystream.operators.joins import has_at_most
 from daystream.operators.parse import parse_log
 from daystream.sinks.topics import write_messages
 from daystream.sinks.upsert import (append_partitions, read_table, stage, table_exists,
@@ -28,13 +29,19 @@ LOG_GROUP = "g1"
 CHANGE_GROUP = "ODS_BASE_DB_GROUP"
 DAU_GROUP = "dwd_dau"
 
+#: Most distinct users of one DAU batch for which the user dimension is
+#: pre-filtered by broadcast ids.
+MAX_LOOKUP_KEYS = 500_000
+
 DIM_SCHEMA = "table string, id string, data string, op string, src_partition int, " \
              "src_offset bigint, src_ts timestamp, deleted boolean, dim_part string"
 DIM_COLS = ["table", "id", "data", "op", "src_partition", "src_offset", "src_ts", "deleted",
             "dim_part"]
 #: Hash buckets per dimension table: a micro-batch rewrites only the
-#: buckets its changed keys fall in, not the whole dimension.
-DIM_BUCKETS = 256
+#: buckets its changed keys fall in, not the whole dimension. Fixed for the
+#: life of a table (the bucket is part of the stored partition); 64 keeps
+#: files well sized from thousands to ~10^8 keys per table.
+DIM_BUCKETS = 64
 
 
 def dim_part(table="table", key="id", buckets: int = DIM_BUCKETS):
@@ -163,9 +170,17 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, d
         upsert_partitions(spark, out, dau_path, ["dt", "mid"])
         return
     first = stage(spark, first, "dau-first-seen")
+    # user ids of the staged rows (a superset of those left after the anti
+    # join, and cheap to read)
+    ids = first.select("user_id").distinct()
     stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
     first = dau.new_only(first, touched_partitions(stored, first, "dt"))
-    out = dau.dau_info(first, cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of, tz=tz)
+    users = cdc.user_dim(dims)
+    if has_at_most(ids, MAX_LOOKUP_KEYS):
+        # a micro-batch needs few users: filter the user dimension map-side
+        # with the broadcast ids instead of shuffling all of it for the join
+        users = users.join(F.broadcast(ids), "user_id", "left_semi")
+    out = dau.dau_info(first, users, cdc.province_dim(dims), as_of=as_of, tz=tz)
     append_partitions(out, dau_path)
 
 
