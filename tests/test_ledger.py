@@ -26,3 +26,15 @@ def test_ranges_save_read_resume(spark):
     # no saved position: read from the beginning
     fresh = ledger.read_from_offsets(more, l2, "nobody", "ODS_BASE_LOG")
     assert fresh.count() == 20
+
+
+def test_kafka_starting_offsets_from_ledger(spark):
+    import json
+
+    from daystream.sources.kafka import offsets_option
+    saves = spark.createDataFrame(
+        [("g", "T", 0, 5, 1), ("g", "T", 1, 7, 1), ("g", "T", 0, 9, 2), ("h", "T", 0, 1, 1)],
+        "group_id string, topic string, partition int, until_offset long, batch_id long")
+    current = ledger.latest(saves)
+    assert json.loads(offsets_option(current, "g", "T")) == {"T": {"0": 9, "1": 7}}
+    assert offsets_option(current, "nobody", "T") is None
