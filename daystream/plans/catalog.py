@@ -263,50 +263,68 @@ def q_read_from_offsets(spark, sf):
     return rest.select("partition", "offset")
 
 
-def _daily_files(df: DataFrame, ts_col: str, path: str) -> str:
-    """Writes ``df`` as one folder per calendar day of ``ts_col`` (arrival
-    order for the streaming queries)."""
-    (df.withColumn("arrival_day", F.date_format(F.col(ts_col), "yyyyMMdd"))
-     .repartition("arrival_day").write.partitionBy("arrival_day").parquet(path))
-    return path
+#: Days per arrival slice of the streaming queries.
+_SLICE_DAYS = 10
+
+
+def _arrive_in_slices(spark, df: DataFrame, src: str, run_stream) -> None:
+    """Lets ``df`` (envelopes with a ``timestamp``) arrive in time order:
+    each slice of ``_SLICE_DAYS`` calendar days is written as new files
+    (range-partitioned on the time, so no day or key lands in one task)
+    and the stream then catches up (``availableNow``) before the next
+    slice arrives, as a live stream would. ``df`` is staged once first."""
+    staged = stage(spark, df.withColumn(
+        "_slice", F.floor(F.unix_date(F.to_date("timestamp")) / _SLICE_DAYS)), "arrivals")
+    slices = sorted(r[0] for r in staged.select("_slice").distinct().limit(10_001).collect())
+    if len(slices) > 10_000:
+        raise ValueError("more than 10000 arrival slices; use a longer slice")
+    for k in slices:
+        (staged.where(F.col("_slice") == k).drop("_slice")
+         .repartitionByRange("timestamp").write.parquet(f"{src}/slice={k}"))
+        run_stream()
 
 
 def q_stream_route_counts(spark, sf):
-    """The log split as a stream: daily envelope files, several micro-batches
-    (``availableNow``), messages counted per topic from what was written."""
+    """The log split as a stream: envelopes arrive in time slices, each
+    processed by a restart of the query from its checkpoint; the messages
+    it wrote are counted per topic."""
     from daystream.streaming import jobs as sjobs
-    src = _daily_files(log_envelopes_from(spark, sf), "timestamp", scratch_path(spark, "s-log"))
-    out = scratch_path(spark, "s-log-out")
-    stream = (spark.readStream.schema(schemas.ENVELOPE).option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", "10").parquet(src))
-    sjobs.start_log_split(stream, out, scratch_path(spark, "s-log-ck"),
-                          trigger={"availableNow": True}).awaitTermination()
+    src, out, ck = (scratch_path(spark, n) for n in ("s-log", "s-log-out", "s-log-ck"))
+
+    def run():
+        stream = (spark.readStream.schema(schemas.ENVELOPE)
+                  .option("recursiveFileLookup", "true").parquet(src))
+        sjobs.start_log_split(stream, out, ck,
+                              trigger={"availableNow": True}).awaitTermination()
+
+    _arrive_in_slices(spark, log_envelopes_from(spark, sf), src, run)
     written = spark.read.parquet(f"{out}/topics")
     return written.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def q_stream_dau_info(spark, sf):
     """The DAU job as a stream: dimensions from a change-split batch, page
-    messages in daily files, several micro-batches, result read back."""
+    messages arriving in time slices, the result table read back."""
     from daystream.plans import jobs
     from daystream.streaming import jobs as sjobs
     dims_out = scratch_path(spark, "s-dims")
     jobs.process_change_batch(spark, change_envelopes_from(
         spark, sf, tables=("user_info", "base_province")), dims_out, 0)
-    pages = _pages(spark, sf)
-    msgs = pages.select(
+    msgs = _pages(spark, sf).select(
         F.lit(None).cast("string").alias("key"),
         F.to_json(F.struct(*schemas.PAGE_LOG.names)).alias("value"),
         F.lit(PAGE_TOPIC).alias("topic"),
         F.col("src_partition").alias("partition"), F.col("src_offset").alias("offset"),
         F.timestamp_millis("ts").alias("timestamp"))
-    src = _daily_files(msgs, "timestamp", scratch_path(spark, "s-pages"))
-    sink = scratch_path(spark, "s-dau")
-    stream = sjobs.page_records(
-        spark.readStream.schema(schemas.ENVELOPE).option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", "10").parquet(src))
-    sjobs.start_dau(stream, f"{dims_out}/dims", sink, scratch_path(spark, "s-dau-ck"),
-                    trigger={"availableNow": True}, as_of=AS_OF, tz=TZ).awaitTermination()
+    src, sink, ck = (scratch_path(spark, n) for n in ("s-pages", "s-dau", "s-dau-ck"))
+
+    def run():
+        stream = sjobs.page_records(spark.readStream.schema(schemas.ENVELOPE)
+                                    .option("recursiveFileLookup", "true").parquet(src))
+        sjobs.start_dau(stream, f"{dims_out}/dims", sink, ck, trigger={"availableNow": True},
+                        as_of=AS_OF, tz=TZ).awaitTermination()
+
+    _arrive_in_slices(spark, msgs, src, run)
     return read_table(spark, sink, schemas.DAU_INFO)
 
 
