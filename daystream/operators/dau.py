@@ -91,36 +91,42 @@ def new_only(candidates: DataFrame, seen: DataFrame) -> DataFrame:
     return candidates.join(seen.select("dt", "mid"), ["dt", "mid"], "left_anti")
 
 
-def funnel_counts(pages: DataFrame, first: DataFrame | None = None,
-                  users: DataFrame | None = None,
-                  provinces: DataFrame | None = None) -> DataFrame:
+def funnel_counts(pages: DataFrame, users: DataFrame | None = None,
+                  provinces: DataFrame | None = None, tz: str | None = None) -> DataFrame:
     """Row counts along the DAU funnel as ``(stage, rows)``: all pages,
     session-first pages, first-seen devices, and how many of those found a
-    user / a province. Long format, so the stages are unioned, not joined."""
-    totals = pages.agg(F.count(F.lit(1)).alias("pages"),
-                       F.count_if(F.col("last_page_id").isNull()).alias("session_first"))
-    first = first if first is not None else first_seen(session_first_pages(pages))
-    f = first.select("user_id", "province_id")
+    user / a province.
+
+    One pass over the pages: a grouped aggregation per ``(dt, mid)``
+    counts pages and session-first pages and keeps the first-seen page's
+    keys (``min_by`` skips rows whose ordering is NULL, i.e. pages that do
+    not open a session); the dimension matches are then counted on that
+    result. Long format: one row per stage.
+    """
+    first_order = F.when(F.col("last_page_id").isNull(),
+                         F.struct("ts", *schemas.POSITION_COLS))
+    per_key = (with_dt(pages, tz).groupBy("dt", "mid").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("last_page_id").isNull()).alias("n_sf"),
+        F.min_by(F.struct("user_id", "province_id"), first_order).alias("f"))
+        .select("n", "n_sf", "f.user_id", "f.province_id"))
     if users is not None:
-        f = f.join(users.select("user_id", F.lit(1).alias("_u")), "user_id", "left")
+        per_key = per_key.join(users.select("user_id", F.lit(1).alias("_u")), "user_id", "left")
     else:
-        f = f.withColumn("_u", F.lit(None).cast("int"))
+        per_key = per_key.withColumn("_u", F.lit(None).cast("int"))
     if provinces is not None:
-        f = f.join(provinces.select("province_id", F.lit(1).alias("_p")), "province_id",
-                   "left")
+        per_key = per_key.join(provinces.select("province_id", F.lit(1).alias("_p")),
+                               "province_id", "left")
     else:
-        f = f.withColumn("_p", F.lit(None).cast("int"))
-    firsts = f.agg(F.count(F.lit(1)).alias("first_seen"),
-                   F.count("_u").alias("user_matched"),
-                   F.count("_p").alias("province_matched"))
-
-    def long(df, names):
-        return df.select(F.explode(F.array(*[
-            F.struct(F.lit(n).alias("stage"), F.col(n).cast("bigint").alias("rows"))
-            for n in names])).alias("s")).select("s.*")
-
-    return long(totals, ["pages", "session_first"]).unionByName(
-        long(firsts, ["first_seen", "user_matched", "province_matched"]))
+        per_key = per_key.withColumn("_p", F.lit(None).cast("int"))
+    totals = per_key.agg(
+        F.sum("n").alias("pages"), F.sum("n_sf").alias("session_first"),
+        F.count_if(F.col("n_sf") > 0).alias("first_seen"),
+        F.count("_u").alias("user_matched"), F.count("_p").alias("province_matched"))
+    names = ["pages", "session_first", "first_seen", "user_matched", "province_matched"]
+    return totals.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("stage"), F.coalesce(F.col(n), F.lit(0)).cast("bigint")
+                 .alias("rows")) for n in names])).alias("s")).select("s.*")
 
 
 def rows_per_task(df: DataFrame) -> DataFrame:

@@ -214,13 +214,17 @@ def q_dau_seen_mids(spark, sf):
 
 def q_dau_new_only(spark, sf):
     """Restore scenario: the sink holds the days up to SPLIT_DT; the stream
-    is re-read from RESUME_DT; only devices not yet counted come out."""
-    path = _dau_sink(spark, sf, SPLIT_DT)
-    first = _first_seen(spark, sf).where(F.col("dt") >= RESUME_DT)
+    is re-read from RESUME_DT; only devices not yet counted come out. The
+    first-seen pages are computed once and staged for both phases."""
+    first = stage(spark, _first_seen(spark, sf), "first-seen")
+    path = scratch_path(spark, "dau")
+    upsert_partitions(spark, _dau(spark, sf, first=first.where(F.col("dt") <= SPLIT_DT)),
+                      path, ["dt", "mid"])
+    candidates = first.where(F.col("dt") >= RESUME_DT)
     # the same day predicate prunes the stored partitions statically
     seen = (read_table(spark, path, schemas.DAU_INFO).where(F.col("dt") >= RESUME_DT)
             .select("dt", "mid"))
-    return _dau(spark, sf, first=dau.new_only(first, seen))
+    return _dau(spark, sf, first=dau.new_only(candidates, seen))
 
 
 def q_dau_upsert(spark, sf):
@@ -238,7 +242,7 @@ def q_dau_upsert(spark, sf):
 def q_dau_funnel_counts(spark, sf):
     latest = _latest_dims(spark, sf)
     return dau.funnel_counts(_pages(spark, sf), users=cdc.user_dim(latest),
-                             provinces=cdc.province_dim(latest))
+                             provinces=cdc.province_dim(latest), tz=TZ)
 
 
 def q_project_by_name(spark, sf):
