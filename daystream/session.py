@@ -9,12 +9,36 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` on ``cores`` task slots.
+
+    Shuffles start with about one partition per 256 MB of input (at least
+    two per core, at most 200,000) and AQE coalesces them towards 128 MB at
+    run time, so no reducer holds more than a few hundred MB even when the
+    input is 100 TB (~400,000 partitions capped to 200,000, i.e. ~500 MB
+    each before coalescing, spill-safe with the sort-based aggregates used
+    here). Scans split files at 256 MB. Skewed shuffle partitions (five
+    times the median and over 512 MB) are split by AQE.
+    """
+    per_partition = 256 << 20
+    shuffle = max(2 * cores, min(200_000, -(-input_bytes // per_partition)))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(per_partition),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    }
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "daystream", checkpoint_dir: str | None = None) -> SparkSession:
+              app_name: str = "daystream", checkpoint_dir: str | None = None,
+              input_bytes: int | None = None, cores: int | None = None) -> SparkSession:
     """Session with the settings every job here relies on.
 
     On a cluster, ``master`` stays ``None`` so the launcher decides; the
-    shuffle partition count then comes from the cluster config as well and
+    shuffle partition count then comes from the cluster config, or from
+    :func:`scale_settings` when ``input_bytes`` and ``cores`` are given, and
     AQE coalesces it at run time.
     """
     b = SparkSession.builder.appName(app_name)
@@ -27,6 +51,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
+    if input_bytes and cores:
+        for k, v in scale_settings(input_bytes, cores).items():
+            b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if checkpoint_dir:
