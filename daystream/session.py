@@ -50,7 +50,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
+         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+         # streaming dedup state (devices per day) lives off-heap in RocksDB,
+         # so millions of keys per executor do not pressure the JVM heap
+         .config("spark.sql.streaming.stateStore.providerClass",
+                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"))
     if input_bytes and cores:
         for k, v in scale_settings(input_bytes, cores).items():
             b = b.config(k, v)
