@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daystream import schemas
-from daystream.functions.dates import dt_of, hr_of
+from daystream.functions.dates import age_years, dt_of, hr_of
 from daystream.functions.routing import PAGE_TOPIC
 from daystream.operators import cdc, dau, ledger, log_split
 from daystream.operators.parse import (dead_letter, envelope_summary, parse_log,
@@ -176,7 +176,6 @@ def q_date_parts(spark, sf):
 
 def q_user_age(spark, sf):
     users = cdc.user_dim(_latest_dims(spark, sf))
-    from daystream.functions.dates import age_years
     return users.select("user_id", "user_gender", "birthday",
                         age_years("birthday", AS_OF).alias("user_age"))
 
@@ -198,12 +197,10 @@ def q_dau_info(spark, sf):
     return _dau(spark, sf)
 
 
-def _dau_sink(spark, sf, last_dt: str | None = None) -> str:
+def _dau_sink(spark, sf) -> str:
+    """Upserts the DAU records into a fresh table; returns its path."""
     path = scratch_path(spark, "dau")
-    d = _dau(spark, sf)
-    if last_dt:
-        d = d.where(F.col("dt") <= last_dt)
-    upsert_partitions(spark, d, path, ["dt", "mid"])
+    upsert_partitions(spark, _dau(spark, sf), path, ["dt", "mid"])
     return path
 
 
