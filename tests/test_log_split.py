@@ -84,3 +84,20 @@ def test_route_messages_one_pass(spark):
     # NULL fields are left out of the JSON
     assert sum("last_page_id" in v for v in page_vals) == 1
     assert all(v["during_time"] == 10435 and v["ts"] == 1000 for v in page_vals)
+
+
+def test_replayed_batch_replaces_its_output(spark):
+    from daystream.plans import jobs
+    from daystream.session import scratch_path
+    out = scratch_path(spark, "replay")
+    env = envelopes(spark, [rec(page=PAGE, start=START), rec(err={"a": 1})])
+    jobs.process_log_batch(spark, env, out, 7)
+    jobs.process_log_batch(spark, env, out, 7)          # replay of batch 7
+    jobs.process_log_batch(spark, env, out, 8, persist=True)
+    msgs = spark.read.parquet(f"{out}/topics")
+    got = {(r.batch_id, r.topic): r["count"] for r in msgs.groupBy("batch_id", "topic")
+           .count().collect()}
+    assert got == {(7, R.PAGE_TOPIC): 1, (7, R.START_TOPIC): 1, (7, R.ERROR_TOPIC): 1,
+                   (8, R.PAGE_TOPIC): 1, (8, R.START_TOPIC): 1, (8, R.ERROR_TOPIC): 1}
+    ledger = jobs.read_ledger(spark, f"{out}/ledger").collect()
+    assert [(r.partition, r.until_offset, r.batch_id) for r in ledger] == [(0, 2, 8)]
