@@ -41,7 +41,8 @@ _PAGE_COLS = ("mid, user_id, province_id, channel, is_new, model, operate_system
               "during_time, sourceType")
 
 # Dimension answers: the second version wins unless its type is dropped
-# (key % 6 in 4, 5); user keys with c_custkey % 7 = 0 have no row.
+# (key % 6 in 4, 5); user keys with c_custkey % 7 = 0 have only dropped
+# changes, hence no dimension row.
 _DIMS = """
 udim AS (
   SELECT CAST(c_custkey AS VARCHAR) AS user_id,
@@ -94,8 +95,10 @@ chg AS (
   UNION ALL SELECT 'order_detail', l_orderkey * 8 + l_linenumber, 2,
                    (l_orderkey * 8 + l_linenumber) % 6 FROM lineitem
   UNION ALL SELECT 'sku_info', p_partkey, 4, p_partkey % 6 FROM part
-  UNION ALL SELECT 'user_info', c_custkey, 6, 0 FROM customer WHERE c_custkey % 7 <> 0
-  UNION ALL SELECT 'user_info', c_custkey, 7, c_custkey % 6 FROM customer WHERE c_custkey % 7 <> 0
+  UNION ALL SELECT 'user_info', c_custkey, 6,
+                   CASE WHEN c_custkey % 7 = 0 THEN 4 ELSE 0 END FROM customer
+  UNION ALL SELECT 'user_info', c_custkey, 7,
+                   CASE WHEN c_custkey % 7 = 0 THEN 4 ELSE c_custkey % 6 END FROM customer
   UNION ALL SELECT 'base_province', n_nationkey, 8, 0 FROM nation
   UNION ALL SELECT 'base_province', n_nationkey, 9, n_nationkey % 6 FROM nation
 ), ops AS (

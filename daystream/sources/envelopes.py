@@ -17,7 +17,8 @@ Rules (``i`` = ``event_id``; see FIXTURES.md, part C):
   malformed text when ``i % 211 = 0``; position ``(i % 4, i // 4)``.
 * change records: one change per fact row (type chosen by ``key % 6``),
   two versions per dimension key (the second one wins unless its type is
-  dropped); position ``(key % 4, (key // 4) * 16 + slot)``.
+  dropped; user keys with ``c_custkey % 7 = 0`` only get dropped types, so
+  their lookups miss); position ``(key % 4, (key // 4) * 16 + slot)``.
 """
 
 from __future__ import annotations
@@ -124,8 +125,7 @@ def change_envelopes(orders: DataFrame | None, lineitem: DataFrame | None,
     """Change-event messages for five source tables.
 
     ``order_info`` (orders) and ``order_detail`` (lineitem) are fact tables,
-    ``user_info`` (customer, keys with ``c_custkey % 7 = 0`` left out so a
-    user lookup can miss) and ``base_province`` (nation) are dimensions,
+    ``user_info`` (customer) and ``base_province`` (nation) are dimensions,
     ``sku_info`` (part) is listed nowhere. ``tables`` limits the output to
     the changes of some source tables (the positions of the others are
     simply not produced), e.g. a job that only maintains dimensions.
@@ -136,7 +136,11 @@ def change_envelopes(orders: DataFrame | None, lineitem: DataFrame | None,
     def by_key(sql_key):
         return types.replace("k6", f"({sql_key}) % 6")
 
-    users = customer.where(F.col("c_custkey") % 7 != 0) if customer is not None else None
+    # Every customer gets its two user_info changes; for keys with
+    # c_custkey % 7 = 0 both carry a type the splitter drops, so those users
+    # have no dimension row and their lookups miss.
+    def user_type(sql_type):
+        return f"case when c_custkey % 7 = 0 then 'bootstrap-start' else {sql_type} end"
     u1, u2 = _SLOTS["user_info"]
     n1, n2 = _SLOTS["base_province"]
     builders = {
@@ -157,10 +161,12 @@ def change_envelopes(orders: DataFrame | None, lineitem: DataFrame | None,
             _e("""named_struct('id', p_partkey, 'sku_name', p_name,
                  'tm_name', p_brand, 'price', p_retailprice)"""))],
         "user_info": lambda: [
-            _change_rows(users, "user_info", F.col("c_custkey"), u1, "'bootstrap-insert'",
+            _change_rows(customer, "user_info", F.col("c_custkey"), u1,
+                         user_type("'bootstrap-insert'"),
                          _e("""named_struct('id', c_custkey, 'login_name', c_name,
                               'gender', 'U', 'birthday', '1990-01-01')""")),
-            _change_rows(users, "user_info", F.col("c_custkey"), u2, by_key("c_custkey"),
+            _change_rows(customer, "user_info", F.col("c_custkey"), u2,
+                         user_type(by_key("c_custkey")),
                          _e("""named_struct('id', c_custkey, 'login_name', c_name,
                               'gender', case when c_custkey % 2 = 0 then 'M' else 'F' end,
                               'birthday', date_format(date_add(date'1950-01-01',
