@@ -146,5 +146,5 @@ def dropped_late_rows(query: StreamingQuery) -> int:
     return n
 
 
-__all__ = ["dropped_late_rows", "run_until_stopped", "envelope_stream", "kafka_stream", "page_records", "start_change_split",
-           "start_dau", "start_log_split"]
+__all__ = ["dropped_late_rows", "envelope_stream", "kafka_stream", "page_records",
+           "run_until_stopped", "start_change_split", "start_dau", "start_log_split"]

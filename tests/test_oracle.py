@@ -40,3 +40,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["mid", "user_id"] and len(df.columns) == 23
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["date_parts", "dau_info", "offset_ranges", "read_from_offsets"])
+def test_results_do_not_depend_on_session_zone(spark, duck, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = entry.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    want = duck.execute(entry.oracle_sql()[name]).df()
+    assert rows_of(got) == rows_of(want)
