@@ -99,7 +99,10 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
     (``watermark`` behind the newest day) evicts whole past days. Rows older
     than the watermark are dropped by the engine and counted in the query
     progress (``numRowsDroppedByWatermark``); a batch back-fill
-    (``daystream.plans.jobs.dau_job``) takes any age.
+    (``daystream.plans.jobs.dau_job``) takes any age. Within one
+    micro-batch the state store keeps the first duplicate it meets, so
+    the same ``(dt, mid)`` keys come out as in sink mode but the kept page
+    can differ; sink mode keeps the earliest by ``(ts, position)``.
 
     Dimensions are re-read from ``dims_path`` in every batch, so changes
     apply to later pages (processing-time lookup). Funnel counts per batch
