@@ -56,3 +56,64 @@ def test_upsert_twice_is_once(spark, keys):
     upsert_partitions(spark, df, path, ["dt", "mid"])
     twice = sorted(map(tuple, read_table(spark, path, df.schema).collect()))
     assert once == twice == sorted(map(tuple, df.collect()))
+
+
+# ---------------------------------------------------------------- log routing
+
+from conftest import envelopes  # noqa: E402
+
+from daystream.functions import routing as R  # noqa: E402
+from daystream.operators import log_split  # noqa: E402
+from daystream.operators.parse import parse_log  # noqa: E402
+
+_COMMON = {"ar": "1", "ba": "b", "ch": "c", "is_new": "0", "md": "m", "mid": "mid_1",
+           "os": "o", "uid": "7", "vc": "v"}
+
+record_st = st.fixed_dictionaries({}, optional={
+    "common": st.sampled_from([_COMMON, {"uid": "7"}]),
+    "ts": st.sampled_from([1000, "1000", "x"]),
+    "page": st.sampled_from([{"page_id": "p", "during_time": 5}, {"page_id": "p"}]),
+    "displays": st.lists(st.one_of(st.none(), st.just({"item": 1, "order": 1})), max_size=3),
+    "actions": st.lists(st.just({"action_id": "a", "ts": 1001}), max_size=3),
+    "start": st.just({"entry": "icon", "loading_time": 3}),
+    "err": st.just({"code": 1}),
+})
+
+
+def _model(rec):
+    """Expected messages per topic of one record (the routing rules)."""
+    out = {}
+
+    def add(topic, n=1):
+        if n:
+            out[topic] = out.get(topic, 0) + n
+    if "err" in rec:
+        add(R.ERROR_TOPIC)
+        return out
+    ok_ts = rec.get("ts") in (1000, "1000")
+    common = rec.get("common")
+    page = rec.get("page")
+    if (common is None or "mid" not in common or not ok_ts
+            or (page is not None and "during_time" not in page)):
+        add(R.DEAD_LETTER_TOPIC)
+        return out
+    if page is not None:
+        add(R.PAGE_TOPIC)
+        add(R.DISPLAY_TOPIC, sum(d is not None for d in rec.get("displays", [])))
+        add(R.ACTION_TOPIC, len(rec.get("actions", [])))
+    if "start" in rec:
+        add(R.START_TOPIC)
+    return out
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(records=st.lists(record_st, min_size=1, max_size=25))
+def test_log_routing_matches_model(spark, records):
+    import json
+    want = {}
+    for rec in records:
+        for k, v in _model(rec).items():
+            want[k] = want.get(k, 0) + v
+    msgs = log_split.route_messages(parse_log(envelopes(spark, [json.dumps(r) for r in records])))
+    got = {r.topic: r.messages for r in log_split.topic_counts(msgs).collect()}
+    assert got == want
