@@ -117,3 +117,44 @@ def test_log_routing_matches_model(spark, records):
     msgs = log_split.route_messages(parse_log(envelopes(spark, [json.dumps(r) for r in records])))
     got = {r.topic: r.messages for r in log_split.topic_counts(msgs).collect()}
     assert got == want
+
+
+# ---------------------------------------------------------------- change split
+
+from daystream.operators import cdc  # noqa: E402
+from daystream.sources.envelopes import ROUTING, routing_table  # noqa: E402
+
+change_st = st.tuples(
+    st.sampled_from(["bootstrap-insert", "insert", "update", "delete", "bootstrap-start",
+                     "INSERT"]),
+    st.sampled_from(["order_info", "user_info", "base_province", "sku_info"]),
+    st.integers(0, 4))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(changes=st.lists(change_st, min_size=1, max_size=30))
+def test_change_split_matches_model(spark, changes):
+    import json
+    ops = {"bootstrap-insert": "I", "insert": "I", "update": "U", "delete": "D"}
+    facts = {t for t, k in ROUTING if k == "fact"}
+    dims = {t for t, k in ROUTING if k == "dim"}
+    want_topics, want_dims = {}, {}
+    for n, (typ, table, key) in enumerate(changes):
+        op = ops.get(typ)
+        if op is None:
+            continue
+        if table in facts:
+            t = f"DWD_{table.upper()}_{op}_{R.TOPIC_SUFFIX}"
+            want_topics[t] = want_topics.get(t, 0) + 1
+        if table in dims:
+            want_dims[(table, str(key))] = n       # last write (arrival) wins
+    vals = [json.dumps({"type": t, "table": tb, "data": {"id": k, "n": n}})
+            for n, (t, tb, k) in enumerate(changes)]
+    parsed = cdc.with_op(cdc.parse_changes(envelopes(spark, vals, topic="ODS_BASE_DB")))
+    routing = routing_table(spark)
+    got_topics = {r.topic: r["count"] for r in cdc.fact_route(parsed, routing)
+                  .groupBy("topic").count().collect()}
+    got_dims = {(r.table, r.id): json.loads(r.data)["n"]
+                for r in cdc.dim_latest(cdc.dim_changes(parsed, routing)).collect()}
+    assert got_topics == want_topics
+    assert got_dims == want_dims
