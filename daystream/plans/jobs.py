@@ -67,6 +67,13 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return ledger.latest(spark.read.schema(schemas.LEDGER).parquet(path))
 
 
+def compact_ledger(spark: SparkSession, path: str) -> None:
+    """Replace the ledger log by its current positions (one row per
+    partition), staged first."""
+    current = stage(spark, read_ledger(spark, path), "ledger-compact")
+    current.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def process_log_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int,
                       group_id: str = LOG_GROUP, persist: bool = False,
                       sink_format: str = "parquet", sink_options: dict | None = None) -> None:
@@ -199,4 +206,4 @@ def dau_job(spark: SparkSession, sf_dir: str, dau_path: str, dims_path: str | No
 
 __all__ = ["CHANGE_TOPIC", "LOG_TOPIC", "cdc_split_job", "dau_job", "log_split_job",
            "process_change_batch", "process_log_batch", "process_page_batch", "read_dims",
-           "read_ledger", "save_ledger"]
+           "compact_ledger", "read_ledger", "save_ledger"]

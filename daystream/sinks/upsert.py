@@ -111,3 +111,15 @@ def append_partitions(incoming: DataFrame, path: str, partition_col: str = "dt")
     """Append rows whose keys are known to be new (e.g. after an anti join
     against the stored table): no stored partition is rewritten."""
     (incoming.write.mode("append").partitionBy(partition_col).parquet(path))
+
+
+def compact_partitions(spark: SparkSession, path: str, schema, partition_col: str,
+                       keys: list[str], values: list | None = None) -> None:
+    """Rewrite partitions of a table (``values``, default all) as few
+    range-clustered files with the same rows: appends from many
+    micro-batches leave many small files behind. The rows are staged first,
+    so the overwrite never reads the files it replaces."""
+    df = read_table(spark, path, schema)
+    if values is not None:
+        df = df.where(F.col(partition_col).isin(values))
+    write_clustered(stage(spark, df, "compact"), path, partition_col, keys)

@@ -124,3 +124,36 @@ def test_funnel_counts(spark):
     got = {r.stage: r.rows for r in dau.funnel_counts(p).collect()}
     assert got["pages"] == 3 and got["session_first"] == 2 and got["first_seen"] == 1
     assert F is not None
+
+
+def test_compaction_keeps_rows_and_cuts_files(spark):
+    import os
+
+    from daystream.sinks.upsert import append_partitions, compact_partitions
+    path = scratch_path(spark, "compact")
+    for k in range(4):
+        rows = [_row(f"2024-01-0{1 + (k % 2)}", f"m{k}{j}") for j in range(5)]
+        append_partitions(_dau_rows(spark, rows).repartition(3), path)
+
+    def files():
+        return sum(f.endswith(".parquet") for _, _, fs in os.walk(path) for f in fs)
+    before = sorted(map(tuple, read_table(spark, path, schemas.DAU_INFO).collect()))
+    n_before = files()
+    compact_partitions(spark, path, schemas.DAU_INFO, "dt", ["dt", "mid"])
+    after = sorted(map(tuple, read_table(spark, path, schemas.DAU_INFO).collect()))
+    assert after == before and len(after) == 20
+    assert files() < n_before
+
+
+def test_ledger_compaction(spark):
+    from conftest import envelopes
+
+    from daystream.plans import jobs
+    path = scratch_path(spark, "ledger-compact")
+    for b in range(3):
+        jobs.save_ledger(spark, path, envelopes(spark, ["x"] * 3, start_offset=10 * b), "g", b)
+    before = sorted(map(tuple, jobs.read_ledger(spark, path).collect()))
+    jobs.compact_ledger(spark, path)
+    assert sorted(map(tuple, jobs.read_ledger(spark, path).collect())) == before == \
+        [("g", "ODS_BASE_LOG", 0, 23, 2)]
+    assert spark.read.parquet(path).count() == 1
