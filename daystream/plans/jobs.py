@@ -155,6 +155,18 @@ def read_dims(spark: SparkSession, dims_path: str,
     return df.where(cond) if cond is not None else df
 
 
+def seen_devices(spark: SparkSession, dau_path: str, days: list[str] | None = None) -> DataFrame:
+    """Devices already counted, ``(dt, mid)``, for ``days`` (default: all;
+    read with a partition filter and only the ``mid`` column). A result
+    table that does not exist yet reads as empty."""
+    if not table_exists(spark, dau_path):
+        return spark.createDataFrame([], "dt string, mid string")
+    stored = read_table(spark, dau_path, schemas.DAU_INFO)
+    if days is not None:
+        stored = stored.where(F.col("dt").isin(days))
+    return dau.seen_mids(stored)
+
+
 def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, dau_path: str,
                        as_of=None, tz: str | None = None) -> None:
     """One batch of the DAU job.
@@ -206,4 +218,4 @@ def dau_job(spark: SparkSession, sf_dir: str, dau_path: str, dims_path: str | No
 
 __all__ = ["CHANGE_TOPIC", "LOG_TOPIC", "cdc_split_job", "dau_job", "log_split_job",
            "process_change_batch", "process_log_batch", "process_page_batch", "read_dims",
-           "compact_ledger", "read_ledger", "save_ledger"]
+           "compact_ledger", "read_ledger", "save_ledger", "seen_devices"]

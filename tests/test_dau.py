@@ -157,3 +157,14 @@ def test_ledger_compaction(spark):
     assert sorted(map(tuple, jobs.read_ledger(spark, path).collect())) == before == \
         [("g", "ODS_BASE_LOG", 0, 23, 2)]
     assert spark.read.parquet(path).count() == 1
+
+
+def test_seen_devices_missing_table_and_days(spark):
+    from daystream.plans import jobs
+    path = scratch_path(spark, "seen")
+    assert jobs.seen_devices(spark, path).count() == 0
+    upsert_partitions(spark, _dau_rows(spark, [_row("2024-01-01", "a"), _row("2024-01-02", "b"),
+                                               _row("2024-01-02", "c")]), path, ["dt", "mid"])
+    assert sorted(map(tuple, jobs.seen_devices(spark, path, ["2024-01-02"]).collect())) == \
+        [("2024-01-02", "b"), ("2024-01-02", "c")]
+    assert jobs.seen_devices(spark, path).count() == 3
