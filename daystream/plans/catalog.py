@@ -31,7 +31,7 @@ AS_OF = "2024-01-31"
 #: Zone of the calendar day / hour; pinned so results do not depend on the
 #: session or machine zone.
 TZ = "UTC"
-#: Consumer group of the log split.
+#: Consumer group of the log split (fixed value, as in plans.jobs).
 LOG_GROUP = "g1"
 #: Split day of the two-phase scenarios (state restored from the first
 #: half of the month, then the stream goes on).

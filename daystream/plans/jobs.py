@@ -25,8 +25,10 @@ from daystream.sinks.upsert import (append_partitions, read_table, stage, table_
 from daystream.sources.envelopes import (CHANGE_TOPIC, LOG_TOPIC, change_envelopes_from,
                                          log_envelopes_from, routing_table)
 
+# Consumer groups of the log split and the change split.
 LOG_GROUP = "g1"
 CHANGE_GROUP = "ODS_BASE_DB_GROUP"
+#: Consumer group of the DAU job (its original name had a trailing blank).
 DAU_GROUP = "dwd_dau"
 
 #: Most distinct users of one DAU batch for which the user dimension is

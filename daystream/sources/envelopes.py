@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from daystream.functions.dates import epoch_ms_of
 
+# The input topics of the log split and the change split.
 LOG_TOPIC = "ODS_BASE_LOG"
 CHANGE_TOPIC = "ODS_BASE_DB"
 
@@ -191,7 +192,7 @@ def change_envelopes(orders: DataFrame | None, lineitem: DataFrame | None,
     for p in parts[1:]:
         rows = rows.unionByName(p)
 
-    value = F.concat(F.lit('{"database":"gmall","table":"'), F.col("tbl"),
+    value = F.concat(F.lit('{"database":"shop","table":"'), F.col("tbl"),
                      F.lit('","type":"'), F.col("typ"), F.lit('","data":'),
                      F.col("data_json"), F.lit("}"))
     offset = (F.floor(F.col("k") / 4) * 16 + F.col("slot")).cast("bigint")
