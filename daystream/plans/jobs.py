@@ -28,7 +28,7 @@ from daystream.sources.envelopes import (CHANGE_TOPIC, LOG_TOPIC, change_envelop
 # Consumer groups of the log split and the change split.
 LOG_GROUP = "g1"
 CHANGE_GROUP = "ODS_BASE_DB_GROUP"
-#: Consumer group of the DAU job (its original name had a trailing blank).
+#: Consumer group of the DAU job.
 DAU_GROUP = "dwd_dau"
 
 #: Most distinct users of one DAU batch for which the user dimension is
