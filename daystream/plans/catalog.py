@@ -205,8 +205,8 @@ def _dau_sink(spark, sf) -> str:
 
 
 def q_dau_seen_mids(spark, sf):
-    path = _dau_sink(spark, sf)
-    return dau.seen_mids(read_table(spark, path, schemas.DAU_INFO))
+    from daystream.plans.jobs import seen_devices
+    return seen_devices(spark, _dau_sink(spark, sf))
 
 
 def q_dau_new_only(spark, sf):
