@@ -1,12 +1,15 @@
 """Registered queries of this package and their DuckDB SQL."""
 
-from daystream.llm import mix, pack
+from daystream.llm import mix, near_dup, pack, substring_dedup
 
 QUERIES = {
     "op4_pack": pack.op4_pack,
     "op5_mix": mix.op5_mix,
+    "op6_near_duplicates": near_dup.op6_near_duplicates,
+    "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 
 ORACLE_SQL = {
     "op5_mix": mix.OP5_SQL,
+    "op10_substring_dedup": substring_dedup.OP10_SQL,
 }
