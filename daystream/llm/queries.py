@@ -1,8 +1,9 @@
 """Registered queries of this package and their DuckDB SQL."""
 
-from daystream.llm import mix, near_dup, pack, substring_dedup
+from daystream.llm import mix, near_dup, pack, substring_dedup, suffix_dedup
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op4_pack": pack.op4_pack,
     "op5_mix": mix.op5_mix,
     "op6_near_duplicates": near_dup.op6_near_duplicates,
@@ -10,6 +11,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_suffix_dedup": suffix_dedup.OP1_SQL,
     "op5_mix": mix.OP5_SQL,
     "op10_substring_dedup": substring_dedup.OP10_SQL,
 }
