@@ -1,12 +1,14 @@
 """Registered queries of this package and their DuckDB SQL."""
 
-from daystream.llm import mix, near_dup, pack, substring_dedup, suffix_dedup
+from daystream.llm import mix, near_dup, pack, quality, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_pack": pack.op4_pack,
     "op5_mix": mix.op5_mix,
     "op6_near_duplicates": near_dup.op6_near_duplicates,
+    "op9_quality": quality.op9_quality,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
 }
 

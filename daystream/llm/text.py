@@ -70,12 +70,12 @@ def pieces(table, column: str, most: int = 1 << 20) -> Iterator:
         at = to
 
 
-def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word, in order."""
+def words(data: np.ndarray, off: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word, in order; ``between`` marks the bytes that are in no word."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, z
-    solid = ~SPACE[data]
+    solid = ~between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[off] = True
     first = solid.copy()
