@@ -45,10 +45,10 @@ def _md5_number(text):
 
 def systematic_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 7,
                    bucket_rows: int = 4096) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text, source, ...) with its copies in the mix.
+    """Every row of ``docs`` (doc_id, text, source) with its copies in the mix.
 
-    Returns doc_id, source, text, size, source_size, target, copies, taken and
-    bucket columns dropped. A document of a source with target t and size s is
+    Returns doc_id, source, row (a struct of all columns of the input), size,
+    source_size, target, copies and taken. A document of a source with target t and size s is
     expected t / s times. The expected copies are prefix-summed within the
     source, one random offset in [0, 1) (a hash of source and ``seed``) is
     added, and a copy is emitted for each integer crossed, so a document has
@@ -65,8 +65,8 @@ def systematic_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most:
     are one source. Repeated rows are rows of their own; rows equal in all
     columns used are interchangeable. An empty table gives an empty result.
     """
-    d = docs.select("doc_id", "source", "text").withColumn(
-        "size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    d = docs.select("doc_id", "source", F.struct(*docs.columns).alias("row"), size.alias("size"))
     return place(d, weights, most, seed, bucket_rows)
 
 

@@ -1,6 +1,6 @@
 """Registered queries of this package and their DuckDB SQL."""
 
-from daystream.llm import class_lm, embed_dedup, mix, near_dup, pack, quality, substring_dedup, suffix_dedup, toxicity
+from daystream.llm import class_lm, embed_dedup, html_extract, mix, near_dup, pack, quality, substring_dedup, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_pack": pack.op4_pack,
     "op5_mix": mix.op5_mix,
     "op6_near_duplicates": near_dup.op6_near_duplicates,
+    "op7_extract": html_extract.op7_extract,
     "op8_embedding_duplicates": embed_dedup.op8_embedding_duplicates,
     "op9_quality": quality.op9_quality,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,

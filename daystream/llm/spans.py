@@ -40,16 +40,22 @@ FOUND = "uid long, kind int, spans binary"
 SPAN = np.dtype([("lo", "<i4"), ("count", "<u2"), ("anchor", "<u8")])
 
 
-def ranked(docs: DataFrame, column: str = "text") -> DataFrame:
-    """(uid, rank, doc_id, text): ``rank`` orders documents (doc_id, null last).
+def uid(text="text"):
+    """Names the pair of id and text."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
+def ranked(docs: DataFrame, extra: tuple = ()) -> DataFrame:
+    """(uid, rank, doc_id, text): ``rank`` orders documents (doc_id, null last); ``extra`` columns are kept in ``row``.
 
     ``uid`` names the pair of id and text, so that rows that share an id but
     not a text stay apart, and equal rows get equal results.
     """
-    body = F.coalesce(F.col(column).cast("string"), F.lit(""))
-    return docs.select(F.xxhash64(F.col("doc_id").isNull(), "doc_id", body).alias("uid"),
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    more = [F.struct(*extra).alias("row")] if extra else []
+    return docs.select(uid().alias("uid"),
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"),
-                       F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"))
+                       F.col("doc_id").cast("long").alias("doc_id"), body.alias("text"), *more)
 
 
 def prefix(units: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:

@@ -172,14 +172,15 @@ def _sort(cuts: DataFrame, width: int, k: int) -> DataFrame:
     return cuts.groupBy("bucket").applyInArrow(run, S.FOUND)
 
 
-def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: bool = True, extra: tuple = ()) -> DataFrame:
     """Remove bytes of ``docs`` (doc_id, text) that repeat from an earlier document.
 
     Texts are UTF-8 bytes. Each byte covered by a ``width``-byte string that
     also starts in a document with a smaller doc_id goes; strings are judged on
     the input. Returns per row uid, doc_id, n_bytes, n_removed, n_spans (maximal
     removed runs), kept_sha256 and, if ``with_text``, text (the bytes left,
-    without those of characters that were cut).
+    without those of characters that were cut), and the ``extra`` columns of the
+    input in a struct ``row``.
 
     Strings are brought together by their anchor k-mer (see :mod:`spans`), so
     that a suffix array is needed only of the strings around one anchor and not
@@ -201,7 +202,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: boo
     found = stage(S.settle(S.scan(rows, byte_units, width, k, buckets), True, buckets), "runs")
     finer = _sort(_cuts(rows, S.by_document(found, 1), width, k, buckets), width, k)
     spans = S.by_document(found.filter("kind = 0").unionByName(finer))
-    names = ["uid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text
+    names = ["uid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text + ["row"] * bool(extra)
 
     def cut(batches):
         for b in batches:
@@ -223,10 +224,13 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: boo
                         o.append(x)
                 ids = [pa.concat_arrays(part.column(c).chunks) for c in ("uid", "doc_id")]
                 yield pa.RecordBatch.from_arrays(ids + [pa.array(o, pa.int64()) for o in out[:3]] + [pa.array(out[3], pa.string())]
-                                                 + ([pa.array(out[4], pa.string())] if with_text else []), names)
+                                                 + ([pa.array(out[4], pa.string())] if with_text else [])
+                                                 + ([pa.concat_arrays(part.column("row").chunks)] if extra else []), names)
 
-    joined = rows.join(spans, "uid", "left").select("uid", "doc_id", "text", "spans")
-    return joined.mapInArrow(cut, "uid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text)
+    full = S.ranked(docs, extra)
+    joined = full.join(spans, "uid", "left").select("uid", "doc_id", "text", "spans", *["row"] * bool(extra))
+    return joined.mapInArrow(cut, "uid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * with_text
+                               + (f", row {dict(full.dtypes)['row']}" if extra else ""))
 
 
 def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ def test_mix_targets_and_copies(spark):
     assert len(out) == len(rows)
     sizes, taken = defaultdict(int), defaultdict(int)
     for r in out:
-        assert r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) and 0 <= r.taken <= 3 * r["size"]
+        assert r["size"] == len(re.findall(r"[^\x20\x09-\x0D]+", r.row.text or "")) and 0 <= r.taken <= 3 * r["size"]
         sizes[r.source] += r["size"]
         taken[r.source] += r.taken
     want = slow_targets(sizes)
