@@ -14,6 +14,8 @@ from daystream.llm.store import components, stage
 SHINGLE, THRESHOLD = 5, 0.8
 #: Bands of rows; registers are the next prime, so that steps of any size visit all of them.
 BANDS, ROWS, REGISTERS = 20, 5, 101
+#: Members a side of one task's comparison.
+TILE = 512
 
 
 def shingles(data, off, size: int):
@@ -153,6 +155,41 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, threshold: float) ->
     return joined.mapInArrow(run, "src long, dst long")
 
 
+def _across(rest: DataFrame, rows: DataFrame, size: int, threshold: float) -> DataFrame:
+    """Links between the components (c) that meet in a group (key), exactly, in tiles."""
+    def run(key, t):
+        slot, uid, c = (t.column(x).to_numpy() for x in ("slot", "uid", "c"))
+        data, off = T.buffers(t.column("text"))
+        r, h, n = shingles(data, off, size)
+        p = n / np.bincount(r, n, t.num_rows)[r]
+        cut = np.searchsorted(r, np.arange(t.num_rows + 1))
+        a, b = key[1].as_py(), key[2].as_py()
+        # outer loop over the members outside the tile's largest component
+        who, many = np.unique(c, return_counts=True)
+        odd = np.flatnonzero(c != who[np.argmax(many)])
+        src, dst = [], []
+        for i in odd:
+            mine, share = h[cut[i]:cut[i + 1]], p[cut[i]:cut[i + 1]]
+            at = np.searchsorted(mine, h)
+            at[at == len(mine)] = 0
+            both = mine[at] == h
+            # a text can only reach the threshold if the shares in common do
+            most = np.bincount(r[both], np.minimum(share[at[both]], p[both]), t.num_rows)
+            for j in np.flatnonzero((most >= threshold - 1e-9) & (c != c[i]) & ((slot == b) if slot[i] == a else (slot == a) | (a == b))):
+                if similarity(mine, n[cut[i]:cut[i + 1]], h[cut[j]:cut[j + 1]], n[cut[j]:cut[j + 1]]) >= threshold - 1e-12:
+                    src.append(uid[i])
+                    dst.append(uid[j])
+        # a pair that meets in several bands is found in each; one link per pair and band is little beside the texts
+        return pa.table([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
+
+    one = rows.select("uid", "text").dropDuplicates(["uid"])
+    # each text once to every group it is unsettled in: first the text, then the groups
+    tiles = (rest.withColumn("slot", F.pmod(F.xxhash64("uid", "key"), F.col("split")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("split") - 1)))
+             .select("key", F.least("slot", "other").alias("a"), F.greatest("slot", "other").alias("b"), "slot", "uid", "c"))
+    return tiles.join(one, "uid").groupBy("key", "a", "b").applyInArrow(run, "src long, dst long")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD,
                     bands: int = BANDS, per: int = ROWS) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text): uid, doc_id, n_shingles, class_id, component_id, kept.
@@ -164,11 +201,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: float = THR
     the smallest doc_id among documents connected by links; ``kept`` marks the
     document that has it.
 
-    In a band's group every member is first compared with the smallest, which
-    settles a group of true copies in as many comparisons as it has members.
-    Members still in different components after that are compared with one
-    another, so no link between components is lost and no more pairs are made
-    than that takes. With 20 bands of 5 a pair at the threshold is a candidate
+    In a band's group every member is first compared with two pivots, which
+    settles a group of true copies in a few comparisons a member. Members still
+    in different components after that are compared with one another inside
+    tasks of at most ``TILE`` members a side, which return links and no pairs, so
+    no link between components is lost. With 20 bands of 5 a pair at the threshold is a candidate
     with probability 0.9996.
 
     Null and empty texts have no shingles and stay alone; a text shorter than a
@@ -183,21 +220,20 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, threshold: float = THR
     reps = classes.select("set_a", "set_b", F.col("r.rank").alias("rank"), F.col("r.uid").alias("uid"), F.col("r.bands").alias("bands"))
     reps = stage(reps, "classes")
     keyed = reps.select("uid", "rank", F.explode("bands").alias("key"))
-    groups = keyed.groupBy("key").agg(F.min(F.struct("rank", "uid")).alias("p"), F.count("*").alias("n")).filter("n > 1")
-    met = stage(keyed.join(groups.select("key", F.col("p.uid").alias("pivot")), "key"), "met")
-    pairs = met.filter("uid <> pivot").select(F.col("uid").alias("a"), F.col("pivot").alias("b")).distinct()
+    # two pivots a group: the first document, and one at random, another in each band
+    groups = keyed.groupBy("key").agg(F.min(F.struct("rank", "uid")).alias("p"), F.min(F.struct(F.xxhash64("uid", "key"), "uid")).alias("q"),
+                                      F.count("*").alias("n")).filter("n > 1")
+    met = stage(keyed.join(groups.select("key", F.array("p.uid", "q.uid").alias("pivots")), "key"), "met")
+    pairs = met.select("uid", F.explode("pivots").alias("pivot")).filter("uid <> pivot").select(
+        F.least("uid", "pivot").alias("a"), F.greatest("uid", "pivot").alias("b")).distinct()
     links = stage(_verified(pairs, rows, size, threshold), "links")
     comp = stage(components(spark, links), "components")
 
     # members that share a band but not a component
     placed = met.join(comp, met.uid == comp.id, "left").select("key", "uid", F.coalesce("component_id", "uid").alias("c"))
-    apart = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key")
-    rest = placed.join(apart, "key")
-    left, right = rest.toDF("key", "a", "ca"), rest.toDF("key", "b", "cb")
-    more = left.join(right, "key").filter("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tried = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stage(more.join(tried, ["a", "b"], "left_anti"), "apart")
-    found = stage(_verified(more, rows, size, threshold), "more-links")
+    apart = placed.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
+    rest = stage(placed.join(apart.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("split")), "key"), "apart")
+    found = stage(_across(rest, rows, size, threshold), "more-links")
     comp = stage(components(spark, links.unionByName(found)), "components")
 
     named = reps.select("set_a", "set_b", F.col("rank").alias("class_rank"), F.col("uid").alias("class_uid"))
