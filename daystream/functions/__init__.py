@@ -1,9 +1,8 @@
 """Column-expression helpers (all JVM-side built-ins, no Python UDFs)."""
 
-from daystream.functions.dates import (age_years, day_of, dt_of, epoch_ms_of, hr_of,
-                                       to_event_time)
-from daystream.functions.routing import fact_topic, op_code, topic_name
-from daystream.functions.values import is_blank, text_field, to_long
+from daystream.functions.dates import (age_years, day_of, dt_of, epoch_ms_of, hr_of)
+from daystream.functions.routing import fact_topic, op_code
+from daystream.functions.values import is_blank, to_long
 
-__all__ = ["age_years", "day_of", "dt_of", "epoch_ms_of", "hr_of", "to_event_time",
-           "fact_topic", "op_code", "topic_name", "is_blank", "text_field", "to_long"]
+__all__ = ["age_years", "day_of", "dt_of", "epoch_ms_of", "hr_of",
+           "fact_topic", "op_code", "is_blank", "to_long"]

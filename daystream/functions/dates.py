@@ -57,14 +57,9 @@ def day_of(ms, tz: str | None = None) -> Column:
     return F.timestamp_millis(epoch_ms_of(utc_midnight))
 
 
-def to_event_time(ms) -> Column:
-    """epoch ms -> TIMESTAMP instant."""
-    return F.timestamp_millis(_col(ms))
-
-
-def age_years(birthday_text, as_of=None) -> Column:
+def age_years(birthday_text, as_of=None, tz: str | None = None) -> Column:
     """Whole years between a 'yyyy-MM-dd' birthday and ``as_of`` (a date
-    column, a 'yyyy-MM-dd' string or None for today), as text.
+    column, a 'yyyy-MM-dd' string or None for today in ``tz``), as text.
 
     Uses calendar arithmetic (a 29 February birthday turns one year older
     on 1 March of a common year), not ``months_between / 12``. An
@@ -72,7 +67,9 @@ def age_years(birthday_text, as_of=None) -> Column:
     """
     b = F.try_to_date(_col(birthday_text), "yyyy-MM-dd")
     if as_of is None:
-        a = F.current_date()
+        a = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz or session_tz()),
+                                         F.convert_timezone(F.lit(session_tz()), F.lit("UTC"),
+                                                            F.localtimestamp())))
     elif isinstance(as_of, str):
         a = F.to_date(F.lit(as_of))
     else:

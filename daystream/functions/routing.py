@@ -41,8 +41,3 @@ def op_code(change_type) -> Column:
 def fact_topic(table, op, suffix: str = TOPIC_SUFFIX) -> Column:
     """DWD_<UPPER(table)>_<op>_<suffix>."""
     return F.concat_ws("_", F.lit("DWD"), F.upper(_col(table)), _col(op), F.lit(suffix))
-
-
-def topic_name(kind: str) -> str:
-    return {"page": PAGE_TOPIC, "display": DISPLAY_TOPIC, "action": ACTION_TOPIC,
-            "start": START_TOPIC, "error": ERROR_TOPIC, "dead_letter": DEAD_LETTER_TOPIC}[kind]

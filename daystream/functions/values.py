@@ -10,12 +10,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def text_field(c) -> Column:
-    """Field as text. Numbers and objects already arrive as text from the
-    STRING leaves of the parse schema, so this is the identity."""
-    return _col(c)
-
-
 def to_long(c) -> Column:
     """Field as long: accepts numbers and quoted numbers (surrounding blanks
     allowed); fractions, separators and words give NULL instead of failing
@@ -26,4 +20,4 @@ def to_long(c) -> Column:
 def is_blank(c) -> Column:
     """NULL, empty or whitespace-only text."""
     c = _col(c)
-    return c.isNull() | (F.trim(c) == F.lit(""))
+    return c.isNull() | ~c.rlike(r"\S")

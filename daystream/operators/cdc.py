@@ -7,52 +7,82 @@ from pyspark.sql import functions as F
 
 from daystream import schemas
 from daystream.functions.routing import TOPIC_SUFFIX, fact_topic, op_code
-from daystream.operators.joins import bounded_broadcast
+from daystream.functions.values import is_blank
 from daystream.operators.parse import evaluate_once, parse_json
 
-#: Bound on the routing configuration (number of listed source tables).
-MAX_ROUTING_ROWS = 10_000
-
 
 def parse_changes(env: DataFrame) -> DataFrame:
     """Change envelopes -> ``(src_topic, src_partition, src_offset, src_ts,
-    type, table, data, corrupt)``; ``data`` stays JSON text."""
+    type, table, data, dead_reason, value)``; ``data`` stays JSON text.
+
+    ``dead_reason`` is ``empty``, ``corrupt``, ``missing_table``,
+    ``missing_type`` or, for a change of a mapped type, ``missing_data``; else
+    NULL. ``value`` is kept of dead messages only.
+    """
     j = parse_json("value", schemas.CHANGE_JSON).alias("j")
+    dead = (F.when(is_blank("value"), "empty")
+            .when(F.col(f"j.{schemas.CORRUPT_COL}").isNotNull(), "corrupt")
+            .when(F.col("j.table").isNull(), "missing_table")
+            .when(F.col("j.type").isNull(), "missing_type")
+            .when(op_code("j.type").isNotNull() & F.col("j.data").isNull(), "missing_data"))
     return evaluate_once(env.select(F.col("topic").alias("src_topic"),
                                     F.col("partition").alias("src_partition"),
                                     F.col("offset").alias("src_offset"),
-                                    F.col("timestamp").alias("src_ts"), j).select(
+                                    F.col("timestamp").alias("src_ts"), "value", j).select(
         "src_topic", "src_partition", "src_offset", "src_ts",
         F.col("j.type").alias("type"), F.col("j.table").alias("table"),
-        F.col("j.data").alias("data"),
-        F.col(f"j.{schemas.CORRUPT_COL}").alias("corrupt")))
+        F.col("j.data").alias("data"), dead.alias("dead_reason"),
+        F.when(dead.isNotNull(), F.col("value")).alias("value")))
+
+
+def change_dead_letter(changes: DataFrame, routing: DataFrame) -> DataFrame:
+    """Messages the change split cannot use: ``(src_partition, src_offset,
+    reason, value)``; besides the parser's reasons, ``missing_id`` for a change
+    of a listed dimension table whose row image has no ``id``."""
+    dims = routing.where(F.col("kind") == "dim").select("table", F.lit(True).alias("_dim")).distinct()
+    # dead messages have no table to join on: a left join keeps them
+    c = changes.join(dims, "table", "left")
+    no_id = F.col("_dim") & op_code("type").isNotNull() & _id().isNull()
+    reason = F.coalesce("dead_reason", F.when(no_id, F.lit("missing_id")))
+    return c.where(reason.isNotNull()).select(
+        "src_partition", "src_offset", reason.alias("reason"),
+        F.coalesce("value", "data").alias("value"))
 
 
 def with_op(changes: DataFrame) -> DataFrame:
-    """Adds ``op`` (I/U/D) and drops changes of any other type."""
-    return changes.withColumn("op", op_code("type")).where(F.col("op").isNotNull())
+    """Adds ``op`` (I/U/D); drops changes of any other type and dead messages."""
+    return (changes.withColumn("op", op_code("type"))
+            .where(F.col("op").isNotNull() & F.col("dead_reason").isNull()))
 
 
 def _listed(changes: DataFrame, routing: DataFrame, kind: str) -> DataFrame:
     tables = routing.where(F.col("kind") == kind).select("table").distinct()
-    return changes.join(bounded_broadcast(tables, MAX_ROUTING_ROWS), "table", "left_semi")
+    return changes.join(tables, "table", "left_semi")
 
 
 def fact_route(changes_op: DataFrame, routing: DataFrame,
-               suffix: str = TOPIC_SUFFIX) -> DataFrame:
+               suffix: str = TOPIC_SUFFIX, key: str | None = None) -> DataFrame:
     """Changes of listed fact tables -> ``(topic, key, value, table, op,
-    src_partition, src_offset)``; ``value`` is the row image ``data``."""
+    src_partition, src_offset)``; ``value`` is the row image ``data``.
+    ``key`` names a field of the row image to send as the message key (none
+    by default), so that a row's changes keep their order on the bus."""
+    message_key = F.get_json_object("data", f"$.{key}") if key else F.lit(None).cast("string")
     facts = _listed(changes_op, routing, "fact")
     return facts.select(fact_topic("table", "op", suffix).alias("topic"),
-                        F.lit(None).cast("string").alias("key"),
+                        message_key.alias("key"),
                         F.col("data").alias("value"), "table", "op",
                         "src_partition", "src_offset")
 
 
 def dim_changes(changes_op: DataFrame, routing: DataFrame) -> DataFrame:
-    """Changes of listed dimension tables with their key ``id``."""
+    """Changes of listed dimension tables with their key ``id``; one without
+    an ``id`` is a dead letter (:func:`change_dead_letter`)."""
     dims = _listed(changes_op, routing, "dim")
-    return dims.withColumn("id", F.get_json_object("data", "$.id"))
+    return dims.withColumn("id", _id()).where(F.col("id").isNotNull())
+
+
+def _id():
+    return F.get_json_object("data", "$.id")
 
 
 def dim_latest(dim_rows: DataFrame, stored: DataFrame | None = None,
@@ -111,11 +141,12 @@ def route_counts(changes: DataFrame, routing: DataFrame,
     (``DIM:<TABLE>``): ``(target, messages)``.
 
     One pass: each change meets its routing rows (0, 1 or 2: a table may be
-    both a fact and a dimension) in a broadcast join, and the targets are
+    both a fact and a dimension) in a join, and the targets are
     counted with a partial aggregation.
     """
     kinds = routing.where(F.col("kind").isin("fact", "dim")).select("table", "kind").distinct()
-    routed = with_op(changes).join(bounded_broadcast(kinds, MAX_ROUTING_ROWS), "table")
+    routed = with_op(changes).join(kinds, "table").where(
+        (F.col("kind") == "fact") | _id().isNotNull())
     target = F.when(F.col("kind") == "fact", fact_topic("table", "op", suffix)).otherwise(
         F.concat(F.lit("DIM:"), F.upper("table")))
     return routed.groupBy(target.alias("target")).agg(F.count(F.lit(1)).alias("messages"))

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from daystream import schemas
 from daystream.functions.dates import age_years, dt_of, hr_of
-from daystream.operators.joins import bounded_broadcast
-
 
 
 def session_first_pages(pages: DataFrame) -> DataFrame:
@@ -43,7 +41,8 @@ def first_seen(pages: DataFrame, tz: str | None = None) -> DataFrame:
             .select("mid", "r.*", "dt"))
 
 
-def join_user(df: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
+def join_user(df: DataFrame, users: DataFrame, as_of=None,
+              tz: str | None = None) -> DataFrame:
     """Left join on ``user_id`` adding ``user_gender`` and ``user_age``.
 
     A missing user keeps the row with NULLs. The user dimension grows with
@@ -51,30 +50,25 @@ def join_user(df: DataFrame, users: DataFrame, as_of=None) -> DataFrame:
     sort-merge from the runtime size.
     """
     u = users.select("user_id", "user_gender",
-                     age_years("birthday", as_of).alias("user_age"))
+                     age_years("birthday", as_of, tz).alias("user_age"))
     return df.join(u, "user_id", "left")
 
 
-def join_province(df: DataFrame, provinces: DataFrame,
-                  max_rows: int | None = None) -> DataFrame:
+def join_province(df: DataFrame, provinces: DataFrame) -> DataFrame:
     """Left join on ``province_id`` adding name and codes.
 
     The province dimension is tens of rows, but it is the output of an
-    aggregation, so its size is measured rather than assumed: by default
-    AQE materialises it and turns the join into a broadcast join when the
-    measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
-    (sort-merge otherwise), with no extra job. ``max_rows`` instead probes
-    the row count first (:func:`bounded_broadcast`) and hints a broadcast
-    under that bound.
+    aggregation, so its size is measured rather than assumed: AQE materialises
+    it and turns the join into a broadcast join when the measured size is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (sort-merge otherwise).
     """
-    side = bounded_broadcast(provinces, max_rows) if max_rows else provinces
-    return df.join(side, "province_id", "left")
+    return df.join(provinces, "province_id", "left")
 
 
 def dau_info(first: DataFrame, users: DataFrame, provinces: DataFrame,
              as_of=None, tz: str | None = None) -> DataFrame:
     """The DAU record (23 columns, ``dt``/``hr`` from ``ts`` in ``tz``)."""
-    j = join_province(join_user(first, users, as_of), provinces)
+    j = join_province(join_user(first, users, as_of, tz), provinces)
     j = j.withColumn("hr", hr_of("ts", tz))
     return j.select(*schemas.DAU_INFO.names)
 
@@ -85,10 +79,16 @@ def seen_mids(dau_table: DataFrame) -> DataFrame:
 
 
 def new_only(candidates: DataFrame, seen: DataFrame) -> DataFrame:
-    """Drops candidates whose ``(dt, mid)`` is already counted (anti join;
-    with ``seen`` read from a ``dt``-partitioned table, dynamic partition
-    pruning limits the read to the days present in ``candidates``)."""
-    return candidates.join(seen.select("dt", "mid"), ["dt", "mid"], "left_anti")
+    """Drops candidates whose ``(dt, mid)`` is already counted.
+
+    The stored side is first reduced to the keys among the candidates, a semi
+    join whose small side is the batch: a micro-batch is broadcast and the
+    stored days stay where they are instead of being shuffled; only a batch as
+    large as a back-fill shuffles both. The anti join then meets at most one
+    row per candidate. ``candidates`` is read twice, so it should be staged.
+    """
+    seen = seen.select("dt", "mid").join(candidates.select("dt", "mid"), ["dt", "mid"], "left_semi")
+    return candidates.join(seen, ["dt", "mid"], "left_anti")
 
 
 def funnel_counts(pages: DataFrame, users: DataFrame | None = None,

@@ -3,7 +3,7 @@ and reading a topic from saved positions.
 
 Structured Streaming keeps its own offsets in the checkpoint; the ledger is
 the user-visible record ``(group_id, topic, partition, until_offset,
-batch_id)`` of how far each consumer group got, kept as a table.
+batch_id, saved_at)`` of how far each consumer group got, kept as a table.
 """
 
 from __future__ import annotations
@@ -11,11 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystream.operators.joins import bounded_broadcast
-
-#: Bound on ledger rows of one (group, topic): the topic's partition count.
-MAX_TOPIC_PARTITIONS = 100_000
-
 
 def offset_ranges(env: DataFrame, batch_col: str | None = None) -> DataFrame:
     """Per ``(topic, partition)`` (and batch, if given): ``from_offset`` =
@@ -33,10 +28,12 @@ def ledger_save(ledger: DataFrame | None, ranges: DataFrame, group_id: str,
     A save replaces the stored position of each listed partition (it is
     not a maximum: a rewound consumer moves back) and leaves unlisted
     partitions alone. ``batch_id`` is a literal or the name of a column of
-    ``ranges``; of several saves of one partition the latest batch wins.
+    ``ranges``; of several saves of one partition the latest in time wins
+    (of one moment, the later batch): batch numbers alone start again at 0
+    with every new checkpoint.
     """
     new = save_rows(ranges, group_id, batch_id)
-    rows = new if ledger is None else ledger.select(*new.columns).unionByName(new)
+    rows = new if ledger is None else ledger.unionByName(new, allowMissingColumns=True)
     return latest(rows)
 
 
@@ -46,16 +43,20 @@ def save_rows(ranges: DataFrame, group_id: str, batch_id) -> DataFrame:
     return ranges.select(F.lit(group_id).alias("group_id"), "topic",
                          F.col("partition").cast("int").alias("partition"),
                          F.col("until_offset").cast("bigint").alias("until_offset"),
-                         b.cast("bigint").alias("batch_id"))
+                         b.cast("bigint").alias("batch_id"),
+                         F.current_timestamp().alias("saved_at"))
 
 
 def latest(saves: DataFrame) -> DataFrame:
     """Current ledger from a log of saves ``(group_id, topic, partition,
-    until_offset, batch_id)``: per partition, the position of its latest
-    save (a replayed batch repeats its rows, which changes nothing)."""
+    until_offset, batch_id, saved_at)``: per partition, the position of its
+    latest save (a replayed batch repeats its rows, which changes nothing)."""
+    if "saved_at" not in saves.columns:
+        saves = saves.withColumn("saved_at", F.lit(None).cast("timestamp"))
+    row = F.struct("until_offset", "batch_id", "saved_at")
     return (saves.groupBy("group_id", "topic", "partition")
-            .agg(F.max_by("until_offset", "batch_id").alias("until_offset"),
-                 F.max("batch_id").alias("batch_id")))
+            .agg(F.max_by(row, F.struct("saved_at", "batch_id")).alias("r"))
+            .select("group_id", "topic", "partition", "r.*"))
 
 
 def ledger_read(ledger: DataFrame, group_id: str, topic: str) -> DataFrame:
@@ -69,7 +70,6 @@ def read_from_offsets(env: DataFrame, ledger: DataFrame, group_id: str,
     """Messages of ``topic`` at or after the saved position of each partition;
     partitions without a saved position are read from the beginning."""
     start = ledger_read(ledger, group_id, topic)
-    m = env.where(F.col("topic") == topic).join(
-        bounded_broadcast(start, MAX_TOPIC_PARTITIONS), "partition", "left")
+    m = env.where(F.col("topic") == topic).join(start, "partition", "left")
     return (m.where(F.col("offset") >= F.coalesce(F.col("until_offset"), F.lit(0)))
             .drop("until_offset"))

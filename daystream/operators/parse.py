@@ -40,7 +40,8 @@ def parse_log(env: DataFrame) -> DataFrame:
     NULL for usable records, else one of ``empty`` (NULL/blank text),
     ``corrupt`` (not a JSON object or wrongly typed nesting),
     ``missing_common``, ``missing_mid``, ``missing_ts``,
-    ``missing_during_time``. Error records are checked for text only: they
+    ``missing_during_time``, ``missing_loading_time`` or ``missing_action_ts``
+    (the other longs a record must have). Error records are checked for text only: they
     are forwarded whole.
     """
     j = parse_json("value", schemas.LOG_JSON).alias("j")
@@ -55,7 +56,13 @@ def parse_log(env: DataFrame) -> DataFrame:
             .when(F.col("common.mid").isNull(), "missing_mid")
             .when(ts.isNull(), "missing_ts")
             .when(F.col("page").isNotNull() & to_long("page.during_time").isNull(),
-                  "missing_during_time"))
+                  "missing_during_time")
+            .when(F.col("start").isNotNull() & to_long("start.loading_time").isNull(),
+                  "missing_loading_time")
+            .when(F.col("page").isNotNull() & F.exists(
+                F.coalesce("actions", F.array()),
+                lambda a: a.isNotNull() & a["ts"].try_cast("bigint").isNull()),
+                "missing_action_ts"))
     return evaluate_once(p.select(
         "src_partition", "src_offset", "value", "common", "page", "displays", "actions",
         "start", "err", ts.alias("ts"), dead.alias("dead_reason")))
@@ -91,14 +98,33 @@ def parse_page_messages(env: DataFrame) -> DataFrame:
 
     The page topic carries JSON written by this engine, so the typed schema
     is applied through STRING leaves and ``try_cast`` as for raw logs. The
-    message position is kept as ``src_partition, src_offset``.
+    message position is kept as ``src_partition, src_offset``. Messages that
+    are no usable page record are left to :func:`page_dead_letter`.
     """
+    return read_page_messages(env).where(F.col("dead_reason").isNull()).drop("dead_reason", "value")
+
+
+def page_dead_letter(env: DataFrame) -> DataFrame:
+    """Page-topic messages without a usable record: ``(src_partition,
+    src_offset, reason, value)``."""
+    return dead_letter(read_page_messages(env))
+
+
+def read_page_messages(env: DataFrame) -> DataFrame:
+    """Every page-topic message with ``dead_reason``: ``empty``, ``corrupt``,
+    ``missing_mid``, ``missing_ts`` or NULL; ``value`` is kept of dead ones."""
     leaves = F.from_json("value", _all_string(schemas.PAGE_LOG), _PARSE_OPTS).alias("j")
     p = env.select(F.col("partition").alias("src_partition"),
-                   F.col("offset").alias("src_offset"), leaves)
+                   F.col("offset").alias("src_offset"), "value", leaves)
+    dead = (F.when(is_blank("value"), "empty")
+            .when(F.col(f"j.{schemas.CORRUPT_COL}").isNotNull(), "corrupt")
+            .when(F.col("j.mid").isNull(), "missing_mid")
+            .when(to_long("j.ts").isNull(), "missing_ts"))
     cols = [to_long(f"j.{f.name}").alias(f.name) if f.dataType == schemas.L
             else F.col(f"j.{f.name}").alias(f.name) for f in schemas.PAGE_LOG.fields]
-    return evaluate_once(p.select(*cols, "src_partition", "src_offset"))
+    return evaluate_once(p.select(*cols, "src_partition", "src_offset",
+                                  dead.alias("dead_reason"),
+                                  F.when(dead.isNotNull(), F.col("value")).alias("value")))
 
 
 def _all_string(schema):

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 from daystream import schemas
 from daystream.functions.dates import age_years, dt_of, hr_of
+from daystream.functions import routing
 from daystream.functions.routing import PAGE_TOPIC
 from daystream.operators import cdc, dau, ledger, log_split
 from daystream.operators.parse import (dead_letter, envelope_summary, parse_log,
                                        parse_page_messages)
 from daystream.operators.project import project_like
 from daystream.session import scratch_path
-from daystream.sinks.upsert import read_table, stage, upsert_partitions
+from daystream.sinks.upsert import read_table, stage, upsert_partitions, upsert_staged
 from daystream.sources.envelopes import (LOG_TOPIC, change_envelopes_from, log_envelopes_from,
                                          routing_table)
 
@@ -52,10 +53,10 @@ def _pages(spark, sf, with_position=True):
     return log_split.page_log(_parsed(spark, sf), with_position=with_position)
 
 
-def _latest_dims(spark, sf):
+def _latest_dims(spark, sf, tables=("user_info", "base_province")):
     # Only the dimension sources: the other tables' changes would be dropped
-    # by the routing semi join anyway.
-    env = change_envelopes_from(spark, sf, tables=("user_info", "base_province"))
+    # by the routing semi join anyway. A lookup of one table reads one source.
+    env = change_envelopes_from(spark, sf, tables=tables)
     changes = cdc.with_op(cdc.parse_changes(env))
     return cdc.dim_latest(cdc.dim_changes(changes, routing_table(spark)))
 
@@ -64,11 +65,17 @@ def _first_seen(spark, sf):
     return dau.first_seen(dau.session_first_pages(_pages(spark, sf)), tz=TZ)
 
 
+def _users(spark, sf):
+    return cdc.user_dim(_latest_dims(spark, sf, ("user_info",)))
+
+
+def _provinces(spark, sf):
+    return cdc.province_dim(_latest_dims(spark, sf, ("base_province",)))
+
+
 def _dau(spark, sf, first=None):
-    latest = _latest_dims(spark, sf)
     first = first if first is not None else _first_seen(spark, sf)
-    return dau.dau_info(first, cdc.user_dim(latest), cdc.province_dim(latest), as_of=AS_OF,
-                        tz=TZ)
+    return dau.dau_info(first, _users(spark, sf), _provinces(spark, sf), as_of=AS_OF, tz=TZ)
 
 
 def _with_batch(env: DataFrame) -> DataFrame:
@@ -82,7 +89,7 @@ def _log_ledger(spark, sf, last_dt: str | None = None):
     if last_dt:
         env = env.where(F.col("batch_id") <= F.unix_date(F.to_date(F.lit(last_dt))))
     ranges = ledger.offset_ranges(env, "batch_id")
-    return ledger.ledger_save(None, ranges, LOG_GROUP, "batch_id")
+    return ledger.ledger_save(None, ranges, LOG_GROUP, "batch_id").drop("saved_at")
 
 
 # ------------------------------------------------------------------- queries
@@ -175,20 +182,18 @@ def q_date_parts(spark, sf):
 
 
 def q_user_age(spark, sf):
-    users = cdc.user_dim(_latest_dims(spark, sf))
+    users = _users(spark, sf)
     return users.select("user_id", "user_gender", "birthday",
                         age_years("birthday", AS_OF).alias("user_age"))
 
 
 def q_dau_user_join(spark, sf):
-    users = cdc.user_dim(_latest_dims(spark, sf))
-    j = dau.join_user(_first_seen(spark, sf), users, as_of=AS_OF)
+    j = dau.join_user(_first_seen(spark, sf), _users(spark, sf), as_of=AS_OF)
     return j.select("dt", "mid", "user_id", "user_gender", "user_age")
 
 
 def q_dau_province_join(spark, sf):
-    prov = cdc.province_dim(_latest_dims(spark, sf))
-    j = dau.join_province(_first_seen(spark, sf), prov)
+    j = dau.join_province(_first_seen(spark, sf), _provinces(spark, sf))
     return j.select("dt", "mid", "province_id", "province_name", "province_iso_code",
                     "province_3166_2", "province_area_code")
 
@@ -230,16 +235,15 @@ def q_dau_upsert(spark, sf):
     staged; the three upserts read the staged copy."""
     path = scratch_path(spark, "dau")
     whole = stage(spark, _dau(spark, sf), "dau-month")
-    upsert_partitions(spark, whole.where(F.col("dt") <= SPLIT_DT), path, ["dt", "mid"])
-    upsert_partitions(spark, whole, path, ["dt", "mid"])
-    upsert_partitions(spark, whole, path, ["dt", "mid"])
+    upsert_staged(spark, whole.where(F.col("dt") <= SPLIT_DT), path, ["dt", "mid"])
+    upsert_staged(spark, whole, path, ["dt", "mid"])
+    upsert_staged(spark, whole, path, ["dt", "mid"])
     return read_table(spark, path, schemas.DAU_INFO)
 
 
 def q_dau_funnel_counts(spark, sf):
-    latest = _latest_dims(spark, sf)
-    return dau.funnel_counts(_pages(spark, sf), users=cdc.user_dim(latest),
-                             provinces=cdc.province_dim(latest), tz=TZ)
+    return dau.funnel_counts(_pages(spark, sf), users=_users(spark, sf),
+                             provinces=_provinces(spark, sf), tz=TZ)
 
 
 def q_project_by_name(spark, sf):
@@ -259,28 +263,26 @@ def q_offset_ledger_read(spark, sf):
 
 
 def q_read_from_offsets(spark, sf):
-    saved = _log_ledger(spark, sf, SPLIT_DT)
+    # staged, as a stored ledger would be: the scan feeds it once
+    saved = stage(spark, _log_ledger(spark, sf, SPLIT_DT), "ledger")
     rest = ledger.read_from_offsets(log_envelopes_from(spark, sf), saved, LOG_GROUP, LOG_TOPIC)
     return rest.select("partition", "offset")
 
 
-#: Days per arrival slice of the streaming queries.
-_SLICE_DAYS = 10
-
-
-def _arrive_in_slices(spark, df: DataFrame, src: str, run_stream) -> None:
-    """Lets ``df`` (envelopes with a ``timestamp``) arrive in time order:
-    each slice of ``_SLICE_DAYS`` calendar days is written as new files
+def _arrive_in_slices(spark, df: DataFrame, src: str, run_stream, slices: int = 3) -> None:
+    """Lets ``df`` (envelopes with a ``timestamp``) arrive in time order, in
+    ``slices`` equal stretches of its time span: each is written as new files
     (range-partitioned on the time, so no day or key lands in one task)
-    and the stream then catches up (``availableNow``) before the next
-    slice arrives, as a live stream would. ``df`` is staged once first."""
-    staged = stage(spark, df.withColumn(
-        "_slice", F.floor(F.unix_date(F.to_date("timestamp")) / _SLICE_DAYS)), "arrivals")
-    slices = sorted(r[0] for r in staged.select("_slice").distinct().limit(10_001).collect())
-    if len(slices) > 10_000:
-        raise ValueError("more than 10000 arrival slices; use a longer slice")
-    for k in slices:
-        (staged.where(F.col("_slice") == k).drop("_slice")
+    and the stream then catches up (``availableNow``) before the next one
+    arrives, as a live stream would. ``df`` is staged once first."""
+    staged = stage(spark, df, "arrivals")
+    ms = F.unix_millis("timestamp")
+    lo, hi = staged.agg(F.min(ms), F.max(ms)).first()
+    if lo is None:
+        lo = hi = 0
+    step = (hi - lo) // slices + 1
+    for k in range(slices):
+        (staged.where(F.floor((ms - lo) / step) == k)
          .repartitionByRange("timestamp").write.parquet(f"{src}/slice={k}"))
         run_stream()
 
@@ -293,9 +295,7 @@ def q_stream_route_counts(spark, sf):
     src, out, ck = (scratch_path(spark, n) for n in ("s-log", "s-log-out", "s-log-ck"))
 
     def run():
-        stream = (spark.readStream.schema(schemas.ENVELOPE)
-                  .option("recursiveFileLookup", "true").parquet(src))
-        sjobs.start_log_split(stream, out, ck,
+        sjobs.start_log_split(_stream_of(spark, src), out, ck,
                               trigger={"availableNow": True}).awaitTermination()
 
     _arrive_in_slices(spark, log_envelopes_from(spark, sf), src, run)
@@ -311,24 +311,189 @@ def q_stream_dau_info(spark, sf):
     dims_out = scratch_path(spark, "s-dims")
     jobs.process_change_batch(spark, change_envelopes_from(
         spark, sf, tables=("user_info", "base_province")), dims_out, 0)
-    msgs = _pages(spark, sf).select(
-        F.lit(None).cast("string").alias("key"),
-        F.to_json(F.struct(*schemas.PAGE_LOG.names)).alias("value"),
-        F.lit(PAGE_TOPIC).alias("topic"),
-        F.col("src_partition").alias("partition"), F.col("src_offset").alias("offset"),
-        F.timestamp_millis("ts").alias("timestamp"))
     src, sink, ck = (scratch_path(spark, n) for n in ("s-pages", "s-dau", "s-dau-ck"))
 
     def run():
-        stream = sjobs.page_records(spark.readStream.schema(schemas.ENVELOPE)
-                                    .option("recursiveFileLookup", "true").parquet(src))
+        stream = sjobs.page_records(_stream_of(spark, src))
         sjobs.start_dau(stream, f"{dims_out}/dims", sink, ck, trigger={"availableNow": True},
                         as_of=AS_OF, tz=TZ).awaitTermination()
 
-    _arrive_in_slices(spark, msgs, src, run)
+    _arrive_in_slices(spark, _page_messages(spark, sf), src, run)
     return read_table(spark, sink, schemas.DAU_INFO)
 
 
+def _stream_of(spark, src):
+    return (spark.readStream.schema(schemas.ENVELOPE)
+            .option("recursiveFileLookup", "true").parquet(src))
+
+
+def _page_messages(spark, sf):
+    """Page-topic messages of all page records; every 97th record is broken in
+    one of four ways and a good copy of it follows at another position, so
+    the dead letters are known and the records are all there."""
+    from daystream.plans.jobs import page_messages
+    good = page_messages(_pages(spark, sf))
+    n = F.col("offset") * 4 + F.col("partition")
+    broken = F.element_at(F.array(
+        F.lit("not json"), F.lit(" "),
+        F.to_json(F.struct(F.lit("v").alias("page_id"), F.lit(1).alias("ts"))),
+        F.to_json(F.struct(F.lit("m").alias("mid"), F.lit("soon").alias("ts")))),
+        (F.floor(n / 97) % 4 + 1).cast("int"))
+    bad = good.where(n % 97 == 0).withColumn("value", broken).withColumn(
+        "offset", F.col("offset") + F.lit(1 << 40))
+    return good.unionByName(bad)
+
+
+def q_page_dead_letter(spark, sf):
+    from daystream.operators.parse import page_dead_letter
+    return page_dead_letter(_page_messages(spark, sf)).select("src_partition", "src_offset", "reason")
+
+
+def _changes_with_garbage(spark, sf):
+    """All change messages, and for every 97th position one broken copy."""
+    env = change_envelopes_from(spark, sf)
+    broken = F.element_at(F.array(
+        F.lit("{"), F.lit("\t\n"), F.lit('{"type":"insert","data":{"id":1}}'),
+        F.lit('{"table":"user_info","data":{"id":1}}'),
+        F.lit('{"type":"insert","table":"order_info"}'),
+        F.lit('{"type":"update","table":"user_info","data":{"gender":"M"}}')),
+        (F.floor(F.col("offset") / 97) % 6 + 1).cast("int"))
+    bad = env.where(F.col("offset") % 97 == 0).withColumn("value", broken).withColumn(
+        "offset", F.col("offset") + F.lit(1 << 40))
+    return env.unionByName(bad)
+
+
+def q_cdc_dead_letter(spark, sf):
+    changes = cdc.parse_changes(_changes_with_garbage(spark, sf))
+    return cdc.change_dead_letter(changes, routing_table(spark)).select(
+        "src_partition", "src_offset", "reason")
+
+
+def _halves(df):
+    odd = F.floor(F.col("offset") / 2) % 2 == 1
+    return df.where(~odd), df.where(odd)
+
+
+def q_stream_log_restart(spark, sf):
+    """Half of the log, then the other half by a query with a new checkpoint and
+    the same output folder: nothing of the first half may be lost."""
+    from daystream.streaming import jobs as sjobs
+    out = scratch_path(spark, "r-log")
+    for i, half in enumerate(_halves(log_envelopes_from(spark, sf))):
+        src, ck = scratch_path(spark, f"r-log-src{i}"), scratch_path(spark, f"r-log-ck{i}")
+        half.write.parquet(src)
+        sjobs.start_log_split(_stream_of(spark, src), out, ck,
+                              trigger={"availableNow": True}).awaitTermination()
+    return spark.read.parquet(f"{out}/topics").groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def q_ledger_restart(spark, sf):
+    """Five saves, one per stretch of the log, then a new run whose batch 0 saves
+    the whole log: that one is the position, whatever its number."""
+    from daystream.plans import jobs
+    path = scratch_path(spark, "r-ledger")
+    env = stage(spark, log_envelopes_from(spark, sf).select("topic", "partition", "offset"), "log-positions")
+    for b in range(5):
+        jobs.save_ledger(spark, path, env.where(F.col("offset") % 16 <= b), LOG_GROUP, b)
+    jobs.save_ledger(spark, path, env, LOG_GROUP, 0)
+    return jobs.read_ledger(spark, path).select("group_id", "topic", "partition", "until_offset", "batch_id")
+
+
+def q_dim_store_batches(spark, sf):
+    """The dimension changes in three batches by message order, the last one
+    replayed, deletes as tombstones, a compaction in between."""
+    from daystream.plans import jobs
+    from daystream.sinks import dims
+    out, run = scratch_path(spark, "d-store"), jobs.new_run()
+    env = stage(spark, change_envelopes_from(spark, sf, tables=("user_info", "base_province")), "dim-changes")
+    slot = F.col("offset") % 16
+    parts = [env.where(slot.isin(6, 8)), env.where((slot == 7) & (F.col("partition") < 2)),
+             env.where((slot == 9) | ((slot == 7) & (F.col("partition") >= 2)))]
+    for b, part in enumerate(parts):
+        jobs.process_change_batch(spark, part, out, b, on_delete="drop", run_id=run)
+        if b == 1:
+            dims.drop_compacted(spark, dims.compact_dims(spark, f"{out}/dims"))
+    jobs.process_change_batch(spark, parts[2], out, 2, on_delete="drop", run_id=run)
+    return jobs.read_dims(spark, f"{out}/dims").select("table", "id", "op", "src_partition", "src_offset")
+
+
+def q_stream_dau_state_restore(spark, sf):
+    """The DAU stream with a state store; its checkpoint is lost midway and
+    the whole topic is read again."""
+    from daystream.plans import jobs
+    from daystream.streaming import jobs as sjobs
+    out = scratch_path(spark, "r-dims")
+    jobs.process_change_batch(spark, change_envelopes_from(
+        spark, sf, tables=("user_info", "base_province")), out)
+    src, sink = scratch_path(spark, "r-pages"), scratch_path(spark, "r-dau")
+    for i, half in enumerate(_halves(_page_messages(spark, sf))):
+        half.write.mode("append").parquet(src)
+        sjobs.start_dau(sjobs.page_records(_stream_of(spark, src)), f"{out}/dims", sink,
+                        scratch_path(spark, f"r-dau-ck{i}"), trigger={"availableNow": True},
+                        as_of=AS_OF, tz=TZ, mode="state", watermark="400 days").awaitTermination()
+    stored = read_table(spark, sink, schemas.DAU_INFO)
+    return stored.groupBy("dt", "mid").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_stream_dau_ledger(spark, sf):
+    """The DAU job over all page messages, garbage included: its saved positions."""
+    from daystream.plans import jobs
+    from daystream.streaming import jobs as sjobs
+    out, src, ck = (scratch_path(spark, n) for n in ("l-dau", "l-pages", "l-ck"))
+
+    def run():
+        sjobs.start_dau_messages(_stream_of(spark, src), scratch_path(spark, "no-dims"), out, ck,
+                                 trigger={"availableNow": True}, as_of=AS_OF, tz=TZ).awaitTermination()
+
+    _arrive_in_slices(spark, _page_messages(spark, sf), src, run)
+    return jobs.read_ledger(spark, f"{out}/ledger").select("group_id", "topic", "partition", "until_offset")
+
+
+def q_route_payloads(spark, sf):
+    """Every message of the log split parsed back: the fields of its target's
+    schema, as text, by topic and position."""
+    msgs = log_split.route_messages(_parsed(spark, sf))
+    names = ["mid", "user_id", "province_id", "channel", "is_new", "model", "operate_system",
+             "version_code", "brand", "page_id", "last_page_id", "page_item", "page_item_type",
+             "during_time", "sourceType", "display_type", "display_item", "display_order",
+             "display_pos_id", "action_id", "action_item", "action_ts", "entry", "open_ad_id",
+             "loading_time_ms", "open_ad_ms", "open_ad_skip_ms", "ts"]
+    known = msgs.where(~F.col("topic").isin(routing.ERROR_TOPIC, routing.DEAD_LETTER_TOPIC))
+    j = F.from_json("value", ", ".join(f"{n} string" for n in names)).alias("j")
+    return known.select("topic", "src_partition", "src_offset", j).select(
+        "topic", "src_partition", "src_offset", "j.*")
+
+
+def q_cdc_fact_payloads(spark, sf):
+    routed = cdc.fact_route(cdc.with_op(_changes(spark, sf)), routing_table(spark), key="id")
+    names = ["id", "user_id", "order_status", "total_amount", "create_time", "order_id", "sku_id",
+             "sku_num", "order_price", "name", "region_id", "area_code", "iso_code", "iso_3166_2"]
+    j = F.from_json("value", ", ".join(f"{n} string" for n in names)).alias("j")
+    out = routed.select("topic", "key", "src_partition", "src_offset", j).select(
+        "topic", "key", "src_partition", "src_offset", "j.*")
+    # numbers as numbers: their text form is the writer's choice
+    return out.withColumn("total_amount", F.col("total_amount").cast("double")).withColumn(
+        "order_price", F.col("order_price").cast("double"))
+
+
+def q_stream_cdc_split(spark, sf):
+    """The change split as a stream of two batches: messages per topic, and per
+    dimension table the rows of the store."""
+    from daystream.plans import jobs
+    from daystream.streaming import jobs as sjobs
+    src, out, ck = (scratch_path(spark, n) for n in ("s-cdc", "s-cdc-out", "s-cdc-ck"))
+
+    def run():
+        sjobs.start_change_split(_stream_of(spark, src), out, ck,
+                                 trigger={"availableNow": True}).awaitTermination()
+
+    _arrive_in_slices(spark, _changes_with_garbage(spark, sf), src, run, slices=2)
+    topics = spark.read.parquet(f"{out}/topics").select(F.col("topic").alias("target"))
+    rows = jobs.read_dims(spark, f"{out}/dims").select(
+        F.concat(F.lit("DIM:"), F.upper("table")).alias("target"))
+    return topics.unionByName(rows).groupBy("target").agg(F.count(F.lit(1)).alias("rows"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_envelope": q_parse_envelope,
     "parse_page_log": q_parse_page_log,
@@ -362,4 +527,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_from_offsets": q_read_from_offsets,
     "stream_route_counts": q_stream_route_counts,
     "stream_dau_info": q_stream_dau_info,
+    "page_dead_letter": q_page_dead_letter,
+    "cdc_dead_letter": q_cdc_dead_letter,
+    "stream_log_restart": q_stream_log_restart,
+    "ledger_restart": q_ledger_restart,
+    "dim_store_batches": q_dim_store_batches,
+    "stream_dau_state_restore": q_stream_dau_state_restore,
+    "stream_dau_ledger": q_stream_dau_ledger,
+    "route_payloads": q_route_payloads,
+    "cdc_fact_payloads": q_cdc_fact_payloads,
+    "stream_cdc_split": q_stream_cdc_split,
 }

@@ -2,26 +2,37 @@
 per-batch functions, see ``daystream.streaming``).
 
 * log split: envelopes -> all routed messages (one pass) + ledger save
-* change split: envelopes -> fact messages + latest dimension rows + ledger
-* daily active users: page records -> first seen per (dt, mid), minus the
-  devices already in the result table -> dimensions -> upsert
+* change split: envelopes -> fact messages + latest dimension rows + dead
+  letters + ledger
+* daily active users: page messages -> first seen per (dt, mid), minus the
+  devices already in the result table -> dimensions -> append + dead letters
+  + ledger
+
+Each takes envelopes from anywhere (:func:`daystream.sources.kafka.kafka_batch`,
+files in the envelope layout); the ``*_job`` forms make them from a folder of
+the provided tables. ``run_id`` names the run that numbers the batches: the
+same run and batch replaces what it wrote before. The ``*_job`` forms are a new
+run unless they are given one.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daystream import schemas
+from daystream.functions.routing import DEAD_LETTER_TOPIC, PAGE_TOPIC
 from daystream.operators import cdc, dau, ledger, log_split
-from daystream.operators.joins import has_at_most
-from daystream.operators.parse import parse_log
+from daystream.operators.parse import dead_letter, parse_log, read_page_messages
+from daystream.sinks.dims import append_dims, read_dims
 from daystream.sinks.topics import write_messages
-from daystream.sinks.upsert import (append_partitions, read_table, stage, table_exists,
-                                    touched_partitions, upsert_partitions)
+from daystream.sinks.upsert import (append_partitions, read_table, staged, table_exists,
+                                    touched_partitions)
 from daystream.sources.envelopes import (CHANGE_TOPIC, LOG_TOPIC, change_envelopes_from,
                                          log_envelopes_from, routing_table)
 
@@ -31,25 +42,24 @@ CHANGE_GROUP = "ODS_BASE_DB_GROUP"
 #: Consumer group of the DAU job.
 DAU_GROUP = "dwd_dau"
 
-#: Most distinct users of one DAU batch for which the user dimension is
-#: pre-filtered by broadcast ids.
-MAX_LOOKUP_KEYS = 500_000
 
-DIM_SCHEMA = "table string, id string, data string, op string, src_partition int, " \
-             "src_offset bigint, src_ts timestamp, deleted boolean, dim_part string"
-DIM_COLS = ["table", "id", "data", "op", "src_partition", "src_offset", "src_ts", "deleted",
-            "dim_part"]
-#: Hash buckets per dimension table: a micro-batch rewrites only the
-#: buckets its changed keys fall in, not the whole dimension. Fixed for the
-#: life of a table (the bucket is part of the stored partition); 64 keeps
-#: files well sized from thousands to ~10^8 keys per table.
-DIM_BUCKETS = 64
+def new_run() -> str:
+    return uuid.uuid4().hex[:12]
 
 
-def dim_part(table="table", key="id", buckets: int = DIM_BUCKETS):
-    """Storage partition of a dimension row: ``<table>_<bucket of id>``."""
-    b = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets))
-    return F.concat_ws("_", F.col(table), F.lpad(b.cast("string"), 4, "0"))
+@contextmanager
+def _kept(df: DataFrame, persist: bool):
+    """``df``, held in memory and on disk for the block if ``persist``: right for
+    a bounded micro-batch that several outputs read, not for a back-fill, whose
+    file source is better read again."""
+    if not persist:
+        yield df
+        return
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
 
 def save_ledger(spark: SparkSession, path: str, env: DataFrame, group_id: str,
@@ -58,105 +68,92 @@ def save_ledger(spark: SparkSession, path: str, env: DataFrame, group_id: str,
     partition the batch read (only the position columns of ``env`` are
     read: ``topic, partition, offset``) are appended to the ledger log at
     ``path``; :func:`read_ledger` gives the current positions. Appending
-    one tiny file per batch keeps the per-batch cost flat."""
+    one tiny file per batch keeps the per-batch cost flat; the rows of all
+    tasks meet in the aggregate's shuffle, one row per partition after it."""
     ranges = ledger.offset_ranges(env.select("topic", "partition", "offset"))
-    ledger.save_rows(ranges, group_id, batch_id).coalesce(1).write.mode("append").parquet(path)
+    (ledger.save_rows(ranges, group_id, batch_id).repartition(1)
+     .write.mode("append").parquet(path))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Current positions ``(group_id, topic, partition, until_offset,
-    batch_id)`` from the ledger log."""
+    batch_id)`` from the ledger log, empty if there is none yet."""
+    return _current_saves(spark, path).drop("saved_at")
+
+
+def _current_saves(spark: SparkSession, path: str) -> DataFrame:
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], schemas.LEDGER)
     return ledger.latest(spark.read.schema(schemas.LEDGER).parquet(path))
 
 
 def compact_ledger(spark: SparkSession, path: str) -> None:
     """Replace the ledger log by its current positions (one row per
-    partition), staged first."""
-    current = stage(spark, read_ledger(spark, path), "ledger-compact")
-    current.coalesce(1).write.mode("overwrite").parquet(path)
+    partition), staged first. For a time without a running job: rows saved
+    while it runs would be lost."""
+    with staged(spark, _current_saves(spark, path), "ledger-compact") as current:
+        current.repartition(1).write.mode("overwrite").parquet(path)
 
 
-def process_log_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int,
+def process_log_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int = 0,
                       group_id: str = LOG_GROUP, persist: bool = False,
-                      sink_format: str = "parquet", sink_options: dict | None = None) -> None:
+                      sink_format: str = "parquet", sink_options: dict | None = None,
+                      run_id: str = "batch") -> None:
     """One batch of the log split: every routed message in one pass (to
-    ``out_dir/topics``, where a replayed batch replaces its own partitions,
-    or to Kafka with ``sink_format="kafka"``), then the ledger.
-
-    ``persist`` keeps the batch for the ledger step instead of reading the
-    source again: right for a bounded micro-batch (a Kafka source cannot
-    prune columns), not for a large back-fill whose file source can read
-    the position columns alone.
-    """
-    if persist:
-        env = env.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    ``out_dir/topics``, or to Kafka with ``sink_format="kafka"``), then the
+    ledger. ``persist``: see :func:`_kept`."""
+    with _kept(env, persist) as env:
         msgs = log_split.route_messages(parse_log(env))
         write_messages(msgs, os.path.join(out_dir, "topics"), batch_id=batch_id,
-                       fmt=sink_format, options=sink_options)
+                       fmt=sink_format, options=sink_options, run_id=run_id)
         save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id)
-    finally:
-        if persist:
-            env.unpersist()
 
 
-def log_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int = 0) -> str:
-    process_log_batch(spark, log_envelopes_from(spark, sf_dir), out_dir, batch_id)
+def log_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int = 0,
+                  run_id: str | None = None) -> str:
+    process_log_batch(spark, log_envelopes_from(spark, sf_dir), out_dir, batch_id,
+                      run_id=run_id or new_run())
     return out_dir
 
 
-def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int,
+def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int = 0,
                          routing: DataFrame | None = None, on_delete: str = "keep",
                          group_id: str = CHANGE_GROUP, sink_format: str = "parquet",
-                         sink_options: dict | None = None) -> None:
-    """One batch of the change split: fact messages, the dimension table
-    (``out_dir/dims``, partitioned by table and hash bucket of the key; a
-    batch rewrites only the buckets it touches), the ledger.
-
-    The routing table is re-read for every batch so list changes apply
-    without a restart. The parsed batch feeds two outputs, so it is
-    persisted for the duration of the batch.
+                         sink_options: dict | None = None, run_id: str = "batch",
+                         persist: bool = False, key: str | None = None) -> None:
+    """One batch of the change split: fact messages and dead letters
+    (``out_dir/topics``), the latest row per changed dimension key (appended to
+    the store at ``out_dir/dims``), the ledger.
+
+    ``routing`` is the current ``(table, kind)`` list, by default the built-in
+    one. ``key``: field of the row image that becomes the message key.
+    ``persist`` keeps the parsed micro-batch for the several outputs.
     """
     routing = routing if routing is not None else routing_table(spark)
-    parsed = cdc.parse_changes(env).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with _kept(cdc.parse_changes(env), persist) as parsed:
         changes = cdc.with_op(parsed)
-        write_messages(cdc.fact_route(changes, routing), os.path.join(out_dir, "topics"),
-                       batch_id=batch_id, fmt=sink_format, options=sink_options)
-        # latest change per key in this batch, upserted into the touched
-        # buckets only; a later batch always wins over the stored row
-        # (on_delete="drop": a delete is stored as a tombstone readers skip)
+        dead = cdc.change_dead_letter(parsed, routing).select(
+            F.lit(DEAD_LETTER_TOPIC).alias("topic"), F.lit(None).cast("string").alias("key"),
+            F.coalesce("value", F.lit("")).alias("value"))
+        facts = cdc.fact_route(changes, routing, key=key).select("topic", "key", "value")
+        write_messages(facts.unionByName(dead), os.path.join(out_dir, "topics"),
+                       batch_id=batch_id, fmt=sink_format, options=sink_options, run_id=run_id)
         latest = cdc.dim_latest(cdc.dim_changes(changes, routing))
-        deleted = (F.col("op") == "D") if on_delete == "drop" else F.lit(False)
-        latest = latest.withColumn("deleted", deleted).withColumn("dim_part", dim_part())
-        upsert_partitions(spark, latest.select(*DIM_COLS), os.path.join(out_dir, "dims"),
-                          ["dim_part", "table", "id"], partition_col="dim_part")
+        append_dims(latest, os.path.join(out_dir, "dims"), run_id, batch_id, on_delete)
         # positions of every message read, including dropped change types
         positions = parsed.select(F.col("src_topic").alias("topic"),
                                   F.col("src_partition").alias("partition"),
                                   F.col("src_offset").alias("offset"))
         save_ledger(spark, os.path.join(out_dir, "ledger"), positions, group_id, batch_id)
-    finally:
-        parsed.unpersist()
 
 
-def cdc_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int = 0) -> str:
-    process_change_batch(spark, change_envelopes_from(spark, sf_dir), out_dir, batch_id)
+def cdc_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int = 0,
+                  run_id: str | None = None) -> str:
+    process_change_batch(spark, change_envelopes_from(spark, sf_dir), out_dir, batch_id,
+                         run_id=run_id or new_run())
     return out_dir
 
 
-def read_dims(spark: SparkSession, dims_path: str,
-              tables: tuple[str, ...] = ("user_info", "base_province")) -> DataFrame:
-    """Live stored dimension rows of ``tables`` (partition-pruned by the
-    table prefix of ``dim_part``; tombstones left out)."""
-    df = spark.read.schema(DIM_SCHEMA).parquet(dims_path).where(~F.col("deleted"))
-    cond = None
-    for t in tables:
-        c = F.col("dim_part").startswith(f"{t}_")
-        cond = c if cond is None else cond | c
-    return df.where(cond) if cond is not None else df
-
-
 def seen_devices(spark: SparkSession, dau_path: str, days: list[str] | None = None) -> DataFrame:
     """Devices already counted, ``(dt, mid)``, for ``days`` (default: all;
     read with a partition filter and only the ``mid`` column). A result
@@ -170,39 +167,59 @@ def seen_devices(spark: SparkSession, dau_path: str, days: list[str] | None = No
 
 
 def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, dau_path: str,
-                       as_of=None, tz: str | None = None) -> None:
-    """One batch of the DAU job.
+                       as_of=None, tz: str | None = None, check_stored: bool = True) -> None:
+    """One batch of typed page records of the DAU job.
 
     The result table is the seen-set: devices already stored for a day are
-    removed (anti join on ``(dt, mid)`` against only the days present in
-    the batch), the rest are enriched and appended: their keys are new, so
-    no stored partition is rewritten. Replaying a batch therefore adds
-    nothing twice, and losing the streaming state loses nothing, for every
-    day the batch touches.
-
-    The first-seen rows are written to a staging table under the
-    checkpoint root first: the same rows feed the touched-day probe, the
-    anti join and the write, and the lineage back to the source is cut.
+    removed (:func:`daystream.operators.dau.new_only` against only the days
+    present in the batch), the rest are enriched and appended: their keys are
+    new, so no stored partition is rewritten. Replaying a batch therefore
+    adds nothing twice, and losing the streaming state loses nothing.
+
+    ``check_stored=False`` appends without reading the table, for a caller
+    that knows its keys are new (a state store that has seen them all).
+
+    The first-seen rows are staged under the checkpoint root for the length of
+    the batch: the same rows feed the touched-day probe, both joins and the
+    write, and the lineage back to the source is cut.
     """
-    first = dau.first_seen(dau.session_first_pages(pages), tz=tz)
-    if not table_exists(spark, dau_path):
-        out = dau.dau_info(first, cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of,
-                           tz=tz)
-        upsert_partitions(spark, out, dau_path, ["dt", "mid"])
-        return
-    first = stage(spark, first, "dau-first-seen")
-    # user ids of the staged rows (a superset of those left after the anti
-    # join, and cheap to read)
-    ids = first.select("user_id").distinct()
-    stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
-    first = dau.new_only(first, touched_partitions(stored, first, "dt"))
-    users = cdc.user_dim(dims)
-    if has_at_most(ids, MAX_LOOKUP_KEYS):
-        # a micro-batch needs few users: filter the user dimension map-side
-        # with the broadcast ids instead of shuffling all of it for the join
-        users = users.join(F.broadcast(ids), "user_id", "left_semi")
-    out = dau.dau_info(first, users, cdc.province_dim(dims), as_of=as_of, tz=tz)
-    append_partitions(out, dau_path)
+    usable = pages.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
+    first = dau.first_seen(dau.session_first_pages(usable), tz=tz)
+    with staged(spark, first, "dau-first-seen") as first:
+        if check_stored and table_exists(spark, dau_path):
+            stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
+            first = dau.new_only(first, touched_partitions(stored, first, "dt"))
+        out = dau.dau_info(first, cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of, tz=tz)
+        append_partitions(out.repartitionByRange("dt", "mid"), dau_path)
+
+
+def process_page_messages(spark: SparkSession, env: DataFrame, dims: DataFrame, out_dir: str,
+                          batch_id: int = 0, as_of=None, tz: str | None = None,
+                          group_id: str = DAU_GROUP, persist: bool = False,
+                          run_id: str = "batch") -> None:
+    """One batch of page-topic messages: the DAU rows (``out_dir/dau``), the
+    messages that are no page record (``out_dir/topics``, dead letters), then
+    the end positions of all messages read (``out_dir/ledger``)."""
+    with _kept(env, persist) as env:
+        read = read_page_messages(env)
+        dead = dead_letter(read).select(
+            F.lit(DEAD_LETTER_TOPIC).alias("topic"), F.lit(None).cast("string").alias("key"),
+            F.coalesce("value", F.lit("")).alias("value"))
+        write_messages(dead, os.path.join(out_dir, "topics"), batch_id=batch_id,
+                       run_id=run_id)
+        process_page_batch(spark, read.where(F.col("dead_reason").isNull()), dims,
+                           os.path.join(out_dir, "dau"), as_of=as_of, tz=tz)
+        save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id)
+
+
+def page_messages(pages: DataFrame) -> DataFrame:
+    """Typed page records with their position as page-topic envelopes."""
+    return pages.select(
+        F.lit(None).cast("string").alias("key"),
+        F.to_json(F.struct(*schemas.PAGE_LOG.names)).alias("value"),
+        F.lit(PAGE_TOPIC).alias("topic"),
+        F.col("src_partition").alias("partition"), F.col("src_offset").alias("offset"),
+        F.timestamp_millis("ts").alias("timestamp"))
 
 
 def dau_job(spark: SparkSession, sf_dir: str, dau_path: str, dims_path: str | None = None,
@@ -218,6 +235,7 @@ def dau_job(spark: SparkSession, sf_dir: str, dau_path: str, dims_path: str | No
     return dau_path
 
 
-__all__ = ["CHANGE_TOPIC", "LOG_TOPIC", "cdc_split_job", "dau_job", "log_split_job",
-           "process_change_batch", "process_log_batch", "process_page_batch", "read_dims",
-           "compact_ledger", "read_ledger", "save_ledger", "seen_devices"]
+__all__ = ["CHANGE_TOPIC", "LOG_TOPIC", "cdc_split_job", "compact_ledger", "dau_job",
+           "log_split_job", "new_run", "page_messages", "process_change_batch",
+           "process_log_batch", "process_page_batch", "process_page_messages", "read_dims",
+           "read_ledger", "save_ledger", "seen_devices"]

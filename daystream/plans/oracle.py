@@ -300,6 +300,104 @@ FROM rec r LEFT JOIN saved s ON r.src_partition = s.src_partition
 WHERE r.src_offset >= coalesce(s.until_offset, 0)""",
 }
 
+# Broken copies: of every 97th page position, and of every change whose offset
+# is a multiple of 97; they keep the partition, offsets go up by 2^40.
+_BAD_OFFSET = 1 << 40
+_BAD_CHANGE = f"""
+bad AS (
+  SELECT src_partition, src_offset + {_BAD_OFFSET} AS src_offset, (src_offset // 97) % 6 AS kind
+  FROM ops WHERE src_offset % 97 = 0
+)"""
+
+ORACLE_SQL.update({
+    "page_dead_letter": _w(_LOG) + f"""
+SELECT src_partition, src_offset + {_BAD_OFFSET} AS src_offset,
+  ['corrupt', 'empty', 'missing_mid', 'missing_ts'][1 + (src_offset * 4 + src_partition) // 97 % 4] AS reason
+FROM pages WHERE (src_offset * 4 + src_partition) % 97 = 0""",
+
+    "cdc_dead_letter": _w(_CHG, _BAD_CHANGE) + """
+SELECT src_partition, src_offset, ['corrupt', 'empty', 'missing_table', 'missing_type', 'missing_data',
+  'missing_id'][1 + kind] AS reason FROM bad""",
+
+    "ledger_restart": _w(_LOG) + """
+SELECT 'g1' AS group_id, 'ODS_BASE_LOG' AS topic, src_partition AS partition,
+  max(src_offset) + 1 AS until_offset, CAST(0 AS BIGINT) AS batch_id
+FROM rec GROUP BY src_partition""",
+
+    "dim_store_batches": _w(_CHG) + f"""
+SELECT "table", id, op, src_partition, src_offset FROM (
+  SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY src_offset DESC) AS rn
+  FROM ops WHERE op IS NOT NULL AND "table" IN {_DIM_TABLES}
+) WHERE rn = 1 AND op <> 'D'""",
+
+    "stream_dau_state_restore": _w(_LOG, _FIRST) + """
+SELECT dt, mid, count(*) AS rows FROM firsts GROUP BY dt, mid""",
+
+    "stream_dau_ledger": _w(_LOG) + f"""
+SELECT 'dwd_dau' AS group_id, 'DWD_PAGE_LOG_TOPIC_20220629' AS topic, src_partition AS partition,
+  max(CASE WHEN (src_offset * 4 + src_partition) % 97 = 0 THEN src_offset + {_BAD_OFFSET} ELSE src_offset END) + 1
+    AS until_offset
+FROM pages GROUP BY src_partition""",
+
+    "stream_cdc_split": _w(_CHG, _BAD_CHANGE) + f"""
+SELECT target, count(*) AS rows FROM (
+  SELECT concat('DWD_', upper("table"), '_', op, '_20220629') AS target
+  FROM ops WHERE op IS NOT NULL AND "table" IN {_FACT_TABLES}
+  UNION ALL SELECT 'DWD_DEAD_LETTER_20220629' FROM bad
+  UNION ALL SELECT concat('DIM:', upper("table")) FROM (
+    SELECT DISTINCT "table", id FROM ops WHERE op IS NOT NULL AND "table" IN {_DIM_TABLES})
+) GROUP BY target""",
+
+    "route_payloads": _w(_LOG) + """
+, base AS (
+  SELECT *, CAST(NULL AS VARCHAR) AS none FROM pages
+), starts AS (
+  SELECT concat('mid_', u) AS mid, CAST(u AS VARCHAR) AS user_id, CAST(u % 27 AS VARCHAR) AS province_id,
+    concat('ch_', i % 4) AS channel, CAST(i % 2 AS VARCHAR) AS is_new, concat('md_', i % 7) AS model,
+    concat('os_', i % 3) AS operate_system, concat('v', i % 6) AS version_code, concat('ba_', i % 5) AS brand, *
+  FROM rec WHERE NOT malformed AND NOT is_err AND is_start
+), views AS (SELECT *, unnest(range(1, i % 4 + 1)) AS p FROM base WHERE page_id = 'view'),
+clicks AS (SELECT *, unnest(range(1, i % 3 + 2)) AS p FROM base WHERE page_id = 'click'),
+every AS (
+  SELECT 'DWD_PAGE_LOG_TOPIC_20220629' AS topic, src_partition, src_offset, mid, user_id, province_id, channel, is_new, model,
+    operate_system, version_code, brand, page_id, last_page_id, page_item, page_item_type, CAST(during_time AS VARCHAR) AS during_time, sourceType,
+    none AS display_type, none AS display_item, none AS display_order, none AS display_pos_id, none AS action_id, none AS action_item, none AS action_ts,
+    none AS entry, none AS open_ad_id, none AS loading_time_ms, none AS open_ad_ms, none AS open_ad_skip_ms, CAST(ts AS VARCHAR) AS ts FROM base
+  UNION ALL
+  SELECT 'DWD_PAGE_DISPLAY_TOPIC_20220629', src_partition, src_offset, mid, user_id, province_id, channel, is_new, model,
+    operate_system, version_code, brand, page_id, last_page_id, page_item, page_item_type, CAST(during_time AS VARCHAR), sourceType,
+    CASE WHEN p % 2 = 1 THEN 'query' ELSE 'promotion' END, CAST((i + p) % 100 AS VARCHAR), CAST(p AS VARCHAR), CAST(p % 5 + 1 AS VARCHAR),
+    none, none, none, none, none, none, none, none, CAST(ts AS VARCHAR) FROM views
+  UNION ALL
+  SELECT 'DWD_PAGE_ACTION_TOPIC_20220629', src_partition, src_offset, mid, user_id, province_id, channel, is_new, model,
+    operate_system, version_code, brand, page_id, last_page_id, page_item, page_item_type, CAST(during_time AS VARCHAR), sourceType,
+    none, none, none, none, CASE p WHEN 1 THEN 'favor_add' WHEN 2 THEN 'cart_add' ELSE 'get_coupon' END, CAST((i * 3 + p) % 100 AS VARCHAR), CAST(ts + p AS VARCHAR),
+    none, none, none, none, none, CAST(ts AS VARCHAR) FROM clicks
+  UNION ALL
+  SELECT 'DWD_START_LOG_TOPIC_20220629', src_partition, src_offset, mid, user_id, province_id, channel, is_new, model,
+    operate_system, version_code, brand, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    CASE WHEN i % 2 = 0 THEN 'icon' ELSE 'notice' END, CAST(i % 20 AS VARCHAR), CAST(i % 5000 + 100 AS VARCHAR), CAST(i % 3000 AS VARCHAR),
+    CASE WHEN i % 4 = 0 THEN NULL ELSE CAST(i % 1000 AS VARCHAR) END, CAST(tsm AS VARCHAR) FROM starts
+) SELECT * FROM every""",
+
+    "cdc_fact_payloads": """
+WITH image AS (
+  SELECT 'ORDER_INFO' AS t, o_orderkey AS k, 0 AS slot, o_orderkey % 6 AS t6, CAST(o_custkey AS VARCHAR) AS user_id, o_orderstatus AS order_status,
+    o_totalprice AS total_amount, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS create_time, CAST(NULL AS VARCHAR) AS order_id, CAST(NULL AS VARCHAR) AS sku_id,
+    CAST(NULL AS VARCHAR) AS sku_num, CAST(NULL AS DOUBLE) AS order_price, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS region_id,
+    CAST(NULL AS VARCHAR) AS area_code, CAST(NULL AS VARCHAR) AS iso_code, CAST(NULL AS VARCHAR) AS iso_3166_2 FROM orders
+  UNION ALL SELECT 'ORDER_DETAIL', l_orderkey * 8 + l_linenumber, 2, (l_orderkey * 8 + l_linenumber) % 6, NULL, NULL, NULL, NULL,
+    CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), l_extendedprice, NULL, NULL, NULL, NULL, NULL FROM lineitem
+  UNION ALL SELECT 'BASE_PROVINCE', n_nationkey, s, CASE WHEN s = 8 THEN 0 ELSE n_nationkey % 6 END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+    CASE WHEN s = 8 THEN concat(n_name, '_v1') ELSE n_name END, CAST(n_regionkey AS VARCHAR),
+    CASE WHEN s = 8 THEN '0' ELSE CAST(110000 + n_nationkey * 10000 AS VARCHAR) END, concat('ISO_', n_nationkey), concat('CN-', n_nationkey)
+    FROM nation, (VALUES (8), (9)) v(s)
+)
+SELECT concat('DWD_', t, '_', ['I', 'I', 'U', 'D'][t6 + 1], '_20220629') AS topic, CAST(k AS VARCHAR) AS key, CAST(k AS VARCHAR) AS id,
+  CAST(k % 4 AS INTEGER) AS src_partition, CAST((k // 4) * 16 + slot AS BIGINT) AS src_offset, * EXCLUDE (t, k, slot, t6)
+FROM image WHERE t6 < 4""",
+})
+ORACLE_SQL["stream_log_restart"] = ORACLE_SQL["route_all_topics"]
 # The streaming forms must give the batch answers.
 ORACLE_SQL["stream_route_counts"] = ORACLE_SQL["route_all_topics"]
 ORACLE_SQL["stream_dau_info"] = ORACLE_SQL["dau_info"]

@@ -102,4 +102,5 @@ LEDGER = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("until_offset", L),
     T.StructField("batch_id", L),
+    T.StructField("saved_at", T.TimestampType()),
 ])

@@ -9,11 +9,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
+def scale_settings(input_bytes: int, cores: int, max_partitions: int = 200_000) -> dict[str, str]:
     """Partition sizing for a run over ``input_bytes`` on ``cores`` task slots.
 
     Shuffles start with about one partition per 256 MB of input (at least
-    two per core, at most 200,000) and AQE coalesces them towards 128 MB at
+    two per core, at most ``max_partitions``, what one driver can track) and AQE coalesces them towards 128 MB at
     run time, so no reducer holds more than a few hundred MB even when the
     input is 100 TB (~400,000 partitions capped to 200,000, i.e. ~500 MB
     each before coalescing, spill-safe with the sort-based aggregates used
@@ -21,7 +21,7 @@ def scale_settings(input_bytes: int, cores: int) -> dict[str, str]:
     times the median and over 512 MB) are split by AQE.
     """
     per_partition = 256 << 20
-    shuffle = max(2 * cores, min(200_000, -(-input_bytes // per_partition)))
+    shuffle = max(2 * cores, min(max_partitions, -(-input_bytes // per_partition)))
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(per_partition),

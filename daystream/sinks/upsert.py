@@ -3,8 +3,8 @@
 A document index replaces a document with the same id; plain files cannot
 do that, so an upsert rewrites the partitions it touches:
 
-1. read only the touched partitions of the stored table (a static
-   partition filter on the touched values, see :func:`touched_partitions`),
+1. read only the touched partitions of the stored table (see
+   :func:`touched_partitions`),
 2. keep stored rows whose key is not in the incoming batch, add the
    incoming rows,
 3. write the result to a staging table under the shared checkpoint root
@@ -12,28 +12,27 @@ do that, so an upsert rewrites the partitions it touches:
    replaces, and a lost executor only recomputes from the staging copy),
 4. overwrite just those partitions with ``partitionOverwriteMode=dynamic``.
 
-Applying the same batch twice gives the same table.
+Applying the same batch twice gives the same table. The overwrite replaces
+one partition folder after another, so it is meant for one writer without
+readers at that moment (back-fills, corrections); the jobs' own outputs are
+append-only.
 """
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daystream.session import scratch_path
 
-#: Most partition values (e.g. days) one batch may touch for the static
-#: partition filter; above it the stored side is pruned by a semi join.
-MAX_TOUCHED_PARTITIONS = 10_000
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists. (A write with dynamic partition
     overwrite leaves no ``_SUCCESS`` marker at the root, so the folder
     itself is the test; an empty folder reads as an empty table.)"""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jvm_path))
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p))
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -42,33 +41,60 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
-def touched_partitions(stored: DataFrame, incoming: DataFrame, partition_col: str,
-                       max_values: int = MAX_TOUCHED_PARTITIONS) -> DataFrame:
+def touched_partitions(stored: DataFrame, incoming: DataFrame, partition_col: str) -> DataFrame:
     """Rows of ``stored`` in the partitions that ``incoming`` touches.
 
-    The distinct partition values of a batch (days) are few and bounded by
-    the calendar, so they are fetched (at most ``max_values`` + 1 of them)
-    and applied as a literal filter: the scan then lists and reads only
-    those partition folders. Dynamic partition pruning is not used because
-    it does not apply to the anti joins downstream. Above the bound the
-    stored side is pruned with a semi join instead.
+    One path for any number of partitions: the smallest and largest touched
+    value prune the folders that are listed and read (a batch's days lie
+    close together), and a semi join on the exact values drops the folders
+    between them that are not touched.
     """
-    vals = [r[0] for r in incoming.select(partition_col).distinct()
-            .limit(max_values + 1).collect()]
-    if len(vals) <= max_values:
-        return stored.where(F.col(partition_col).isin(vals)) if vals else stored.limit(0)
-    return stored.join(incoming.select(partition_col).distinct(), partition_col, "left_semi")
+    lo, hi = incoming.agg(F.min(partition_col), F.max(partition_col)).first()
+    if lo is None:
+        return stored.limit(0)
+    return (stored.where(F.col(partition_col).between(lo, hi))
+            .join(incoming.select(partition_col).distinct(), partition_col, "left_semi"))
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to a fresh folder under the shared checkpoint root
     and read it back: later steps reuse the rows instead of recomputing
-    them, and a lost executor recomputes from the copy, not the source."""
+    them, and a lost executor recomputes from the copy, not the source.
+    The copy stays; per-batch code uses :func:`staged`, which drops it."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(spark: SparkSession, df: DataFrame, name: str = "stage"):
+    """:func:`stage` for the length of a ``with`` block; the copy is deleted
+    at its end (through the file system API, so also on shared storage)."""
+    path = scratch_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        drop_folder(spark, path)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def list_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Folders ``depth`` levels below ``path`` (none if it does not exist)."""
+    p, fs = _fs(spark, path + "/*" * depth)
+    found = fs.globStatus(p) or []
+    return sorted(f.getPath().toString() for f in found if f.isDirectory())
+
+
 def write_clustered(df: DataFrame, path: str, partition_col: str, keys: list[str],
                     mode: str = "overwrite") -> None:
     """Write ``df`` partitioned by ``partition_col`` with rows range-clustered
@@ -96,15 +122,21 @@ def upsert_partitions(spark: SparkSession, incoming: DataFrame, path: str,
     and the merge all read the staged copy. The merge is staged again so
     the final overwrite never reads the partitions it replaces.
     """
-    incoming = stage(spark, incoming, "upsert-incoming")
-    if table_exists(spark, path):
-        stored = touched_partitions(read_table(spark, path, incoming.schema), incoming,
-                                    partition_col)
-        kept = stored.join(incoming.select(*keys), keys, "left_anti")
-        merged = stage(spark, kept.unionByName(incoming), "upsert-merged")
-    else:
-        merged = incoming
-    write_clustered(merged, path, partition_col, keys)
+    with staged(spark, incoming, "upsert-incoming") as incoming:
+        upsert_staged(spark, incoming, path, keys, partition_col)
+
+
+def upsert_staged(spark: SparkSession, incoming: DataFrame, path: str,
+                  keys: list[str], partition_col: str = "dt") -> None:
+    """:func:`upsert_partitions` for rows that are a staged copy already."""
+    if not table_exists(spark, path):
+        write_clustered(incoming, path, partition_col, keys)
+        return
+    stored = touched_partitions(read_table(spark, path, incoming.schema), incoming,
+                                partition_col)
+    kept = stored.join(incoming.select(*keys), keys, "left_anti")
+    with staged(spark, kept.unionByName(incoming), "upsert-merged") as merged:
+        write_clustered(merged, path, partition_col, keys)
 
 
 def append_partitions(incoming: DataFrame, path: str, partition_col: str = "dt") -> None:
@@ -122,4 +154,5 @@ def compact_partitions(spark: SparkSession, path: str, schema, partition_col: st
     df = read_table(spark, path, schema)
     if values is not None:
         df = df.where(F.col(partition_col).isin(values))
-    write_clustered(stage(spark, df, "compact"), path, partition_col, keys)
+    with staged(spark, df, "compact") as copy:
+        write_clustered(copy, path, partition_col, keys)

@@ -117,6 +117,15 @@ def _change_rows(df: DataFrame, table: str, key: Column, slot: int, type_sql: st
         F.to_json(data).alias("data_json"))
 
 
+def _versions(df: DataFrame, table: str, key: Column, *versions) -> DataFrame:
+    """Several changes ``(slot, type, data)`` of each row, from one scan."""
+    each = F.array(*[F.struct(F.lit(slot).alias("slot"), _e(type_sql).alias("typ"),
+                              F.to_json(data).alias("data_json"))
+                     for slot, type_sql, data in versions])
+    return (df.select(key.cast("bigint").alias("k"), F.lit(table).alias("tbl"), F.explode(each).alias("v"))
+            .select("k", "v.slot", "tbl", "v.typ", "v.data_json"))
+
+
 SOURCE_TABLES = ("order_info", "order_detail", "sku_info", "user_info", "base_province")
 
 
@@ -161,31 +170,29 @@ def change_envelopes(orders: DataFrame | None, lineitem: DataFrame | None,
             part, "sku_info", F.col("p_partkey"), _SLOTS["sku_info"], by_key("p_partkey"),
             _e("""named_struct('id', p_partkey, 'sku_name', p_name,
                  'tm_name', p_brand, 'price', p_retailprice)"""))],
-        "user_info": lambda: [
-            _change_rows(customer, "user_info", F.col("c_custkey"), u1,
-                         user_type("'bootstrap-insert'"),
-                         _e("""named_struct('id', c_custkey, 'login_name', c_name,
-                              'gender', 'U', 'birthday', '1990-01-01')""")),
-            _change_rows(customer, "user_info", F.col("c_custkey"), u2,
-                         user_type(by_key("c_custkey")),
-                         _e("""named_struct('id', c_custkey, 'login_name', c_name,
-                              'gender', case when c_custkey % 2 = 0 then 'M' else 'F' end,
-                              'birthday', date_format(date_add(date'1950-01-01',
-                                  cast((c_custkey * 37) % 20000 as int)), 'yyyy-MM-dd'))"""))],
-        "base_province": lambda: [
-            _change_rows(nation, "base_province", F.col("n_nationkey"), n1,
-                         "'bootstrap-insert'",
-                         _e("""named_struct('id', n_nationkey, 'name', concat(n_name, '_v1'),
-                              'region_id', n_regionkey, 'area_code', '0',
-                              'iso_code', concat('ISO_', n_nationkey),
-                              'iso_3166_2', concat('CN-', n_nationkey))""")),
-            _change_rows(nation, "base_province", F.col("n_nationkey"), n2,
-                         by_key("n_nationkey"),
-                         _e("""named_struct('id', n_nationkey, 'name', n_name,
-                              'region_id', n_regionkey,
-                              'area_code', cast(110000 + n_nationkey * 10000 as string),
-                              'iso_code', concat('ISO_', n_nationkey),
-                              'iso_3166_2', concat('CN-', n_nationkey))"""))],
+        "user_info": lambda: [_versions(
+            customer, "user_info", F.col("c_custkey"),
+            (u1, user_type("'bootstrap-insert'"),
+             _e("""named_struct('id', c_custkey, 'login_name', c_name,
+                  'gender', 'U', 'birthday', '1990-01-01')""")),
+            (u2, user_type(by_key("c_custkey")),
+             _e("""named_struct('id', c_custkey, 'login_name', c_name,
+                  'gender', case when c_custkey % 2 = 0 then 'M' else 'F' end,
+                  'birthday', date_format(date_add(date'1950-01-01',
+                      cast((c_custkey * 37) % 20000 as int)), 'yyyy-MM-dd'))""")))],
+        "base_province": lambda: [_versions(
+            nation, "base_province", F.col("n_nationkey"),
+            (n1, "'bootstrap-insert'",
+             _e("""named_struct('id', n_nationkey, 'name', concat(n_name, '_v1'),
+                  'region_id', n_regionkey, 'area_code', '0',
+                  'iso_code', concat('ISO_', n_nationkey),
+                  'iso_3166_2', concat('CN-', n_nationkey))""")),
+            (n2, by_key("n_nationkey"),
+             _e("""named_struct('id', n_nationkey, 'name', n_name,
+                  'region_id', n_regionkey,
+                  'area_code', cast(110000 + n_nationkey * 10000 as string),
+                  'iso_code', concat('ISO_', n_nationkey),
+                  'iso_3166_2', concat('CN-', n_nationkey))""")))],
     }
     parts = [df for t in SOURCE_TABLES if t in tables for df in builders[t]()]
     rows = parts[0]
@@ -210,44 +217,27 @@ _SOURCE_OF = {"order_info": "orders", "order_detail": "lineitem", "sku_info": "p
               "user_info": "customer", "base_province": "nation"}
 
 
-#: Inputs smaller than this (Catalyst's size estimate) are not worth a
-#: shuffle to spread them.
-MIN_SPREAD_BYTES = 1 << 20
-
-
-def min_parallelism(df: DataFrame, partitions: int | None = None,
-                    min_bytes: int = MIN_SPREAD_BYTES) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A table stored as one large row group is read by one task, and every
-    per-row step after it (JSON building and parsing) would run on one
-    core. Below ``partitions`` (default: the default parallelism) the rows
-    are redistributed round-robin (skew-free); a scan that already has
-    enough partitions (the normal case at scale) or is too small to matter
-    is left alone, so this never adds a shuffle to a large, well-split
-    input. It plays the role of the Kafka source's ``minPartitions`` option
-    for file-backed envelopes.
-    """
-    want = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(want) if size >= min_bytes else df
-
-
-def _source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def _source(spark: SparkSession, sf_dir: str, name: str,
+            min_partitions: int | None = None) -> DataFrame:
+    """One provided table; ``min_partitions`` spreads its rows round-robin (a
+    file of one row group is one scan task), like the option of that name of
+    the Kafka source. Its default is the session's ``daystream.minPartitions``."""
     from daystream.session import read_table
-    return min_parallelism(read_table(spark, sf_dir, name))
+    df = read_table(spark, sf_dir, name)
+    n = min_partitions or int(spark.conf.get("daystream.minPartitions", "0"))
+    return df.repartition(n) if n else df
 
 
-def change_envelopes_from(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES) -> DataFrame:
-    t = {_SOURCE_OF[n]: _source(spark, sf_dir, _SOURCE_OF[n]) for n in tables}
+def change_envelopes_from(spark: SparkSession, sf_dir: str, tables=SOURCE_TABLES,
+                          min_partitions: int | None = None) -> DataFrame:
+    t = {_SOURCE_OF[n]: _source(spark, sf_dir, _SOURCE_OF[n], min_partitions) for n in tables}
     return change_envelopes(t.get("orders"), t.get("lineitem"), t.get("part"),
                             t.get("customer"), t.get("nation"), tables=tables)
 
 
-def log_envelopes_from(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return log_envelopes(_source(spark, sf_dir, "events"))
+def log_envelopes_from(spark: SparkSession, sf_dir: str,
+                       min_partitions: int | None = None) -> DataFrame:
+    return log_envelopes(_source(spark, sf_dir, "events", min_partitions))
 
 
 # Which source tables are facts and which are dimensions
@@ -258,9 +248,16 @@ ROUTING = [("order_info", "fact"), ("order_detail", "fact"), ("base_province", "
 
 def routing_table(spark: SparkSession, rows=None) -> DataFrame:
     """Routing configuration ``(table, kind)`` as an inline relation (no
-    job to build it); in a running job this is a small table re-read at
-    every micro-batch."""
+    job to build it); :func:`stored_routing` reads it from a table."""
     def q(x):
         return "'" + str(x).replace("'", "''") + "'"
     values = ", ".join(f"({q(t)}, {q(k)})" for t, k in (rows or ROUTING))
     return spark.sql(f"SELECT * FROM VALUES {values} AS routing(table, kind)")
+
+
+def stored_routing(path: str, fmt: str = "parquet"):
+    """A loader ``spark -> (table, kind)`` that reads the routing table at
+    ``path`` each time it is called: the lists of a running query follow it."""
+    def load(spark: SparkSession) -> DataFrame:
+        return spark.read.schema("table string, kind string").format(fmt).load(path)
+    return load

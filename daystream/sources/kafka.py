@@ -14,21 +14,28 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystream.operators.ledger import MAX_TOPIC_PARTITIONS, ledger_read
+from daystream.operators.ledger import ledger_read
 
 
 def offsets_option(ledger: DataFrame, group_id: str, topic: str) -> str | None:
     """``startingOffsets`` JSON (``{"topic": {"0": 42, ...}}``) from the saved
     positions of ``(group_id, topic)``; ``None`` when nothing is saved (the
     caller then starts at the group's default position)."""
-    rows = ledger_read(ledger, group_id, topic).limit(MAX_TOPIC_PARTITIONS + 1).collect()
-    if len(rows) > MAX_TOPIC_PARTITIONS:
-        raise ValueError(f"more than {MAX_TOPIC_PARTITIONS} saved partitions for {topic}")
+    rows = ledger_read(ledger, group_id, topic).collect()  # one row per partition of the topic
     if not rows:
         return None
     return json.dumps({topic: {str(r.partition): int(r.until_offset) for r in rows}})
 
 
+def start_position(ledger: DataFrame | None, group_id: str, topic: str,
+                   default: str = "latest") -> str:
+    """Where a new query of ``group_id`` starts reading ``topic``: at the saved
+    positions if there are any, else at ``default``. For ``starting`` of
+    :func:`kafka_batch` and :func:`kafka_stream`."""
+    saved = offsets_option(ledger, group_id, topic) if ledger is not None else None
+    return saved if saved is not None else default
+
+
 def _envelope(df: DataFrame) -> DataFrame:
     return df.select(F.col("key").cast("string").alias("key"),
                      F.col("value").cast("string").alias("value"),

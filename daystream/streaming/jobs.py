@@ -3,8 +3,10 @@
 Each job is ``readStream -> foreachBatch(per-batch function of
 daystream.plans.jobs)`` with a checkpoint location, so offsets are
 committed only after a batch's outputs are written (at-least-once), and
-every sink is idempotent per batch (message files are keyed by batch id,
-the DAU table by ``(dt, mid)``), which makes the result effectively once.
+every sink is idempotent per batch (message files and dimension rows are keyed
+by query and batch, the DAU table by ``(dt, mid)``), which makes the result
+effectively once. A query keeps its id as long as its checkpoint; with a new
+checkpoint it is another run and adds to what the earlier one wrote.
 
 Sources: a file source over envelope files (the layout of Spark's Kafka
 source) works everywhere; :func:`kafka_stream` builds the Kafka source
@@ -13,6 +15,7 @@ when the connector is on the classpath.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from daystream import schemas
 from daystream.functions.dates import day_of
-from daystream.operators import cdc, dau
+from daystream.operators import dau
 from daystream.operators.parse import parse_page_messages
 from daystream.plans import jobs
-from daystream.sinks.upsert import upsert_partitions
 from daystream.sources.kafka import kafka_stream  # noqa: F401  (re-export)
 
 #: Micro-batch interval of the original jobs.
@@ -40,9 +42,22 @@ def envelope_stream(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.load(path)
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps in its checkpoint (written before its first batch)."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def _start(df: DataFrame, fn: Callable, checkpoint: str, trigger: dict | None,
            name: str | None) -> StreamingQuery:
-    w = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    """``fn(batch, batch_id, run_id)`` for every micro-batch."""
+    run_id: list[str] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        if not run_id:
+            run_id.append(query_id(batch.sparkSession, checkpoint))
+        fn(batch, batch_id, run_id[0])
+
+    w = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or DEFAULT_TRIGGER))
     if name:
         w = w.queryName(name)
@@ -56,9 +71,10 @@ def start_log_split(envelopes: DataFrame, out_dir: str, checkpoint: str,
     """Log split: every routed message of a batch in one pass (files under
     ``out_dir/topics`` or Kafka), then the ledger of the batch. The
     micro-batch is persisted while both steps read it."""
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, batch_id: int, run_id: str) -> None:
         jobs.process_log_batch(batch.sparkSession, batch, out_dir, batch_id, persist=True,
-                               sink_format=sink_format, sink_options=sink_options)
+                               sink_format=sink_format, sink_options=sink_options,
+                               run_id=run_id)
     return _start(envelopes, run, checkpoint, trigger, name)
 
 
@@ -66,15 +82,19 @@ def start_change_split(envelopes: DataFrame, out_dir: str, checkpoint: str,
                        routing_loader: Callable[[SparkSession], DataFrame] | None = None,
                        trigger: dict | None = None, on_delete: str = "keep",
                        name: str | None = None, sink_format: str = "parquet",
-                       sink_options: dict | None = None) -> StreamingQuery:
+                       sink_options: dict | None = None,
+                       key: str | None = None) -> StreamingQuery:
     """Change split; ``routing_loader`` is called for every batch, so the
-    fact / dimension lists can change while the query runs."""
-    def run(batch: DataFrame, batch_id: int) -> None:
+    fact / dimension lists can change while the query runs
+    (:func:`daystream.sources.envelopes.stored_routing` reads them from a
+    table; without a loader they are the built-in ones)."""
+    def run(batch: DataFrame, batch_id: int, run_id: str) -> None:
         spark = batch.sparkSession
         routing = routing_loader(spark) if routing_loader else None
         jobs.process_change_batch(spark, batch, out_dir, batch_id, routing=routing,
                                   on_delete=on_delete, sink_format=sink_format,
-                                  sink_options=sink_options)
+                                  sink_options=sink_options, run_id=run_id, persist=True,
+                                  key=key)
     return _start(envelopes, run, checkpoint, trigger, name)
 
 
@@ -91,7 +111,7 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
 
     ``mode="sink"``: the stored result is the seen-set. Each batch keeps the
     first page per (dt, mid) (deterministic), drops devices already stored
-    for that day, enriches and upserts. No streaming state; late rows of
+    for that day, enriches and appends. No streaming state; late rows of
     any age are accepted; restart and replay are idempotent.
 
     ``mode="state"``: a state store keeps the seen (mid, day) pairs;
@@ -99,14 +119,20 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
     (``watermark`` behind the newest day) evicts whole past days. Rows older
     than the watermark are dropped by the engine and counted in the query
     progress (``numRowsDroppedByWatermark``); a batch back-fill
-    (``daystream.plans.jobs.dau_job``) takes any age. Within one
-    micro-batch the state store keeps the first duplicate it meets, so
-    the same ``(dt, mid)`` keys come out as in sink mode but the kept page
-    can differ; sink mode keeps the earliest by ``(ts, position)``.
+    (``daystream.plans.jobs.dau_job``) takes any age. The first batch after a
+    start is checked against the stored days, which restores the seen-set
+    after a lost checkpoint and makes a replay add nothing; all later
+    batches are appended without reading the table. Within one micro-batch the
+    state store keeps the first duplicate it meets, so the same ``(dt, mid)``
+    keys come out as in sink mode but the kept page can differ; sink mode
+    keeps the earliest by ``(ts, position)``.
 
     Dimensions are re-read from ``dims_path`` in every batch, so changes
-    apply to later pages (processing-time lookup). Funnel counts per batch
-    are published as observed metrics named ``dau_funnel``.
+    apply to later pages (processing-time lookup); a store that does not exist
+    yet is empty. Funnel counts per batch are published as observed metrics
+    named ``dau_funnel``. Positions are not saved here: what this query gets are
+    records that are parsed and, in state mode, deduplicated already;
+    :func:`start_dau_messages` reads whole messages and keeps the ledger.
     """
     observed = pages.observe(
         "dau_funnel", F.count(F.lit(1)).alias("pages"),
@@ -118,21 +144,34 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
                  .dropDuplicates(["mid", "day"]).drop("day"))
     elif mode != "sink":
         raise ValueError("mode must be 'sink' or 'state'")
+    started: list[int] = []
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def run(batch: DataFrame, batch_id: int, run_id: str) -> None:
         spark = batch.sparkSession
-        dims = jobs.read_dims(spark, dims_path)
-        if mode == "sink":
-            jobs.process_page_batch(spark, batch, dims, dau_path, as_of=as_of, tz=tz)
-        else:
-            one = dau.first_seen(batch, tz=tz)
-            out = dau.dau_info(one, cdc.user_dim(dims), cdc.province_dim(dims),
-                               as_of=as_of, tz=tz)
-            upsert_partitions(spark, out, dau_path, ["dt", "mid"])
+        jobs.process_page_batch(spark, batch, jobs.read_dims(spark, dims_path), dau_path,
+                                as_of=as_of, tz=tz, check_stored=mode == "sink" or not started)
+        started.append(batch_id) if not started else None
 
     return _start(first, run, checkpoint, trigger, name)
 
 
+def start_dau_messages(messages: DataFrame, dims_path: str, out_dir: str, checkpoint: str,
+                       trigger: dict | None = None, as_of=None, tz: str | None = None,
+                       group_id: str = jobs.DAU_GROUP,
+                       name: str | None = None) -> StreamingQuery:
+    """The whole DAU job from page-topic messages: the result (``out_dir/dau``, as
+    ``mode="sink"`` of :func:`start_dau`), dead letters (``out_dir/topics``), and
+    after each batch the ledger (``out_dir/ledger``), from which
+    :func:`daystream.sources.kafka.start_position` finds where to go on after a
+    lost checkpoint."""
+    def run(batch: DataFrame, batch_id: int, run_id: str) -> None:
+        spark = batch.sparkSession
+        jobs.process_page_messages(spark, batch, jobs.read_dims(spark, dims_path), out_dir,
+                                   batch_id, as_of=as_of, tz=tz, group_id=group_id,
+                                   persist=True, run_id=run_id)
+    return _start(messages, run, checkpoint, trigger, name)
+
+
 def run_until_stopped(spark: SparkSession, timeout_s: float | None = None) -> None:
     """Block until any active query stops (or fails, which re-raises its
     error here), like the original jobs' run-forever loop."""
@@ -150,4 +189,5 @@ def dropped_late_rows(query: StreamingQuery) -> int:
 
 
 __all__ = ["dropped_late_rows", "envelope_stream", "kafka_stream", "page_records",
-           "run_until_stopped", "start_change_split", "start_dau", "start_log_split"]
+           "query_id", "run_until_stopped", "start_change_split", "start_dau",
+           "start_dau_messages", "start_log_split"]

@@ -46,4 +46,13 @@ def test_seen_set_read_is_partition_pruned(spark):
     first = catalog._first_seen(spark, SF).where("dt >= '2024-01-20'")
     stored = read_table(spark, path, schemas.DAU_INFO).select("dt", "mid")
     p = plan(dau.new_only(first, touched_partitions(stored, first, "dt")))
-    assert re.search(r"PartitionFilters: \[[^\]]*dt[^\]]*IN", p, re.I)
+    assert re.search(r"PartitionFilters: \[[^\]]*\(dt#\d+ >= 2024-01-2", p)
+
+
+def test_one_scan_per_dimension_source(spark):
+    """Files listed once per source, whatever the number of versions made of a row."""
+    def scans(df, table):
+        return len(re.findall(rf"FileScan parquet .*{table}\.parquet", plan(df)))
+    info = catalog.q_dau_info(spark, SF)
+    assert scans(info, "customer") == 1 and scans(info, "nation") == 1
+    assert scans(catalog.q_dau_province_join(spark, SF), "customer") == 0
