@@ -11,7 +11,7 @@ from daystream.llm import linear
 from daystream.llm import text as T
 
 #: Hash cells of each feature family, and labelled rows to fit on at most.
-CELLS, SAMPLE = 1 << 15, 2500
+CELLS, SAMPLE = 1 << 15, 1600
 THRESHOLD = 0.5
 MIN_WORDS = 50
 #: Fixed value: the characters that count as symbols.
@@ -141,8 +141,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
         return None
     raw = [np.frombuffer(x, "<i4") for x in got["cells"].to_pylist()]
     share = np.concatenate([np.frombuffer(x, "<f4") for x in got["shares"].to_pylist()]).astype(float)
-    row = np.repeat(np.arange(len(raw)), [len(x) for x in raw])
-    col = np.concatenate(raw).astype(np.int64)
+    row = np.repeat(np.arange(len(raw), dtype=np.int32), [len(x) for x in raw])
+    col = np.concatenate(raw)
+    del got
     # each cell in units of its root mean square, rare ones held back
     unit = np.sqrt(np.bincount(col, share * share, FAMILIES * CELLS) / len(raw)) + 1e-4
     value = share / unit[col]
