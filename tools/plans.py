@@ -23,13 +23,13 @@ NOTES = {
                 "`(dt, mid)` → final: one row per device and day before any join; dimension "
                 "joins broadcast by AQE from the measured size.",
     "dim_latest": "Latest row per key with `max_by` (partial aggregate before the shuffle); "
-                  "the routing list is a local relation joined by broadcast.",
-    "cdc_route_counts": "One pass: changes meet their routing rows in a broadcast join, targets "
+                  "the routing list is a local relation, broadcast by its size.",
+    "cdc_route_counts": "One pass: changes meet their routing rows in a join, targets "
                         "are counted with partial aggregation.",
-    "dau_new_only": "The stored result is read with a literal partition filter on the days "
-                    "being resumed (`PartitionFilters`), then the anti join on `(dt, mid)`.",
-    "read_from_offsets": "Saved positions (one row per partition, bounded) broadcast; the "
-                         "source is filtered map-side.",
+    "dau_new_only": "The stored result is read with a partition filter on the days being resumed "
+                    "(`PartitionFilters`), reduced to the candidates' keys, then the anti join.",
+    "read_from_offsets": "The stored positions (one row per partition) are broadcast by their size; "
+                         "the source is filtered map-side.",
 }
 
 
