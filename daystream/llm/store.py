@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from daystream.session import scratch_path
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch while a table is staged.
+TEXTS = 2000
+
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write once below ``spark.checkpoint.dir`` and read again.
@@ -14,9 +18,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage at a table that every executor can read, so a lost
     executor costs the tasks it held and not the work before the table.
     """
-    path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"llm-{name}")
+    # texts travel to Python workers in batches of rows: fewer of them while this runs
+    rows = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(TEXTS, int(rows)) if int(rows) > 0 else TEXTS))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_ROWS, rows)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def parts_for(df: DataFrame, column: str, target: int) -> tuple[int, int]:

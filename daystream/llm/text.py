@@ -7,6 +7,7 @@ bytes and on code points gives the same words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,6 +50,16 @@ def buffers(col) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]:off[-1]], off - off[0]
 
 
+def release() -> None:
+    """Give freed memory back to the machine: a Python worker lives on after its
+    task, and what its allocators keep counts against the executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def pieces(table, column: str, most: int = 1 << 20) -> Iterator:
     """Consecutive row slices of about ``most`` bytes of ``column`` each.
 
@@ -68,6 +79,7 @@ def pieces(table, column: str, most: int = 1 << 20) -> Iterator:
         to = max(at + 1, int(np.searchsorted(end, base + most, side="right")))
         yield table.slice(at, to - at)
         at = to
+    release()
 
 
 def words(data: np.ndarray, off: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
