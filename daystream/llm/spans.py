@@ -15,6 +15,15 @@ anchor differ (the graph branches there), the first document of each path is
 kept for a finer comparison, window by window, which the two operators do in
 their own way. Nothing is sampled: each window is in exactly one run.
 
+A k-mer that a large share of all documents have (a licence line, a common
+phrase) would bring very many paths to one task. :func:`common` finds those that
+are more than a ``COMMON``-th of all k-mers, fewer than ``COMMON`` of them; a
+window then takes its smallest k-mer among the others, and a common one only if
+it has no other, that is inside a shared passage, where paths are alike: at the
+passage's edges the k-mers that reach out of it are as rare as what surrounds
+it. Which k-mers are common is a property of the corpus, so equal windows still
+have equal anchors.
+
 What moves is about 0.06 runs for a byte and 0.2 for a word, packed by hash
 bucket, with runs that a task has settled on its own (a copy beside its
 original) left out, so an anchor that a third of all documents share is sent
@@ -34,10 +43,14 @@ from pyspark.sql import functions as F
 from daystream.llm import text as T
 
 LAST = (1 << 63) - 1
+#: A k-mer is common if it is more than one in so many of all k-mers.
+COMMON = 50_000
 PACKED = "bucket long, key binary, path binary, rank binary, uid binary, n binary, lo binary, count binary"
 FOUND = "uid long, kind int, spans binary"
 #: One span: first unit, number of windows, anchor (only for kind 1).
 SPAN = np.dtype([("lo", "<i4"), ("count", "<u2"), ("anchor", "<u8")])
+#: A settled span with its source: the document and unit where the first copy starts.
+SOURCED = np.dtype([("lo", "<i4"), ("count", "<i4"), ("source", "<i8"), ("at", "<i4")])
 
 
 def uid(text="text"):
@@ -74,13 +87,73 @@ def rolled(pre, start, end) -> np.ndarray:
     return T.mix((s[end] - s[start]) * q[start])
 
 
-def runs(pre, off: np.ndarray, width: int, k: int):
+def demoted(h: np.ndarray, hot) -> np.ndarray:
+    """k-mer hashes for choosing the smallest, the common ones (``hot``: sorted hashes, sieve) after all others."""
+    h = h >> np.uint64(1)
+    if hot is None or not len(hot[0]):
+        return h
+    some = np.flatnonzero(hot[1][(h & np.uint64(len(hot[1]) - 1)).astype(np.int64)])
+    at = np.searchsorted(hot[0], h[some])
+    at[at == len(hot[0])] = 0
+    h[some[hot[0][at] == h[some]]] |= np.uint64(1) << np.uint64(63)
+    return h
+
+
+def hot_set(hashes: np.ndarray):
+    hashes = np.sort(hashes)
+    sieve = np.zeros(1 << 18, bool)
+    sieve[(hashes & np.uint64(len(sieve) - 1)).astype(np.int64)] = True
+    return hashes, sieve
+
+
+def common(rows: DataFrame, units: Callable, k: int, batch: int = 4 << 20):
+    """The common k-mers, for :func:`runs`.
+
+    A task reports the k-mers that occur at least 16 times in a batch of texts;
+    what it leaves out is too little to make one common.
+    """
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            for part in T.pieces(pa.Table.from_batches([b]), "text"):
+                data, off = T.buffers(part.column("text"))
+                uoff, first, _ = units(data, off)
+                n = len(first)
+                if n >= k:
+                    h = rolled(prefix(first, 0), slice(0, n - k + 1), slice(k, n + 1)) >> np.uint64(1)
+                    row = np.repeat(np.arange(len(uoff) - 1, dtype=np.int32), np.diff(uoff))
+                    held.append(h[row[:n - k + 1] == row[k - 1:]])
+                size += len(data)
+                if size >= batch:
+                    if held:
+                        yield count(held)
+                    held, size = [], 0
+        if held:
+            yield count(held)
+
+    def count(held):
+        h = np.concatenate(held)
+        cell = (h & np.uint64((1 << 22) - 1)).astype(np.int64)
+        u, n = np.unique(h[np.bincount(cell, minlength=1 << 22)[cell] >= 16], return_counts=True)
+        many = n >= 16
+        # hash 0 with kind 0 carries the number of all k-mers
+        return pa.RecordBatch.from_arrays([pa.array(np.r_[0, np.ones(many.sum(), np.int64)]), pa.array(np.r_[np.uint64(0), u[many]].view(np.int64)),
+                                           pa.array(np.r_[len(h), n[many]])], ["kind", "hash", "n"])
+
+    from daystream.llm.store import stage
+    found = stage(rows.select("text").mapInArrow(run, "kind long, hash long, n long").groupBy("kind", "hash").agg(F.sum("n").alias("n")), "anchors")
+    total = found.filter("kind = 0").agg(F.sum("n")).first()[0] or 0
+    top = found.filter((F.col("kind") == 1) & (F.col("n") * COMMON > total)).select("hash").collect()  # fewer than COMMON rows
+    return hot_set(np.array([r[0] for r in top], np.int64).view(np.uint64))
+
+
+def runs(pre, off: np.ndarray, width: int, k: int, hot=None):
     """Runs of all texts: (first window, number of windows, anchor position), as positions in the units."""
     n = int(off[-1])
     z = np.zeros(0, np.int64)
     if n < width:
         return z, z, z
-    h = rolled(pre, slice(0, n - k + 1), slice(k, n + 1))
+    h = demoted(rolled(pre, slice(0, n - k + 1), slice(k, n + 1)), hot)
     bits = np.uint64(max(1, n.bit_length()))
     low = T.slides((h >> bits << bits) | np.arange(len(h), dtype=np.uint64), width - k + 1, np.minimum)
     at = (low & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
@@ -124,19 +197,18 @@ def unpack(table: pa.Table):
             joined("lo", "<i4").astype(np.int64), joined("count", "<u2"))
 
 
-def settled_first(anchor, path, rank):
-    """Mask of the entries whose document has the smallest rank of those with the same anchor and path."""
-    o = np.lexsort((rank, path, anchor))
-    a, p, r = anchor[o], path[o], rank[o]
+def leaders(anchor, path, rank, uid, lo):
+    """For each entry, that of the smallest rank (then uid, lo) with the same anchor and path."""
+    o = np.lexsort((lo, uid, rank, path, anchor))
+    a, p = anchor[o], path[o]
     new = np.r_[True, (a[1:] != a[:-1]) | (p[1:] != p[:-1])] if len(a) else np.zeros(0, bool)
-    low = r[np.flatnonzero(new)][np.cumsum(new) - 1] if len(a) else r
-    out = np.zeros(len(a), bool)
-    out[o] = r == low
+    out = np.zeros(len(a), np.int64)
+    out[o] = o[np.flatnonzero(new)][np.cumsum(new) - 1]
     return out
 
 
-def found_rows(uid, kind: int, lo, count, anchor=None) -> Iterator[pa.RecordBatch]:
-    """One row a document with its spans."""
+def found_rows(uid, kind: int, lo, count, anchor=None, source=None, at=None) -> Iterator[pa.RecordBatch]:
+    """One row a document with its spans: (lo, count), with the anchor (kind 1) or with the source."""
     if not len(uid):
         return
     o = np.argsort(uid, kind="stable")
@@ -144,8 +216,11 @@ def found_rows(uid, kind: int, lo, count, anchor=None) -> Iterator[pa.RecordBatc
     rec["lo"], rec["count"] = lo[o], count[o]
     if anchor is not None:
         rec["anchor"] = anchor[o]
-    raw = rec.tobytes() if kind else np.ascontiguousarray(np.stack([rec["lo"].astype("<i4"), rec["count"].astype("<i4")], 1)).tobytes()
-    step = SPAN.itemsize if kind else 8
+    if source is not None:
+        rec = np.zeros(len(o), SOURCED)
+        rec["lo"], rec["count"], rec["source"], rec["at"] = lo[o], count[o], source[o], at[o]
+    raw = rec.tobytes() if kind or source is not None else np.ascontiguousarray(np.stack([rec["lo"].astype("<i4"), rec["count"].astype("<i4")], 1)).tobytes()
+    step = len(raw) // len(o)
     u = uid[o]
     cut = np.flatnonzero(np.r_[True, u[1:] != u[:-1]])
     ends = np.r_[cut, len(u)].astype(np.int64) * step
@@ -153,7 +228,8 @@ def found_rows(uid, kind: int, lo, count, anchor=None) -> Iterator[pa.RecordBatc
     yield pa.RecordBatch.from_arrays([pa.array(u[cut]), pa.array(np.full(len(cut), kind, np.int32)), blob], ["uid", "kind", "spans"])
 
 
-def scan(rows: DataFrame, units: Callable, width: int, k: int, buckets: int, batch: int = 8 << 20) -> DataFrame:
+def scan(rows: DataFrame, units: Callable, width: int, k: int, buckets: int, hot=None, sources: bool = False,
+         batch: int = 6 << 20) -> DataFrame:
     """Pass one: the runs of all texts, packed by bucket of their anchor.
 
     ``units(data, off)`` gives (unit offsets of the rows, two arrays of 64-bit
@@ -167,7 +243,7 @@ def scan(rows: DataFrame, units: Callable, width: int, k: int, buckets: int, bat
                 data, off = T.buffers(part.column("text"))
                 uoff, first, second = units(data, off)
                 pre, pre2 = prefix(first, 0), prefix(second, 1)
-                lo, count, at = runs(pre, uoff, width, k)
+                lo, count, at = runs(pre, uoff, width, k, hot)
                 if len(lo):
                     row = np.searchsorted(uoff, lo, side="right") - 1
                     # rows without units share an offset: the last of equal offsets is the row that has them
@@ -185,10 +261,12 @@ def scan(rows: DataFrame, units: Callable, width: int, k: int, buckets: int, bat
 
     def flush(held, seen):
         anchor, path, rank, uid, lo, count = (np.concatenate(x) for x in zip(*held))
-        first = settled_first(anchor, path, rank)
+        lead = leaders(anchor, path, rank, uid, lo)
+        first = rank == rank[lead]
         late = ~first
         yield from pack_by_bucket(anchor[first], path[first], rank[first], uid[first], lo[first], count[first], buckets)
-        for f in found_rows(uid[late], 0, lo[late], count[late]):
+        from_ = (uid[lead[late]], lo[lead[late]]) if sources else (None, None)
+        for f in found_rows(uid[late], 0, lo[late], count[late], None, *from_):
             n = f.num_rows
             none = pa.array([b""] * n, pa.binary())
             # spread over the buckets, so that no reducer gets them all
@@ -200,7 +278,7 @@ def scan(rows: DataFrame, units: Callable, width: int, k: int, buckets: int, bat
     return rows.select("uid", "rank", "text").mapInArrow(run, PACKED)
 
 
-def settle(packed: DataFrame, branches: bool, buckets: int) -> DataFrame:
+def settle(packed: DataFrame, branches: bool, buckets: int, sources: bool = False) -> DataFrame:
     """Pass two, by bucket: kind 0 are settled spans; kind 1 (if ``branches``)
     the runs of a path's first document where paths around an anchor differ."""
     def run(key, table):
@@ -219,9 +297,11 @@ def settle(packed: DataFrame, branches: bool, buckets: int) -> DataFrame:
             many[:-1] |= same
         o = o[many]
         k, path, rank, uid, lo, count = (x[o] for x in (k, path, rank, uid, lo, count))
-        first = settled_first(k, path, rank)
+        lead = leaders(k, path, rank, uid, lo)
+        first = rank == rank[lead]
         late = ~first
-        out += found_rows(uid[late], 0, lo[late], count[late])
+        from_ = (uid[lead[late]], lo[lead[late]]) if sources else (None, None)
+        out += found_rows(uid[late], 0, lo[late], count[late], None, *from_)
         if branches and first.any():
             k, path, uid, lo, count = (x[first] for x in (k, path, uid, lo, count))
             q = np.lexsort((path, k))
@@ -233,6 +313,7 @@ def settle(packed: DataFrame, branches: bool, buckets: int) -> DataFrame:
             anchor = k[branch] * np.uint64(buckets) + np.uint64(key[0].as_py())
             out += found_rows(uid[branch], 1, lo[branch], count[branch], anchor)
         schema = pa.schema([("uid", pa.int64()), ("kind", pa.int32()), ("spans", pa.binary())])
+        T.release()
         return pa.Table.from_batches(out, schema) if out else schema.empty_table()
 
     return packed.groupBy("bucket").applyInArrow(run, FOUND)

@@ -7,6 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from daystream.llm import spans as S
 from daystream.llm import text as T
@@ -21,7 +22,53 @@ def word_units(data, off):
     return uoff, T.span_hash(data, start, end, 0), T.span_hash(data, start, end, 1)
 
 
-def _edges(rows: DataFrame, asked: DataFrame, width: int, buckets: int) -> DataFrame:
+def _compact(found: DataFrame, width: int) -> DataFrame:
+    """Settled runs of a document that follow one another in it and in one source, as one path: (uid, lo, words, source, at)."""
+    def run(batches):
+        for b in batches:
+            out = [[] for _ in range(5)]
+            for uid, blobs in zip(b.column("uid").to_pylist(), b.column("spans")):
+                r = np.frombuffer(b"".join(x.as_buffer() for x in blobs.values), S.SOURCED)
+                r = r[np.argsort(r["lo"], kind="stable")]
+                lo, end = r["lo"].astype(np.int64), r["lo"].astype(np.int64) + r["count"]
+                shift = r["at"].astype(np.int64) - lo
+                new = np.r_[True, (r["source"][1:] != r["source"][:-1]) | (shift[1:] != shift[:-1]) | (lo[1:] > end[:-1])]
+                cut = np.flatnonzero(new)
+                for o, v in zip(out, (np.full(len(cut), uid), lo[cut], np.maximum.reduceat(end, cut) - lo[cut] + width - 1, r["source"][cut], r["at"][cut])):
+                    o.append(v)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o).astype(np.int64)) for o in out], ["uid", "lo", "words", "source", "at"])
+
+    return S.by_document(found, 0).mapInArrow(run, "uid long, lo long, words long, source long, at long")
+
+
+def _digest(raw: bytes, start, end) -> bytes:
+    return hashlib.sha256(b" ".join([raw[x:y] for x, y in zip(start.tolist(), end.tolist())])).digest()[:16]
+
+
+def _slices(joined: DataFrame) -> DataFrame:
+    """Digests of the source slices that paths point to: (source, at, words, digest)."""
+    def run(batches):
+        for b in batches:
+            for part in T.pieces(pa.Table.from_batches([b]), "text"):
+                asked = [x for c in part.column("slices").chunks for x in c]
+                if not any(x.is_valid for x in asked):
+                    continue
+                data, off = T.buffers(part.column("text"))
+                start, end, row = T.words(data, off)
+                uoff = np.r_[0, np.cumsum(T.row_counts(row, len(off) - 1))]
+                raw, out = data.tobytes(), [[] for _ in range(4)]
+                for i, (uid, x) in enumerate(zip(part.column("uid").to_pylist(), asked)):
+                    for s in x.as_py() or ():
+                        a = uoff[i] + s["at"]
+                        for o, v in zip(out, (uid, s["at"], s["words"], _digest(raw, start[a:a + s["words"]], end[a:a + s["words"]]))):
+                            o.append(v)
+                yield pa.RecordBatch.from_arrays([pa.array(o, pa.int64()) for o in out[:3]] + [pa.array(out[3], pa.binary())], ["source", "at", "words", "digest"])
+
+    return joined.mapInArrow(run, "source long, at long, words long, digest binary")
+
+
+def _edges(joined: DataFrame, width: int, buckets: int) -> DataFrame:
     """The windows of the asked runs as edges of their own, packed by window hash."""
     def run(batches):
         held, size = [], 0
@@ -32,6 +79,8 @@ def _edges(rows: DataFrame, asked: DataFrame, width: int, buckets: int) -> DataF
                 pre, pre2 = S.prefix(first, 0), S.prefix(second, 1)
                 rank, uid = part.column("rank").to_numpy(), part.column("uid").to_numpy()
                 for i, blobs in enumerate(x for c in part.column("spans").chunks for x in c):
+                    if not blobs.is_valid:
+                        continue
                     rec = np.frombuffer(b"".join(x.as_buffer() for x in blobs.values), S.SPAN)
                     lo = T.ranges(rec["lo"].astype(np.int64), rec["count"].astype(np.int64)) + uoff[i]
                     held.append((S.rolled(pre, lo, lo + width), S.rolled(pre2, lo, lo + width), np.full(len(lo), rank[i]),
@@ -43,7 +92,7 @@ def _edges(rows: DataFrame, asked: DataFrame, width: int, buckets: int) -> DataF
         if held:
             yield from S.pack_by_bucket(*(np.concatenate(x) for x in zip(*held)), buckets)
 
-    return rows.join(asked, "uid").select("uid", "rank", "text", "spans").mapInArrow(run, S.PACKED)
+    return joined.mapInArrow(run, S.PACKED)
 
 
 def substring_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: bool = True) -> DataFrame:
@@ -57,9 +106,11 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text:
 
     The token k-mers are edges of a de Bruijn graph. Its nonbranching paths are
     compacted around anchor k-mers (see :mod:`spans`): copies of a path are
-    settled as one edge. Where the graph branches, the windows themselves
-    become edges. Two independent 64-bit hashes and the coordinates in the
-    source (document, first word, length) decide equality.
+    settled as one edge, with the document and word where its first copy
+    starts. Edges that follow one another in a document and in one source are
+    joined to long paths, and each is verified against the words at the
+    source's coordinates. Where the graph branches, the windows themselves become
+    edges, equal if two independent 64-bit hashes are.
 
     Null and empty texts have no words; texts shorter than a window lose
     nothing; a repeat within one document removes nothing; rows that share a
@@ -70,9 +121,19 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text:
     size, _ = parts_for(rows, "text", 1)
     spark = docs.sparkSession
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (8 << 20)))
-    found = stage(S.settle(S.scan(rows, word_units, width, k, buckets), True, buckets), "paths")
-    finer = S.settle(_edges(rows, S.by_document(found, 1), width, buckets), False, buckets)
-    spans = S.by_document(found.filter("kind = 0").unionByName(finer))
+    hot = S.common(rows, word_units, k)
+    found = stage(S.settle(S.scan(rows, word_units, width, k, buckets, hot, sources=True), True, buckets, sources=True), "edges")
+    paths = stage(_compact(found, width), "paths")
+    # the distinct slices of a source: few even if a third of all documents point to it
+    slices = (paths.groupBy("source", "at", "words").count().groupBy(F.col("source").alias("uid"))
+              .agg(F.collect_list(F.struct("at", "words")).alias("slices")))
+    asked = S.by_document(found, 1).join(slices, "uid", "full")
+    # both readers below see the same join, so its exchanges are made once
+    joined = rows.join(asked, "uid").select("uid", "rank", "text", "spans", "slices")
+    checked = (paths.join(_slices(joined), ["source", "at", "words"])
+               .groupBy("uid").agg(F.collect_list(F.struct("lo", "words", "digest")).alias("paths")))
+    finer = S.by_document(S.settle(_edges(joined, width, buckets), False, buckets))
+    spans = finer.join(checked, "uid", "full")
 
     names = ["doc_id", "n_words", "n_removed", "kept_sha256"] + ["text"] * with_text
 
@@ -83,13 +144,17 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text:
                 start, end, row = T.words(data, off)
                 uoff = np.r_[0, np.cumsum(T.row_counts(row, len(off) - 1))]
                 blobs = [x for c in part.column("spans").chunks for x in c]
+                long = part.column("paths").to_pylist()
                 n, gone, sha, kept = [], [], [], []
                 raw = data.tobytes()
                 for i in range(part.num_rows):
                     s, e = start[uoff[i]:uoff[i + 1]], end[uoff[i]:uoff[i + 1]]
-                    if blobs[i].is_valid:
-                        sp = S.spans_of(blobs[i].values)
-                        keep = ~T.covered(len(s), sp[:, 0], sp[:, 0] + sp[:, 1] + width - 1)
+                    if blobs[i].is_valid or long[i]:
+                        sp = S.spans_of(blobs[i].values if blobs[i].is_valid else None)
+                        same = np.array([(p["lo"], p["lo"] + p["words"]) for p in long[i] or ()
+                                         if _digest(raw, s[p["lo"]:p["lo"] + p["words"]], e[p["lo"]:p["lo"] + p["words"]]) == p["digest"]],
+                                        np.int64).reshape(-1, 2)
+                        keep = ~T.covered(len(s), np.r_[sp[:, 0], same[:, 0]], np.r_[sp[:, 0] + sp[:, 1] + width - 1, same[:, 1]])
                         left = b" ".join([raw[x:y] for x, y in zip(s[keep].tolist(), e[keep].tolist())])
                         gone.append(int(len(s) - keep.sum()))
                     else:
@@ -103,8 +168,7 @@ def substring_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text:
                 yield pa.RecordBatch.from_arrays([pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c for c in cols]
                                                  + ([pa.array(kept, pa.string())] if with_text else []), names)
 
-    joined = rows.join(spans, "uid", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text)
+    return rows.join(spans, "uid", "left").select("doc_id", "text", "spans", "paths").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text)
 
 
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ def byte_units(data, off):
     return off, T.BYTE_VALUE[0][data], T.BYTE_VALUE[1][data]
 
 
-def _cuts(rows: DataFrame, asked: DataFrame, width: int, k: int, buckets: int) -> DataFrame:
+def _cuts(rows: DataFrame, asked: DataFrame, width: int, k: int, buckets: int, hot) -> DataFrame:
     """The bytes of the asked runs, packed by bucket of their anchor."""
     def run(batches):
         held, size = [], 0
@@ -42,7 +42,7 @@ def _cuts(rows: DataFrame, asked: DataFrame, width: int, k: int, buckets: int) -
                 # the anchor is the leftmost smallest k-mer of those that all windows of the run hold
                 here, many = lo + count - 1, width - k + 2 - count
                 at = T.ranges(here, many)
-                h = S.rolled(pre, at, at + k)
+                h = S.demoted(S.rolled(pre, at, at + k), hot)
                 bits = np.uint64(max(1, int(off[-1]).bit_length()))
                 cut = np.r_[0, np.cumsum(many)[:-1]]
                 low = np.minimum.reduceat((h >> bits << bits) | at.astype(np.uint64), cut)
@@ -167,6 +167,7 @@ def _sort(cuts: DataFrame, width: int, k: int) -> DataFrame:
                 who, at = who[late], at[late]
                 found += S.found_rows(uid[who], 0, lo[who] + at, np.ones(len(who), np.int64))
         schema = pa.schema([("uid", pa.int64()), ("kind", pa.int32()), ("spans", pa.binary())])
+        T.release()
         return pa.Table.from_batches(found, schema) if found else schema.empty_table()
 
     return cuts.groupBy("bucket").applyInArrow(run, S.FOUND)
@@ -199,8 +200,9 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: boo
     size, _ = parts_for(rows, "text", 1)
     spark = docs.sparkSession
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (8 << 20)))
-    found = stage(S.settle(S.scan(rows, byte_units, width, k, buckets), True, buckets), "runs")
-    finer = _sort(_cuts(rows, S.by_document(found, 1), width, k, buckets), width, k)
+    hot = S.common(rows, byte_units, k)
+    found = stage(S.settle(S.scan(rows, byte_units, width, k, buckets, hot), True, buckets), "runs")
+    finer = _sort(_cuts(rows, S.by_document(found, 1), width, k, buckets, hot), width, k)
     spans = S.by_document(found.filter("kind = 0").unionByName(finer))
     names = ["uid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text + ["row"] * bool(extra)
 
@@ -240,7 +242,10 @@ def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
 
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-win AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS w FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+-- blocks of 500 window starts: taking a piece of a long string costs its place in it
+block AS (SELECT doc_id, b, substr(h, 1000 * b + 1, 1098) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 1000 + 1)) AS b FROM d)),
+win AS (SELECT doc_id, 500 * b + j AS i, md5(substr(s, 2 * j + 1, 100)) AS w
+        FROM (SELECT doc_id, b, s, unnest(range(0, least(500, length(s) // 2 - 49))) AS j FROM block)),
 hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p
         FROM win JOIN (SELECT w, min(doc_id) AS f FROM win GROUP BY w) USING (w) WHERE f < doc_id),
 run AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM hit),
