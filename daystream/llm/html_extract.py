@@ -31,7 +31,10 @@ def fit(pool: list[str], made: int = MADE, seed: int = 5):
 
 def pool_of(pages: DataFrame, sample: int = SAMPLE) -> list[str]:
     """Texts to fill training pages with: the blocks of a bounded sample of pages, chosen by a hash of the page."""
-    rows = pages.select(F.col("html").cast("string").alias("html")).filter("length(html) > 0").orderBy(F.xxhash64("html"), "html").limit(sample)
+    rows = pages.select(F.xxhash64("html").alias("h"), F.col("html").cast("string").alias("html")).filter("length(html) > 0")
+    # the smallest hashes first, without the pages; then one page of each
+    low = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = rows.filter(F.col("h") <= F.lit(low)).groupBy("h").agg(F.first("html").alias("html"))
     return sorted({b.text for r in rows.collect() for b in blocks(r["html"]) if len(b.text) > 20})
 
 
