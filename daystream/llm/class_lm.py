@@ -12,8 +12,10 @@ from daystream.llm import text as T
 from daystream.llm.store import parts_for, stage
 from daystream.llm.toxicity import LOWER
 
-#: Word classes, words that exchange clustering places, bytes of text in a block, weight of the backed-off part.
+#: Word classes, words that exchange clustering places one by one, bytes of text in a block, weight of the backed-off part.
 CLASSES, HEADS, BLOCK, BACKOFF = 32, 1000, 8 << 20, 5.0
+#: Exchange sweeps over the words that aren't heads.
+SWEEPS = 2
 #: Codes of a token: 0 is the end, 1..CLASSES the classes, then unknown words.
 END, UNKNOWN, ONCE = 0, CLASSES + 1, 128
 END_HASH = np.uint64(0x1D8E4E27C47D124F)
@@ -87,21 +89,51 @@ def _blocks(batch):
                np.frombuffer(get("held"), np.uint8).astype(bool), np.frombuffer(get("sizes"), "<i4").astype(np.int64), get)
 
 
-def heads(blocks: DataFrame, most: int = HEADS) -> np.ndarray:
+def _dealt(hashes, buckets: int):
+    """(bucket, indices of its words) of every bucket that has words of a block."""
+    bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+    o = np.argsort(bucket, kind="stable")
+    cut = np.flatnonzero(np.r_[True, bucket[o][1:] != bucket[o][:-1]]) if len(o) else np.zeros(0, np.int64)
+    return [(int(bucket[o[s]]), o[s:e]) for s, e in zip(cut, np.r_[cut[1:], len(o)])]
+
+
+def _joined(t, name, kind):
+    return np.frombuffer(b"".join(x.as_buffer() for c in t.column(name).chunks for x in c), kind)
+
+
+def heads(blocks: DataFrame, buckets: int, most: int = HEADS) -> np.ndarray:
     """Hashes of the most frequent training words, by rank.
 
-    A word is counted in the blocks where it is at least one token in 8,192, so
-    a block sends a bounded number of rows; a word that frequent in the corpus
-    is that frequent in some block.
+    Every training word of every block is counted: blocks send all their
+    counts, packed by bucket of the word, and each bucket gives its ``most``
+    most frequent words.
     """
     def run(batches):
         for b in batches:
             for _, _, hashes, counts, *_ in _blocks(b):
-                keep = np.flatnonzero((counts * 8192 >= counts.sum()) & (hashes != END_HASH) & (counts > 0))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[keep].view(np.int64)), pa.array(counts[keep])], ["hash", "n"])
+                some = np.flatnonzero((hashes != END_HASH) & (counts > 0))
+                dealt = [(bucket, some[x]) for bucket, x in _dealt(hashes[some], buckets)]
+                yield packed([(bucket, hashes[x], counts[x]) for bucket, x in dealt])
+
+    def packed(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1].tobytes() for r in rows], pa.binary()),
+                                           pa.array([r[2].astype("<i8").tobytes() for r in rows], pa.binary())], ["bucket", "hashes", "counts"])
 
-    top = blocks.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "hash").limit(most)
-    return np.array([r["hash"] for r in top.collect()], np.int64).view(np.uint64)  # at most ``most`` rows
+    def top(hashes, counts):
+        types, inverse = np.unique(hashes, return_inverse=True)
+        n = np.bincount(inverse, counts).astype(np.int64)
+        o = np.lexsort((types.view(np.int64), -n))[:most]
+        return types[o], n[o]
+
+    def merged(key, t):
+        return pa.Table.from_batches([packed([(key[0].as_py(), *top(_joined(t, "hashes", "<u8"), _joined(t, "counts", "<i8")))])])
+
+    kind = "bucket long, hashes binary, counts binary"
+    best = blocks.mapInArrow(run, kind).groupBy("bucket").applyInArrow(merged, kind)
+    best = best.withColumn("bucket", F.col("bucket") % 16).groupBy("bucket").applyInArrow(merged, kind)
+    rows = best.collect()  # at most 16 rows of ``most`` words
+    return top(np.concatenate([np.zeros(0, "<u8"), *(np.frombuffer(r["hashes"], "<u8") for r in rows)]),
+               np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(r["counts"], "<i8") for r in rows)]))[0]
 
 
 def head_pairs(blocks: DataFrame, known: np.ndarray) -> np.ndarray:
@@ -186,97 +218,161 @@ def exchange(pairs: np.ndarray, classes: int = CLASSES, sweeps: int = 12) -> np.
     return cls[:heads_]
 
 
-def _evidence(pairs, cls, classes):
-    """(from left, from right): log probability of each class given the class before, and of the class after given it."""
-    k = classes + 2
-    hot = np.eye(k)[np.r_[cls, END, classes + 1]]
-    m = hot.T @ pairs @ hot + 0.5
-    left = np.log(m / m.sum(0, keepdims=True))      # P(before | class), by class
-    right = np.log(m / m.sum(1, keepdims=True))     # P(after | class)
-    left[classes + 1], right[:, classes + 1] = 0.0, 0.0   # other words tell nothing
-    return left, right
-
+PLACED = "bucket long, block long, hashes binary, numbers binary, counts binary, now binary, entries long, keys binary, sums binary"
 
-PLACED = "bucket long, block long, hashes binary, numbers binary, counts binary, votes binary, weights binary"
 
+def _contexts(block, ids, hashes, counts, held, sizes, cls, fixed, buckets, classes):
+    """A block's words with their counts, classes and class contexts, packed by bucket of the word; first (bucket -1) its class pairs.
 
-def place(blocks: DataFrame, known: np.ndarray, cls: np.ndarray, pairs: np.ndarray, buckets: int, classes: int = CLASSES) -> DataFrame:
-    """Every block's words with their counts and the class their neighbours call for, packed by bucket of the word."""
+    A context is a class before (its number), a class after (classes + 2
+    more) or, last, the word before itself. The words of heads and the end
+    (``fixed``) stay where they are and need none.
+    """
+    k = classes + 2
+    width = 2 * k + 1
+    train = np.repeat(~held, sizes)
+    c = cls[ids]
+    before, after = np.r_[END, c[:-1]], np.r_[c[1:], END]
+    m = np.bincount(before[train] * k + c[train], minlength=k * k)
+    use = np.flatnonzero(train & ~fixed[ids])
+    same = np.r_[False, ids[1:] == ids[:-1]]
+    own, next_own = same[use], np.r_[same[1:], False][use]
+    found, sums = np.unique(np.r_[ids[use] * width + np.where(own, 2 * k, before[use]), (ids[use] * width + k + after[use])[~next_own]], return_counts=True)
+    first = np.searchsorted(found, np.arange(len(hashes) + 1) * width)
+    cells = [[-1], [block], [m.astype("<i8").tobytes()], [b""], [b""], [b""], [0], [b""], [b""]]
+    for bucket, x in _dealt(hashes, buckets):
+        size = np.diff(first)[x]
+        at = T.ranges(first[x], size)
+        keys = np.repeat(np.arange(len(x)), size) * width + found[at] % width
+        for cell, v in zip(cells, (bucket, block, hashes[x].tobytes(), _squeeze(x), _squeeze(counts[x]),
+                                   (cls[x] + np.where(fixed[x], ONCE, 0)).astype(np.uint8).tobytes(), len(keys), _squeeze(keys), _squeeze(sums[at]))):
+            cell.append(v)
+    names = PLACED.split(", ")
+    return pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if n.endswith("long") else pa.binary()) for v, n in zip(cells, names)], [n.split()[0] for n in names])
+
+
+def place(blocks: DataFrame, known: np.ndarray, cls: np.ndarray, buckets: int, classes: int = CLASSES) -> DataFrame:
+    """The contexts of every block's words where only the heads have classes."""
     order = np.argsort(known)
-    left, right = _evidence(pairs, cls, classes)
     of = np.r_[cls, END, classes + 1]
 
     def run(batches):
         for b in batches:
             for block, ids, hashes, counts, held, sizes, _ in _blocks(b):
-                number = _number(hashes, known, order)
-                code = of[number]
-                train = np.repeat(~held, sizes)
-                c = code[ids]
-                before, after = np.r_[END, c[:-1]], np.r_[c[1:], classes + 1]
-                use = np.flatnonzero(train & (c == classes + 1) & ((before != classes + 1) | (after != classes + 1)))
-                w, l, r = ids[use], before[use], after[use]
-                best, vote = np.full(len(hashes), -np.inf), np.zeros(len(hashes), np.int64)
-                for k in range(1, classes + 1):
-                    score = np.bincount(w, left[l, k] + right[k, r], len(hashes))
-                    better = score > best
-                    best[better], vote[better] = score[better], k
-                weight = np.bincount(w, minlength=len(hashes))
-                vote[weight == 0] = 0
-                head = code <= classes
-                vote[head], weight[head] = code[head], 1
-                bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-                o = np.argsort(bucket, kind="stable")
-                cut = np.flatnonzero(np.r_[True, bucket[o][1:] != bucket[o][:-1]])
-                cells = [[] for _ in range(7)]
-                for s, e in zip(cut, np.r_[cut[1:], len(o)]):
-                    x = o[s:e]
-                    for cell, v in zip(cells, (int(bucket[x[0]]), block, hashes[x].tobytes(), x.astype("<i4").tobytes(), counts[x].astype("<i4").tobytes(),
-                                               vote[x].astype(np.uint8).tobytes(), np.minimum(weight[x], 1 << 30).astype("<i4").tobytes())):
-                        cell.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(cells[0], pa.int64()), pa.array(cells[1], pa.int64())] + [pa.array(x, pa.binary()) for x in cells[2:]],
-                                                 [x.split()[0] for x in PLACED.split(", ")])
+                code = of[_number(hashes, known, order)]
+                yield _contexts(block, ids, hashes, counts, held, sizes, code, code <= classes, buckets, classes)
 
     return blocks.mapInArrow(run, PLACED)
 
 
-def settle(placed: DataFrame, classes: int = CLASSES) -> DataFrame:
-    """By bucket: each word's training count and class, sent back to the blocks; and (block -1) the bucket's known words."""
+def _replied(n_types, right):
+    """(training counts, classes, fixed words) of a block from the replies of the buckets."""
+    n, cls = np.zeros(n_types, np.int64), np.zeros(n_types, np.int64)
+    for i in range(right.num_rows):
+        of = np.frombuffer(right.column("classes")[i].as_buffer(), np.uint8)
+        at = _expand(right.column("numbers")[i].as_py(), len(of))
+        n[at] = _expand(right.column("counts")[i].as_py(), 2 * len(of)).astype("<u4").view("<i8")
+        cls[at] = of
+    return n, cls & (ONCE - 1), cls >= ONCE
+
+
+def replace(blocks: DataFrame, replies: DataFrame, buckets: int, classes: int = CLASSES) -> DataFrame:
+    """The contexts of every block's words where all training words have the classes of ``replies``."""
+    def run(left, right):
+        out = []
+        for block, ids, hashes, counts, held, sizes, get in _blocks(left.combine_chunks().to_batches()[0]):
+            _, cls, fixed = _replied(get("n_types"), right)
+            out.append(_contexts(block, ids, hashes, counts, held, sizes, cls, fixed, buckets, classes))
+        return pa.Table.from_batches(out)
+
+    return blocks.groupBy("block").cogroup(replies.filter("block >= 0").groupBy("block")).applyInArrow(run, PLACED)
+
+
+def class_pairs(placed: DataFrame, classes: int = CLASSES) -> np.ndarray:
+    """How often class i is followed by class j in training texts."""
+    def run(batches):
+        total = np.zeros((classes + 2) ** 2, np.int64)
+        for b in batches:
+            for x in b.column(0):
+                total += np.frombuffer(x.as_buffer(), "<i8")
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pair", "n"])
+
+    out = np.zeros((classes + 2) ** 2)
+    for r in placed.filter("bucket < 0").select("hashes").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # k x k at most
+        out[r["pair"]] = r["n"]
+    return out.reshape(classes + 2, classes + 2)
+
+
+def best_class(m: np.ndarray, keys: np.ndarray, sums: np.ndarray, now: np.ndarray, classes: int = CLASSES) -> np.ndarray:
+    """The class each word is exchanged into, by its contexts (``keys``, sorted: word * width + context) against class pairs ``m``.
+
+    What it gains the class bigram likelihood is reckoned as in ``exchange``,
+    with all words taken out and put back at a time: the others count in the
+    classes they are in. The smallest of the best classes; a word stays where
+    it gains nothing by leaving.
+    """
+    k = classes + 2
+    width = 2 * k + 1
+    word, ctx = keys // width, keys % width
+    left, right, own = ctx < k, (ctx >= k) & (ctx < 2 * k), ctx == 2 * k
+    size = len(now)
+    n_left = np.bincount(word, np.where(right, 0, sums), size)
+    n_right = np.bincount(word, np.where(left, 0, sums), size)
+    rows, cols = m.sum(1), m.sum(0)
+    side = np.where(left, ctx, ctx - k)
+    best, out = np.full(size, -np.inf), np.ones(size, np.int64)
+    stay = np.full(size, -np.inf)
+    for c in range(1, classes + 1):
+        cell = np.where(own, m[c, c], np.where(left, m[np.where(left, side, 0), c], m[c, np.where(right, side, 0)]))
+        here = now == c
+        cell = np.maximum(cell - np.where(here[word], sums, 0), 0.0)
+        gain = np.bincount(word, _xlogx(cell + sums) - _xlogx(cell), size).astype(float)
+        for total, n in ((rows[c], n_right), (cols[c], n_left)):
+            base = np.maximum(total - np.where(here, n, 0), 0.0)
+            gain -= _xlogx(base + n) - _xlogx(base)
+        stay[here] = gain[here]
+        better = gain > best
+        best[better], out[better] = gain[better], c
+    keep = best <= stay + 1e-9
+    out[keep] = now[keep]
+    return out
+
+
+def settle(placed: DataFrame, m: np.ndarray, classes: int = CLASSES) -> DataFrame:
+    """By bucket: each word's training count and class, sent back to the blocks; and (block -1) the bucket's known words.
+
+    A word's class contexts are summed over all blocks before it is placed.
+    The class of a head or the end is sent with ``ONCE`` added.
+    """
     def run(key, t):
-        def joined(name, kind):
-            return np.frombuffer(b"".join(x.as_buffer() for c in t.column(name).chunks for x in c), kind)
-        hashes, numbers, counts = joined("hashes", "<u8"), joined("numbers", "<i4"), joined("counts", "<i4").astype(np.int64)
-        votes, weights = joined("votes", np.uint8).astype(np.int64), joined("weights", "<i4").astype(np.int64)
+        hashes, numbers = _joined(t, "hashes", "<u8"), t.column("numbers").to_pylist()
         sizes = [len(x.as_buffer()) // 8 for c in t.column("hashes").chunks for x in c]
-        o = np.argsort(hashes, kind="stable")
-        new = np.r_[True, hashes[o][1:] != hashes[o][:-1]]
-        word = np.empty(len(o), np.int64)
-        word[o] = np.cumsum(new) - 1
-        n = np.bincount(word, counts).astype(np.int64)
-        # the class with the most votes, the smaller of equal ones; without any, the first class
-        q = np.lexsort((votes, word))
-        pair = np.r_[True, (word[q][1:] != word[q][:-1]) | (votes[q][1:] != votes[q][:-1])]
-        at = np.flatnonzero(pair)
-        pw, pv = word[q][at], votes[q][at]
-        ps = np.add.reduceat(np.where(votes[q] > 0, weights[q], 0), at)
-        is_end = np.zeros(len(n), bool)
-        is_end[word[hashes == END_HASH]] = True
-        z = np.lexsort((-pv, ps, pw))
-        last = np.flatnonzero(np.r_[pw[z][1:] != pw[z][:-1], True])
-        cls = np.maximum(pv[z][last], 1)
-        cls[is_end] = END
         cut = np.r_[0, np.cumsum(sizes)]
+        counts = np.concatenate([_expand(x, k) for x, k in zip(t.column("counts").to_pylist(), sizes)])
+        types, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+        n = np.bincount(word, counts, len(types)).astype(np.int64)
+        now = _joined(t, "now", np.uint8).astype(np.int64)[first]
+        width = 2 * (classes + 2) + 1
+        keys, sums = [], []
+        for i, entries in enumerate(t.column("entries").to_pylist()):
+            key_, sum_ = (_expand(t.column(c)[i].as_py(), entries) for c in ("keys", "sums"))
+            keys.append(word[cut[i] + key_ // width] * width + key_ % width)
+            sums.append(sum_)
+        keys, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(inverse, np.concatenate(sums), len(keys))
+        cls = np.where(now >= ONCE, now, best_class(m, keys, sums, now, classes))
         blocks = t.column("block").to_pylist()
         rows = [[], [], [], []]
         for i, block in enumerate(blocks):
             s = slice(cut[i], cut[i + 1])
-            for r, v in zip(rows, (block, numbers[s].tobytes(), n[word[s]].astype("<i8").tobytes(), cls[word[s]].astype(np.uint8).tobytes())):
+            for r, v in zip(rows, (block, numbers[i], _squeeze(n[word[s]].astype("<i8").view("<u4")), cls[word[s]].astype(np.uint8).tobytes())):
                 r.append(v)
         for r, v in zip(rows, (-1, b"", np.array([n.sum(), (n > 0).sum()], "<i8").tobytes(), b"")):
             r.append(v)
         return pa.table([pa.array(rows[0], pa.int64()), *(pa.array(r, pa.binary()) for r in rows[1:])], ["block", "numbers", "counts", "classes"])
 
-    return placed.groupBy("bucket").applyInArrow(run, "block long, numbers binary, counts binary, classes binary")
+    return placed.filter("bucket >= 0").groupBy("bucket").applyInArrow(run, "block long, numbers binary, counts binary, classes binary")
 
 
 CODED = "doc_id long, held boolean, n_tokens long, n_known long, base_score double, known_log double, codes binary"
@@ -289,11 +385,7 @@ def code(blocks: DataFrame, replies: DataFrame, total: int, types: int) -> DataF
     def run(left, right):
         out = []
         k = left.column("n_types")[0].as_py()
-        n, cls = np.zeros(k, np.int64), np.zeros(k, np.int64)
-        for i in range(right.num_rows):
-            at = np.frombuffer(right.column("numbers")[i].as_buffer(), "<i4")
-            n[at] = np.frombuffer(right.column("counts")[i].as_buffer(), "<i8")
-            cls[at] = np.frombuffer(right.column("classes")[i].as_buffer(), np.uint8)
+        n, cls, _ = _replied(k, right)
         cls = np.where(n > 0, cls, UNKNOWN) + np.where(n == 1, ONCE, 0)
         base = np.log10((n + 1) / (total + types + 1))
         log = np.where(n > 0, np.log10(np.maximum(n, 1)), 0.0)
@@ -359,16 +451,19 @@ def model(pairs: np.ndarray, backoff: float = BACKOFF):
     return np.log10(np.maximum(p, 1e-300)), np.log10(np.maximum(size, 1.0))
 
 
-def class_scores(docs: DataFrame, held, classes: int = CLASSES, most: int = HEADS) -> DataFrame:
+def class_scores(docs: DataFrame, held, classes: int = CLASSES, most: int = HEADS, block: int = BLOCK, sweeps: int = SWEEPS) -> DataFrame:
     """Unigram and Brown class bigram scores of every row of ``docs`` (doc_id, text).
 
     ``held`` (a column) marks the rows the model must not learn from. Returns
     doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
     Words are compared by a 64-bit hash of their lower-cased bytes. The
-    ``most`` most frequent words are placed by exchange clustering on their
-    pair counts over all training texts; every other training word joins the
-    class its neighbours call for, by vote of all blocks that have it.
+    ``most`` most frequent words, by exact counts, are placed by exchange
+    clustering on their pair counts over all training texts; every other
+    training word is exchanged in ``sweeps`` sweeps by its class contexts
+    summed over all training texts, in the first one by those of the most
+    frequent words, then by those of all. Scores don't depend on the size of
+    blocks (``block`` bytes of text, about) or the partitioning.
     score is the sum over tokens of log10 P(class | class before) P(word |
     class), with P(word | class) its share of the class's training tokens and
     P(unknown | class before) from words met once; base_score is the smoothed
@@ -384,11 +479,15 @@ def class_scores(docs: DataFrame, held, classes: int = CLASSES, most: int = HEAD
     spark = docs.sparkSession
     size, _ = parts_for(docs, "text", 1)
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (16 << 20)))
-    blocks = stage(encode(docs, held), "blocks")
-    known = heads(blocks, most)
+    blocks = stage(encode(docs, held, block), "blocks")
+    known = heads(blocks, buckets, most)
     pairs = head_pairs(blocks, known)
     cls = exchange(pairs, classes)
-    replies = stage(settle(place(blocks, known, cls, pairs, buckets, classes), classes), "words")
+    hot = np.eye(classes + 2)[np.r_[cls, END, classes + 1]]
+    replies = stage(settle(place(blocks, known, cls, buckets, classes), hot.T @ pairs @ hot, classes), "words")
+    for _ in range(1, sweeps):
+        placed = stage(replace(blocks, replies, buckets, classes), "contexts")
+        replies = stage(settle(placed, class_pairs(placed, classes), classes), "words")
     sums = replies.filter("block < 0").select("counts").mapInArrow(_sums, "n long, types long").agg(F.sum("n").alias("n"), F.sum("types").alias("types")).first()
     total, types = int(sums["n"] or 0), int(sums["types"] or 0)
     coded = stage(code(blocks, replies, total, types), "codes")

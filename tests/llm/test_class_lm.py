@@ -86,3 +86,36 @@ def test_odd_rows(docs):
     none = C.class_scores(docs(rows), F.lit(True)).collect()
     assert {(r.n_known, r.train_tokens, r.base_score, r.score) for r in none} == {(0, 0, 0.0, 0.0)}
     assert C.class_scores(docs([]), HELD()).count() == 0
+
+
+def grammar(seed, n, most):
+    """Texts of a grammar whose nouns and verbs are many and rare, with frequent words around them."""
+    rng = random.Random(seed)
+    noun, verb, det = [f"n{i}" for i in range(most)], [f"v{i}" for i in range(most)], ["the", "a"]
+    return [(i, " ".join(w for _ in range(30) for w in (rng.choice(det), rng.choice(noun), rng.choice(verb)))) for i in range(n)]
+
+
+def test_scores_do_not_depend_on_blocks_or_partitions(docs):
+    d = docs(grammar(2, 400, 150))
+    kept = []
+    for parts, block in ((1, 8 << 20), (7, 2000), (3, 20000)):
+        out = C.class_scores(d.repartition(parts, "doc_id"), HELD(), 4, 20, block=block).collect()
+        kept.append(sorted((r.doc_id, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in out))
+    assert kept[0] == kept[1] == kept[2]
+
+
+def test_heads_are_counted_in_every_block(docs):
+    # a word of every block that is under one token in 8,192 of each
+    rows = [(i, " ".join(f"x{i}_{j}" for j in range(9000)) + " common" * (1 + (i % 2))) for i in range(6)]
+    blocks = C.encode(docs(rows).repartition(6, "doc_id"), F.lit(False), 1)
+    assert len(C.heads(blocks, 4, 5)) == 5
+    first = C.T.span_hash(np.frombuffer(b"common", np.uint8), np.array([0]), np.array([6]), 0)
+    assert C.heads(blocks, 4, 1).tolist() == first.tolist()
+
+
+def test_words_that_are_no_heads_are_exchanged(docs):
+    rows = grammar(3, 400, 150)
+    out = [r for r in C.class_scores(docs(rows), HELD(), 4, 20).collect() if r.held_out]
+    # few nouns and verbs are heads; the others are told apart by what is around them
+    per = sum(r.score for r in out) / sum(r.n_tokens - 1 for r in out)
+    assert per == pytest.approx((2 * math.log10(1 / 150) + math.log10(1 / 2)) / 3, abs=0.08)
