@@ -12,6 +12,8 @@ from daystream.llm import text as T
 
 #: Hash cells of each feature family, and labelled rows to fit on at most.
 CELLS, SAMPLE = 1 << 15, 1600
+#: Units that a cell's share counts for at most, and what all are divided by.
+CAP, SCALE = 10.0, 30.0
 THRESHOLD = 0.5
 MIN_WORDS = 50
 #: Fixed value: the characters that count as symbols.
@@ -92,11 +94,27 @@ def ngrams(data, off, spans):
         yield np.r_[0, np.cumsum(length)], cell[at]
 
 
-def means(values, off):
-    """Mean of each slice, 0 for empty ones."""
-    s = np.r_[0.0, np.cumsum(values)]
-    n = np.diff(off)
-    return (s[off[1:]] - s[off[:-1]]) / np.maximum(n, 1)
+def shares(families, n: int):
+    """(row, cell, share of its family's n-grams) of the distinct cells of each text, by family: as the classifier is fitted and scored."""
+    for f, (off, cell) in enumerate(families):
+        size = np.diff(off)
+        key, k = np.unique(np.repeat(np.arange(n), size) * CELLS + cell, return_counts=True)
+        row = key // CELLS
+        yield row, key % CELLS + f * CELLS, (k / size[row]).astype("<f4")
+
+
+def values(share, unit):
+    """What a cell counts: its share in units, capped."""
+    return np.minimum(share / unit, CAP) / SCALE
+
+
+def logits(model, families, n: int):
+    """The calibrated log odds of each text."""
+    w, unit, bias = model
+    z = np.zeros(n)
+    for row, cell, share in shares(families, n):
+        z += np.bincount(row, values(share.astype(float), unit[cell]) * w[cell], n)
+    return z + bias
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int, allowed=None) -> DataFrame:
@@ -113,7 +131,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int, allowed=
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE):
-    """(weights of families x cells, shift) fitted on a bounded sample, or None without labelled rows of both kinds.
+    """(weights and units of families x cells, shift) fitted on a bounded sample, or None without labelled rows of both kinds.
 
     Three quarters of the sample fit the weights, the rest calibrates them to
     probabilities. What reaches the driver is the sample's sparse counts.
@@ -124,11 +142,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
                 data, off = T.buffers(part.column("text"))
                 _, spans = measures(data, off)
                 cells, counts = [[] for _ in range(part.num_rows)], [[] for _ in range(part.num_rows)]
-                for f, (foff, cell) in enumerate(ngrams(data, off, spans)):
+                for row, cell, share in shares(ngrams(data, off, spans), part.num_rows):
+                    cut = np.searchsorted(row, np.arange(part.num_rows + 1))
                     for i in range(part.num_rows):
-                        c, k = np.unique(cell[foff[i]:foff[i + 1]], return_counts=True)
-                        cells[i].append((c + f * CELLS).astype("<i4"))
-                        counts[i].append((k / max(1, k.sum())).astype("<f4"))
+                        cells[i].append(cell[cut[i]:cut[i + 1]].astype("<i4"))
+                        counts[i].append(share[cut[i]:cut[i + 1]])
                 yield pa.RecordBatch.from_arrays(
                     [pa.concat_arrays(part.column("doc_id").chunks), pa.concat_arrays(part.column("target").chunks),
                      pa.array([np.concatenate(x).tobytes() for x in cells], pa.binary()), pa.array([np.concatenate(x).tobytes() for x in counts], pa.binary())],
@@ -146,8 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     del got
     # each cell in units of its root mean square, rare ones held back
     unit = np.sqrt(np.bincount(col, share * share, FAMILIES * CELLS) / len(raw)) + 1e-4
-    value = share / unit[col]
-    value = np.minimum(value, 10.0) / 30.0
+    value = values(share, unit[col])
     hold = np.arange(len(target)) % 4 == 3
     if target[hold].min() == target[hold].max() or target[~hold].min() == target[~hold].max():
         hold[:] = False
@@ -156,8 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     z = np.bincount(row, value * w[col], len(target)) + b
     use = hold if hold.any() else ~hold
     scale, shift = linear.calibrate(z[use], target[use])
-    # linear in the shares again; the cap only bounds what a sample's outlier does to the fit
-    return (scale * w / unit / 30.0).reshape(FAMILIES, CELLS), scale * b + shift
+    return scale * w, unit, scale * b + shift
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, most: int = SAMPLE, keep_columns: tuple = ()) -> DataFrame:
@@ -166,7 +182,8 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mo
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, score and kept, and ``keep_columns`` of the
     input. ``score`` is the calibrated probability of quality 1 from a logistic
-    regression on hashed word and character n-gram shares, fitted on at most
+    regression on hashed word and character n-gram shares (capped alike where
+    it is fitted, calibrated and used), fitted on at most
     ``most`` labelled rows (chosen by hash, whole texts); all rows are scored in
     Arrow batches. ``kept`` is false if the base rules fail (fewer than 50
     words, or over half of the words in repeated three-word windows), else
@@ -192,10 +209,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mo
                     score = pa.nulls(len(failed), pa.float64())
                     kept = ~failed
                 else:
-                    z = np.full(len(failed), model[1])
-                    for w, (foff, cell) in zip(model[0], ngrams(data, off, spans)):
-                        z += means(w[cell], foff)
-                    p = linear.sigmoid(z)
+                    p = linear.sigmoid(logits(model, ngrams(data, off, spans), part.num_rows))
                     score, kept = pa.array(p), ~failed & (p >= threshold)
                 cols = [pa.concat_arrays(part.column("__id").chunks), *(pa.array(x.astype(np.int64)) for x in m), pa.array(failed), score, pa.array(kept)]
                 yield pa.RecordBatch.from_arrays(cols + [pa.concat_arrays(part.column(c).chunks) for c in extra], names + extra)

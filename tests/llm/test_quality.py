@@ -1,9 +1,13 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from daystream.llm import linear
 from daystream.llm import quality as Q
+from daystream.llm import text as T
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -66,3 +70,34 @@ def test_odd_rows(spark, docs, with_labels):
     if not with_labels:
         assert all(r.kept == (not r.base_failed) for r in out)
     assert Q.quality(docs([]), labels).count() == 0
+
+
+def test_scores_are_the_calibrated_ones(spark, docs, monkeypatch):
+    rng = random.Random(5)
+    words = [[f"{k}{i}" for i in range(300)] for k in ("good", "bad")]
+    rows = [(i, " ".join(rng.choice(words[i // 4 % 2 if rng.random() < .6 else rng.randint(0, 1)]) for _ in range(rng.randint(50, 200)))) for i in range(80)]
+    labels = spark.createDataFrame([(i, 1 - i // 4 % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    seen, calibrate = [], linear.calibrate
+
+    def spy(z, target):
+        seen.append((z, calibrate(z, target)))
+        return seen[-1][1]
+    monkeypatch.setattr(linear, "calibrate", spy)
+    out = {r.doc_id: r.score for r in Q.quality(docs(rows), labels).collect()}
+    z, (scale, shift) = seen[0]
+    held = sorted(out)[3::4]    # every fourth row by id is calibrated on
+    assert len(z) == len(held)
+    assert np.allclose([out[i] for i in held], linear.sigmoid(scale * z + shift), atol=1e-5)
+
+
+def test_shares_of_rows_together_and_alone():
+    texts = ["a b a", "", "one two three", "a"]
+    def of(rows):
+        data, off = T.buffers(pa.chunked_array([pa.array(rows, pa.string())]))
+        _, spans = Q.measures(data, off)
+        return list(Q.shares(Q.ngrams(data, off, spans), len(rows)))
+    for f, (row, cell, share) in enumerate(of(texts)):
+        for i, t in enumerate(texts):
+            _, c, s = of([t])[f]
+            assert np.array_equal(cell[row == i], c) and np.array_equal(share[row == i], s)
+            assert not len(s) or s.sum() == pytest.approx(1, abs=1e-5)
