@@ -9,6 +9,22 @@ def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
+#: Sparse values worked on at a time.
+CHUNK = 1 << 20
+
+
+def chunks(n: int):
+    return [slice(i, min(i + CHUNK, n)) for i in range(0, n, CHUNK)]
+
+
+def logits(row, col, value, n_rows: int, w):
+    """The weighted sum of each sparse row."""
+    z = np.zeros(n_rows)
+    for s in chunks(len(row)):
+        z += np.bincount(row[s], value[s] * w[col[s]], n_rows)
+    return z
+
+
 def logistic(row, col, value, n_rows: int, n_cols: int, target, weight, l2: float = 1e-3, rounds: int = 150, rate: float = 0.1):
     """(weights, bias) of a logistic regression on sparse rows, soft targets allowed.
 
@@ -18,9 +34,11 @@ def logistic(row, col, value, n_rows: int, n_cols: int, target, weight, l2: floa
     m, v, mb, vb = np.zeros(n_cols), np.zeros(n_cols), 0.0, 0.0
     total = weight.sum()
     for t in range(1, rounds + 1):
-        z = np.bincount(row, value * w[col], n_rows) + b
+        z = logits(row, col, value, n_rows, w) + b
         g = weight * (sigmoid(z) - target) / total
-        gw = np.bincount(col, value * g[row], n_cols) + l2 * w
+        gw = l2 * w
+        for s in chunks(len(row)):
+            gw += np.bincount(col[s], value[s] * g[row[s]], n_cols)
         gb = g.sum()
         m, v = 0.9 * m + 0.1 * gw, 0.999 * v + 0.001 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb

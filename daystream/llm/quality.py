@@ -11,7 +11,7 @@ from daystream.llm import linear
 from daystream.llm import text as T
 
 #: Hash cells of each feature family, and labelled rows to fit on at most.
-CELLS, SAMPLE = 1 << 15, 1600
+CELLS, SAMPLE = 1 << 15, 2500
 #: Units that a cell's share counts for at most, and what all are divided by.
 CAP, SCALE = 10.0, 30.0
 THRESHOLD = 0.5
@@ -157,20 +157,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     target = got["target"].to_numpy().astype(float)
     if not len(target) or target.min() == target.max():
         return None
-    raw = [np.frombuffer(x, "<i4") for x in got["cells"].to_pylist()]
-    share = np.concatenate([np.frombuffer(x, "<f4") for x in got["shares"].to_pylist()]).astype(float)
-    row = np.repeat(np.arange(len(raw), dtype=np.int32), [len(x) for x in raw])
-    col = np.concatenate(raw)
+    def joined(name, kind):
+        out = np.empty(sum(len(x.as_buffer()) for c in got[name].chunks for x in c) // 4, kind)
+        at = 0
+        for c in got[name].chunks:
+            for x in c:
+                v = np.frombuffer(x.as_buffer(), kind)
+                out[at:at + len(v)] = v
+                at += len(v)
+        return out
+
+    col, value = joined("cells", "<i4"), joined("shares", "<f4")
+    row = np.repeat(np.arange(len(target), dtype=np.int32), [len(x.as_buffer()) // 4 for c in got["cells"].chunks for x in c])
     del got
     # each cell in units of its root mean square, rare ones held back
-    unit = np.sqrt(np.bincount(col, share * share, FAMILIES * CELLS) / len(raw)) + 1e-4
-    value = values(share, unit[col])
+    unit = np.zeros(FAMILIES * CELLS)
+    for s in linear.chunks(len(col)):
+        unit += np.bincount(col[s], value[s].astype(float) ** 2, FAMILIES * CELLS)
+    unit = np.sqrt(unit / len(target)) + 1e-4
+    for s in linear.chunks(len(col)):
+        value[s] = values(value[s], unit[col[s]])
     hold = np.arange(len(target)) % 4 == 3
     if target[hold].min() == target[hold].max() or target[~hold].min() == target[~hold].max():
         hold[:] = False
     balance = np.where(target > 0.5, 0.5 / target.mean(), 0.5 / (1 - target.mean()))
     w, b = linear.logistic(row, col, value, len(target), FAMILIES * CELLS, target, np.where(hold, 0.0, balance), l2=1e-5)
-    z = np.bincount(row, value * w[col], len(target)) + b
+    z = linear.logits(row, col, value, len(target), w) + b
     use = hold if hold.any() else ~hold
     scale, shift = linear.calibrate(z[use], target[use])
     return scale * w, unit, scale * b + shift
