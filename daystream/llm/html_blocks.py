@@ -10,7 +10,11 @@ from typing import NamedTuple
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "header hgroup hr html legend li main menu nav ol option optgroup p pre search section select summary table tbody td tfoot th thead title head tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = ("script", "style", "noscript", "template", "textarea", "svg", "math", "iframe", "object", "canvas", "title", "xmp", "noembed", "noframes")
+RAW = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
+#: Never shown, but with markup inside.
+NEVER = frozenset("noscript template svg math object canvas".split())
+#: What a block-level start tag ends, as it can't be in them.
+FOREIGN = frozenset(("svg", "math"))
 #: Which open elements a start tag ends (the optional end tags).
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
         "tbody": ("tr", "td", "th", "thead", "tbody"), "tfoot": ("tr", "td", "th", "tbody"), "option": ("option",)}
@@ -20,7 +24,7 @@ KEEPS_P = frozenset("html body head option optgroup button title".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(HIDDEN) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
@@ -48,11 +52,13 @@ def blocks(page: str | None) -> list[Block]:
     """The non-empty blocks of a page in page order.
 
     Scripts, styles, comments, markup and elements that are never shown are
-    left out. Unclosed and misnested tags are read as a browser would in the
+    left out; an element with markup inside that isn't ended hides nothing.
+    Unclosed and misnested tags are read as a browser would in the
     common cases; a page that breaks off keeps what came before.
     """
     page = page or ""
-    stack: list[tuple] = []      # (tag, name parts, hidden)
+    stack: list[tuple] = []      # (tag, name parts, hidden: 2 in an element that is never shown)
+    ended: dict[str, int] = {}   # where the last end tag of an element that is never shown is
     out: list[Block] = []
     buffer: list[str] = []
     linked = 0
@@ -60,6 +66,8 @@ def blocks(page: str | None) -> list[Block]:
 
     def close():
         nonlocal linked
+        if stack and stack[-1][2] == 2:
+            return               # the text around goes on
         if buffer:
             text = " ".join("".join(buffer).split())
             if text:
@@ -98,22 +106,33 @@ def blocks(page: str | None) -> list[Block]:
                 if stack[i][0] == tag:
                     del stack[i:]
                     break
-                if stack[i][0] in WALLS and tag not in BLOCK:
+                if stack[i][0] in WALLS and tag not in BLOCK and tag not in NEVER:
                     break
+            if tag in BLOCK:
+                close()
         elif m["start"] or m["broken"]:
             tag, attrs = (m["start"] or m["broken"]).lower(), m["attrs"] or ""
             if not m.group().endswith(">"):
                 break                # the page ends inside this tag
             if tag in BLOCK:
+                if stack and stack[-1][2] == 2:
+                    outer = next(i for i, x in enumerate(stack) if x[2] == 2)
+                    if stack[outer][0] in FOREIGN and not any(t == "foreignobject" for t, _, _ in stack[outer:]):
+                        del stack[outer:]
                 close()
-                if tag not in KEEPS_P:
+                shown = not (stack and stack[-1][2] == 2)
+                if shown and tag not in KEEPS_P:
                     end_of(("p",), WALLS)
-                if tag in ENDS:
+                if shown and tag in ENDS:
                     end_of(ENDS[tag], frozenset(WALLS - set(ENDS[tag])))
             elif tag == "br":
                 buffer.append(" ")
             if tag not in VOID and not attrs.endswith("/"):
-                hidden = bool(stack and stack[-1][2]) or bool(attrs and HIDE.search(attrs))
+                hidden = stack[-1][2] if stack and stack[-1][2] else int(bool(attrs and HIDE.search(attrs)))
+                if tag in NEVER and not hidden:
+                    if tag not in ended:
+                        ended[tag] = max((x.start() for x in re.finditer(rf"</{tag}(?=[\s/>])", page, re.I)), default=-1)
+                    hidden = 2 if ended[tag] >= m.end() else 0
                 stack.append((tag, name_parts(attrs) if attrs else (), hidden))
     else:
         add(page[at:])

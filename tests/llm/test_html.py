@@ -82,3 +82,14 @@ def test_odd_rows(spark, model):
     assert len(out) == 6 and by[(1, False)].text == by[(2, False)].text == "" and by[(2, False)].url is None
     assert by[(None, False)].text.startswith("A title of the article\nA sentence") and by[(5, True)].text.count("\n") == 2999
     assert X.extract(df.limit(0), model=model).count() == 0
+
+
+def test_elements_that_are_never_shown_take_no_more_than_they_hold():
+    def texts(page):
+        return [b.text for b in blocks(page)]
+    for odd in ("<svg-icon></svg-icon>", "<template-card></template-card>", "<title-bar></title-bar>", "<svg class=i />", "<object data=x>", "<canvas>", "<math/>",
+                "<svg><path d=m></svg>", "<object><section>no<p>no</object>", "<template><div>no</div></template>", "<script>no</script >", "<style>no</style>"):
+        assert texts(f"<p>a</p>{odd}<p>rest</p>") == ["a", "rest"], odd
+    assert texts("<p>a</p><svg class=i /><p>b</p><svg><text>no</text></svg><p>c</p>") == ["a", "b", "c"]
+    assert texts("<p>a <object><p>no</p></object> b</p>c") == ["a b", "c"]
+    assert texts("<div>a<svg><text>no<p>b</p></div>c<svg></svg>") == ["a", "b", "c"]
