@@ -52,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of sequences of 1024 tokens, with their ids."""
-    return pack.pack(docs, pack.tokenizer_path())
+    return pack.pack(docs, pack.tokenizer_path(), special_tokens=True)
 
 
 STAGES = [

@@ -72,13 +72,15 @@ class Encoder:
     The ids of a text are those of its pieces, cut before spaces and around
     line feeds, one after another; a piece met before costs a dictionary
     look-up. Texts with white space beside white space are encoded whole.
-    Special token strings in a text are ordinary text.
+    Special token strings in a text are ordinary text, or with
+    ``special_tokens`` what the file's own tokenizer makes of them.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 400_000, special_tokens: bool = False):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = not special_tokens
+        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()] if special_tokens else []
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 65536 else "<u4")
         self.fast = _byte_bpe(path)
         self.most = most
@@ -96,6 +98,9 @@ class Encoder:
             self.known = _Pieces(self._encode)
         get, out = self.known.__getitem__, []
         for t in texts:
+            if any(x in t for x in self.special):
+                out.append(np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype).tobytes())
+                continue
             if "\n\n" not in t and "\0" not in t:
                 try:
                     out.append(b"".join(map(get, t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))))
@@ -106,16 +111,16 @@ class Encoder:
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def _encoder(path: str, special_tokens: bool = False) -> Encoder:
+    if (path, special_tokens) not in _ENCODERS:
+        _ENCODERS[path, special_tokens] = Encoder(path, special_tokens=special_tokens)
+    return _ENCODERS[path, special_tokens]
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, special_tokens: bool = False) -> DataFrame:
     """(doc_id, text) -> (part, local_start, doc_id, n, ids), one row a document.
 
     ``ids`` holds the document's ids and ``end_id`` as little-endian integers
@@ -123,7 +128,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     tokens before the document in it.
     """
     def run(batches):
-        enc, part, at = _encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, at = _encoder(tokenizer, special_tokens), TaskContext.get().partitionId(), 0
         end = np.array([end_id], enc.dtype).tobytes()
         for b in batches:
             col = b.column(1).fill_null("")
@@ -141,7 +146,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
         run, "part long, local_start long, doc_id long, n long, ids binary")
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int = 0, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int = 0, with_ids: bool = True, special_tokens: bool = False) -> DataFrame:
     """Pack all rows of ``docs`` (doc_id, text) into sequences of ``length`` tokens.
 
     Pass one tokenizes once and stages the ids with each scan task's running
@@ -153,12 +158,14 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 1024, end_id: int = 0, w
 
     Returns one row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset and, if ``with_ids``, ids (little-endian 32-bit).
+    With ``special_tokens`` a special token's string in a text is that token's id,
+    as ``tokenizers`` has it by default, else ordinary text.
     Null and empty texts are one ``end_id``. Repeated rows and repeated or null
     ids are packed as rows of their own; other columns are not read. An empty
     table gives an empty result. The order of documents is the scan's.
     """
     spark = docs.sparkSession
-    t = stage(tokenize(docs, tokenizer, end_id), "tokens")
+    t = stage(tokenize(docs, tokenizer, end_id, special_tokens), "tokens")
     totals = t.groupBy("part").agg(F.sum("n").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # one row per scan task (16 bytes for at least tens of MB of text), so this broadcast is bounded
@@ -198,4 +205,4 @@ def tokenizer_path() -> str:
 
 def op4_pack(spark, sf_dir: str) -> DataFrame:
     from daystream.session import read_table
-    return pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    return pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False, special_tokens=True)

@@ -88,3 +88,11 @@ def test_cached_pieces_equal_whole_texts(spark):
     enc = pack.Encoder(pack.tokenizer_path())
     tok = Tokenizer.from_file(pack.tokenizer_path())
     assert [np.frombuffer(x, "<u2").tolist() for x in enc(d)] == [e.ids for e in tok.encode_batch(d, add_special_tokens=False)]
+
+
+def test_special_token_strings_are_those_of_an_unmodified_tokenizer():
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(pack.tokenizer_path())
+    d = ["<|endoftext|>", "a <|endoftext|> b", "x\n\n<|endoftext|>y<|endoftext|>", "<|endoftext", "plain text", ""]
+    got = [np.frombuffer(x, "<u2").tolist() for x in pack.Encoder(pack.tokenizer_path(), special_tokens=True)(d)]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in d] and got[0] == [50256]
