@@ -1,6 +1,7 @@
 """Registered queries of this package and their DuckDB SQL."""
 
-from daystream.llm import class_lm, embed_dedup, html_extract, mix, near_dup, pack, quality, substring_dedup, suffix_dedup, toxicity
+from daystream.llm import (align_tokens, class_lm, embed_dedup, html_extract, line_dedup, mix, near_dup, pack, quality, resample,
+                           substring_dedup, suffix_dedup, toxicity)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -13,6 +14,9 @@ QUERIES = {
     "op8_embedding_duplicates": embed_dedup.op8_embedding_duplicates,
     "op9_quality": quality.op9_quality,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_resample": resample.op11_resample,
+    "op12_line_dedup": line_dedup.op12_line_dedup,
+    "op13_align": align_tokens.op13_align,
 }
 
 ORACLE_SQL = {
@@ -20,4 +24,6 @@ ORACLE_SQL = {
     "op5_mix": mix.OP5_SQL,
     "op8_embedding_duplicates": embed_dedup.OP8_SQL,
     "op10_substring_dedup": substring_dedup.OP10_SQL,
+    "op11_resample": resample.OP11_SQL,
+    "op12_line_dedup": line_dedup.OP12_SQL,
 }
