@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -22,36 +22,48 @@ from daystream.llm.store import stage
 
 #: Bytes of text that share one dictionary of id pairs.
 BLOCK = 8 << 20
-#: Stretches of text whose alignment a worker remembers, and their longest.
-KNOWN, LONGEST = 200_000, 64
+#: Characters that are encoded in one call.
+CALL = 1 << 16
+#: Links of a group that are written out one by one; larger groups go by distinct ids.
+WIDE = 4096
 #: A place where neither tokenizer joins what is on either side.
 SEAM = re.compile(r"(?<=\S)(?=[ \n])")
 
 
+class Tokens(NamedTuple):
+    """Ids of A and B and the byte where each ends."""
+    a: np.ndarray
+    a_end: np.ndarray
+    b: np.ndarray
+    b_end: np.ndarray
+
+
 class Aligned(NamedTuple):
-    """A stretch of text: tokens of A and B, groups, links, the groups written out, distinct id pairs and their links."""
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str
-    pairs: np.ndarray
+    """Documents as stretches of text (``stretch`` up to ``stretch_end`` of each
+    document), and of each stretch its tokens, groups, links, the groups written
+    out and its distinct id pairs (``pair`` up to ``pair_end``, places in
+    ``id_pair``) with their links."""
+    stretch: np.ndarray
+    stretch_end: np.ndarray
+    figures: list[np.ndarray]
+    groups: list[str]
+    pair: np.ndarray
+    pair_end: np.ndarray
     times: np.ndarray
+    id_pair: np.ndarray
 
 
-def byte_ends(ids: list[int], spans: list[tuple[int, int]], at: list[int], size: list[int]) -> list[int]:
+def byte_ends(ids: np.ndarray, start: np.ndarray, stop: np.ndarray, at: np.ndarray | None, size: np.ndarray) -> np.ndarray:
     """Byte offset where each token ends.
 
     The end of a token's span is a sure cut if the span isn't empty and no later
-    one starts before it; ``at`` gives its byte. Tokens that share a character
-    (parts of a multibyte one, bytes written as tokens of their own) are told
-    apart by the bytes they decode to.
+    one starts before it; ``at`` gives the byte of a character. Tokens that
+    share a character (parts of a multibyte one, bytes written as tokens of
+    their own) are told apart by the bytes they decode to.
     """
-    out, end = [], 0
-    for (start, stop), (later, _), i in zip(spans, [*spans[1:], (len(at), 0)], ids):
-        end = at[stop] if start < stop <= later else end + size[i]
-        out.append(end)
-    return out
+    sure = (start < stop) & np.r_[start[1:] >= stop[:-1], True][:len(ids)]
+    cut = stop if at is None else at[stop]
+    return cut if sure.all() else np.where(sure, cut, np.cumsum(size[ids]))
 
 
 class Aligner:
@@ -74,9 +86,10 @@ class Aligner:
         piece = self.b.id_to_piece
         self.b_bytes = [bytes([int(piece(i)[3:5], 16)]) if self.b.is_byte(i) else piece(i).replace("▁", " ").encode()
                         for i in range(self.b.get_piece_size())]
-        self.a_size, self.b_size = [len(x) for x in self.a_bytes], [len(x) for x in self.b_bytes]
+        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_shown, self.b_shown = ([np.array([f"{i}{end}" for i in range(len(t))], object) for end in ends]
+                                      for t, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")))
         self.seams = self._seams(a_path, b_path)
-        self.known: dict[str, Aligned | None] = {}
 
     def _seams(self, a_path: str, b_path: str) -> bool:
         """Whether a text may be cut where a blank or line feed follows a visible character.
@@ -99,105 +112,155 @@ class Aligner:
                 and norm.add_dummy_prefix and norm.escape_whitespaces and not norm.remove_extra_whitespaces
                 and not any("▁" in p.piece.lstrip("▁") or "\n" in p.piece for p in m.pieces if p.type != kinds.BYTE))
 
-    def stretches(self, texts: list[str]) -> list[Aligned | None]:
-        """Each text's alignment; None where the tokens' bytes differ from it.
+    def tokens(self, text: str) -> Tokens | None:
+        """Tokens of one text; None where their bytes differ from it.
 
-        A text starts with a blank (B is given the rest, and adds one) or, inside
-        another text, with a line feed (B's own blank is then taken off).
+        A text starts with a blank (B is given the rest, and adds one) or, taken
+        from another text, with a line feed (B's own blank is then taken off).
         """
-        a = self.a.encode_batch(texts, add_special_tokens=False)
-        b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], return_type="proto", num_threads=1)
-        return [self._one(t, x.ids, x.offsets, y.pieces) for t, x, y in zip(texts, a, b)]
-
-    def _one(self, text, a, a_spans, pieces) -> Aligned | None:
-        raw = text.encode()
-        at = list(range(len(raw) + 1)) if len(raw) == len(text) else [0, *np.cumsum([len(c.encode()) for c in text]).tolist()]
-        shift = 1 if text[0] == " " else 0  # the blank that B adds is text here
-        b = [p.id for p in pieces]
-        b_spans = [(p.begin + shift, p.end + shift) for p in pieces]  # the proto counts bytes
-        if not shift:
-            if not b or self.b_bytes[b[0]] != b" ":
-                return None
-            b, b_spans = b[1:], b_spans[1:]
-        elif b_spans:
-            b_spans[0] = (0, b_spans[0][1])
-        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+        raw, blank = text.encode(), text[0] == " "
+        x = self.a.encode(text, add_special_tokens=False)
+        y = self.b.encode(text[1:] if blank else text, return_type="offset_mapping")
+        a, b = np.array(x.ids, np.int64), np.array(y["ids"], np.int64)
+        a_span, b_span = (np.array(v, np.int64).reshape(-1, 2) for v in (x.offsets, y["offsets"]))
+        if blank:
+            b_span[:, 1] += 1  # the blank that B adds is text here
+            b_span[1:, 0] += 1
+        elif len(b) and self.b_bytes[b[0]] == b" ":
+            b, b_span = b[1:], b_span[1:]
+        if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
             return None
-        a_ends, b_ends = byte_ends(a, a_spans, at, self.a_size), byte_ends(b, b_spans, range(len(raw) + 1), self.b_size)
-        cuts = sorted(set(a_ends) & set(b_ends))
-        a_at, b_at = {e: i + 1 for i, e in enumerate(a_ends)}, {e: i + 1 for i, e in enumerate(b_ends)}
-        written, links, total, i, j = [], Counter(), 0, 0, 0
-        for c in cuts:
-            x, y = a[i:a_at[c]], b[j:b_at[c]]
-            i, j = a_at[c], b_at[c]
-            written.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
-            total += len(x) * len(y)
-            ny = Counter(y).items() if len(y) > 1 else ((y[0], 1),)
-            for u, m in Counter(x).items() if len(x) > 1 else ((x[0], 1),):
-                for v, n in ny:
-                    links[u << 32 | v] += m * n
-        pairs = np.fromiter(links.keys(), np.int64, len(links))
-        times = np.fromiter(links.values(), np.int64, len(links))
-        return Aligned(len(a), len(b), len(cuts), total, ";".join(written), pairs, times)
-
-    def __call__(self, texts: list[str]) -> list[list[Aligned]]:
-        """Each text (with its leading space) as the alignments of its stretches; [] if its bytes differ."""
-        cut = [SEAM.split(t) if self.seams else [t] for t in texts]
-        known = self.known
-        if len(known) > KNOWN:
-            known.clear()
-        here: dict[str, Aligned | None] = {}
-        new = list(dict.fromkeys(s for c in cut for s in c if s not in known))
-        for i in range(0, len(new), 1024):
-            for s, x in zip(new[i:i + 1024], self.stretches(new[i:i + 1024])):
-                (known if len(s) <= LONGEST else here)[s] = x
-        out = []
-        for t, c in zip(texts, cut):
-            found = [known[s] if s in known else here[s] for s in c]
-            if any(x is None for x in found):
-                whole = self.stretches([t])[0]  # what differs in a part may be right in the whole
-                found = [] if whole is None else [whole]
-            out.append(found)
-        return out
+        at = None
+        if len(raw) != len(text):
+            at = np.r_[np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw)]
+        return Tokens(a, byte_ends(a, *a_span.T, at, self.a_size), b, byte_ends(b, *b_span.T, at, self.b_size))
+
+    def _many(self, texts: list[str]) -> tuple[list[Tokens], np.ndarray]:
+        """Tokens of stretches (byte offsets through all of them), and which have their own bytes.
+
+        Stretches that end in a visible character follow one another across
+        seams, so many are encoded in one call.
+        """
+        calls, now, n = [], [], 0
+        for k, t in enumerate(texts):
+            if not self.seams or t[-1].isspace():
+                calls.append([k])
+                continue
+            now.append(k)
+            n += len(t)
+            if n >= CALL:
+                calls.append(now)
+                now, n = [], 0
+        if now:
+            calls.append(now)
+        out: list = [None] * len(texts)
+        for call in calls:
+            got = self.tokens("".join([texts[k] for k in call]))
+            if got is None:  # find the stretches that differ
+                for k in call if len(call) > 1 else []:
+                    one = self.tokens(texts[k])
+                    out[k] = one and [one]
+            else:  # the first of a call holds them all
+                out[call[0]] = [got]
+                for k in call[1:]:
+                    out[k] = []
+        return out, np.array([x is not None for x in out], bool)
+
+    def __call__(self, texts: list[str]) -> Aligned:
+        """Aligns texts, each with its leading blank; '' and texts whose tokens' bytes differ have no stretch."""
+        cut = [SEAM.split(t) if self.seams and t else [t] if t else [] for t in texts]
+        # those that end in a blank, alone in their calls, after all others: the pieces of a call follow one another
+        pieces = sorted(dict.fromkeys(chain.from_iterable(cut)), key=lambda t: t[-1].isspace())
+        place = {t: k for k, t in enumerate(pieces)}
+        many, good = self._many(pieces)
+        if not good.all():  # what differs in a part may be right in the whole
+            for d, c in enumerate(cut):
+                if all(good[place[t]] for t in c):
+                    continue
+                whole = self.tokens(texts[d])
+                cut[d] = []
+                if whole is not None:
+                    mark = "\0whole " + texts[d]  # no stretch starts so
+                    if mark not in place:
+                        place[mark] = len(pieces)
+                        pieces.append(texts[d])
+                        many.append([whole])
+                    cut[d] = [mark]
+        length = np.array([0 if m is None else len(t.encode()) for t, m in zip(pieces, many)], np.int64)
+        end = np.cumsum(length)
+        rows = [(x, e - n) for m, e, n in zip(many, end.tolist(), length.tolist()) if m for x in m]
+        join = lambda k, shift: np.concatenate([x[k] + (at if shift else 0) for x, at in rows] or [np.zeros(0, np.int64)])
+        every = Tokens(join(0, False), join(1, True), join(2, False), join(3, True))
+        stretch = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64)
+        return self._align(every, end, stretch, np.cumsum([len(c) for c in cut], dtype=np.int64))
+
+    def _align(self, t: Tokens, end: np.ndarray, stretch: np.ndarray, stretch_end: np.ndarray) -> Aligned:
+        n = len(end)
+        cuts = np.intersect1d(t.a_end, t.b_end, assume_unique=True)
+        ga, gb = np.searchsorted(cuts, t.a_end), np.searchsorted(cuts, t.b_end)
+        na, nb = np.bincount(ga, minlength=len(cuts)), np.bincount(gb, minlength=len(cuts))
+        owner = np.searchsorted(end, cuts)
+        sums = lambda v: np.bincount(owner, v, n).astype(np.int64)
+        figures = [sums(na), sums(nb), sums(np.ones(len(cuts))), sums(na * nb)]
+        # every token of A with every token of B in its group
+        wide = na * nb > WIDE
+        first = np.cumsum(nb) - nb
+        times = np.where(wide, 0, nb)[ga]
+        key = [np.repeat(t.a, times) << 32 | t.b[T.ranges(first[ga], times)]]
+        of, count = [np.repeat(owner[ga], times)], [np.ones(len(key[0]), np.int64)]
+        for g in np.flatnonzero(wide).tolist():
+            i = int(na[:g].sum())
+            x, m = np.unique(t.a[i:i + na[g]], return_counts=True)
+            y, k = np.unique(t.b[first[g]:first[g] + nb[g]], return_counts=True)
+            key.append((x[:, None] << 32 | y).ravel())
+            of.append(np.full(len(key[-1]), owner[g]))
+            count.append((m[:, None] * k).ravel())
+        id_pair, at = np.unique(np.concatenate(key), return_inverse=True)
+        code, where = np.unique(np.concatenate(of) * max(1, len(id_pair)) + at, return_inverse=True)
+        links = np.bincount(where, np.concatenate(count), len(code)).astype(np.int64)
+        pair_end = np.searchsorted(code, np.arange(1, n + 1) * max(1, len(id_pair)))
+        # a1,a2|b1;a3|b2,b3
+        last = lambda g: np.r_[g[1:] != g[:-1], True][:len(g)].astype(int)
+        shown = np.concatenate([np.where(last(ga), self.a_shown[1][t.a], self.a_shown[0][t.a]),
+                                np.where(last(gb), self.b_shown[1][t.b], self.b_shown[0][t.b])])
+        shown = shown[np.argsort(np.r_[2 * ga, 2 * gb + 1], kind="stable")].tolist()
+        to = np.cumsum(figures[0] + figures[1]).tolist()
+        groups = ["".join(shown[i:j])[:-1] for i, j in zip([0, *to], to)]
+        return Aligned(stretch, stretch_end, figures, groups, code % max(1, len(id_pair)), pair_end, links, id_pair)
+
+
+def documents_with(x: Aligned) -> np.ndarray:
+    """How many documents hold each id pair: once for each document and pair."""
+    n, pairs = max(1, len(x.pair_end)), max(1, len(x.id_pair))
+    doc = np.repeat(np.arange(len(x.stretch_end)), np.diff(x.stretch_end, prepend=0))
+    held = np.unique(doc * n + x.stretch)
+    many = np.diff(x.pair_end, prepend=0)[held % n]
+    rows = x.pair[T.ranges(np.r_[0, x.pair_end[:-1]][held % n], many)]
+    both = np.unique(np.repeat(held // n, many) * pairs + rows)
+    return np.bincount(both % pairs, minlength=len(x.id_pair))
+
+
+def per_document(x: Aligned, values: np.ndarray) -> np.ndarray:
+    """Sums over the stretches of each document."""
+    run = np.r_[0, np.cumsum(values[x.stretch])]
+    return run[x.stretch_end] - run[np.r_[0, x.stretch_end[:-1]]] if len(x.stretch_end) else run[:0]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
-_INTS = ("stretch", "stretch_end", "pair", "pair_end", "times")
+_INTS = {"stretch": "<i4", "stretch_end": "<i8", "pair": "<i4", "pair_end": "<i8", "times": "<i8"}
 _BLOCK = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
           "stretch binary, stretch_end binary, pair binary, pair_end binary, times binary, id_pair array<long>, n_docs array<long>")
 
 
-def _block(number: int, ids: list, aligned: list[list[Aligned]]) -> pa.RecordBatch:
+def _block(number: int, ids: list, x: Aligned) -> pa.RecordBatch:
     """One row for a block of documents: their figures, and their links by way of stretches and distinct pairs."""
-    place: dict[int, int] = {}
-    distinct: list[Aligned] = []
-    stretch = []
-    for doc in aligned:
-        for x in doc:
-            k = place.get(id(x))
-            if k is None:
-                k = place[id(x)] = len(distinct)
-                distinct.append(x)
-            stretch.append(k)
-    stretch = np.array(stretch, np.int64)
-    per_doc = np.array([len(x) for x in aligned], np.int64)
-    many = np.array([len(x.pairs) for x in distinct], np.int64)
-    pairs, at = np.unique(np.concatenate([x.pairs for x in distinct]) if distinct else np.zeros(0, np.int64), return_inverse=True)
-    # documents of the block that hold each pair: once for each document and pair
-    doc = np.repeat(np.arange(len(aligned)), per_doc)
-    held = np.unique(doc * max(1, len(distinct)) + stretch)
-    doc, own = held // max(1, len(distinct)), held % max(1, len(distinct))
-    first = np.r_[0, np.cumsum(many)[:-1]] if len(many) else np.zeros(0, np.int64)
-    rows = at[T.ranges(first[own], many[own])]
-    both = np.unique(np.repeat(doc, many[own]) * max(1, len(pairs)) + rows)
-    n_docs = np.bincount(both % max(1, len(pairs)), minlength=len(pairs))
-    times = np.concatenate([x.times for x in distinct]) if distinct else np.zeros(0, np.int64)
-    sha = [hashlib.sha256(";".join([x.groups for x in d]).encode()).hexdigest() if d else "" for d in aligned]
-    total = [pa.array([[sum(x[k] for x in d) for d in aligned]], pa.list_(pa.int64())) for k in range(4)]
-    packed = [stretch.astype("<i4"), np.cumsum(per_doc).astype("<i8"), at.astype("<i4"), np.cumsum(many).astype("<i8"), times.astype("<i8")]
+    ends = x.stretch_end.tolist()
+    sha = [hashlib.sha256(";".join([x.groups[k] for k in x.stretch[i:j]]).encode()).hexdigest() if j > i else "" for i, j in zip([0, *ends], ends)]
+    one = lambda v, kind=pa.int64(): pa.array([v], pa.list_(kind))
+    packed = [pa.array([getattr(x, c).astype(k).tobytes()], pa.binary()) for c, k in _INTS.items()]
     return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *total, pa.array([sha], pa.list_(pa.string())),
-         *[pa.array([x.tobytes()], pa.binary()) for x in packed], pa.array([pairs], pa.list_(pa.int64())), pa.array([n_docs], pa.list_(pa.int64()))],
+        [pa.array([number], pa.int64()), one(ids), *[one(per_document(x, f)) for f in x.figures], one(sha, pa.string()),
+         *packed, one(x.id_pair), one(documents_with(x))],
         ["block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", *_INTS, "id_pair", "n_docs"])
 
 
@@ -206,20 +269,20 @@ def align_blocks(docs: DataFrame, a_path: str, b_path: str, block: int = BLOCK)
     def run(batches):
         if (a_path, b_path) not in _ALIGNERS:
             _ALIGNERS[a_path, b_path] = Aligner(a_path, b_path)
-        align, number, ids, found, size = _ALIGNERS[a_path, b_path], TaskContext.get().partitionId() << 32, [], [], 0
+        align, number = _ALIGNERS[a_path, b_path], TaskContext.get().partitionId() << 32
+        ids, texts, size = [], [], 0
         for b in batches:
-            for part in T.pieces(b, "text", 1 << 20):
-                texts = part.column("text").to_pylist()
-                full = [t for t in texts if t]
-                done = iter(align([" " + t for t in full]))
-                found += [next(done) if t else [] for t in texts]
+            for part in T.pieces(b, "text", min(block, 1 << 20)):
+                more = [" " + t if t else "" for t in part.column("text").to_pylist()]
+                if texts and size + sum(map(len, more)) > block:
+                    yield _block(number, ids, align(texts))
+                    number, ids, texts, size = number + 1, [], [], 0
                 ids += part.column("doc_id").to_pylist()
-                size += sum(map(len, full))
-                if size >= block or len(ids) >= 100_000:
-                    yield _block(number, ids, found)
-                    number, ids, found, size = number + 1, [], [], 0
+                texts += more
+                size += sum(map(len, more))
         if ids:
-            yield _block(number, ids, found)
+            yield _block(number, ids, align(texts))
+        T.release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, _BLOCK)
 
@@ -234,12 +297,12 @@ def align(docs: DataFrame, a_path: str, b_path: str, block: int = BLOCK) -> Data
     highest of their A id), count_sum (counts over all links) and
     groups_sha256 of the groups written as `a1,a2|b1;a3|b2,b3`.
 
-    Character offsets of ``tokenizers`` and the spans of ``sentencepiece``'s
-    proto (``return_type="proto"``, what its immutable proto is called now)
-    are the coarse cuts, refined by decoded bytes inside a character. A seam
-    before a blank or line feed splits a text without changing its tokens
-    (:meth:`Aligner._seams`), so a stretch between seams is aligned once and
-    remembered (a bounded number of short ones) by its worker.
+    Character offsets of ``tokenizers`` and the spans of ``sentencepiece`` (its
+    ``return_type="offset_mapping"``: the immutable proto, which this version
+    no longer returns, as character offsets) are the coarse cuts, refined by
+    decoded bytes inside a character. A seam before a blank or line feed splits
+    a text without changing its tokens (:meth:`Aligner._seams`), so a stretch
+    between seams is encoded and aligned once in a block.
 
     What moves is a block's distinct id pairs with their documents, about a
     million for a block of 8 MB at most in common text; the pair of a frequent
@@ -264,20 +327,17 @@ def align(docs: DataFrame, a_path: str, b_path: str, block: int = BLOCK) -> Data
             for r in range(b.num_rows):
                 row = {c: b.column(c)[r] for c in b.schema.names}
                 n_docs = len(row["doc_id"])
-                stretch, stretch_end, pair, pair_end, times = [np.frombuffer(row[c].as_buffer(), k) for c, k in zip(_INTS, ("<i4", "<i8", "<i4", "<i8", "<i8"))]
+                x = Aligned(**{c: np.frombuffer(row[c].as_buffer(), k) for c, k in _INTS.items()}, figures=[], groups=[], id_pair=row["id_pair"].values.to_numpy())
                 known = row["known"].values
-                n, best_ = np.zeros(len(row["id_pair"]), np.int64), np.zeros(len(row["id_pair"]), np.int64)
+                n, best_ = np.zeros(len(x.id_pair), np.int64), np.zeros(len(x.id_pair), np.int64)
                 if known is not None and len(known):
-                    ids = row["id_pair"].values.to_numpy()
-                    where = np.searchsorted(ids, known.field(0).to_numpy())
+                    where = np.searchsorted(x.id_pair, known.field(0).to_numpy())
                     n[where] = known.field(1).to_numpy()
                     best_[where] = known.field(2).to_numpy(zero_copy_only=False)
                 sums = []
                 for value in (best_, n):  # over the links of a stretch, then over the stretches of a document
-                    each = np.r_[0, np.cumsum(value[pair] * times)]
-                    each = each[pair_end] - each[np.r_[0, pair_end[:-1]]] if len(pair_end) else np.zeros(0, np.int64)
-                    run_ = np.r_[0, np.cumsum(each[stretch])]
-                    sums.append(run_[stretch_end] - run_[np.r_[0, stretch_end[:-1]]])
+                    each = np.r_[0, np.cumsum(value[x.pair] * x.times)]
+                    sums.append(per_document(x, each[x.pair_end] - each[np.r_[0, x.pair_end[:-1]]] if len(x.pair_end) else each[:0]))
                 cols = [row[c].values for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
                 for i in range(0, n_docs, 4096):
                     yield pa.RecordBatch.from_arrays([*[c.slice(i, 4096) for c in cols], *[pa.array(s[i:i + 4096]) for s in sums],

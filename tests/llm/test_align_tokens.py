@@ -2,6 +2,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
@@ -71,24 +72,41 @@ def make(rng, n):
     return rng.choice(["", " ", "\n", "\n\n ", "\t"]) + "".join(rng.choice(PARTS) + rng.choice(GAPS) for _ in range(n))
 
 
+def shown(x):
+    """The groups of every document, from those of its stretches."""
+    ends = x.stretch_end.tolist()
+    return [";".join(x.groups[k] for k in x.stretch[i:j]) for i, j in zip([0, *ends], ends)]
+
+
 def test_seams_do_not_change_tokens(aligner):
-    """The stretches between seams give the tokens, groups and pairs of the whole text."""
+    """The stretches between seams give the tokens, groups and links of the whole text."""
     rng = random.Random(8)
     texts = [make(rng, rng.randint(1, 25)) for _ in range(3000)]
     assert aligner.seams
-    for t, found in zip(texts, aligner([" " + t for t in texts])):
+    x = aligner([" " + t for t in texts])
+    n_a, n_b, _, n_links = (A.per_document(x, f).tolist() for f in x.figures)
+    for k, (t, found) in enumerate(zip(texts, shown(x))):
         w = whole(t, aligner)
-        assert bool(found) == bool(w)
+        assert found == (";".join(",".join(map(str, g[0])) + "|" + ",".join(map(str, g[1])) for g in w[2]) if w else "")
         if w:
-            shown = ";".join(",".join(map(str, g[0])) + "|" + ",".join(map(str, g[1])) for g in w[2])
-            assert ";".join(x.groups for x in found) == shown
-            assert (sum(x.n_a for x in found), sum(x.n_b for x in found)) == (len(w[0]), len(w[1]))
+            assert (n_a[k], n_b[k], n_links[k]) == (len(w[0]), len(w[1]), sum(len(g[0]) * len(g[1]) for g in w[2]))
 
 
 def test_spans_refined_by_bytes():
-    """é in two tokens, then a in one: both tokens of é have its whole span."""
-    assert A.byte_ends([0, 1, 2], [(0, 1), (0, 1), (1, 2)], [0, 2, 3], [1, 1, 1]) == [1, 2, 3]
-    assert A.byte_ends([0, 1, 2], [(0, 0), (0, 0), (0, 1)], [0, 3], [1, 1, 1]) == [1, 2, 3]
+    """é in two tokens, then a in one: both tokens of é have its whole span; or three bytes whose span is the last one's."""
+    ends = lambda spans, at: A.byte_ends(np.arange(3), *np.array(spans).T, np.array(at), np.ones(3, int)).tolist()
+    assert ends([(0, 1), (0, 1), (1, 2)], [0, 2, 3]) == [1, 2, 3]
+    assert ends([(0, 0), (0, 0), (0, 1)], [0, 3]) == [1, 2, 3]
+
+
+def test_wide_groups(aligner, monkeypatch):
+    """Groups too wide to write out link by link give the same pairs."""
+    texts = [" " + "漢字かな🙂" * 30, " " + "=-" * 200 + "é" * 50, " a b"] * 2
+    a = aligner(texts)
+    monkeypatch.setattr(A, "WIDE", 1)
+    b = aligner(texts)
+    for x, y in zip(a, b):
+        assert all(map(np.array_equal, x, y)) if isinstance(x, list) and not isinstance(x[0], str) else np.array_equal(x, y)
 
 
 @pytest.mark.parametrize("block", [200, 1 << 22])
@@ -101,13 +119,12 @@ def test_same_as_by_hand(docs, aligner, block):
     assert sorted(map(tuple, A.align(df, *FILES, block=block).collect()), key=str) == slow(rows, aligner)
 
 
-def test_without_seams(docs, aligner):
+def test_without_seams(aligner):
     """A tokenizer that may join across a seam gets whole texts."""
-    rows = [(i, t) for i, t in enumerate(["a b\nc", "naïve  漢", "\n"])]
+    texts = [" a b\nc", " naïve  漢", " \n", "", " with ▁ in it"]
     whole_only = A.Aligner(*FILES)
     whole_only.seams = False
-    a, b = whole_only([" " + t for _, t in rows]), aligner([" " + t for _, t in rows])
-    assert [";".join(x.groups for x in d) for d in a] == [";".join(x.groups for x in d) for d in b]
+    assert shown(whole_only(texts)) == shown(aligner(texts))
 
 
 def test_empty(docs):
