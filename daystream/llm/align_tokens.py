@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from collections.abc import Iterable
 from itertools import chain
 from typing import NamedTuple
 
@@ -21,7 +23,7 @@ from daystream.llm import text as T
 from daystream.llm.store import stage
 
 #: Bytes of text that share one dictionary of id pairs.
-BLOCK = 8 << 20
+BLOCK = 6 << 20
 #: Characters that are encoded in one call.
 CALL = 1 << 16
 #: Links of a group that are written out one by one; larger groups go by distinct ids.
@@ -66,6 +68,18 @@ def byte_ends(ids: np.ndarray, start: np.ndarray, stop: np.ndarray, at: np.ndarr
     return cut if sure.all() else np.where(sure, cut, np.cumsum(size[ids]))
 
 
+class Bytes:
+    """The bytes of a vocabulary's entries."""
+
+    def __init__(self, entries: list[bytes]):
+        self.size = np.array([len(x) for x in entries], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.every = np.frombuffer(b"".join(entries), np.uint8)
+
+    def of(self, ids: np.ndarray) -> bytes:
+        return self.every[T.ranges(self.start[ids], self.size[ids])].tobytes()
+
+
 class Aligner:
     """Aligns texts under two tokenizer files."""
 
@@ -80,14 +94,13 @@ class Aligner:
         other = [b for b in range(256) if b not in set(shown)]
         byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(other)}
         vocabulary = self.a.get_vocab()
-        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        a = [b""] * (max(vocabulary.values()) + 1)
         for w, i in vocabulary.items():
-            self.a_bytes[i] = bytes(byte[c] for c in w) if all(c in byte for c in w) else w.encode()
+            a[i] = bytes(byte[c] for c in w) if all(c in byte for c in w) else w.encode()
         piece = self.b.id_to_piece
-        self.b_bytes = [bytes([int(piece(i)[3:5], 16)]) if self.b.is_byte(i) else piece(i).replace("▁", " ").encode()
-                        for i in range(self.b.get_piece_size())]
-        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.a_shown, self.b_shown = ([np.array([f"{i}{end}" for i in range(len(t))], object) for end in ends]
+        self.a_bytes, self.b_bytes = Bytes(a), Bytes([bytes([int(piece(i)[3:5], 16)]) if self.b.is_byte(i) else piece(i).replace("▁", " ").encode()
+                                                      for i in range(self.b.get_piece_size())])
+        self.a_shown, self.b_shown = ([np.array([f"{i}{end}" for i in range(len(t.size))], object) for end in ends]
                                       for t, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")))
         self.seams = self._seams(a_path, b_path)
 
@@ -122,77 +135,74 @@ class Aligner:
         x = self.a.encode(text, add_special_tokens=False)
         y = self.b.encode(text[1:] if blank else text, return_type="offset_mapping")
         a, b = np.array(x.ids, np.int64), np.array(y["ids"], np.int64)
-        a_span, b_span = (np.array(v, np.int64).reshape(-1, 2) for v in (x.offsets, y["offsets"]))
+        a_span, b_span = (np.fromiter(chain.from_iterable(v), np.int64, 2 * len(v)).reshape(-1, 2) for v in (x.offsets, y["offsets"]))
         if blank:
             b_span[:, 1] += 1  # the blank that B adds is text here
             b_span[1:, 0] += 1
-        elif len(b) and self.b_bytes[b[0]] == b" ":
+        elif len(b) and self.b_bytes.of(b[:1]) == b" ":
             b, b_span = b[1:], b_span[1:]
-        if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
+        if self.a_bytes.of(a) != raw or self.b_bytes.of(b) != raw:
             return None
         at = None
         if len(raw) != len(text):
             at = np.r_[np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw)]
-        return Tokens(a, byte_ends(a, *a_span.T, at, self.a_size), b, byte_ends(b, *b_span.T, at, self.b_size))
+        return Tokens(a, byte_ends(a, *a_span.T, at, self.a_bytes.size), b, byte_ends(b, *b_span.T, at, self.b_bytes.size))
 
-    def _many(self, texts: list[str]) -> tuple[list[Tokens], np.ndarray]:
-        """Tokens of stretches (byte offsets through all of them), and which have their own bytes.
+    def _many(self, texts: list[str], plain: int) -> tuple[list[tuple[int, Tokens]], np.ndarray]:
+        """Tokens of stretches as (first stretch, tokens of one or more), and which stretches have their own bytes.
 
-        Stretches that end in a visible character follow one another across
-        seams, so many are encoded in one call.
+        The first ``plain`` end in a visible character, so one after another
+        they have seams between them and many are encoded in one call.
         """
-        calls, now, n = [], [], 0
-        for k, t in enumerate(texts):
-            if not self.seams or t[-1].isspace():
-                calls.append([k])
-                continue
-            now.append(k)
-            n += len(t)
-            if n >= CALL:
-                calls.append(now)
-                now, n = [], 0
-        if now:
-            calls.append(now)
-        out: list = [None] * len(texts)
-        for call in calls:
-            got = self.tokens("".join([texts[k] for k in call]))
-            if got is None:  # find the stretches that differ
-                for k in call if len(call) > 1 else []:
-                    one = self.tokens(texts[k])
-                    out[k] = one and [one]
-            else:  # the first of a call holds them all
-                out[call[0]] = [got]
-                for k in call[1:]:
-                    out[k] = []
-        return out, np.array([x is not None for x in out], bool)
-
-    def __call__(self, texts: list[str]) -> Aligned:
+        size = np.cumsum([len(t) for t in texts[:plain]], dtype=np.int64)
+        at = [0, *(np.flatnonzero(np.diff(size // CALL)) + 1).tolist()] if plain else []
+        calls = list(zip(at, [*at[1:], plain])) + [(k, k + 1) for k in range(plain, len(texts))]
+        out, good = [], np.ones(len(texts), bool)
+        for i, j in calls:
+            got = self.tokens("".join(texts[i:j]))
+            found = [(i, got)] if got or j - i == 1 else [(k, self.tokens(texts[k])) for k in range(i, j)]  # find those that differ
+            for k, x in found:
+                if x is None:
+                    good[k] = False
+                else:
+                    out.append((k, x))
+        return out, good
+
+    def __call__(self, texts: Iterable[str]) -> Aligned:
         """Aligns texts, each with its leading blank; '' and texts whose tokens' bytes differ have no stretch."""
-        cut = [SEAM.split(t) if self.seams and t else [t] if t else [] for t in texts]
+        place: dict[str, int] = {}
+        number, stretch, ends = place.setdefault, array("i"), array("q")
+        for t in texts:
+            if t:
+                stretch.extend([number(s, len(place)) for s in (SEAM.split(t) if self.seams else (t,))])
+            ends.append(len(stretch))
+        stretch, ends = np.array(stretch, np.int64), np.array(ends, np.int64)
         # those that end in a blank, alone in their calls, after all others: the pieces of a call follow one another
-        pieces = sorted(dict.fromkeys(chain.from_iterable(cut)), key=lambda t: t[-1].isspace())
-        place = {t: k for k, t in enumerate(pieces)}
-        many, good = self._many(pieces)
+        pieces = list(place)
+        place.clear()
+        alone = np.array([not self.seams or t[-1].isspace() for t in pieces], bool)
+        order = np.argsort(alone, kind="stable")
+        stretch = np.argsort(order)[stretch]
+        pieces = [pieces[k] for k in order.tolist()]
+        found, good = self._many(pieces, int((~alone).sum()))
         if not good.all():  # what differs in a part may be right in the whole
-            for d, c in enumerate(cut):
-                if all(good[place[t]] for t in c):
-                    continue
-                whole = self.tokens(texts[d])
-                cut[d] = []
+            parts = [stretch[i:j] for i, j in zip(np.r_[0, ends[:-1]], ends)]
+            bad = {d: "".join([pieces[k] for k in parts[d]]) for d in np.unique(np.searchsorted(ends, np.flatnonzero(~good[stretch]), "right")).tolist()}
+            pieces = [t if g else "" for t, g in zip(pieces, good)]
+            for text in dict.fromkeys(bad.values()):
+                whole = self.tokens(text)
+                place[text] = -1
                 if whole is not None:
-                    mark = "\0whole " + texts[d]  # no stretch starts so
-                    if mark not in place:
-                        place[mark] = len(pieces)
-                        pieces.append(texts[d])
-                        many.append([whole])
-                    cut[d] = [mark]
-        length = np.array([0 if m is None else len(t.encode()) for t, m in zip(pieces, many)], np.int64)
-        end = np.cumsum(length)
-        rows = [(x, e - n) for m, e, n in zip(many, end.tolist(), length.tolist()) if m for x in m]
-        join = lambda k, shift: np.concatenate([x[k] + (at if shift else 0) for x, at in rows] or [np.zeros(0, np.int64)])
-        every = Tokens(join(0, False), join(1, True), join(2, False), join(3, True))
-        stretch = np.fromiter(map(place.__getitem__, chain.from_iterable(cut)), np.int64)
-        return self._align(every, end, stretch, np.cumsum([len(c) for c in cut], dtype=np.int64))
+                    place[text] = len(pieces)
+                    found.append((len(pieces), whole))
+                    pieces.append(text)
+            for d, text in bad.items():
+                parts[d] = np.array([place[text]] if place[text] >= 0 else [], np.int64)
+            stretch, ends = np.concatenate(parts), np.cumsum([len(x) for x in parts], dtype=np.int64)
+        end = np.cumsum([len(t.encode()) for t in pieces], dtype=np.int64)
+        shift = np.r_[0, end]
+        join = lambda k, moved: np.concatenate([x[k] + (shift[i] if moved else 0) for i, x in found] or [np.zeros(0, np.int64)])
+        return self._align(Tokens(join(0, False), join(1, True), join(2, False), join(3, True)), end, stretch, ends)
 
     def _align(self, t: Tokens, end: np.ndarray, stretch: np.ndarray, stretch_end: np.ndarray) -> Aligned:
         n = len(end)
@@ -229,15 +239,20 @@ class Aligner:
         return Aligned(stretch, stretch_end, figures, groups, code % max(1, len(id_pair)), pair_end, links, id_pair)
 
 
-def documents_with(x: Aligned) -> np.ndarray:
-    """How many documents hold each id pair: once for each document and pair."""
-    n, pairs = max(1, len(x.pair_end)), max(1, len(x.id_pair))
-    doc = np.repeat(np.arange(len(x.stretch_end)), np.diff(x.stretch_end, prepend=0))
-    held = np.unique(doc * n + x.stretch)
-    many = np.diff(x.pair_end, prepend=0)[held % n]
-    rows = x.pair[T.ranges(np.r_[0, x.pair_end[:-1]][held % n], many)]
-    both = np.unique(np.repeat(held // n, many) * pairs + rows)
-    return np.bincount(both % pairs, minlength=len(x.id_pair))
+def documents_with(x: Aligned, most: int = 1 << 19) -> np.ndarray:
+    """How many documents hold each id pair: once for each document and pair (about ``most`` stretches at a time)."""
+    n, pairs, out = max(1, len(x.pair_end)), max(1, len(x.id_pair)), np.zeros(len(x.id_pair), np.int64)
+    count, first = np.diff(x.pair_end, prepend=0), np.r_[0, x.pair_end[:-1]]
+    per_doc, at = np.diff(x.stretch_end, prepend=0), 0
+    while at < len(per_doc):
+        i = int(x.stretch_end[at] - per_doc[at])
+        to = max(at + 1, int(np.searchsorted(x.stretch_end, i + most, "right")))
+        held = np.unique(np.repeat(np.arange(to - at), per_doc[at:to]) * n + x.stretch[i:int(x.stretch_end[to - 1])])
+        own = held % n
+        both = np.unique(np.repeat(held // n, count[own]) * pairs + x.pair[T.ranges(first[own], count[own])])
+        out += np.bincount(both % pairs, minlength=len(out))
+        at = to
+    return out
 
 
 def per_document(x: Aligned, values: np.ndarray) -> np.ndarray:
@@ -255,7 +270,7 @@ _BLOCK = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_g
 def _block(number: int, ids: list, x: Aligned) -> pa.RecordBatch:
     """One row for a block of documents: their figures, and their links by way of stretches and distinct pairs."""
     ends = x.stretch_end.tolist()
-    sha = [hashlib.sha256(";".join([x.groups[k] for k in x.stretch[i:j]]).encode()).hexdigest() if j > i else "" for i, j in zip([0, *ends], ends)]
+    sha = [hashlib.sha256(";".join([x.groups[k] for k in x.stretch[i:j].tolist()]).encode()).hexdigest() if j > i else "" for i, j in zip([0, *ends], ends)]
     one = lambda v, kind=pa.int64(): pa.array([v], pa.list_(kind))
     packed = [pa.array([getattr(x, c).astype(k).tobytes()], pa.binary()) for c, k in _INTS.items()]
     return pa.RecordBatch.from_arrays(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from daystream.llm import align_tokens as A
 
+TABLES: list = []
 FILES = P.path("byte_bpe_50k.json"), P.path("piece_bpe_32k.model")
 
 
@@ -22,17 +23,19 @@ def whole(text, x):
     if not text:
         return None
     raw = b" " + text.encode()
+    tables = [[t.of(np.array([i])) for i in range(len(t.size))] for t in (x.a_bytes, x.b_bytes)] if not TABLES else TABLES
+    TABLES[:] = tables
     a, b = x.a.encode(" " + text, add_special_tokens=False).ids, x.b.encode(text)
-    if b"".join(x.a_bytes[i] for i in a) != raw or b"".join(x.b_bytes[i] for i in b) != raw:
+    if b"".join(tables[0][i] for i in a) != raw or b"".join(tables[1][i] for i in b) != raw:
         return None
     owner, cut = {}, [set(), set()]
-    for side, ids, table in ((0, a, x.a_bytes), (1, b, x.b_bytes)):
+    for side, ids, table in ((0, a, tables[0]), (1, b, tables[1])):
         at = 0
         for i in ids:
             at += len(table[i])
             cut[side].add(at)
     both, groups = sorted(cut[0] & cut[1]), []
-    for side, ids, table in ((0, a, x.a_bytes), (1, b, x.b_bytes)):
+    for side, ids, table in ((0, a, tables[0]), (1, b, tables[1])):
         at, k = 0, 0
         for i in ids:
             owner.setdefault((side, k), []).append(i)
