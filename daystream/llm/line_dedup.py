@@ -91,7 +91,8 @@ def line_dedup(docs: DataFrame, least_chars: int = 40, least_docs: int = 5, extr
     maps = maps.select(F.col("doc").alias("m_doc"), F.col("uid").alias("m_uid"), "n_dropped", dense.alias("mask"))
     more = [F.struct(*extra).alias("row")] if extra else []
     rows = _rows(docs, F.col("doc_id").cast("long").alias("doc_id"), *more)
-    out = rows.join(maps, (F.col("doc") == F.col("m_doc")) & (F.col("uid") == F.col("m_uid")), "left")
+    # bitmaps grow with the corpus; the plan is the same at every size
+    out = rows.join(maps.hint("merge"), (F.col("doc") == F.col("m_doc")) & (F.col("uid") == F.col("m_uid")), "left")
     kept = F.expr(f"""filter(lines, (x, i) -> shiftright(coalesce(get(mask, cast(i div {BITS} as int)), 0L), i % {BITS}) & 1L = 0L)""")
     return out.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"),
                       F.array_join(F.when(F.col("mask").isNull(), F.col("lines")).otherwise(kept), "\n").alias("text"), *[F.col("row") for _ in more])
