@@ -329,18 +329,19 @@ def _stream_of(spark, src):
 
 def _page_messages(spark, sf):
     """Page-topic messages of all page records; every 97th record is broken in
-    one of four ways and a good copy of it follows at another position, so
-    the dead letters are known and the records are all there."""
+    one of four ways and sent again right after it, so the dead letters are
+    known and the records are all there. Offsets rise with time: a record's
+    are 2n, a broken one's 2n + 1."""
     from daystream.plans.jobs import page_messages
-    good = page_messages(_pages(spark, sf))
+    pages = page_messages(_pages(spark, sf))
     n = F.col("offset") * 4 + F.col("partition")
+    good = pages.withColumn("offset", F.col("offset") * 2)
     broken = F.element_at(F.array(
         F.lit("not json"), F.lit(" "),
         F.to_json(F.struct(F.lit("v").alias("page_id"), F.lit(1).alias("ts"))),
         F.to_json(F.struct(F.lit("m").alias("mid"), F.lit("soon").alias("ts")))),
         (F.floor(n / 97) % 4 + 1).cast("int"))
-    bad = good.where(n % 97 == 0).withColumn("value", broken).withColumn(
-        "offset", F.col("offset") + F.lit(1 << 40))
+    bad = pages.where(n % 97 == 0).withColumn("value", broken).withColumn("offset", F.col("offset") * 2 + 1)
     return good.unionByName(bad)
 
 
@@ -350,7 +351,8 @@ def q_page_dead_letter(spark, sf):
 
 
 def _changes_with_garbage(spark, sf):
-    """All change messages, and for every 97th position one broken copy."""
+    """All change messages at even offsets, and for every 97th position one broken
+    copy at the odd offset after it."""
     env = change_envelopes_from(spark, sf)
     broken = F.element_at(F.array(
         F.lit("{"), F.lit("\t\n"), F.lit('{"type":"insert","data":{"id":1}}'),
@@ -358,9 +360,8 @@ def _changes_with_garbage(spark, sf):
         F.lit('{"type":"insert","table":"order_info"}'),
         F.lit('{"type":"update","table":"user_info","data":{"gender":"M"}}')),
         (F.floor(F.col("offset") / 97) % 6 + 1).cast("int"))
-    bad = env.where(F.col("offset") % 97 == 0).withColumn("value", broken).withColumn(
-        "offset", F.col("offset") + F.lit(1 << 40))
-    return env.unionByName(bad)
+    bad = env.where(F.col("offset") % 97 == 0).withColumn("value", broken).withColumn("offset", F.col("offset") * 2 + 1)
+    return env.withColumn("offset", F.col("offset") * 2).unionByName(bad)
 
 
 def q_cdc_dead_letter(spark, sf):

@@ -301,17 +301,16 @@ WHERE r.src_offset >= coalesce(s.until_offset, 0)""",
 }
 
 # Broken copies: of every 97th page position, and of every change whose offset
-# is a multiple of 97; they keep the partition, offsets go up by 2^40.
-_BAD_OFFSET = 1 << 40
-_BAD_CHANGE = f"""
+# is a multiple of 97; they keep the partition, their offset is 2n + 1 and the good one's 2n.
+_BAD_CHANGE = """
 bad AS (
-  SELECT src_partition, src_offset + {_BAD_OFFSET} AS src_offset, (src_offset // 97) % 6 AS kind
+  SELECT src_partition, src_offset * 2 + 1 AS src_offset, (src_offset // 97) % 6 AS kind
   FROM ops WHERE src_offset % 97 = 0
 )"""
 
 ORACLE_SQL.update({
-    "page_dead_letter": _w(_LOG) + f"""
-SELECT src_partition, src_offset + {_BAD_OFFSET} AS src_offset,
+    "page_dead_letter": _w(_LOG) + """
+SELECT src_partition, src_offset * 2 + 1 AS src_offset,
   ['corrupt', 'empty', 'missing_mid', 'missing_ts'][1 + (src_offset * 4 + src_partition) // 97 % 4] AS reason
 FROM pages WHERE (src_offset * 4 + src_partition) % 97 = 0""",
 
@@ -333,10 +332,9 @@ SELECT "table", id, op, src_partition, src_offset FROM (
     "stream_dau_state_restore": _w(_LOG, _FIRST) + """
 SELECT dt, mid, count(*) AS rows FROM firsts GROUP BY dt, mid""",
 
-    "stream_dau_ledger": _w(_LOG) + f"""
+    "stream_dau_ledger": _w(_LOG) + """
 SELECT 'dwd_dau' AS group_id, 'DWD_PAGE_LOG_TOPIC_20220629' AS topic, src_partition AS partition,
-  max(CASE WHEN (src_offset * 4 + src_partition) % 97 = 0 THEN src_offset + {_BAD_OFFSET} ELSE src_offset END) + 1
-    AS until_offset
+  max(src_offset * 2 + CASE WHEN (src_offset * 4 + src_partition) % 97 = 0 THEN 1 ELSE 0 END) + 1 AS until_offset
 FROM pages GROUP BY src_partition""",
 
     "stream_cdc_split": _w(_CHG, _BAD_CHANGE) + f"""

@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import envelopes
+from messages import envelopes
 
 from daystream.operators import cdc
 from daystream.sources.envelopes import routing_table

@@ -146,7 +146,7 @@ def test_compaction_keeps_rows_and_cuts_files(spark):
 
 
 def test_ledger_compaction(spark):
-    from conftest import envelopes
+    from messages import envelopes
 
     from daystream.plans import jobs
     path = scratch_path(spark, "ledger-compact")

@@ -4,7 +4,7 @@ store, staging, resume positions."""
 import json
 import os
 
-from conftest import envelopes
+from messages import envelopes
 from pyspark.sql import functions as F
 
 from daystream import schemas

@@ -1,6 +1,6 @@
 """Offset ranges, ledger save/read and resuming from saved positions."""
 
-from conftest import envelopes
+from messages import envelopes
 
 from daystream.operators import ledger
 

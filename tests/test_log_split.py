@@ -2,7 +2,7 @@
 
 import json
 
-from conftest import envelopes
+from messages import envelopes
 
 from daystream.functions import routing as R
 from daystream.operators import log_split

@@ -60,7 +60,7 @@ def test_upsert_twice_is_once(spark, keys):
 
 # ---------------------------------------------------------------- log routing
 
-from conftest import envelopes  # noqa: E402
+from messages import envelopes  # noqa: E402
 
 from daystream.functions import routing as R  # noqa: E402
 from daystream.operators import log_split  # noqa: E402
