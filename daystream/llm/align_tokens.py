@@ -320,7 +320,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, block: int = BLOCK) -> Data
     between seams is encoded and aligned once in a block.
 
     What moves is a block's distinct id pairs with their documents, about a
-    million for a block of 8 MB at most in common text; the pair of a frequent
+    million for a block of 6 MB at most in common text; the pair of a frequent
     word comes once from each block. Sums go back to the block they came from.
 
     Null and empty texts, and texts whose tokens' bytes differ from them (a

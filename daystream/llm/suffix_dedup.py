@@ -15,7 +15,7 @@ from daystream.llm.lyndon import suffix_arrays
 from daystream.llm.store import parts_for, stage
 
 WIDTH, K = 50, 16
-#: Symbols of all texts that one call sorts, and of one text at most (a larger group is pre-aggregated).
+#: Symbols of all texts that one call sorts, and of one text at most (a larger group is split by more bytes).
 BATCH, LARGEST = 1 << 19, 1 << 14
 CUTS = "bucket long, anchor binary, rank binary, uid binary, lo binary, count binary, rel binary, body binary"
 
@@ -116,56 +116,115 @@ def _sorted_windows(body, base, length, group, width: int):
     return out
 
 
-def _sort(cuts: DataFrame, width: int, k: int) -> DataFrame:
-    """Spans of the windows that a string of an earlier document has too."""
-    def run(key, table):
+class _Group:
+    """The strings of one bucket, and their windows by how many bytes are left of the anchor.
+
+    A window that has j bytes before its anchor has ``width - k - j`` after it.
+    Those with j from ``low`` to ``high`` all hold the bytes from ``low`` before
+    the anchor to ``width - k - high`` after it, so strings can share such a window
+    only if they share that core. A string is cut to what its windows in the range cover.
+    """
+
+    def __init__(self, table, width: int, k: int):
         def joined(name, kind):
             return np.frombuffer(b"".join(x.as_buffer() for c in table.column(name).chunks for x in c), kind)
-        anchor, rank, uid = joined("anchor", "<u8"), joined("rank", "<i8"), joined("uid", "<i8")
-        lo, count, rel = (joined(n, t).astype(np.int64) for n, t in (("lo", "<i4"), ("count", "<u2"), ("rel", "<u2")))
-        body = joined("body", np.uint8)
-        length = count + width - 1
-        base = np.r_[0, np.cumsum(length)[:-1]]
-        # Two strings have a common window only if they share one of these cores around the anchor
-        pre = S.prefix(T.BYTE_VALUE[1][body], 1)
-        room = width - k
-        step = -(-room // 4)
-        shared = np.zeros(len(anchor), bool)
-        for left in range(0, room + 1, step):
-            right = max(0, room - left - step + 1)
-            has = np.flatnonzero((rel >= left) & (length - rel - k >= right))
-            a = base[has] + rel[has]
-            h = S.rolled(pre, a - left, a + k + right) ^ T.mix(anchor[has])
-            o = np.argsort(h, kind="stable")
-            s = h[o]
-            twice = np.zeros(len(s), bool)
-            if len(s) > 1:
-                e = s[1:] == s[:-1]
-                twice[1:] |= e
-                twice[:-1] |= e
-            shared[has[o[twice]]] = True
-        keep = np.flatnonzero(shared)
-        keep = keep[np.argsort(anchor[keep], kind="stable")]
+        self.anchor, self.rank, self.uid = joined("anchor", "<u8"), joined("rank", "<i8"), joined("uid", "<i8")
+        self.lo, self.count, self.rel = (joined(n, t).astype(np.int64) for n, t in (("lo", "<i4"), ("count", "<u2"), ("rel", "<u2")))
+        self.body = joined("body", np.uint8)
+        length = self.count + width - 1
+        self.pos = np.r_[0, np.cumsum(length)[:-1]] + self.rel  # of the anchor
+        self.room, self.k = width - k, k
+        self.pre = [S.prefix(T.BYTE_VALUE[i][self.body], i) for i in (0, 1)]
+
+    def hashed(self, which: int, start, end):
+        return S.rolled(self.pre[which], start, end)
+
+    def sharing(self, who, low: int, high: int):
+        """Strings of ``who`` with a window in the range and a core that another document's string has, by core.
+
+        Returns (string, group, first and last j), groups in order.
+        """
+        first, last = np.maximum(self.rel[who] - self.count[who] + 1, low), np.minimum(self.rel[who], high)
+        who, first, last = (x[first <= last] for x in (who, first, last))
+        core = self.hashed(1, self.pos[who] - low, self.pos[who] + self.k + self.room - high) ^ T.mix(self.anchor[who])
+        o = np.argsort(core, kind="stable")
+        who, first, last, core = who[o], first[o], last[o], core[o]
+        if not len(who):
+            return who, who, first, last
+        cut = np.flatnonzero(np.r_[True, core[1:] != core[:-1]])
+        r, size = self.rank[who], np.diff(np.r_[cut, len(who)])
+        many = np.repeat(np.minimum.reduceat(r, cut) < np.maximum.reduceat(r, cut), size)
+        return who[many], np.repeat(np.arange(len(cut)), size)[many], first[many], last[many]
+
+
+def _numbered(g: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.r_[True, g[1:] != g[:-1]][:len(g)]) - 1
+
+
+def _repeats(t: _Group, width: int, largest: int):
+    """(string, window) of the windows that a string of a smaller rank has too.
+
+    Equal strings of a group are one. A group of different strings is sorted
+    by its suffix array; one of more than ``largest`` symbols is first split
+    by the two halves of its range of j, whose cores are longer, again and again:
+    strings that share the core of a single j share that whole window, so they are all equal.
+    """
+    step = -(-t.room // 4)
+    todo = [(np.arange(len(t.anchor)), low, min(low + step - 1, t.room)) for low in range(0, t.room + 1, step)]
+    found, sorting, groups = [], [], 0
+    while todo:
+        who, low, high = todo.pop()
+        who, g, first, last = t.sharing(who, low, high)
+        if not len(who):
+            continue
+        start, end = t.pos[who] - last, t.pos[who] + t.k + t.room - first
+        one, two = t.hashed(0, start, end), t.hashed(1, start, end) ^ T.mix((first * 64 + last).astype(np.uint64))
+        o = np.lexsort((two, one, g))
+        who, g, first, last, start, end, one, two = (x[o] for x in (who, g, first, last, start, end, one, two))
+        g = _numbered(g)
+        new = np.r_[True, (g[1:] != g[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])]
+        lead = np.flatnonzero(new)
+        text = np.cumsum(new) - 1
+        least = np.minimum.reduceat(t.rank[who], lead)
+        kinds = np.bincount(g[lead])
+        symbols = np.bincount(g[lead], end[lead] - start[lead] + 1)
+        alone = kinds[g] == 1
+        late = alone & (t.rank[who] > least[text])
+        found.append((np.repeat(who[late], (last - first + 1)[late]), T.ranges((t.rel[who] - last)[late], (last - first + 1)[late])))
+        large = ~alone & (symbols[g] > largest) & (low < high)
+        if large.any():
+            half = (low + high) // 2
+            todo += [(who[large], low, half), (who[large], half + 1, high)]
+        rest = ~alone & ~large
+        if rest.any():
+            sub = rest[lead]
+            place = np.cumsum(sub) - 1
+            sorting.append((who[rest], (t.rel[who] - last)[rest], place[text[rest]], start[lead][sub], (end - start)[lead][sub], g[lead][sub] + groups, least[sub]))
+            groups += int(g[-1]) + 1
+    at = 0
+    if sorting:
+        shift = np.r_[0, np.cumsum([len(x[3]) for x in sorting])]
+        who, offset, text, start, length, g, least = (np.concatenate(x) for x in zip(*[(*x[:2], x[2] + at, *x[3:]) for x, at in zip(sorting, shift)]))
+        o = np.argsort(text, kind="stable")
+        who, offset, members = who[o], offset[o], np.bincount(text, minlength=len(start))
+        first = np.cumsum(members) - members
+        for x, at, cls in _sorted_windows(t.body, start, length, g, width):
+            low = np.full(int(cls.max()) + 1, S.LAST)
+            np.minimum.at(low, cls, least[x])
+            each = T.ranges(first[x], members[x])
+            low, at = np.repeat(low[cls], members[x]), np.repeat(at, members[x])
+            late = t.rank[who[each]] > low
+            found.append((who[each][late], at[late] + offset[each][late]))
+    return found
+
+
+def _sort(cuts: DataFrame, width: int, k: int, largest: int = LARGEST) -> DataFrame:
+    """Spans of the windows that a string of an earlier document has too."""
+    def run(key, table):
+        t = _Group(table, width, k)
         found = []
-        if len(keep):
-            g = np.cumsum(np.r_[True, anchor[keep][1:] != anchor[keep][:-1]]) - 1
-            large = np.bincount(g, length[keep] + 1)[g] > LARGEST
-            small = keep[~large]
-            parts = _sorted_windows(body, base[small], length[small], g[~large], width) if len(small) else []
-            parts = [(small[who], at, cls) for who, at, cls in parts]
-            if large.any():
-                # a hot anchor: its windows meet by their hashes, as many as they are
-                who = keep[large]
-                at = T.ranges(np.zeros(len(who), np.int64), count[who])
-                who = np.repeat(who, count[who])
-                h = S.rolled(pre, base[who] + at, base[who] + at + width)
-                parts.append((who, at, np.unique(h, return_inverse=True)[1]))
-            for who, at, cls in parts:
-                low = np.full(int(cls.max()) + 1, S.LAST)
-                np.minimum.at(low, cls, rank[who])
-                late = rank[who] > low[cls]
-                who, at = who[late], at[late]
-                found += S.found_rows(uid[who], 0, lo[who] + at, np.ones(len(who), np.int64))
+        for who, at in _repeats(t, width, largest):
+            found += S.found_rows(t.uid[who], 0, t.lo[who] + at, np.ones(len(who), np.int64))
         schema = pa.schema([("uid", pa.int64()), ("kind", pa.int32()), ("spans", pa.binary())])
         T.release()
         return pa.Table.from_batches(found, schema) if found else schema.empty_table()
@@ -173,7 +232,8 @@ def _sort(cuts: DataFrame, width: int, k: int) -> DataFrame:
     return cuts.groupBy("bucket").applyInArrow(run, S.FOUND)
 
 
-def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: bool = True, extra: tuple = ()) -> DataFrame:
+def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: bool = True, extra: tuple = (),
+                 largest: int = LARGEST) -> DataFrame:
     """Remove bytes of ``docs`` (doc_id, text) that repeat from an earlier document.
 
     Texts are UTF-8 bytes. Each byte covered by a ``width``-byte string that
@@ -185,16 +245,18 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: boo
 
     Strings are brought together by their anchor k-mer (see :mod:`spans`), so
     that a suffix array is needed only of the strings around one anchor and not
-    of the corpus. Strings that are equal throughout are settled as one; of
-    those that differ, each group's strings become one text, its suffix array is
+    of the corpus. Strings that are equal throughout are settled as one; those
+    that differ are grouped by the core around the anchor that their windows
+    share, each group's strings become one text, its suffix array is
     built by Lyndon-prefix grouping (:mod:`lyndon`), and neighbours in it with
-    ``width`` common bytes are equal windows. A group over 16 KB, from an anchor
-    that a large share of all documents has, is pre-aggregated by window hash.
+    ``width`` common bytes are equal windows. A group over ``largest`` symbols is
+    split by longer cores until its parts fit, so the method is the same at every size.
 
     Null and empty texts, and texts shorter than ``width``, keep all they have;
     a repeat within one document removes nothing; rows that share a doc_id
     don't remove each other; null doc_ids come after all others. An empty table
-    gives an empty result. Other columns are not read.
+    gives an empty result. Other columns are not read. A very long text is
+    never cut: a task's memory follows its longest text.
     """
     rows = S.ranked(docs)
     size, _ = parts_for(rows, "text", 1)
@@ -202,7 +264,7 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, k: int = K, with_text: boo
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // (8 << 20)))
     hot = S.common(rows, byte_units, k)
     found = stage(S.settle(S.scan(rows, byte_units, width, k, buckets, hot), True, buckets), "runs")
-    finer = _sort(_cuts(rows, S.by_document(found, 1), width, k, buckets, hot), width, k)
+    finer = _sort(_cuts(rows, S.by_document(found, 1), width, k, buckets, hot), width, k, largest)
     spans = S.by_document(found.filter("kind = 0").unionByName(finer))
     names = ["uid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text + ["row"] * bool(extra)
 

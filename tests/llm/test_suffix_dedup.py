@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 from daystream.llm import suffix_dedup as D
 from daystream.llm.lyndon import suffix_arrays
@@ -43,9 +45,8 @@ def test_suffix_arrays_equal_sorting():
             assert (sa[off[i]:off[i + 1]] - off[i]).tolist() == sorted(range(len(t)), key=lambda x: t[x:])
 
 
-def test_random_passages(docs, monkeypatch):
-    for seed, largest in ((0, 1 << 14), (1, 300), (2, 1 << 14)):
-        monkeypatch.setattr(D, "LARGEST", largest)
+def test_random_passages(docs):
+    for seed, largest in ((0, 1 << 14), (1, 300), (2, 1 << 14), (3, 100)):
         rng = random.Random(seed)
         alphabet = "ab é" if seed != 1 else "a"
         shared = ["".join(rng.choice(alphabet) for _ in range(rng.randint(30, 160))) for _ in range(6)]
@@ -57,7 +58,35 @@ def test_random_passages(docs, monkeypatch):
                 s = rng.randint(0, len(p) // 2)
                 t += p[s:rng.randint(s, len(p))] if rng.random() < .7 else "".join(rng.choice("xyz\n") for _ in range(rng.randint(0, 90)))
             rows.append((rng.randint(0, 10 ** 12), t))
-        assert run(docs(rows)) == slow(rows)
+        assert run(docs(rows), largest=largest) == slow(rows)
+
+
+def test_many_branches_around_one_anchor():
+    """5,000 different strings around one anchor: split until they fit, and sorted, never settled by a hash of windows."""
+    rng = random.Random(7)
+    core = "a passage that many documents share, word for word"
+    strings = ["".join(rng.choice("abcd") for _ in range(12)) + core + "".join(rng.choice("abcd") for _ in range(12)) for _ in range(5000)]
+    bodies = [s.encode() for s in strings]
+    rel = 12 + 17
+    n = len(strings)
+    lo, count = rel - 34, 35
+    cut = [b[lo if lo > 0 else 0:][:84] for b in bodies]
+    rel = rel - max(lo, 0)
+    count = [len(b) - 49 for b in cut]
+    pack = lambda x, kind: [np.asarray(x, kind).tobytes()]
+    table = pa.table({"anchor": pack([5] * n, "<u8"), "rank": pack(range(n), "<i8"), "uid": pack(range(n), "<i8"), "lo": pack([0] * n, "<i4"),
+                      "count": pack(count, "<u2"), "rel": pack([rel] * n, "<u2"), "body": [b"".join(cut)]})
+    calls = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(D, "suffix_arrays", lambda sym, off: calls.append(int(np.diff(off).max())) or suffix_arrays(sym, off))
+        got = {(int(w), int(a)) for who, at in D._repeats(D._Group(table, 50, 16), 50, D.LARGEST) for w, a in zip(who, at)}
+    assert calls and max(calls) <= D.LARGEST + 1
+    first, want = {}, set()
+    for i, b in enumerate(cut):
+        for w in range(count[i]):
+            if rel - 34 <= w <= rel and first.setdefault(b[w:w + 50], i) < i:
+                want.add((i, w))
+    assert got == want and len(want) > 5000
 
 
 def test_odd_rows(docs):
