@@ -436,6 +436,75 @@ def q_stream_dau_state_restore(spark, sf):
     return stored.groupBy("dt", "mid").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_stream_dau_state_rows(spark, sf):
+    """The DAU stream with a state store, every arrival in shuffled order: the
+    whole records, each the earliest page of its device and day."""
+    from daystream.plans import jobs
+    from daystream.streaming import jobs as sjobs
+    out = scratch_path(spark, "t-dims")
+    jobs.process_change_batch(spark, change_envelopes_from(
+        spark, sf, tables=("user_info", "base_province")), out)
+    src, sink, ck = (scratch_path(spark, n) for n in ("t-pages", "t-dau", "t-ck"))
+    shuffled = _page_messages(spark, sf).repartition("value")
+
+    def run():
+        sjobs.start_dau(sjobs.page_records(_stream_of(spark, src)), f"{out}/dims", sink, ck,
+                        trigger={"availableNow": True}, as_of=AS_OF, tz=TZ, mode="state",
+                        watermark="2 days").awaitTermination()
+
+    _arrive_in_slices(spark, shuffled, src, run, slices=2)
+    return read_table(spark, sink, schemas.DAU_INFO)
+
+
+def q_stream_dau_late_rows(spark, sf):
+    """The DAU stream with a state store that remembers one day; the last ten
+    days arrive first, then the ten days before them, then the first ones: all late."""
+    from daystream.plans import jobs
+    from daystream.streaming import jobs as sjobs
+    out = scratch_path(spark, "o-dims")
+    jobs.process_change_batch(spark, change_envelopes_from(
+        spark, sf, tables=("user_info", "base_province")), out)
+    src, sink, ck = (scratch_path(spark, n) for n in ("o-pages", "o-dau", "o-ck"))
+    messages = stage(spark, _page_messages(spark, sf), "o-messages")
+    day = dt_of(F.unix_millis("timestamp"), TZ)
+    for lo, hi in (("2024-01-21", "9999"), ("2024-01-11", "2024-01-21"), ("0000", "2024-01-11")):
+        messages.where((day >= lo) & (day < hi)).write.mode("append").parquet(src)
+        sjobs.start_dau(sjobs.page_records(_stream_of(spark, src)), f"{out}/dims", sink, ck,
+                        trigger={"availableNow": True}, as_of=AS_OF, tz=TZ, mode="state",
+                        watermark="1 day").awaitTermination()
+    return read_table(spark, sink, schemas.DAU_INFO)
+
+
+def q_dim_point_lookup(spark, sf):
+    """User rows for the users of all first-seen pages, from the index: two
+    levels folded from batches, the last batch not folded."""
+    from daystream.plans import jobs
+    from daystream.sinks import dim_index
+    out, index, run = scratch_path(spark, "p-store"), scratch_path(spark, "p-index"), jobs.new_run()
+    env = stage(spark, change_envelopes_from(spark, sf, tables=("user_info", "base_province")), "dim-changes")
+    slot = F.col("offset") % 16
+    parts = [env.where(slot.isin(6, 8)), env.where((slot == 7) & (F.col("partition") < 2)),
+             env.where((slot == 9) | ((slot == 7) & (F.col("partition") >= 2)))]
+    for b, part in enumerate(parts):
+        jobs.process_change_batch(spark, part, out, b, on_delete="drop", run_id=run)
+        if b < 2:
+            dim_index.fold(spark, f"{out}/dims", index)
+    ids = _first_seen(spark, sf).select("user_id")
+    found = dim_index.lookup(spark, f"{out}/dims", index, "user_info", ids)
+    return found.select("table", "id", "op", "src_partition", "src_offset")
+
+
+def q_dau_upsert_versions(spark, sf):
+    """As dau_upsert, with versions that one small file switches."""
+    from daystream.sinks.versions import read_versions, upsert_versions
+    path = scratch_path(spark, "v-dau")
+    whole = stage(spark, _dau(spark, sf), "dau-month")
+    upsert_versions(spark, whole.where(F.col("dt") <= SPLIT_DT), path, ["dt", "mid"])
+    for _ in range(2):
+        upsert_versions(spark, whole, path, ["dt", "mid"])
+    return read_versions(spark, path, schemas.DAU_INFO)
+
+
 def q_stream_dau_ledger(spark, sf):
     """The DAU job over all page messages, garbage included: its saved positions."""
     from daystream.plans import jobs
@@ -534,6 +603,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_restart": q_ledger_restart,
     "dim_store_batches": q_dim_store_batches,
     "stream_dau_state_restore": q_stream_dau_state_restore,
+    "stream_dau_state_rows": q_stream_dau_state_rows,
+    "stream_dau_late_rows": q_stream_dau_late_rows,
+    "dim_point_lookup": q_dim_point_lookup,
+    "dau_upsert_versions": q_dau_upsert_versions,
     "stream_dau_ledger": q_stream_dau_ledger,
     "route_payloads": q_route_payloads,
     "cdc_fact_payloads": q_cdc_fact_payloads,

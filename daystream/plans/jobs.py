@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -166,9 +167,11 @@ def seen_devices(spark: SparkSession, dau_path: str, days: list[str] | None = No
     return dau.seen_mids(stored)
 
 
-def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, dau_path: str,
-                       as_of=None, tz: str | None = None, check_stored: bool = True) -> None:
-    """One batch of typed page records of the DAU job.
+def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame | Callable, dau_path: str,
+                       as_of=None, tz: str | None = None) -> None:
+    """One batch of typed page records of the DAU job. ``dims``: the current
+    dimension rows, or a function that finds those of the batch's pages
+    (:func:`daystream.sinks.dim_index.dims_of`).
 
     The result table is the seen-set: devices already stored for a day are
     removed (:func:`daystream.operators.dau.new_only` against only the days
@@ -176,9 +179,6 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, d
     new, so no stored partition is rewritten. Replaying a batch therefore
     adds nothing twice, and losing the streaming state loses nothing.
 
-    ``check_stored=False`` appends without reading the table, for a caller
-    that knows its keys are new (a state store that has seen them all).
-
     The first-seen rows are staged under the checkpoint root for the length of
     the batch: the same rows feed the touched-day probe, both joins and the
     write, and the lineage back to the source is cut.
@@ -186,13 +186,31 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame, d
     usable = pages.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
     first = dau.first_seen(dau.session_first_pages(usable), tz=tz)
     with staged(spark, first, "dau-first-seen") as first:
-        if check_stored and table_exists(spark, dau_path):
+        if table_exists(spark, dau_path):
             stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
             first = dau.new_only(first, touched_partitions(stored, first, "dt"))
+        dims = dims(first) if callable(dims) else dims
         out = dau.dau_info(first, cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of, tz=tz)
         append_partitions(out.repartitionByRange("dt", "mid"), dau_path)
 
 
+def process_first_pages(spark: SparkSession, first: DataFrame, dims: DataFrame | Callable, dau_path: str,
+                        as_of=None, tz: str | None = None, check_all: bool = False) -> None:
+    """One batch of first-seen pages that a state store chose (with ``dt`` and
+    ``late``): the late ones are checked against their stored days, the others
+    are appended without reading the table. ``check_all`` checks them all, for
+    a batch that may have been appended before (a replay)."""
+    with staged(spark, first, "dau-first-seen") as first:
+        doubt = first if check_all else first.where("late")
+        if table_exists(spark, dau_path) and not doubt.isEmpty():
+            stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
+            new = dau.new_only(doubt, touched_partitions(stored, doubt, "dt"))
+            first = new if check_all else first.where("not late").unionByName(new)
+        dims = dims(first) if callable(dims) else dims
+        out = dau.dau_info(first.drop("late"), cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of, tz=tz)
+        append_partitions(out.repartitionByRange("dt", "mid"), dau_path)
+
+
 def process_page_messages(spark: SparkSession, env: DataFrame, dims: DataFrame, out_dir: str,
                           batch_id: int = 0, as_of=None, tz: str | None = None,
                           group_id: str = DAU_GROUP, persist: bool = False,
@@ -237,5 +255,5 @@ def dau_job(spark: SparkSession, sf_dir: str, dau_path: str, dims_path: str | No
 
 __all__ = ["CHANGE_TOPIC", "LOG_TOPIC", "cdc_split_job", "compact_ledger", "dau_job",
            "log_split_job", "new_run", "page_messages", "process_change_batch",
-           "process_log_batch", "process_page_batch", "process_page_messages", "read_dims",
+           "process_first_pages", "process_log_batch", "process_page_batch", "process_page_messages", "read_dims",
            "read_ledger", "save_ledger", "seen_devices"]

@@ -329,6 +329,12 @@ SELECT "table", id, op, src_partition, src_offset FROM (
   FROM ops WHERE op IS NOT NULL AND "table" IN {_DIM_TABLES}
 ) WHERE rn = 1 AND op <> 'D'""",
 
+    "dim_point_lookup": _w(_LOG, _FIRST, _CHG) + """
+SELECT "table", id, op, src_partition, src_offset FROM (
+  SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY src_offset DESC) AS rn
+  FROM ops WHERE op IS NOT NULL AND "table" = 'user_info'
+) WHERE rn = 1 AND op <> 'D' AND id IN (SELECT user_id FROM firsts)""",
+
     "stream_dau_state_restore": _w(_LOG, _FIRST) + """
 SELECT dt, mid, count(*) AS rows FROM firsts GROUP BY dt, mid""",
 
@@ -398,4 +404,5 @@ FROM image WHERE t6 < 4""",
 ORACLE_SQL["stream_log_restart"] = ORACLE_SQL["route_all_topics"]
 # The streaming forms must give the batch answers.
 ORACLE_SQL["stream_route_counts"] = ORACLE_SQL["route_all_topics"]
-ORACLE_SQL["stream_dau_info"] = ORACLE_SQL["dau_info"]
+for _name in ("stream_dau_info", "stream_dau_state_rows", "stream_dau_late_rows", "dau_upsert_versions"):
+    ORACLE_SQL[_name] = ORACLE_SQL["dau_info"]

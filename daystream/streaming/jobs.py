@@ -20,14 +20,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import StreamingQuery
 
 from daystream import schemas
-from daystream.functions.dates import day_of
 from daystream.operators import dau
 from daystream.operators.parse import parse_page_messages
 from daystream.plans import jobs
+from daystream.sinks.dim_index import dims_of
+from daystream.sinks.upsert import table_exists
 from daystream.sources.kafka import kafka_stream  # noqa: F401  (re-export)
+from daystream.streaming.first_seen import first_seen_stream
 
 #: Micro-batch interval of the original jobs.
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
@@ -98,6 +101,10 @@ def start_change_split(envelopes: DataFrame, out_dir: str, checkpoint: str,
     return _start(envelopes, run, checkpoint, trigger, name)
 
 
+#: The page column that asks for rows of a dimension table.
+_DIM_KEYS = {"user_info": "user_id", "base_province": "province_id"}
+
+
 def page_records(page_messages: DataFrame) -> DataFrame:
     """Page-topic envelopes -> typed page records with their position."""
     return parse_page_messages(page_messages)
@@ -106,7 +113,7 @@ def page_records(page_messages: DataFrame) -> DataFrame:
 def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
               trigger: dict | None = None, as_of=None, tz: str | None = None,
               mode: str = "sink", watermark: str = "2 days",
-              name: str | None = None) -> StreamingQuery:
+              name: str | None = None, dims_index: str | None = None) -> StreamingQuery:
     """Daily active users from a stream of typed page records.
 
     ``mode="sink"``: the stored result is the seen-set. Each batch keeps the
@@ -114,22 +121,20 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
     for that day, enriches and appends. No streaming state; late rows of
     any age are accepted; restart and replay are idempotent.
 
-    ``mode="state"``: a state store keeps the seen (mid, day) pairs;
-    ``day`` is the local midnight of the page time, so the watermark
-    (``watermark`` behind the newest day) evicts whole past days. Rows older
-    than the watermark are dropped by the engine and counted in the query
-    progress (``numRowsDroppedByWatermark``); a batch back-fill
-    (``daystream.plans.jobs.dau_job``) takes any age. The first batch after a
-    start is checked against the stored days, which restores the seen-set
-    after a lost checkpoint and makes a replay add nothing; all later
-    batches are appended without reading the table. Within one micro-batch the
-    state store keeps the first duplicate it meets, so the same ``(dt, mid)``
-    keys come out as in sink mode but the kept page can differ; sink mode
-    keeps the earliest by ``(ts, position)``.
+    ``mode="state"``: a keyed state machine
+    (:func:`daystream.streaming.first_seen.first_seen_stream`) holds one value per
+    ``(dt, mid)`` and keeps the earliest page of a micro-batch, as sink mode does;
+    state of days ``watermark`` behind the newest one ends by timer. A new
+    checkpoint starts with the stored keys of those days as its state, and its
+    batches are appended without reading the table. Late rows, of days whose
+    state has ended, are checked against their own stored days like in sink
+    mode, so rows of any age are counted. The first batch after a restart is checked
+    whole, as it may be a replay of one that was appended already.
 
     Dimensions are re-read from ``dims_path`` in every batch, so changes
     apply to later pages (processing-time lookup); a store that does not exist
-    yet is empty. Funnel counts per batch are published as observed metrics
+    yet is empty. With ``dims_index`` (:mod:`daystream.sinks.dim_index`) a batch
+    reads the buckets of its own ids instead of the whole store. Funnel counts per batch are published as observed metrics
     named ``dau_funnel``. Positions are not saved here: what this query gets are
     records that are parsed and, in state mode, deduplicated already;
     :func:`start_dau_messages` reads whole messages and keeps the ledger.
@@ -139,18 +144,20 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
         F.count_if(F.col("last_page_id").isNull()).alias("session_first"))
     first = dau.session_first_pages(observed)
     if mode == "state":
-        first = (first.withColumn("day", day_of("ts", tz))
-                 .withWatermark("day", watermark)
-                 .dropDuplicates(["mid", "day"]).drop("day"))
+        first = first_seen_stream(first, watermark, tz, dau_path)
     elif mode != "sink":
         raise ValueError("mode must be 'sink' or 'state'")
     started: list[int] = []
 
     def run(batch: DataFrame, batch_id: int, run_id: str) -> None:
         spark = batch.sparkSession
-        jobs.process_page_batch(spark, batch, jobs.read_dims(spark, dims_path), dau_path,
-                                as_of=as_of, tz=tz, check_stored=mode == "sink" or not started)
-        started.append(batch_id) if not started else None
+        dims = dims_of(spark, dims_path, dims_index, _DIM_KEYS) if dims_index else jobs.read_dims(spark, dims_path)
+        if mode == "sink":
+            jobs.process_page_batch(spark, batch, dims, dau_path, as_of=as_of, tz=tz)
+        else:
+            jobs.process_first_pages(spark, batch, dims, dau_path, as_of=as_of, tz=tz,
+                                     check_all=batch_id > 0 and not started)
+            started.append(batch_id)
 
     return _start(first, run, checkpoint, trigger, name)
 
@@ -172,22 +179,41 @@ def start_dau_messages(messages: DataFrame, dims_path: str, out_dir: str, checkp
     return _start(messages, run, checkpoint, trigger, name)
 
 
-def run_until_stopped(spark: SparkSession, timeout_s: float | None = None) -> None:
-    """Block until any active query stops (or fails, which re-raises its
-    error here), like the original jobs' run-forever loop."""
-    spark.streams.awaitAnyTermination(timeout_s)
-
+def supervise(spark: SparkSession, starters: dict[str, Callable[[], StreamingQuery]],
+              stop_path: str, max_restarts: int = 3, poll_s: float = 5.0) -> dict[str, int]:
+    """Run several queries until the marker file ``stop_path`` exists.
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the state store refused as older than the watermark, summed over
-    the progress reports still held by ``query``."""
-    n = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) or []:
-            n += int(op.get("numRowsDroppedByWatermark", 0) or 0)
-    return n
-
-
-__all__ = ["dropped_late_rows", "envelope_stream", "kafka_stream", "page_records",
-           "query_id", "run_until_stopped", "start_change_split", "start_dau",
-           "start_dau_messages", "start_log_split"]
+    ``starters`` start the queries by name. A query that fails is started again
+    (from its checkpoint), at most ``max_restarts`` times each; after that the
+    others are stopped and its error is raised. A query that ends by itself (``availableNow``) is done.
+    The marker stops all of them, and the call returns how often each was restarted.
+    """
+    running = {n: start() for n, start in starters.items()}
+    restarts = dict.fromkeys(starters, 0)
+    try:
+        while running and not table_exists(spark, stop_path):
+            spark.streams.resetTerminated()  # else a query that ended long ago ends every wait
+            try:
+                spark.streams.awaitAnyTermination(poll_s)
+            except StreamingQueryException:
+                pass  # told apart below
+            for n, q in list(running.items()):
+                if q.isActive:
+                    continue
+                error = q.exception()
+                if error is None:
+                    del running[n]
+                elif restarts[n] == max_restarts:
+                    raise error
+                else:
+                    restarts[n] += 1
+                    running[n] = starters[n]()
+    finally:
+        for q in running.values():
+            q.stop()
+        spark.streams.resetTerminated()
+    return restarts
+
+
+__all__ = ["envelope_stream", "kafka_stream", "page_records", "query_id", "start_change_split",
+           "start_dau", "start_dau_messages", "start_log_split", "supervise"]

@@ -11,10 +11,12 @@ from daystream.operators import cdc, dau, log_split
 from daystream.operators.parse import parse_log
 from daystream.plans import jobs
 from daystream.session import scratch_path
+from daystream.sinks import dim_index
 from daystream.sinks.upsert import read_table
 from daystream.sources.envelopes import (change_envelopes_from, log_envelopes_from,
                                          routing_table)
 from daystream.streaming import jobs as sjobs
+from daystream.streaming.first_seen import seen_state
 
 SF = "/root/testdata/sf0.001"
 AVAILABLE_NOW = {"availableNow": True}
@@ -108,14 +110,16 @@ def _batch_dau(spark, dims_path):
                         tz="UTC")
 
 
-def _run_dau(spark, mode):
+def _run_dau(spark, mode, index=None):
     dims_path = _dims(spark, scratch_path(spark, "dimsout"))
+    if index:
+        assert dim_index.fold(spark, dims_path, index) > 0
     src, ck, sink = (scratch_path(spark, n) for n in ("psrc", "pck", "dau"))
     stage = scratch_path(spark, "pstage")
     list(_feed(spark, _page_messages(spark), src, stage))
     stream = sjobs.page_records(sjobs.envelope_stream(spark, src, max_files_per_trigger=5))
     q = sjobs.start_dau(stream, dims_path, sink, ck, trigger=AVAILABLE_NOW, as_of="2024-01-31",
-                        tz="UTC", mode=mode, watermark="40 days")
+                        tz="UTC", mode=mode, watermark="40 days", dims_index=index)
     q.awaitTermination(300)
     return q, dims_path, sink, src, ck
 
@@ -137,46 +141,100 @@ def test_dau_stream_sink_mode_equals_batch(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_dau_stream_state_mode_same_keys(spark):
-    _, dims_path, sink, _, _ = _run_dau(spark, "state")
-    got = {(r.dt, r.mid) for r in read_table(spark, sink, schemas.DAU_INFO).collect()}
-    want = {(r.dt, r.mid) for r in _batch_dau(spark, dims_path).collect()}
-    assert got == want
+def test_dau_stream_state_mode_equals_batch(spark):
+    """Whole records, the dimensions looked up in the index."""
+    _, dims_path, sink, _, _ = _run_dau(spark, "state", scratch_path(spark, "dimsindex"))
+    got = read_table(spark, sink, schemas.DAU_INFO)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, _batch_dau(spark, dims_path).collect()))
+
+
+DAY = 86_400_000
+BASE = 1704067200000  # 2024-01-01
 
 
-def test_late_rows_state_mode_drops_sink_mode_accepts(spark):
+def _msgs(spark, rows, off0):
     import json as _json
-    day = 86_400_000
-    base = 1704067200000  # 2024-01-01
+    out = []
+    for n, (mid, ts, page) in enumerate(rows):
+        rec = {"mid": mid, "user_id": "1", "province_id": "1", "page_id": page, "during_time": None, "ts": ts}
+        out.append((None, _json.dumps(rec), PAGE_TOPIC, 0, off0 + n, None))
+    return spark.createDataFrame(out, schemas.ENVELOPE).coalesce(1)
 
-    def msgs(rows, off0):
-        out = []
-        for n, (mid, ts) in enumerate(rows):
-            rec = {"mid": mid, "user_id": "1", "province_id": "1", "page_id": "home",
-                   "during_time": 1, "ts": ts}
-            out.append((None, _json.dumps(rec), PAGE_TOPIC, 0, off0 + n, None))
-        return spark.createDataFrame(out, schemas.ENVELOPE)
 
+def _dau_batches(spark, batches, mode, ck=None, sink=None, watermark="1 day"):
+    """Each batch arrives and is read by a restart of the query."""
     dims_path = _dims(spark, scratch_path(spark, "late-dims"))
-    results = {}
-    for mode in ("state", "sink"):
-        src, ck, sink = (scratch_path(spark, n) for n in ("lsrc", "lck", "lsink"))
-        batches = [msgs([("a", base + 1000)], 0),
-                   msgs([("b", base + 5 * day + 1000)], 10),
-                   msgs([("c", base + 1 * day + 5), ("b", base + 5 * day + 9)], 20)]
-        q = None
-        for b in batches:
-            b.write.mode("append").parquet(src)
-            stream = sjobs.page_records(sjobs.envelope_stream(spark, src))
-            q = sjobs.start_dau(stream, dims_path, sink, ck, trigger=AVAILABLE_NOW,
-                                tz="UTC", mode=mode, watermark="1 day")
-            q.awaitTermination(120)
-            if mode == "state":
-                results.setdefault("dropped", 0)
-                results["dropped"] += sjobs.dropped_late_rows(q)
-        results[mode] = {(r.dt, r.mid) for r in read_table(spark, sink, schemas.DAU_INFO)
-                         .collect()}
-    assert results["sink"] == {("2024-01-01", "a"), ("2024-01-06", "b"), ("2024-01-02", "c")}
-    # the state store refuses the row two days older than the newest day
-    assert results["state"] == {("2024-01-01", "a"), ("2024-01-06", "b")}
-    assert results["dropped"] >= 1
+    src, ck, sink = scratch_path(spark, "lsrc"), ck or scratch_path(spark, "lck"), sink or scratch_path(spark, "lsink")
+    for b in batches:
+        b.write.mode("append").parquet(src)
+        stream = sjobs.page_records(sjobs.envelope_stream(spark, src))
+        sjobs.start_dau(stream, dims_path, sink, ck, trigger=AVAILABLE_NOW, tz="UTC", mode=mode,
+                        watermark=watermark).awaitTermination(120)
+    return {(r.dt, r.mid, r.page_id) for r in read_table(spark, sink, schemas.DAU_INFO).collect()}, ck, sink
+
+
+def test_late_rows_are_kept_in_both_modes(spark):
+    """Rows months old join their own day; a device counted there isn't counted again."""
+    old = BASE - 200 * DAY
+    batches = [_msgs(spark, [("a", BASE + 1000, "p")], 0),
+               _msgs(spark, [("b", BASE + 5 * DAY + 1000, "p"), ("o", old, "p")], 10),
+               _msgs(spark, [("c", BASE + DAY + 5, "p"), ("b", BASE + 5 * DAY + 9, "q"), ("o", old + 5, "q"), ("n", old, "r"), ("n", old + 1, "s")], 20),
+               _msgs(spark, [("a", BASE + 7, "late"), ("n", old + 9, "t"), ("d", BASE + 5 * DAY, "p")], 30)]
+    want = {("2024-01-01", "a", "p"), ("2024-01-06", "b", "p"), ("2024-01-02", "c", "p"), ("2023-06-15", "o", "p"),
+            ("2023-06-15", "n", "r"), ("2024-01-06", "d", "p")}
+    for mode in ("sink", "state"):
+        got, ck, _ = _dau_batches(spark, batches, mode)
+        assert got == want
+    # the state holds the days within the watermark, the others have ended
+    assert {(r.dt, r.mid) for r in seen_state(spark, ck).collect()} == {("2024-01-06", "b"), ("2024-01-06", "d")}
+
+
+def test_state_keeps_the_earliest_page_of_a_batch(spark):
+    rows = [("a", BASE + 9, "third"), ("a", BASE + 3, "first"), ("a", BASE + 3, "second"), ("b", BASE + 5, "x")]
+    assert _dau_batches(spark, [_msgs(spark, rows, 0)], "state")[0] == {("2024-01-01", "a", "first"), ("2024-01-01", "b", "x")}
+
+
+def test_lost_checkpoint_starts_with_the_stored_keys(spark, monkeypatch):
+    """A new checkpoint: the stored keys are its state, no stored day is read by its batches."""
+    first = [_msgs(spark, [("a", BASE, "p"), ("b", BASE + 2 * DAY, "p")], 0)]
+    want, _, sink = _dau_batches(spark, first, "state")
+    checked = []
+    monkeypatch.setattr(dau, "new_only", lambda c, s, f=dau.new_only: checked.append(c.count()) or f(c, s))
+    again = [_msgs(spark, [("b", BASE + 2 * DAY + 5, "again"), ("c", BASE + 2 * DAY, "p")], 0)]
+    got, ck, _ = _dau_batches(spark, again, "state", sink=sink, watermark="3 days")
+    assert got == want | {("2024-01-03", "c", "p")} and checked == []
+    assert {(r.dt, r.mid) for r in seen_state(spark, ck).collect()} == {(d, m) for d, m, _ in got}
+    # a shorter memory leaves day 1 to the stored result
+    got, ck, _ = _dau_batches(spark, [_msgs(spark, [("a", BASE + 5, "again"), ("b", BASE + 2 * DAY, "again")], 0)], "state", sink=sink)
+    assert got == want | {("2024-01-03", "c", "p")} and checked == [1]
+    assert {(r.dt, r.mid) for r in seen_state(spark, ck).collect()} == {("2024-01-03", "b"), ("2024-01-03", "c")}
+
+
+def test_supervise_restarts_and_stops(spark, tmp_path):
+    """Two queries with a processing-time trigger: one fails once, then a marker stops both."""
+    import threading
+    import time
+    src, marker = scratch_path(spark, "sup-src"), str(tmp_path / "stop")
+    _msgs(spark, [("a", BASE, "p")], 0).write.parquet(src)
+    counts = {"good": 0, "bad": 0}
+
+    def starter(name):
+        def each(batch, batch_id):
+            if name == "bad" and counts["bad"] == 0:
+                counts["bad"] = 1
+                raise ValueError("once")
+            counts[name] += batch.count()
+
+        return lambda: (sjobs.envelope_stream(spark, src).writeStream.foreachBatch(each).option("checkpointLocation", str(tmp_path / name))
+                        .trigger(processingTime="1 second").start())
+
+    def stop():
+        until = time.time() + 90
+        while time.time() < until and (counts["good"] < 1 or counts["bad"] < 2):
+            time.sleep(.5)
+        open(marker, "w").close()
+
+    threading.Thread(target=stop, daemon=True).start()
+    restarts = sjobs.supervise(spark, {"good": starter("good"), "bad": starter("bad")}, marker, poll_s=1)
+    assert restarts == {"good": 0, "bad": 1} and counts == {"good": 1, "bad": 2}
+    assert not spark.streams.active
