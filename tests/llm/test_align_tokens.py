@@ -95,6 +95,12 @@ def test_seams_do_not_change_tokens(aligner):
             assert (n_a[k], n_b[k], n_links[k]) == (len(w[0]), len(w[1]), sum(len(g[0]) * len(g[1]) for g in w[2]))
 
 
+def test_two_ways_to_split():
+    rng = random.Random(10)
+    texts = [" " + make(rng, rng.randint(0, 6)) for _ in range(2000)] + [" a b\nc", " a\tb c", " \0 a b", " é ü\nö", " a\u3000b c", " a \x1cb"]
+    assert all(A.split_at_seams(t) == A.SEAM.split(t) for t in texts)
+
+
 def test_spans_refined_by_bytes():
     """é in two tokens, then a in one: both tokens of é have its whole span; or three bytes whose span is the last one's."""
     ends = lambda spans, at: A.byte_ends(np.arange(3), *np.array(spans).T, np.array(at), np.ones(3, int)).tolist()
