@@ -295,12 +295,22 @@ _BLOCK = ("block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_g
           "stretch binary, stretch_end binary, pair binary, pair_end binary, times binary, id_pair array<long>, n_docs array<long>")
 
 
+def _packed(x: np.ndarray) -> bytes:
+    raw = x.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def _unpacked(value, kind: str) -> np.ndarray:
+    raw = value.as_buffer()
+    return np.frombuffer(pa.Codec("zstd").decompress(raw[8:], int.from_bytes(raw[:8].to_pybytes(), "little")), kind)
+
+
 def _block(number: int, ids: list, x: Aligned) -> pa.RecordBatch:
     """One row for a block of documents: their figures, and their links by way of stretches and distinct pairs."""
     ends = x.stretch_end.tolist()
     sha = [hashlib.sha256(";".join([x.groups[k] for k in x.stretch[i:j].tolist()]).encode()).hexdigest() if j > i else "" for i, j in zip([0, *ends], ends)]
     one = lambda v, kind=pa.int64(): pa.array([v], pa.list_(kind))
-    packed = [pa.array([getattr(x, c).astype(k).tobytes()], pa.binary()) for c, k in _INTS.items()]
+    packed = [pa.array([_packed(getattr(x, c).astype(k))], pa.binary()) for c, k in _INTS.items()]
     return pa.RecordBatch.from_arrays(
         [pa.array([number], pa.int64()), one(ids), *[one(per_document(x, f)) for f in x.figures], one(sha, pa.string()),
          *packed, one(x.id_pair), one(documents_with(x))],
@@ -370,7 +380,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, block: int = BLOCK) -> Data
             for r in range(b.num_rows):
                 row = {c: b.column(c)[r] for c in b.schema.names}
                 n_docs = len(row["doc_id"])
-                x = Aligned(**{c: np.frombuffer(row[c].as_buffer(), k) for c, k in _INTS.items()}, figures=[], groups=[], id_pair=row["id_pair"].values.to_numpy())
+                x = Aligned(**{c: _unpacked(row[c], k) for c, k in _INTS.items()}, figures=[], groups=[], id_pair=row["id_pair"].values.to_numpy())
                 known = row["known"].values
                 n, best_ = np.zeros(len(x.id_pair), np.int64), np.zeros(len(x.id_pair), np.int64)
                 if known is not None and len(known):
