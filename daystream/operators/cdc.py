@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daystream import schemas
-from daystream.functions.routing import TOPIC_SUFFIX, fact_topic, op_code
+from daystream.functions.routing import DEAD_LETTER_TOPIC, TOPIC_SUFFIX, fact_topic, op_code
 from daystream.functions.values import is_blank
 from daystream.operators.parse import evaluate_once, parse_json
 
@@ -74,6 +74,30 @@ def fact_route(changes_op: DataFrame, routing: DataFrame,
                         "src_partition", "src_offset")
 
 
+def route_messages(changes: DataFrame, routing: DataFrame, suffix: str = TOPIC_SUFFIX,
+                   key: str | None = None) -> DataFrame:
+    """Every outgoing message of parsed changes in one pass: ``(topic, key, value)``.
+
+    The rows of :func:`fact_route` and of :func:`change_dead_letter`: a change
+    meets the kinds of its table in one join (dead messages have no table, so
+    a left one), and its messages are exploded; a table that is both a fact and a dimension
+    may give two.
+    """
+    kinds = routing.where(F.col("kind").isin("fact", "dim")).groupBy("table").agg(
+        F.bool_or(F.col("kind") == "fact").alias("_fact"), F.bool_or(F.col("kind") == "dim").alias("_dim"))
+    c = changes.join(kinds, "table", "left").withColumn("op", op_code("type"))
+    text = F.lit(None).cast("string")
+    usable = F.col("op").isNotNull() & F.col("dead_reason").isNull()
+    fact = F.when(F.col("_fact") & usable, F.struct(
+        fact_topic("table", "op", suffix).alias("topic"),
+        (F.get_json_object("data", f"$.{key}") if key else text).alias("key"), F.col("data").alias("value")))
+    no_id = F.col("_dim") & F.col("op").isNotNull() & _id().isNull()
+    dead = F.when(F.col("dead_reason").isNotNull() | no_id, F.struct(
+        F.lit(DEAD_LETTER_TOPIC).alias("topic"), text.alias("key"),
+        F.coalesce("value", "data", F.lit("")).alias("value")))
+    return c.select(F.inline(F.array_compact(F.array(fact, dead))))
+
+
 def dim_changes(changes_op: DataFrame, routing: DataFrame) -> DataFrame:
     """Changes of listed dimension tables with their key ``id``; one without
     an ``id`` is a dead letter (:func:`change_dead_letter`)."""

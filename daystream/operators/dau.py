@@ -129,9 +129,25 @@ def funnel_counts(pages: DataFrame, users: DataFrame | None = None,
                  .alias("rows")) for n in names])).alias("s")).select("s.*")
 
 
-def rows_per_task(df: DataFrame) -> DataFrame:
-    """Rows held by each task of ``df`` (``task``, ``rows``): a debugging
-    view of how evenly a stage is spread; the totals are
+def rows_per_task(df: DataFrame, **counts) -> DataFrame:
+    """Counts held by each task of ``df`` as ``(stage, task, rows)``, one stage per
+    named count (one row per task and stage after the partial aggregation)."""
+    per = df.groupBy(F.spark_partition_id().alias("task")).agg(*[c.alias(n) for n, c in counts.items()])
+    return per.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("stage"), "task", F.col(n).cast("bigint").alias("rows"))
+        for n in counts])).alias("s")).select("s.*")
+
+
+def batch_funnel(pages: DataFrame, new: DataFrame, users: DataFrame, provinces: DataFrame) -> DataFrame:
+    """The funnel of one batch as ``(stage, task, rows)``: its pages, session-first
+    pages, devices counted first by this batch (``new``, staged), and how many of
+    those found a user / a province. Summed over all batches of a topic it is
     :func:`funnel_counts`."""
-    return (df.groupBy(F.spark_partition_id().alias("task"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+    every = F.count(F.lit(1))
+    out = rows_per_task(pages, pages=every, session_first=F.count_if(F.col("last_page_id").isNull()))
+    parts = [rows_per_task(new, first_seen=every),
+             rows_per_task(new.join(users.select("user_id"), "user_id"), user_matched=every),
+             rows_per_task(new.join(provinces.select("province_id"), "province_id"), province_matched=every)]
+    for p in parts:
+        out = out.unionByName(p)
+    return out

@@ -3,7 +3,7 @@ and reading a topic from saved positions.
 
 Structured Streaming keeps its own offsets in the checkpoint; the ledger is
 the user-visible record ``(group_id, topic, partition, until_offset,
-batch_id, saved_at)`` of how far each consumer group got, kept as a table.
+batch_id, saved_at, run)`` of how far each consumer group got, kept as a table.
 """
 
 from __future__ import annotations
@@ -37,25 +37,33 @@ def ledger_save(ledger: DataFrame | None, ranges: DataFrame, group_id: str,
     return latest(rows)
 
 
-def save_rows(ranges: DataFrame, group_id: str, batch_id) -> DataFrame:
-    """The rows one save appends to the ledger log."""
+def save_rows(ranges: DataFrame, group_id: str, batch_id, run: int | None = None) -> DataFrame:
+    """The rows one save appends to the ledger log; ``run`` is the number of a
+    fenced run (:mod:`daystream.sinks.fence`), NULL for one without."""
     b = F.col(batch_id) if isinstance(batch_id, str) else F.lit(batch_id)
     return ranges.select(F.lit(group_id).alias("group_id"), "topic",
                          F.col("partition").cast("int").alias("partition"),
                          F.col("until_offset").cast("bigint").alias("until_offset"),
                          b.cast("bigint").alias("batch_id"),
-                         F.current_timestamp().alias("saved_at"))
+                         F.current_timestamp().alias("saved_at"),
+                         F.lit(run).cast("bigint").alias("run"))
 
 
 def latest(saves: DataFrame) -> DataFrame:
     """Current ledger from a log of saves ``(group_id, topic, partition,
-    until_offset, batch_id, saved_at)``: per partition, the position of its
-    latest save (a replayed batch repeats its rows, which changes nothing)."""
-    if "saved_at" not in saves.columns:
-        saves = saves.withColumn("saved_at", F.lit(None).cast("timestamp"))
-    row = F.struct("until_offset", "batch_id", "saved_at")
+    until_offset, batch_id, saved_at, run)``: per partition, the position of its
+    latest save (a replayed batch repeats its rows, which changes nothing).
+
+    Saves of fenced runs are ordered by run and batch, whatever the clocks of
+    their drivers say, and come after those without a run, which are ordered by time.
+    """
+    for name, kind in (("saved_at", "timestamp"), ("run", "bigint")):
+        if name not in saves.columns:
+            saves = saves.withColumn(name, F.lit(None).cast(kind))
+    row = F.struct("until_offset", "batch_id", "saved_at", "run")
+    order = F.struct("run", F.when(F.col("run").isNull(), F.col("saved_at")), "batch_id")
     return (saves.groupBy("group_id", "topic", "partition")
-            .agg(F.max_by(row, F.struct("saved_at", "batch_id")).alias("r"))
+            .agg(F.max_by(row, order).alias("r"))
             .select("group_id", "topic", "partition", "r.*"))
 
 

@@ -89,7 +89,7 @@ def _log_ledger(spark, sf, last_dt: str | None = None):
     if last_dt:
         env = env.where(F.col("batch_id") <= F.unix_date(F.to_date(F.lit(last_dt))))
     ranges = ledger.offset_ranges(env, "batch_id")
-    return ledger.ledger_save(None, ranges, LOG_GROUP, "batch_id").drop("saved_at")
+    return ledger.ledger_save(None, ranges, LOG_GROUP, "batch_id").drop("saved_at", "run")
 
 
 # ------------------------------------------------------------------- queries
@@ -519,6 +519,68 @@ def q_stream_dau_ledger(spark, sf):
     return jobs.read_ledger(spark, f"{out}/ledger").select("group_id", "topic", "partition", "until_offset")
 
 
+def q_read_from_offsets_pruned(spark, sf):
+    """As read_from_offsets, from stored files whose row groups the positions skip."""
+    from daystream.sinks.message_log import append_log, read_from_positions
+    path = scratch_path(spark, "m-log")
+    append_log(log_envelopes_from(spark, sf), path)
+    saved = stage(spark, _log_ledger(spark, sf, SPLIT_DT), "ledger")
+    return read_from_positions(spark, path, saved, LOG_GROUP, LOG_TOPIC).select("partition", "offset")
+
+
+def q_ledger_fenced(spark, sf):
+    """Five saves of one run, then a second run whose batch 0 saves the whole log;
+    the first run is refused from then on, and a row that it wrote past
+    the fence with a clock ahead doesn't count."""
+    from daystream.plans import jobs
+    from daystream.sinks.fence import StaleWriter, begin_run
+    path = scratch_path(spark, "f-ledger")
+    env = stage(spark, log_envelopes_from(spark, sf).select("topic", "partition", "offset"), "log-positions")
+    old = begin_run(spark, path)
+    for b in range(5):
+        jobs.save_ledger(spark, path, env.where(F.col("offset") % 16 <= b), LOG_GROUP, b, old)
+    jobs.save_ledger(spark, path, env, LOG_GROUP, 0, begin_run(spark, path))
+    behind = env.where(F.col("offset") % 16 == 5)
+    try:
+        jobs.save_ledger(spark, path, behind, LOG_GROUP, 5, old)
+        raise AssertionError("an overtaken run could save")
+    except StaleWriter:
+        pass
+    (ledger.save_rows(ledger.offset_ranges(behind), LOG_GROUP, 5, old)
+     .withColumn("saved_at", F.current_timestamp() + F.expr("interval 1 day")).write.mode("append").parquet(path))
+    return jobs.read_ledger(spark, path)
+
+
+def q_cdc_replay_routing(spark, sf):
+    """The change split of all changes, then its replay after the lists were
+    swapped: messages per topic and rows per dimension table, as in the first try."""
+    from daystream.plans import jobs
+    out, run, lists = scratch_path(spark, "y-cdc"), jobs.new_run(), routing_table(spark)
+    swapped = lists.withColumn("kind", F.when(F.col("kind") == "fact", "dim").otherwise("fact"))
+    env = change_envelopes_from(spark, sf)
+    for routing_now in (lists, swapped):
+        jobs.process_change_batch(spark, env, out, 0, routing=routing_now, run_id=run, record_routing=True)
+    return _split_counts(spark, out)
+
+
+def q_stream_funnel_log(spark, sf):
+    """The DAU job over all page messages in stretches: the counts that its batches kept."""
+    from daystream.plans import jobs
+    from daystream.sinks import funnel_log
+    from daystream.streaming import jobs as sjobs
+    dims_out = scratch_path(spark, "u-dims")
+    jobs.process_change_batch(spark, change_envelopes_from(
+        spark, sf, tables=("user_info", "base_province")), dims_out, 0)
+    out, src, ck = (scratch_path(spark, n) for n in ("u-dau", "u-pages", "u-ck"))
+
+    def run():
+        sjobs.start_dau_messages(_stream_of(spark, src), f"{dims_out}/dims", out, ck, fenced=True, funnel=True,
+                                 trigger={"availableNow": True}, as_of=AS_OF, tz=TZ).awaitTermination()
+
+    _arrive_in_slices(spark, _page_messages(spark, sf), src, run, slices=2)
+    return funnel_log.totals(funnel_log.read_counts(spark, f"{out}/funnel"))
+
+
 def q_route_payloads(spark, sf):
     """Every message of the log split parsed back: the fields of its target's
     schema, as text, by topic and position."""
@@ -546,10 +608,17 @@ def q_cdc_fact_payloads(spark, sf):
         "order_price", F.col("order_price").cast("double"))
 
 
+def _split_counts(spark, out):
+    from daystream.plans import jobs
+    topics = spark.read.parquet(f"{out}/topics").select(F.col("topic").alias("target"))
+    rows = jobs.read_dims(spark, f"{out}/dims").select(
+        F.concat(F.lit("DIM:"), F.upper("table")).alias("target"))
+    return topics.unionByName(rows).groupBy("target").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def q_stream_cdc_split(spark, sf):
     """The change split as a stream of two batches: messages per topic, and per
     dimension table the rows of the store."""
-    from daystream.plans import jobs
     from daystream.streaming import jobs as sjobs
     src, out, ck = (scratch_path(spark, n) for n in ("s-cdc", "s-cdc-out", "s-cdc-ck"))
 
@@ -558,10 +627,7 @@ def q_stream_cdc_split(spark, sf):
                                  trigger={"availableNow": True}).awaitTermination()
 
     _arrive_in_slices(spark, _changes_with_garbage(spark, sf), src, run, slices=2)
-    topics = spark.read.parquet(f"{out}/topics").select(F.col("topic").alias("target"))
-    rows = jobs.read_dims(spark, f"{out}/dims").select(
-        F.concat(F.lit("DIM:"), F.upper("table")).alias("target"))
-    return topics.unionByName(rows).groupBy("target").agg(F.count(F.lit(1)).alias("rows"))
+    return _split_counts(spark, out)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -611,4 +677,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_payloads": q_route_payloads,
     "cdc_fact_payloads": q_cdc_fact_payloads,
     "stream_cdc_split": q_stream_cdc_split,
+    "read_from_offsets_pruned": q_read_from_offsets_pruned,
+    "ledger_fenced": q_ledger_fenced,
+    "cdc_replay_routing": q_cdc_replay_routing,
+    "stream_funnel_log": q_stream_funnel_log,
 }

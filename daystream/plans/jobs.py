@@ -31,6 +31,9 @@ from daystream.functions.routing import DEAD_LETTER_TOPIC, PAGE_TOPIC
 from daystream.operators import cdc, dau, ledger, log_split
 from daystream.operators.parse import dead_letter, parse_log, read_page_messages
 from daystream.sinks.dims import append_dims, read_dims
+from daystream.sinks.fence import check_run
+from daystream.sinks.funnel_log import append_counts
+from daystream.sinks.routing_log import recorded_routing
 from daystream.sinks.topics import write_messages
 from daystream.sinks.upsert import (append_partitions, read_table, staged, table_exists,
                                     touched_partitions)
@@ -64,22 +67,27 @@ def _kept(df: DataFrame, persist: bool):
 
 
 def save_ledger(spark: SparkSession, path: str, env: DataFrame, group_id: str,
-                batch_id: int) -> None:
+                batch_id: int, run: int | None = None) -> None:
     """Ledger save after a batch is processed: the end offsets of every
     partition the batch read (only the position columns of ``env`` are
     read: ``topic, partition, offset``) are appended to the ledger log at
     ``path``; :func:`read_ledger` gives the current positions. Appending
     one tiny file per batch keeps the per-batch cost flat; the rows of all
-    tasks meet in the aggregate's shuffle, one row per partition after it."""
+    tasks meet in the aggregate's shuffle, one row per partition after it.
+
+    ``run``: number of a fenced run (:func:`daystream.sinks.fence.begin_run`); its
+    saves are refused once a later run has begun, and none depends on a clock."""
+    if run is not None:
+        check_run(spark, path, run)
     ranges = ledger.offset_ranges(env.select("topic", "partition", "offset"))
-    (ledger.save_rows(ranges, group_id, batch_id).repartition(1)
+    (ledger.save_rows(ranges, group_id, batch_id, run).repartition(1)
      .write.mode("append").parquet(path))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Current positions ``(group_id, topic, partition, until_offset,
     batch_id)`` from the ledger log, empty if there is none yet."""
-    return _current_saves(spark, path).drop("saved_at")
+    return _current_saves(spark, path).drop("saved_at", "run")
 
 
 def _current_saves(spark: SparkSession, path: str) -> DataFrame:
@@ -99,15 +107,18 @@ def compact_ledger(spark: SparkSession, path: str) -> None:
 def process_log_batch(spark: SparkSession, env: DataFrame, out_dir: str, batch_id: int = 0,
                       group_id: str = LOG_GROUP, persist: bool = False,
                       sink_format: str = "parquet", sink_options: dict | None = None,
-                      run_id: str = "batch") -> None:
+                      run_id: str = "batch", fence: int | None = None) -> None:
     """One batch of the log split: every routed message in one pass (to
     ``out_dir/topics``, or to Kafka with ``sink_format="kafka"``), then the
-    ledger. ``persist``: see :func:`_kept`."""
+    ledger. ``persist``: see :func:`_kept`. ``fence``: number of a fenced run, see
+    :func:`save_ledger`; an overtaken run stops before its first output."""
+    if fence is not None:
+        check_run(spark, os.path.join(out_dir, "ledger"), fence)
     with _kept(env, persist) as env:
         msgs = log_split.route_messages(parse_log(env))
         write_messages(msgs, os.path.join(out_dir, "topics"), batch_id=batch_id,
                        fmt=sink_format, options=sink_options, run_id=run_id)
-        save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id)
+        save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id, fence)
 
 
 def log_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int = 0,
@@ -121,7 +132,8 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
                          routing: DataFrame | None = None, on_delete: str = "keep",
                          group_id: str = CHANGE_GROUP, sink_format: str = "parquet",
                          sink_options: dict | None = None, run_id: str = "batch",
-                         persist: bool = False, key: str | None = None) -> None:
+                         persist: bool = False, key: str | None = None,
+                         fence: int | None = None, record_routing: bool = False) -> None:
     """One batch of the change split: fact messages and dead letters
     (``out_dir/topics``), the latest row per changed dimension key (appended to
     the store at ``out_dir/dims``), the ledger.
@@ -129,23 +141,30 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
     ``routing`` is the current ``(table, kind)`` list, by default the built-in
     one. ``key``: field of the row image that becomes the message key.
     ``persist`` keeps the parsed micro-batch for the several outputs.
+    ``record_routing`` keeps the lists the batch is routed with
+    (``out_dir/routing``), and a replay of the same run and batch uses them again
+    instead of ``routing``. ``fence``: see :func:`process_log_batch`.
+
+    Facts and dead letters come from one pass over the parse. A back-fill reads its source
+    three times (messages, dimension changes, and the position columns without a
+    parse); a micro-batch reads the persisted parse.
     """
+    if fence is not None:
+        check_run(spark, os.path.join(out_dir, "ledger"), fence)
     routing = routing if routing is not None else routing_table(spark)
+    if record_routing:
+        routing = recorded_routing(spark, os.path.join(out_dir, "routing"), run_id, batch_id, routing)
     with _kept(cdc.parse_changes(env), persist) as parsed:
-        changes = cdc.with_op(parsed)
-        dead = cdc.change_dead_letter(parsed, routing).select(
-            F.lit(DEAD_LETTER_TOPIC).alias("topic"), F.lit(None).cast("string").alias("key"),
-            F.coalesce("value", F.lit("")).alias("value"))
-        facts = cdc.fact_route(changes, routing, key=key).select("topic", "key", "value")
-        write_messages(facts.unionByName(dead), os.path.join(out_dir, "topics"),
+        msgs = cdc.route_messages(parsed, routing, key=key)
+        write_messages(msgs, os.path.join(out_dir, "topics"),
                        batch_id=batch_id, fmt=sink_format, options=sink_options, run_id=run_id)
-        latest = cdc.dim_latest(cdc.dim_changes(changes, routing))
+        latest = cdc.dim_latest(cdc.dim_changes(cdc.with_op(parsed), routing))
         append_dims(latest, os.path.join(out_dir, "dims"), run_id, batch_id, on_delete)
         # positions of every message read, including dropped change types
         positions = parsed.select(F.col("src_topic").alias("topic"),
                                   F.col("src_partition").alias("partition"),
-                                  F.col("src_offset").alias("offset"))
-        save_ledger(spark, os.path.join(out_dir, "ledger"), positions, group_id, batch_id)
+                                  F.col("src_offset").alias("offset")) if persist else env
+        save_ledger(spark, os.path.join(out_dir, "ledger"), positions, group_id, batch_id, fence)
 
 
 def cdc_split_job(spark: SparkSession, sf_dir: str, out_dir: str, batch_id: int = 0,
@@ -168,7 +187,8 @@ def seen_devices(spark: SparkSession, dau_path: str, days: list[str] | None = No
 
 
 def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame | Callable, dau_path: str,
-                       as_of=None, tz: str | None = None) -> None:
+                       as_of=None, tz: str | None = None,
+                       record: Callable[[DataFrame], None] | None = None) -> None:
     """One batch of typed page records of the DAU job. ``dims``: the current
     dimension rows, or a function that finds those of the batch's pages
     (:func:`daystream.sinks.dim_index.dims_of`).
@@ -181,7 +201,8 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame |
 
     The first-seen rows are staged under the checkpoint root for the length of
     the batch: the same rows feed the touched-day probe, both joins and the
-    write, and the lineage back to the source is cut.
+    write, and the lineage back to the source is cut. ``record`` gets the batch's
+    funnel (:func:`daystream.operators.dau.batch_funnel`) before the rows are appended.
     """
     usable = pages.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
     first = dau.first_seen(dau.session_first_pages(usable), tz=tz)
@@ -190,7 +211,10 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame |
             stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
             first = dau.new_only(first, touched_partitions(stored, first, "dt"))
         dims = dims(first) if callable(dims) else dims
-        out = dau.dau_info(first, cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of, tz=tz)
+        users, provinces = cdc.user_dim(dims), cdc.province_dim(dims)
+        if record is not None:
+            record(dau.batch_funnel(pages, first, users, provinces))
+        out = dau.dau_info(first, users, provinces, as_of=as_of, tz=tz)
         append_partitions(out.repartitionByRange("dt", "mid"), dau_path)
 
 
@@ -214,10 +238,19 @@ def process_first_pages(spark: SparkSession, first: DataFrame, dims: DataFrame |
 def process_page_messages(spark: SparkSession, env: DataFrame, dims: DataFrame, out_dir: str,
                           batch_id: int = 0, as_of=None, tz: str | None = None,
                           group_id: str = DAU_GROUP, persist: bool = False,
-                          run_id: str = "batch") -> None:
+                          run_id: str = "batch", fence: int | None = None,
+                          funnel: bool = False) -> None:
     """One batch of page-topic messages: the DAU rows (``out_dir/dau``), the
     messages that are no page record (``out_dir/topics``, dead letters), then
-    the end positions of all messages read (``out_dir/ledger``)."""
+    the end positions of all messages read (``out_dir/ledger``). ``funnel`` keeps
+    the batch's counts by stage and task (``out_dir/funnel``). ``fence``: see
+    :func:`process_log_batch`."""
+    if fence is not None:
+        check_run(spark, os.path.join(out_dir, "ledger"), fence)
+
+    def record(counts: DataFrame) -> None:
+        append_counts(spark, counts, os.path.join(out_dir, "funnel"), run_id, batch_id)
+
     with _kept(env, persist) as env:
         read = read_page_messages(env)
         dead = dead_letter(read).select(
@@ -226,8 +259,9 @@ def process_page_messages(spark: SparkSession, env: DataFrame, dims: DataFrame,
         write_messages(dead, os.path.join(out_dir, "topics"), batch_id=batch_id,
                        run_id=run_id)
         process_page_batch(spark, read.where(F.col("dead_reason").isNull()), dims,
-                           os.path.join(out_dir, "dau"), as_of=as_of, tz=tz)
-        save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id)
+                           os.path.join(out_dir, "dau"), as_of=as_of, tz=tz,
+                           record=record if funnel else None)
+        save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id, fence)
 
 
 def page_messages(pages: DataFrame) -> DataFrame:

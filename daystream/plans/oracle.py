@@ -401,6 +401,16 @@ SELECT concat('DWD_', t, '_', ['I', 'I', 'U', 'D'][t6 + 1], '_20220629') AS topi
   CAST(k % 4 AS INTEGER) AS src_partition, CAST((k // 4) * 16 + slot AS BIGINT) AS src_offset, * EXCLUDE (t, k, slot, t6)
 FROM image WHERE t6 < 4""",
 })
+ORACLE_SQL["cdc_replay_routing"] = _w(_CHG) + f"""
+SELECT target, count(*) AS rows FROM (
+  SELECT concat('DWD_', upper("table"), '_', op, '_20220629') AS target
+  FROM ops WHERE op IS NOT NULL AND "table" IN {_FACT_TABLES}
+  UNION ALL SELECT concat('DIM:', upper("table")) FROM (
+    SELECT DISTINCT "table", id FROM ops WHERE op IS NOT NULL AND "table" IN {_DIM_TABLES})
+) GROUP BY target"""
+ORACLE_SQL["read_from_offsets_pruned"] = ORACLE_SQL["read_from_offsets"]
+ORACLE_SQL["ledger_fenced"] = ORACLE_SQL["ledger_restart"]
+ORACLE_SQL["stream_funnel_log"] = ORACLE_SQL["dau_funnel_counts"]
 ORACLE_SQL["stream_log_restart"] = ORACLE_SQL["route_all_topics"]
 # The streaming forms must give the batch answers.
 ORACLE_SQL["stream_route_counts"] = ORACLE_SQL["route_all_topics"]

@@ -103,4 +103,5 @@ LEDGER = T.StructType([
     T.StructField("until_offset", L),
     T.StructField("batch_id", L),
     T.StructField("saved_at", T.TimestampType()),
+    T.StructField("run", L),
 ])

@@ -28,6 +28,7 @@ from daystream.operators import dau
 from daystream.operators.parse import parse_page_messages
 from daystream.plans import jobs
 from daystream.sinks.dim_index import dims_of
+from daystream.sinks.fence import begin_run
 from daystream.sinks.upsert import table_exists
 from daystream.sources.kafka import kafka_stream  # noqa: F401  (re-export)
 from daystream.streaming.first_seen import first_seen_stream
@@ -67,17 +68,26 @@ def _start(df: DataFrame, fn: Callable, checkpoint: str, trigger: dict | None,
     return w.start()
 
 
+def _fence(df: DataFrame, out_dir: str, fenced: bool) -> int | None:
+    return begin_run(df.sparkSession, f"{out_dir}/ledger") if fenced else None
+
+
 def start_log_split(envelopes: DataFrame, out_dir: str, checkpoint: str,
                     trigger: dict | None = None, name: str | None = None,
                     sink_format: str = "parquet",
-                    sink_options: dict | None = None) -> StreamingQuery:
+                    sink_options: dict | None = None, fenced: bool = False) -> StreamingQuery:
     """Log split: every routed message of a batch in one pass (files under
     ``out_dir/topics`` or Kafka), then the ledger of the batch. The
-    micro-batch is persisted while both steps read it."""
+    micro-batch is persisted while both steps read it. ``fenced`` (here and in the
+    other jobs with a ledger) takes a run number at the start: a query that was
+    started before on the same folder fails at its next batch, and positions are
+    ordered by run and batch instead of by the drivers' clocks."""
+    fence = _fence(envelopes, out_dir, fenced)
+
     def run(batch: DataFrame, batch_id: int, run_id: str) -> None:
         jobs.process_log_batch(batch.sparkSession, batch, out_dir, batch_id, persist=True,
                                sink_format=sink_format, sink_options=sink_options,
-                               run_id=run_id)
+                               run_id=run_id, fence=fence)
     return _start(envelopes, run, checkpoint, trigger, name)
 
 
@@ -86,18 +96,21 @@ def start_change_split(envelopes: DataFrame, out_dir: str, checkpoint: str,
                        trigger: dict | None = None, on_delete: str = "keep",
                        name: str | None = None, sink_format: str = "parquet",
                        sink_options: dict | None = None,
-                       key: str | None = None) -> StreamingQuery:
+                       key: str | None = None, fenced: bool = False) -> StreamingQuery:
     """Change split; ``routing_loader`` is called for every batch, so the
     fact / dimension lists can change while the query runs
     (:func:`daystream.sources.envelopes.stored_routing` reads them from a
-    table; without a loader they are the built-in ones)."""
+    table; without a loader they are the built-in ones). Loaded lists are recorded
+    with the batch (``out_dir/routing``), and a replay uses those of its first try."""
+    fence = _fence(envelopes, out_dir, fenced)
+
     def run(batch: DataFrame, batch_id: int, run_id: str) -> None:
         spark = batch.sparkSession
         routing = routing_loader(spark) if routing_loader else None
         jobs.process_change_batch(spark, batch, out_dir, batch_id, routing=routing,
                                   on_delete=on_delete, sink_format=sink_format,
                                   sink_options=sink_options, run_id=run_id, persist=True,
-                                  key=key)
+                                  key=key, fence=fence, record_routing=routing_loader is not None)
     return _start(envelopes, run, checkpoint, trigger, name)
 
 
@@ -165,17 +178,21 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
 def start_dau_messages(messages: DataFrame, dims_path: str, out_dir: str, checkpoint: str,
                        trigger: dict | None = None, as_of=None, tz: str | None = None,
                        group_id: str = jobs.DAU_GROUP,
-                       name: str | None = None) -> StreamingQuery:
+                       name: str | None = None, fenced: bool = False,
+                       funnel: bool = False) -> StreamingQuery:
     """The whole DAU job from page-topic messages: the result (``out_dir/dau``, as
     ``mode="sink"`` of :func:`start_dau`), dead letters (``out_dir/topics``), and
     after each batch the ledger (``out_dir/ledger``), from which
     :func:`daystream.sources.kafka.start_position` finds where to go on after a
-    lost checkpoint."""
+    lost checkpoint. ``funnel`` keeps each batch's counts by stage and task
+    (``out_dir/funnel``, :mod:`daystream.sinks.funnel_log`)."""
+    fence = _fence(messages, out_dir, fenced)
+
     def run(batch: DataFrame, batch_id: int, run_id: str) -> None:
         spark = batch.sparkSession
         jobs.process_page_messages(spark, batch, jobs.read_dims(spark, dims_path), out_dir,
                                    batch_id, as_of=as_of, tz=tz, group_id=group_id,
-                                   persist=True, run_id=run_id)
+                                   persist=True, run_id=run_id, fence=fence, funnel=funnel)
     return _start(messages, run, checkpoint, trigger, name)
 
 
