@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from daystream.llm import linear
 from daystream.llm import text as T
 from daystream.llm.quality import labelled
+from daystream.llm.store import stage
 
 #: Documents of each label that voters are found on, voters, and classifier features, at most.
-SAMPLE, VOTERS, FEATURES = 3000, 256, 2048
+SAMPLE, VOTERS, FEATURES = 3000, 512, 2048
 THRESHOLD = 0.3
-#: What a pattern must show on the sample: how much likelier among toxic documents, and the G statistic.
-LIFT, SURE = 30, 24.0
+#: What a pattern must show on the sample: how much likelier among toxic documents, and
+#: the share of patterns like it and as clear that chance would give at most.
+LIFT, FALSE = 30, 0.05
 #: Bytes of a word's start that make a pattern of their own.
 PREFIXES = (3, 4, 5, 6, 8)
 _BETWEEN = np.ones(256, bool)
@@ -25,10 +27,11 @@ LOWER[65:91] += 32
 
 
 def patterns(data, off):
-    """(row, hash) of every lexicon word and word-start pattern of each text, A-Z lower-cased.
+    """(row, hash) of every word, word-start and word-pair pattern of each text, A-Z lower-cased.
 
-    A word here is a run of letters, digits and bytes from 128; the pattern of
-    a word's first bytes is another hash than the word.
+    A word here is a run of letters, digits and bytes from 128; a pair is two
+    words that follow one another. The top three bits of a hash name its kind: 0
+    for words, 1 to 5 for word starts by length, 6 for pairs.
     """
     start, end, row = T.words(data, off, _BETWEEN)
     low = LOWER[data]
@@ -39,14 +42,22 @@ def patterns(data, off):
     s = np.zeros(n + 1, np.uint64)
     np.cumsum(T.BYTE_VALUE[0][low] * p[:n], out=s[1:])
     base, inv = s[start], q[start]
-    rows, out = [row], [T.mix((s[end] - base) * inv)]
-    for k in PREFIXES:
+    word = T.mix((s[end] - base) * inv)
+    rows, out = [row], [_of_kind(word, 0)]
+    for i, k in enumerate(PREFIXES):
         has = np.flatnonzero(end - start > k)
         rows.append(row[has])
-        out.append(T.mix((s[start[has] + k] - base[has]) * inv[has] + np.uint64(k)))
+        out.append(_of_kind(T.mix((s[start[has] + k] - base[has]) * inv[has] + np.uint64(k)), i + 1))
+    has = np.flatnonzero(row[1:] == row[:-1])
+    rows.append(row[has])
+    out.append(_of_kind(T.mix(word[has] * np.uint64(0x9FB21C651E98DF25) + word[has + 1]), len(PREFIXES) + 1))
     return np.concatenate(rows), np.concatenate(out)
 
 
+def _of_kind(h, kind: int):
+    return (h & np.uint64((1 << 61) - 1)) | np.uint64(kind << 61)
+
+
 def _hits(data, off, known: np.ndarray, sieve: np.ndarray):
     """(row, index in ``known``) of the known patterns that occur in each text, once each."""
     row, h = patterns(data, off)
@@ -66,7 +77,16 @@ def _sieve(known: np.ndarray) -> np.ndarray:
 
 
 def candidates(sample: DataFrame, most: int) -> DataFrame:
-    """Patterns (hash, toxic, clean document counts) that lean to toxic documents, the clearest first."""
+    """Patterns (hash, toxic, clean document counts) that lean to toxic documents, the clearest first.
+
+    Patterns of one kind that occur in equally many documents (in powers of two
+    above 16) are a family. By chance a pattern reaches a log-likelihood ratio G
+    with probability exp(-G / 2) at most, so a family of N has N exp(-G / 2) such
+    patterns by chance; it is taken from the smallest G on where these are at
+    most ``FALSE`` of those it has. Words met in three toxic documents and
+    no clean one are found this way if there are many of them, and left alone if they are
+    no more than chance gives.
+    """
     def run(batches):
         for b in batches:
             for part in T.pieces(pa.Table.from_batches([b]), "text", 2 << 20):
@@ -89,11 +109,52 @@ def candidates(sample: DataFrame, most: int) -> DataFrame:
     share_t, share_c = (F.col("toxic") + 0.5) / (toxic + 1), (F.col("clean") + 0.5) / (clean + 1)
     p = toxic / max(1, toxic + clean)
     part = lambda c, q: F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / ((F.col("toxic") + F.col("clean")) * q))).otherwise(0.0)
-    # the log-likelihood ratio against chance; among a million patterns chance alone rarely reaches it
-    found = found.filter((F.col("toxic") >= 3) & (share_t > LIFT * share_c)).filter(2 * (part("toxic", p) + part("clean", 1 - p)) >= SURE)
+    # G: the log-likelihood ratio against chance
+    seen = F.col("toxic") + F.col("clean")
+    found = found.withColumn("g", 2 * (part("toxic", p) + part("clean", 1 - p))).withColumn(
+        "family", F.shiftrightunsigned("hash", 61) * 64 + F.when(seen <= 16, seen).otherwise(13 + F.floor(F.log2(seen))))
+    found = stage(found.withColumn("leans", (F.col("toxic") >= 3) & (share_t > LIFT * share_c)), "toxicity-patterns")
+    # at most families times bins rows: G in halves up to 100
+    bins = found.groupBy("family", F.when(F.col("leans"), F.least(F.floor(2 * F.col("g")), F.lit(200))).alias("bin")).count().collect()
+    from_g = {}
+    for family in {r["family"] for r in bins}:
+        size = sum(r["count"] for r in bins if r["family"] == family)
+        tail = 0
+        for b, k in sorted(((r["bin"], r["count"]) for r in bins if r["family"] == family and r["bin"] is not None), reverse=True):
+            tail += k
+            if size * np.exp(-b / 4) <= FALSE * tail:
+                from_g[family] = b / 2
+    if not from_g:
+        return found.select("hash", "toxic", "clean").limit(0)
+    least = F.create_map(*[F.lit(x) for f, g in sorted(from_g.items()) for x in (int(f), float(g))])
+    found = found.filter("leans").filter(F.col("g") >= least[F.col("family").cast("int")])
     return found.withColumn("gain", F.col("toxic") * F.log(share_t / share_c)).orderBy(F.desc("gain"), "hash").limit(most)
 
 
+def voters_of(hits: list, target: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """The patterns that vote, at most ``most``, of ``order`` (the clearest first).
+
+    A pattern that fires, where no earlier voter does, mostly in clean
+    documents has its lean from a clearer one that it comes with (a word of a
+    toxic pair) and doesn't vote.
+    """
+    rows_of = [[] for _ in order]
+    for i, h in enumerate(hits):
+        for j in h:
+            rows_of[j].append(i)
+    covered, out = np.zeros(len(hits), bool), []
+    for j in order:
+        rows = np.array(rows_of[j], np.int64)
+        left = rows[~covered[rows]]
+        if len(left) and 2 * (target[left] == 1).sum() < len(left):
+            continue
+        out.append(j)
+        covered[rows] = True
+        if len(out) == most:
+            break
+    return np.array(out, np.int64)
+
+
 def label_model(votes: np.ndarray, prior: float, start=None, rounds: int = 40):
     """Posterior of label 1 for each row of 0/1 ``votes``, and each voter's (rate on 1, rate on 0, share of weight).
 
@@ -132,11 +193,10 @@ def label_model(votes: np.ndarray, prior: float, start=None, rounds: int = 40):
 def fit(docs: DataFrame, labels: DataFrame, allowed=None, sample: int = SAMPLE, voters: int = VOTERS, features: int = FEATURES):
     """(sorted pattern hashes, weights, bias) or None if the labels have not both kinds.
 
-    Labels serve to find the voters and the prior; what the classifier learns
-    from are the label model's posteriors. Both samples are bounded and
+    Labels serve to find the voters and the prior; the label model sees only
+    votes, and what the classifier learns from are its posteriors. Both samples are bounded and
     chosen by hash; only counts and hits of found patterns reach the driver.
     """
-    from daystream.llm.store import stage
     toxic = labelled(docs, labels.filter("toxic = 1"), "toxic", sample, allowed)
     clean = labelled(docs, labels.filter("toxic = 0"), "toxic", sample, allowed)
     seen = labels.filter(allowed) if allowed is not None else labels
@@ -144,14 +204,14 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=None, sample: int = SAMPLE,
     if share is None or share in (0.0, 1.0):
         return None
     prior = float(share)
-    rows = stage(toxic.unionByName(clean), "toxicity-sample")
+    # a doc_id met again with other texts counts once, so the bound holds for rows
+    rows = stage(toxic.unionByName(clean).groupBy("doc_id", "target").agg(F.min("text").alias("text")), "toxicity-sample")
     top = candidates(rows, features).collect()   # at most ``features`` rows
     if not top:
         return None
     hashes = np.array([r["hash"] for r in top], np.int64).view(np.uint64)
     rank = np.argsort(hashes)
     known = hashes[rank]
-    is_voter = (rank < voters)
     sieve = _sieve(known)
 
     def run(batches):
@@ -167,14 +227,16 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=None, sample: int = SAMPLE,
     got = rows.select("doc_id", "target", "text").mapInArrow(run, "doc_id long, target int, hits binary").toArrow().sort_by("doc_id")
     target = got["target"].to_numpy()
     hits = [np.frombuffer(x, "<i2").astype(np.int64) for x in got["hits"].to_pylist()]
-    x = np.zeros((len(hits), len(known)))
-    for i, h in enumerate(hits):
-        x[i, h] = 1.0
-    votes = x[:, is_voter]
-    post, _ = label_model(votes, float(np.clip((target == 1).mean(), 0.01, 0.99)), (target == 1).astype(float))
+    row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
+    col = np.concatenate(hits)
+    place = np.full(len(known), -1)
+    chosen = voters_of(hits, target, np.argsort(rank), voters)
+    place[chosen] = np.arange(len(chosen))
+    votes = np.zeros((len(hits), len(chosen)))
+    votes[row[place[col] >= 0], place[col][place[col] >= 0]] = 1.0
+    post, _ = label_model(votes, float(np.clip((target == 1).mean(), 0.01, 0.99)))
     # back from the sample's mix of labels to the corpus's
     weight = np.where(target == 1, prior / max((target == 1).mean(), 1e-9), (1 - prior) / max((target == 0).mean(), 1e-9))
-    row, col = np.nonzero(x)
     w, b = linear.logistic(row, col, np.ones(len(row)), len(post), len(known), post, weight, l2=1e-5, rounds=300)
     return known, w, b
 
@@ -182,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed=None, sample: int = SAMPLE,
 def toxicity(docs: DataFrame, labels: DataFrame, allowed=None, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs`` (doc_id, text).
 
-    Voters are lexicon words and word-start patterns found on a bounded sample
+    Voters are lexicon words, word starts and word pairs found on a bounded sample
     of labelled rows (``allowed`` says which labels may be used). A generative
     label model of their votes estimates each voter's accuracy and the
     correlations among them; its posteriors train a logistic regression on the
