@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from daystream.llm import text as T
-from daystream.llm.html_blocks import Block
+from daystream.llm.html_blocks import Block, Element
 
 #: Input: hashed path parts, hashed words, measures; size of the state of one direction.
 PATH, WORDS, MEASURES, STATE = 160, 32, 8, 16
@@ -23,22 +23,29 @@ def _cell(s: str, known: dict = {}) -> int:
     return c
 
 
-def _path_cells(path: tuple, known: dict = {}) -> np.ndarray:
-    """Cells of a path: its tags, name parts and their beginnings, the last two tags, and its depth."""
-    c = known.get(path)
+def _path_cells(path: Element | None, known: dict = {}) -> np.ndarray:
+    """Cells of a path: its tags, name parts and their beginnings, the last two tags, and its depth.
+
+    An element keeps the cells down to it as the bits of an integer, so a path
+    costs what it adds to its parent's.
+    """
+    new, up = [], path
+    while up is not None and up.seen is None:
+        new.append(up)
+        up = up.parent
+    bits = up.seen if up is not None else 0
+    for e in reversed(new):
+        bits |= 1 << _cell("<" + e.tag)
+        for n in e.names:
+            bits |= 1 << _cell("." + n) | 1 << _cell("^" + n[:4])
+        e.seen = bits
+    last = [e.tag for e in (path.parent, path) if e is not None] if path is not None else []
+    bits |= 1 << _cell("last " + " ".join(last)) | 1 << _cell(f"depth {min(path.depth, 8) if path is not None else 0}")
+    c = known.get(bits)
     if c is None:
         if len(known) > 100_000:
             known.clear()
-        parts = set()
-        for tag, names in path:
-            parts.add("<" + tag)
-            for n in names:
-                parts.add("." + n)
-                parts.add("^" + n[:4])
-        tags = [t for t, _ in path]
-        parts.add("last " + " ".join(tags[-2:]))
-        parts.add(f"depth {min(len(tags), 8)}")
-        c = known[path] = np.unique([_cell(p) for p in parts])
+        c = known[bits] = np.flatnonzero(np.unpackbits(np.frombuffer(bits.to_bytes(PATH // 8, "little"), np.uint8), bitorder="little"))
     return c
 
 

@@ -30,13 +30,37 @@ TOKEN = re.compile(
     r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
     r"|<(?P<broken>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)", re.S | re.I)
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
-HIDE = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
+HIDE = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|/|$)|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
+class Element:
+    """An open element that says where a block stands, a block-level or a named one,
+    and with its parents the path down to it: iterates over (tag, name parts), outermost first."""
+
+    __slots__ = ("parent", "tag", "names", "depth", "seen")
+
+    def __init__(self, parent: Element | None, tag: str, names: tuple[str, ...]):
+        self.parent, self.tag, self.names = parent, tag, names
+        self.depth = parent.depth + 1 if parent else 1
+        self.seen = None    #: what a reader keeps here for the path down to this element
+
+    def __iter__(self):
+        out, e = [], self
+        while e is not None:
+            out.append((e.tag, e.names))
+            e = e.parent
+        return reversed(out)
+
+    def __eq__(self, other):
+        return self is other or (other is not None and tuple(self) == tuple(other))
+
+    __hash__ = object.__hash__
+
+
 class Block(NamedTuple):
     text: str           #: references decoded, white space runs one space, trimmed
-    path: tuple         #: open elements, outermost first: (tag, name parts)
+    path: Element | None  #: its innermost open element, which knows its parents
     linked: int         #: characters of the text in links, about
 
 
@@ -45,7 +69,7 @@ def name_parts(attrs: str) -> tuple[str, ...]:
     out = []
     for m in NAMED.finditer(attrs):
         out += [p.lower() for p in PART.findall(m[1])]
-    return tuple(out[:12])
+    return tuple(out)
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -54,10 +78,14 @@ def blocks(page: str | None) -> list[Block]:
     Scripts, styles, comments, markup and elements that are never shown are
     left out; an element with markup inside that isn't ended hides nothing.
     Unclosed and misnested tags are read as a browser would in the
-    common cases; a page that breaks off keeps what came before.
+    common cases; a page that breaks off keeps what came before. Blocks share
+    their path's elements, so time and memory follow the length of the page, however
+    deep it is.
     """
     page = page or ""
-    stack: list[tuple] = []      # (tag, name parts, hidden: 2 in an element that is never shown)
+    # (tag, element of the path, hidden: 1 in an element hidden by attribute, 2 + its place in one that is never shown)
+    stack: list[tuple] = []
+    opened: dict[str, int] = {}  # how many elements of a tag are open
     ended: dict[str, int] = {}   # where the last end tag of an element that is never shown is
     out: list[Block] = []
     buffer: list[str] = []
@@ -66,12 +94,12 @@ def blocks(page: str | None) -> list[Block]:
 
     def close():
         nonlocal linked
-        if stack and stack[-1][2] == 2:
+        if stack and stack[-1][2] >= 2:
             return               # the text around goes on
         if buffer:
             text = " ".join("".join(buffer).split())
             if text:
-                out.append(Block(text, tuple((t, n) for t, n, _ in stack if t in BLOCK or n), linked))
+                out.append(Block(text, stack[-1][1] if stack else None, linked))
             buffer.clear()
         linked = 0
 
@@ -83,11 +111,18 @@ def blocks(page: str | None) -> list[Block]:
             if any(t == "a" for t, _, _ in stack[-4:]):
                 linked += len(raw)
 
+    def cut(i):
+        for t, _, _ in stack[i:]:
+            opened[t] -= 1
+        del stack[i:]
+
     def end_of(tags, walls):
+        if not any(opened.get(t) for t in tags):
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in tags:
                 close()
-                del stack[i:]
+                cut(i)
                 return
             if stack[i][0] in walls:
                 return
@@ -102,9 +137,9 @@ def blocks(page: str | None) -> list[Block]:
                 close()
             elif tag == "br":
                 buffer.append(" ")
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1 if opened.get(tag) else -1, -1, -1):
                 if stack[i][0] == tag:
-                    del stack[i:]
+                    cut(i)
                     break
                 if stack[i][0] in WALLS and tag not in BLOCK and tag not in NEVER:
                     break
@@ -115,12 +150,12 @@ def blocks(page: str | None) -> list[Block]:
             if not m.group().endswith(">"):
                 break                # the page ends inside this tag
             if tag in BLOCK:
-                if stack and stack[-1][2] == 2:
-                    outer = next(i for i, x in enumerate(stack) if x[2] == 2)
-                    if stack[outer][0] in FOREIGN and not any(t == "foreignobject" for t, _, _ in stack[outer:]):
-                        del stack[outer:]
+                if stack and stack[-1][2] >= 2:
+                    outer = stack[-1][2] - 2
+                    if stack[outer][0] in FOREIGN and not opened.get("foreignobject"):
+                        cut(outer)
                 close()
-                shown = not (stack and stack[-1][2] == 2)
+                shown = not (stack and stack[-1][2] >= 2)
                 if shown and tag not in KEEPS_P:
                     end_of(("p",), WALLS)
                 if shown and tag in ENDS:
@@ -132,8 +167,11 @@ def blocks(page: str | None) -> list[Block]:
                 if tag in NEVER and not hidden:
                     if tag not in ended:
                         ended[tag] = max((x.start() for x in re.finditer(rf"</{tag}(?=[\s/>])", page, re.I)), default=-1)
-                    hidden = 2 if ended[tag] >= m.end() else 0
-                stack.append((tag, name_parts(attrs) if attrs else (), hidden))
+                    hidden = 2 + len(stack) if ended[tag] >= m.end() else 0
+                names = name_parts(attrs) if attrs else ()
+                above = stack[-1][1] if stack else None
+                stack.append((tag, Element(above, tag, names) if tag in BLOCK or names else above, hidden))
+                opened[tag] = opened.get(tag, 0) + 1
     else:
         add(page[at:])
     close()

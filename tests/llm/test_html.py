@@ -93,3 +93,24 @@ def test_elements_that_are_never_shown_take_no_more_than_they_hold():
     assert texts("<p>a</p><svg class=i /><p>b</p><svg><text>no</text></svg><p>c</p>") == ["a", "b", "c"]
     assert texts("<p>a <object><p>no</p></object> b</p>c") == ["a b", "c"]
     assert texts("<div>a<svg><text>no<p>b</p></div>c<svg></svg>") == ["a", "b", "c"]
+
+
+def test_deep_pages_cost_what_they_hold():
+    import time
+
+    from daystream.llm import block_lstm
+    page = lambda n: "<div>x" * n + "</section></b>" * n
+    cost = []
+    for n in (10_000, 100_000):
+        t = time.process_time()
+        b = blocks(page(n))
+        assert len(b) == n and block_lstm.inputs(b).shape[0] == n and b[-1].path.depth == n
+        cost.append(time.process_time() - t)
+    assert cost[1] < 40 * cost[0] + 1  # ten times the page; copied paths would take a hundred times
+    assert len(blocks("<noscript>" + "<div>x" * 50_000 + "</noscript><p>y")) == 1
+
+
+def test_nothing_visible_is_left_out_before_the_labeller():
+    b = blocks('<article><p aria-hidden="true">seen</p><p class="' + " ".join(f"c{i} x" for i in range(30)) + ' last">named</p></article>')
+    assert [x.text for x in b] == ["seen", "named"]
+    assert "last" in b[1].path.names and b[0].path == (("article", ()), ("p", ()))
