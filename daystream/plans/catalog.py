@@ -229,6 +229,23 @@ def q_dau_new_only(spark, sf):
     return _dau(spark, sf, first=dau.new_only(candidates, seen))
 
 
+def q_dau_new_only_indexed(spark, sf):
+    """The restore scenario against the index of stored devices: the sink is written in
+    three stretches, two of them folded, the last not."""
+    from daystream.sinks import seen_index
+    from daystream.sinks.upsert import append_partitions
+    first = stage(spark, _first_seen(spark, sf), "first-seen")
+    path, index = scratch_path(spark, "dau"), scratch_path(spark, "dau-index")
+    stored = stage(spark, _dau(spark, sf, first=first.where(F.col("dt") <= SPLIT_DT)), "dau-stored")
+    slot = F.pmod(F.xxhash64("mid"), F.lit(3))
+    for i in range(3):
+        append_partitions(stored.where(slot == i), path)
+        if i < 2:
+            seen_index.fold_seen(spark, path, index)
+    candidates = first.where(F.col("dt") >= RESUME_DT)
+    return _dau(spark, sf, first=dau.new_only(candidates, seen_index.seen_keys(spark, path, index, candidates)))
+
+
 def q_dau_upsert(spark, sf):
     """First half of the month, then the whole month twice: the table must
     hold each (dt, mid) once. The month's records are computed once and
@@ -654,6 +671,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dau_info": q_dau_info,
     "dau_seen_mids": q_dau_seen_mids,
     "dau_new_only": q_dau_new_only,
+    "dau_new_only_indexed": q_dau_new_only_indexed,
     "dau_upsert": q_dau_upsert,
     "dau_funnel_counts": q_dau_funnel_counts,
     "project_by_name": q_project_by_name,

@@ -34,6 +34,7 @@ from daystream.sinks.dims import append_dims, read_dims
 from daystream.sinks.fence import check_run
 from daystream.sinks.funnel_log import append_counts
 from daystream.sinks.routing_log import recorded_routing
+from daystream.sinks.seen_index import seen_keys
 from daystream.sinks.topics import write_messages
 from daystream.sinks.upsert import (append_partitions, read_table, staged, table_exists,
                                     touched_partitions)
@@ -145,16 +146,17 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
     (``out_dir/routing``), and a replay of the same run and batch uses them again
     instead of ``routing``. ``fence``: see :func:`process_log_batch`.
 
-    Facts and dead letters come from one pass over the parse. A back-fill reads its source
-    three times (messages, dimension changes, and the position columns without a
-    parse); a micro-batch reads the persisted parse.
+    Each source is read and parsed once: messages, dimension rows and positions come from the
+    parse, which a micro-batch persists and a back-fill stages under the checkpoint
+    root for the length of the batch.
     """
     if fence is not None:
         check_run(spark, os.path.join(out_dir, "ledger"), fence)
     routing = routing if routing is not None else routing_table(spark)
     if record_routing:
         routing = recorded_routing(spark, os.path.join(out_dir, "routing"), run_id, batch_id, routing)
-    with _kept(cdc.parse_changes(env), persist) as parsed:
+    parsed = cdc.parse_changes(env)
+    with _kept(parsed, True) if persist else staged(spark, parsed, "changes") as parsed:
         msgs = cdc.route_messages(parsed, routing, key=key)
         write_messages(msgs, os.path.join(out_dir, "topics"),
                        batch_id=batch_id, fmt=sink_format, options=sink_options, run_id=run_id)
@@ -163,7 +165,7 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
         # positions of every message read, including dropped change types
         positions = parsed.select(F.col("src_topic").alias("topic"),
                                   F.col("src_partition").alias("partition"),
-                                  F.col("src_offset").alias("offset")) if persist else env
+                                  F.col("src_offset").alias("offset"))
         save_ledger(spark, os.path.join(out_dir, "ledger"), positions, group_id, batch_id, fence)
 
 
@@ -186,9 +188,19 @@ def seen_devices(spark: SparkSession, dau_path: str, days: list[str] | None = No
     return dau.seen_mids(stored)
 
 
+def _stored_keys(spark: SparkSession, dau_path: str, batch: DataFrame, seen_index: str | None) -> DataFrame:
+    """Stored ``(dt, mid)`` to check a batch against: those of its days, or by
+    the index those of its devices."""
+    if seen_index is not None:
+        return seen_keys(spark, dau_path, seen_index, batch)
+    stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
+    return touched_partitions(stored, batch, "dt")
+
+
 def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame | Callable, dau_path: str,
                        as_of=None, tz: str | None = None,
-                       record: Callable[[DataFrame], None] | None = None) -> None:
+                       record: Callable[[DataFrame], None] | None = None,
+                       seen_index: str | None = None) -> None:
     """One batch of typed page records of the DAU job. ``dims``: the current
     dimension rows, or a function that finds those of the batch's pages
     (:func:`daystream.sinks.dim_index.dims_of`).
@@ -203,13 +215,14 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame |
     the batch: the same rows feed the touched-day probe, both joins and the
     write, and the lineage back to the source is cut. ``record`` gets the batch's
     funnel (:func:`daystream.operators.dau.batch_funnel`) before the rows are appended.
+    With ``seen_index`` (:mod:`daystream.sinks.seen_index`) the stored days are asked
+    for the batch's devices instead of being read.
     """
     usable = pages.where(F.col("mid").isNotNull() & F.col("ts").isNotNull())
     first = dau.first_seen(dau.session_first_pages(usable), tz=tz)
     with staged(spark, first, "dau-first-seen") as first:
         if table_exists(spark, dau_path):
-            stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
-            first = dau.new_only(first, touched_partitions(stored, first, "dt"))
+            first = dau.new_only(first, _stored_keys(spark, dau_path, first, seen_index))
         dims = dims(first) if callable(dims) else dims
         users, provinces = cdc.user_dim(dims), cdc.province_dim(dims)
         if record is not None:
@@ -219,7 +232,8 @@ def process_page_batch(spark: SparkSession, pages: DataFrame, dims: DataFrame |
 
 
 def process_first_pages(spark: SparkSession, first: DataFrame, dims: DataFrame | Callable, dau_path: str,
-                        as_of=None, tz: str | None = None, check_all: bool = False) -> None:
+                        as_of=None, tz: str | None = None, check_all: bool = False,
+                        seen_index: str | None = None) -> None:
     """One batch of first-seen pages that a state store chose (with ``dt`` and
     ``late``): the late ones are checked against their stored days, the others
     are appended without reading the table. ``check_all`` checks them all, for
@@ -227,8 +241,7 @@ def process_first_pages(spark: SparkSession, first: DataFrame, dims: DataFrame |
     with staged(spark, first, "dau-first-seen") as first:
         doubt = first if check_all else first.where("late")
         if table_exists(spark, dau_path) and not doubt.isEmpty():
-            stored = read_table(spark, dau_path, schemas.DAU_INFO).select("dt", "mid")
-            new = dau.new_only(doubt, touched_partitions(stored, doubt, "dt"))
+            new = dau.new_only(doubt, _stored_keys(spark, dau_path, doubt, seen_index))
             first = new if check_all else first.where("not late").unionByName(new)
         dims = dims(first) if callable(dims) else dims
         out = dau.dau_info(first.drop("late"), cdc.user_dim(dims), cdc.province_dim(dims), as_of=as_of, tz=tz)
@@ -239,12 +252,12 @@ def process_page_messages(spark: SparkSession, env: DataFrame, dims: DataFrame,
                           batch_id: int = 0, as_of=None, tz: str | None = None,
                           group_id: str = DAU_GROUP, persist: bool = False,
                           run_id: str = "batch", fence: int | None = None,
-                          funnel: bool = False) -> None:
+                          funnel: bool = False, seen_index: str | None = None) -> None:
     """One batch of page-topic messages: the DAU rows (``out_dir/dau``), the
     messages that are no page record (``out_dir/topics``, dead letters), then
     the end positions of all messages read (``out_dir/ledger``). ``funnel`` keeps
     the batch's counts by stage and task (``out_dir/funnel``). ``fence``: see
-    :func:`process_log_batch`."""
+    :func:`process_log_batch`; ``seen_index``: see :func:`process_page_batch`."""
     if fence is not None:
         check_run(spark, os.path.join(out_dir, "ledger"), fence)
 
@@ -260,7 +273,7 @@ def process_page_messages(spark: SparkSession, env: DataFrame, dims: DataFrame,
                        run_id=run_id)
         process_page_batch(spark, read.where(F.col("dead_reason").isNull()), dims,
                            os.path.join(out_dir, "dau"), as_of=as_of, tz=tz,
-                           record=record if funnel else None)
+                           record=record if funnel else None, seen_index=seen_index)
         save_ledger(spark, os.path.join(out_dir, "ledger"), env, group_id, batch_id, fence)
 
 

@@ -264,6 +264,11 @@ SELECT * FROM dau d WHERE dt >= '2024-01-10'
   AND NOT EXISTS (SELECT 1 FROM dau s WHERE s.dt <= '2024-01-15'
                   AND s.dt = d.dt AND s.mid = d.mid)""",
 
+    "dau_new_only_indexed": _w(_LOG, _DIMS, _FIRST, _DAU) + """
+SELECT * FROM dau d WHERE dt >= '2024-01-10'
+  AND NOT EXISTS (SELECT 1 FROM dau s WHERE s.dt <= '2024-01-15'
+                  AND s.dt = d.dt AND s.mid = d.mid)""",
+
     "dau_upsert": _w(_LOG, _DIMS, _FIRST, _DAU) + "SELECT * FROM dau",
 
     "dau_funnel_counts": _w(_LOG, _DIMS, _FIRST, _DAU) + """

@@ -126,7 +126,8 @@ def page_records(page_messages: DataFrame) -> DataFrame:
 def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
               trigger: dict | None = None, as_of=None, tz: str | None = None,
               mode: str = "sink", watermark: str = "2 days",
-              name: str | None = None, dims_index: str | None = None) -> StreamingQuery:
+              name: str | None = None, dims_index: str | None = None,
+              seen_index: str | None = None) -> StreamingQuery:
     """Daily active users from a stream of typed page records.
 
     ``mode="sink"``: the stored result is the seen-set. Each batch keeps the
@@ -147,7 +148,8 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
     Dimensions are re-read from ``dims_path`` in every batch, so changes
     apply to later pages (processing-time lookup); a store that does not exist
     yet is empty. With ``dims_index`` (:mod:`daystream.sinks.dim_index`) a batch
-    reads the buckets of its own ids instead of the whole store. Funnel counts per batch are published as observed metrics
+    reads the buckets of its own ids instead of the whole store, and with ``seen_index``
+    (:mod:`daystream.sinks.seen_index`) those of its own devices instead of the stored days. Funnel counts per batch are published as observed metrics
     named ``dau_funnel``. Positions are not saved here: what this query gets are
     records that are parsed and, in state mode, deduplicated already;
     :func:`start_dau_messages` reads whole messages and keeps the ledger.
@@ -166,10 +168,10 @@ def start_dau(pages: DataFrame, dims_path: str, dau_path: str, checkpoint: str,
         spark = batch.sparkSession
         dims = dims_of(spark, dims_path, dims_index, _DIM_KEYS) if dims_index else jobs.read_dims(spark, dims_path)
         if mode == "sink":
-            jobs.process_page_batch(spark, batch, dims, dau_path, as_of=as_of, tz=tz)
+            jobs.process_page_batch(spark, batch, dims, dau_path, as_of=as_of, tz=tz, seen_index=seen_index)
         else:
             jobs.process_first_pages(spark, batch, dims, dau_path, as_of=as_of, tz=tz,
-                                     check_all=batch_id > 0 and not started)
+                                     check_all=batch_id > 0 and not started, seen_index=seen_index)
             started.append(batch_id)
 
     return _start(first, run, checkpoint, trigger, name)

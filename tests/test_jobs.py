@@ -13,7 +13,7 @@ from daystream.operators import cdc
 from daystream.operators.parse import page_dead_letter, parse_log, parse_page_messages
 from daystream.plans import jobs
 from daystream.session import checkpoint_root, scratch_path
-from daystream.sinks import dims
+from daystream.sinks import dims, seen_index
 from daystream.sinks.upsert import list_folders, read_table
 from daystream.sources.envelopes import routing_table, stored_routing
 from daystream.sources.kafka import start_position
@@ -30,6 +30,47 @@ def topics(spark, out):
     return {r.topic: r["count"] for r in spark.read.parquet(f"{out}/topics").groupBy("topic").count().collect()}
 
 
+def test_change_split_reads_and_parses_its_source_once(spark):
+    for persist in (False, True):
+        read = {c: spark.sparkContext.accumulator(0) for c in ("value", "offset")}
+
+        def counted(name, kind):
+            def count(v):
+                read[name].add(1)
+                return v
+            return F.udf(count, kind)(name).alias(name)
+
+        env = envelopes(spark, [change("insert", "order_info", {"id": 1}), change("update", "user_info", {"id": 2}),
+                                change("insert", "user_info", {}), change("bootstrap-start", "order_info", None), "broken"])
+        env = env.select("key", counted("value", "string"), "topic", "partition", counted("offset", "bigint"), "timestamp")
+        out = scratch_path(spark, "once")
+        jobs.process_change_batch(spark, env, out, 0, persist=persist)
+        assert {c: a.value for c, a in read.items()} == {"value": 5, "offset": 5}
+        assert topics(spark, out) == {"DWD_ORDER_INFO_I_20220629": 1, DEAD_LETTER_TOPIC: 2}
+        assert [r.id for r in dims.read_dims(spark, f"{out}/dims").collect()] == ["2"]
+        assert [r.until_offset for r in jobs.read_ledger(spark, f"{out}/ledger").collect()] == [5]
+
+
+def test_dau_batches_with_the_index_of_stored_devices(spark):
+    plain, indexed, index = (scratch_path(spark, n) for n in ("dau", "dau", "dau-seen"))
+    at = 1704067200000  # 2024-01-01 UTC
+    none = spark.createDataFrame([], dims.DIM_SCHEMA)
+    for b in range(4):
+        pages = spark.createDataFrame([(f"m{i % 7}", None, at + 1000 * i + 43_200_000 * b, 0, 100 * b + i) for i in range(5 + b)],
+                                      "mid string, last_page_id string, ts long, src_partition int, src_offset long")
+        pages = pages.select(*[F.col(n) if n in pages.columns else F.lit(None).cast(schemas.PAGE_LOG[n].dataType).alias(n)
+                               for n in schemas.PAGE_LOG.names], "src_partition", "src_offset")
+        for path, kw in ((plain, {}), (indexed, {"seen_index": index})):
+            for _ in range(2):  # and its replay
+                jobs.process_page_batch(spark, pages, none, path, tz="UTC", **kw)
+        if b == 1:
+            assert seen_index.fold_seen(spark, indexed, index) > 0
+
+    def table(path):
+        return sorted((r.dt, r.mid, r.ts) for r in read_table(spark, path, schemas.DAU_INFO).collect())
+    assert table(indexed) == table(plain) and len({r[:2] for r in table(plain)}) == len(table(plain)) > 7
+
+
 def test_replay_with_changed_routing_leaves_no_old_topic(spark):
     out = scratch_path(spark, "routing-replay")
     env = envelopes(spark, [change("insert", "order_info", {"id": 1}), change("insert", "sku_info", {"id": 2})], topic="ODS_BASE_DB")

@@ -1,13 +1,15 @@
-"""Versions of partitions, manifests and the dimension index."""
+"""Versions of partitions, manifests, the dimension index and the index of stored devices."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from daystream.session import scratch_path
-from daystream.sinks import dim_index, dims, manifest, versions
+from daystream.sinks import dim_index, dims, manifest, seen_index, upsert, versions
 
 SCHEMA = StructType([StructField("mid", StringType()), StructField("n", IntegerType()), StructField("dt", StringType())])
 
@@ -109,3 +111,67 @@ def test_lookup_reads_the_buckets_of_the_ids(spark):
         dim_index.fold(spark, store, index, max_levels=2)
         check()
     assert len(manifest.read_manifest(spark, index)[1]["levels"]) <= 2
+
+
+def _first(spark, rows):
+    return spark.createDataFrame(rows, "mid string, dt string")
+
+
+def test_seen_index_reads_the_buckets_of_the_devices(spark):
+    path, index = scratch_path(spark, "sd"), scratch_path(spark, "si")
+    days = ["2024-01-01", "2024-01-02"]
+    ask = spark.createDataFrame([(f"m{i}", days[0]) for i in range(0, 4000, 400)]
+                                + [("new", days[0]), ("m1", "2024-01-09"), (None, days[0]), ("m2", None)], "mid string, dt string")
+    assert seen_index.seen_keys(spark, path, index, ask).count() == 0  # no table yet
+    upsert.append_partitions(_first(spark, [(f"m{i}", d) for i in range(3000) for d in days]), path)
+
+    def check(most):
+        rows = seen_index.seen_rows(spark, path, index, ask)
+        want = {(r.mid, r.dt) for r in spark.read.schema("mid string, dt string").parquet(path).collect()}
+        want &= {(r.mid, r.dt) for r in ask.collect()}
+        found = [tuple(r) for r in seen_index.seen_keys(spark, path, index, ask).select("mid", "dt").collect()]
+        assert set(found) == want and len(found) == len(want)
+        files = rows.inputFiles()
+        assert not any(days[1] in f for f in files) and len(files) <= most
+        return rows, files
+
+    check(20)  # nothing folded: the files of the day
+    folded = seen_index.fold_seen(spark, path, index)
+    assert folded > 0 and seen_index.fold_seen(spark, path, index) == 0
+    rows, files = check(13)
+    assert all("bucket=" in f for f in files)
+    assert sum(spark.read.parquet(f).count() for f in files) < 3000 / 3
+    p = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\n]*In\(mid, \[", p)
+    # stored after the fold: found in its own file; then levels become one
+    for k in range(2):
+        upsert.append_partitions(_first(spark, [(f"m{i}", days[0]) for i in range(3000 + 600 * k, 3600 + 600 * k)]), path)
+        check(13 * (k + 2) + 8)
+        seen_index.fold_seen(spark, path, index, [days[0]], max_levels=2)
+        check(13 * 2)
+    assert len(manifest.read_manifest(spark, f"{index}/dt={days[0]}")[1]["levels"]) <= 2
+    # a rewrite gives new files with the same keys
+    upsert.compact_partitions(spark, path, T.StructType.fromDDL("mid string, dt string"), "dt", ["dt", "mid"])
+    check(13 * 2 + 8)
+    seen_index.fold_seen(spark, path, index, max_levels=2)
+    check(13 * 2)
+
+
+def test_seen_index_of_large_batches_and_second_writers(spark, monkeypatch):
+    path, index = scratch_path(spark, "sd"), scratch_path(spark, "si")
+    day = "2024-01-01"
+    upsert.append_partitions(_first(spark, [(f"m{i}", day) for i in range(2000)]), path)
+    seen_index.fold_seen(spark, path, index)
+    ask = _first(spark, [(f"m{i}", day) for i in range(1000, 3000)])  # more than the list of keys takes
+    assert seen_index.seen_keys(spark, path, index, ask).count() == 1000
+    held = manifest.read_manifest(spark, f"{index}/dt={day}")
+    for i in (1, 2):
+        upsert.append_partitions(_first(spark, [(f"n{i}", day)]), path)
+        if i == 1:
+            seen_index.fold_seen(spark, path, index)
+    with monkeypatch.context() as m:
+        m.setattr(seen_index, "read_manifest", lambda *a: held)
+        with pytest.raises(manifest.StaleWriter):
+            seen_index.fold_seen(spark, path, index)
+    ask = _first(spark, [("n1", day), ("n2", day), ("n3", day)])
+    assert {r.mid for r in seen_index.seen_keys(spark, path, index, ask).collect()} == {"n1", "n2"}
