@@ -67,11 +67,22 @@ def measures(data, off):
     return (n_words, chars[off[1:]] - chars[off[:-1]], symbols[off[1:]] - symbols[off[:-1]], dup, repeated), (start, end, row, h)
 
 
-def ngrams(data, off, spans):
-    """(row offsets, cell) of each family: words, word pairs, byte 3-grams, byte 5-grams.
+def characters(data, off):
+    """The UTF-8 bytes of each character as one number, and the texts' offsets in characters."""
+    first = (data & 0xC0) != 0x80
+    first[off[:-1][np.diff(off) > 0]] = True  # also where a text isn't valid UTF-8
+    at = np.flatnonzero(first)
+    c = data[at].astype(np.uint64)
+    if len(at) < len(data):
+        width = np.diff(np.r_[at, len(data)])
+        for j in range(1, 4):
+            more = np.flatnonzero(width > j)
+            c[more] |= data[at[more] + j].astype(np.uint64) << np.uint64(8 * j)
+    return c, np.searchsorted(at, off)
 
-    N-grams of bytes stand for those of characters; none crosses two texts.
-    """
+
+def ngrams(data, off, spans):
+    """(row offsets, cell) of each family: words, word pairs, 3 and 5 characters (code points). None crosses two texts."""
     start, end, row, h = spans
     n = len(off) - 1
     mask = np.uint64(CELLS - 1)
@@ -80,17 +91,18 @@ def ngrams(data, off, spans):
     pair = T.mix(h[:-1] * np.uint64(3) + h[1:]) & mask if len(h) else h
     own = row[:-1] == row[1:] if len(h) else np.zeros(0, bool)
     yield np.r_[0, np.cumsum(T.row_counts(row[:-1][own], n))], pair[own].astype(np.int64)
-    wide = data.astype(np.uint64)
+    char, coff = characters(data, off)
     for size in (3, 5):
-        if len(data) < size:
+        if len(char) < size:
             yield np.zeros(n + 1, np.int64), np.zeros(0, np.int64)
             continue
-        v = wide[:len(wide) - size + 1].copy()
+        v = char[:len(char) - size + 1].copy()
         for j in range(1, size):
-            v |= wide[j:len(wide) - size + 1 + j] << np.uint64(8 * j)
-        cell = ((v * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
-        length = np.maximum(np.diff(off) - size + 1, 0)
-        at = T.ranges(off[:-1], length) if (np.diff(off) < size).any() or n > 1 else np.arange(len(cell))
+            v *= T.BASE[1]
+            v += char[j:len(char) - size + 1 + j]
+        cell = ((v * T.BASE[0]) >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+        length = np.maximum(np.diff(coff) - size + 1, 0)
+        at = T.ranges(coff[:-1], length) if (np.diff(coff) < size).any() or n > 1 else np.arange(len(cell))
         yield np.r_[0, np.cumsum(length)], cell[at]
 
 
@@ -134,7 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     """(weights and units of families x cells, shift) fitted on a bounded sample, or None without labelled rows of both kinds.
 
     Three quarters of the sample fit the weights, the rest calibrates them to
-    probabilities. What reaches the driver is the sample's sparse counts.
+    probabilities. What reaches the driver is the sample's sparse counts, one row
+    for each doc_id: of a repeated one, the text whose counts come first.
     """
     def run(batches):
         for b in batches:
@@ -153,7 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
                     ["doc_id", "target", "cells", "shares"])
 
     got = labelled(docs, labels, label, most).select("doc_id", "target", "text").mapInArrow(
-        run, "doc_id long, target int, cells binary, shares binary").toArrow().sort_by("doc_id")
+        run, "doc_id long, target int, cells binary, shares binary").groupBy("doc_id", "target").agg(
+        F.min(F.struct("cells", "shares")).alias("v")).select("doc_id", "target", "v.*").toArrow().sort_by("doc_id")
     target = got["target"].to_numpy().astype(float)
     if not len(target) or target.min() == target.max():
         return None
@@ -178,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     for s in linear.chunks(len(col)):
         value[s] = values(value[s], unit[col[s]])
     hold = np.arange(len(target)) % 4 == 3
-    if target[hold].min() == target[hold].max() or target[~hold].min() == target[~hold].max():
+    if not hold.any() or target[hold].min() == target[hold].max() or target[~hold].min() == target[~hold].max():
         hold[:] = False
     balance = np.where(target > 0.5, 0.5 / target.mean(), 0.5 / (1 - target.mean()))
     w, b = linear.logistic(row, col, value, len(target), FAMILIES * CELLS, target, np.where(hold, 0.0, balance), l2=1e-5)
@@ -205,7 +219,8 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, mo
     decide. Null and empty texts have no words and fail. Labels that are null,
     neither 0 nor 1, or contradict one another are not used; labels of unknown
     documents are ignored. Repeated rows and null ids are scored as rows of
-    their own. An empty table gives an empty result.
+    their own; a labelled id that occurs often is one row of the sample. Texts of any
+    length are scored whole, one at a time if they are long. An empty table gives an empty result.
     """
     model = fit(docs, labels, "quality", most)
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]

@@ -101,3 +101,45 @@ def test_shares_of_rows_together_and_alone():
             _, c, s = of([t])[f]
             assert np.array_equal(cell[row == i], c) and np.array_equal(share[row == i], s)
             assert not len(s) or s.sum() == pytest.approx(1, abs=1e-5)
+
+
+def test_ngrams_are_of_characters():
+    texts = ["za\u017c\u00f3\u0142\u0107 g\u0119\u015bl\u0105", "", "ab", "\u65e5\u672c\u8a9e\u306e\u6587", "\U0001f600\U0001f601x\u0301", "abcdefg abc"]
+    data, off = T.buffers(pa.array(texts))
+    _, spans = Q.measures(data, off)
+    families = list(Q.ngrams(data, off, spans))
+    for size, (at, cell) in zip((3, 5), families[2:]):
+        cell_of = {}
+        for i, t in enumerate(texts):
+            grams = [t[j:j + size] for j in range(len(t) - size + 1)]
+            got = cell[at[i]:at[i + 1]].tolist()
+            assert len(got) == len(grams)
+            for g, c in zip(grams, got):
+                assert cell_of.setdefault(g, c) == c
+        assert len(set(cell_of.values())) >= len(cell_of) - 1
+        # a text has the same cells alone and among others
+        for i, t in enumerate(texts):
+            d, o = T.buffers(pa.array([t]))
+            alone = list(Q.ngrams(d, o, Q.measures(d, o)[1]))[2 if size == 3 else 3][1]
+            assert alone.tolist() == cell[at[i]:at[i + 1]].tolist()
+
+
+def test_ngrams_of_broken_utf8():
+    data, off = T.buffers(pa.array([b"\xbf\xbfabc", b"\x80", b"ab\xf0\x9f"], pa.binary()))
+    char, coff = Q.characters(data, off)
+    assert coff.tolist()[0] == 0 and coff[-1] == len(char) and (np.diff(coff) > 0).all()
+    assert len(list(Q.ngrams(data, off, Q.measures(data, off)[1]))) == Q.FAMILIES
+
+
+def test_labelled_id_that_repeats_is_one_row_of_the_sample(spark, monkeypatch):
+    good, bad = "calm river stone " * 30, "buy now cheap $$$ " * 30
+    rows = [(1, good + str(i % 3)) for i in range(400)] + [(2, bad)] * 300 + [(i, good if i % 2 else bad) for i in range(3, 43)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 43)], "doc_id long, quality int")
+    seen = []
+    fitted = linear.logistic
+    monkeypatch.setattr(linear, "logistic", lambda row, col, value, n, *a, **k: (seen.append(n), fitted(row, col, value, n, *a, **k))[1])
+    first = Q.fit(docs, labels)
+    again = Q.fit(docs.repartition(7), labels)
+    assert seen == [42, 42]
+    assert all(np.allclose(a, b) for a, b in zip(first, again))
