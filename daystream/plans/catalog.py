@@ -435,6 +435,26 @@ def q_dim_store_batches(spark, sf):
     return jobs.read_dims(spark, f"{out}/dims").select("table", "id", "op", "src_partition", "src_offset")
 
 
+def q_dim_store_fenced(spark, sf):
+    """The dimension changes in two runs: the first writes its batches, once more
+    with a clock that is a day ahead, then the second one the last changes."""
+    from daystream.plans import jobs
+    from daystream.sinks import dims
+    from daystream.sinks.fence import begin_run
+    out = scratch_path(spark, "f-store")
+    env = stage(spark, change_envelopes_from(spark, sf, tables=("user_info", "base_province")), "dim-changes")
+    late = F.col("offset") % 16 == 9
+    run = begin_run(spark, f"{out}/ledger")
+    for b, part in enumerate([env.where(F.col("offset") % 16 == 6), env.where((F.col("offset") % 16).isin(7, 8))]):
+        jobs.process_change_batch(spark, part, out, b, on_delete="drop", run_id="first", fence=run)
+    ahead = (spark.read.schema(dims.DIM_SCHEMA).parquet(f"{out}/dims").select(*dims.DIM_COLS)
+             .withColumn("saved_at", F.col("saved_at") + F.expr("interval 1 day")))
+    ahead.write.partitionBy("table").parquet(f"{out}/dims/run=ahead/batch_id=0")
+    jobs.process_change_batch(spark, env.where(late), out, 0, on_delete="drop", run_id="second",
+                              fence=begin_run(spark, f"{out}/ledger"))
+    return jobs.read_dims(spark, f"{out}/dims").select("table", "id", "op", "src_partition", "src_offset")
+
+
 def q_stream_dau_state_restore(spark, sf):
     """The DAU stream with a state store; its checkpoint is lost midway and
     the whole topic is read again."""
@@ -686,6 +706,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_log_restart": q_stream_log_restart,
     "ledger_restart": q_ledger_restart,
     "dim_store_batches": q_dim_store_batches,
+    "dim_store_fenced": q_dim_store_fenced,
     "stream_dau_state_restore": q_stream_dau_state_restore,
     "stream_dau_state_rows": q_stream_dau_state_rows,
     "stream_dau_late_rows": q_stream_dau_late_rows,

@@ -144,7 +144,8 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
     ``persist`` keeps the parsed micro-batch for the several outputs.
     ``record_routing`` keeps the lists the batch is routed with
     (``out_dir/routing``), and a replay of the same run and batch uses them again
-    instead of ``routing``. ``fence``: see :func:`process_log_batch`.
+    instead of ``routing``. ``fence``: see :func:`process_log_batch`; it orders the
+    dimension rows too.
 
     Each source is read and parsed once: messages, dimension rows and positions come from the
     parse, which a micro-batch persists and a back-fill stages under the checkpoint
@@ -161,7 +162,7 @@ def process_change_batch(spark: SparkSession, env: DataFrame, out_dir: str, batc
         write_messages(msgs, os.path.join(out_dir, "topics"),
                        batch_id=batch_id, fmt=sink_format, options=sink_options, run_id=run_id)
         latest = cdc.dim_latest(cdc.dim_changes(cdc.with_op(parsed), routing))
-        append_dims(latest, os.path.join(out_dir, "dims"), run_id, batch_id, on_delete)
+        append_dims(latest, os.path.join(out_dir, "dims"), run_id, batch_id, on_delete, fence)
         # positions of every message read, including dropped change types
         positions = parsed.select(F.col("src_topic").alias("topic"),
                                   F.col("src_partition").alias("partition"),

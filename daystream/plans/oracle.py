@@ -334,6 +334,12 @@ SELECT "table", id, op, src_partition, src_offset FROM (
   FROM ops WHERE op IS NOT NULL AND "table" IN {_DIM_TABLES}
 ) WHERE rn = 1 AND op <> 'D'""",
 
+    "dim_store_fenced": _w(_CHG) + f"""
+SELECT "table", id, op, src_partition, src_offset FROM (
+  SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY src_offset DESC) AS rn
+  FROM ops WHERE op IS NOT NULL AND "table" IN {_DIM_TABLES}
+) WHERE rn = 1 AND op <> 'D'""",
+
     "dim_point_lookup": _w(_LOG, _FIRST, _CHG) + """
 SELECT "table", id, op, src_partition, src_offset FROM (
   SELECT *, row_number() OVER (PARTITION BY "table", id ORDER BY src_offset DESC) AS rn

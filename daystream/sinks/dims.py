@@ -5,7 +5,9 @@ row of each key it changed; nothing stored is rewritten, so a reader sees a
 batch's folder or not, never a table with half its buckets replaced, and the
 cost of a batch follows the batch. The row of a key is the one saved last
 (then by message time, partition and offset). A replay overwrites its own
-folder.
+folder. Rows of fenced runs (:mod:`daystream.sinks.fence`) are ordered by run and
+batch, whatever the clocks of their drivers say, and come after those without
+a fence, which are ordered by time.
 
 Compaction adds one more folder that holds the current rows with their own
 order, which changes no answer whether it is complete or not; the folders it
@@ -22,20 +24,23 @@ from pyspark.sql import functions as F
 from daystream.sinks.upsert import drop_folder, list_folders, table_exists
 
 DIM_COLS = ["table", "id", "data", "op", "src_partition", "src_offset", "src_ts", "deleted",
-            "saved_at"]
+            "saved_at", "fence", "save"]
 DIM_SCHEMA = ("id string, data string, op string, src_partition int, src_offset bigint, "
-              "src_ts timestamp, deleted boolean, saved_at timestamp, run string, "
+              "src_ts timestamp, deleted boolean, saved_at timestamp, fence bigint, save bigint, run string, "
               "batch_id bigint, table string")
 
 
 def append_dims(latest: DataFrame, path: str, run_id: str, batch_id: int,
-                on_delete: str = "keep") -> None:
+                on_delete: str = "keep", fence: int | None = None) -> None:
     """Add a batch's latest rows (:func:`daystream.operators.cdc.dim_latest`).
 
     ``on_delete="drop"`` stores a delete as a tombstone that readers skip.
+    ``fence``: number of a fenced run, whose batches are numbered by ``batch_id``.
     """
     deleted = (F.col("op") == "D") if on_delete == "drop" else F.lit(False)
-    rows = latest.withColumn("deleted", deleted).withColumn("saved_at", F.current_timestamp())
+    save = F.lit(None if fence is None else batch_id).cast("bigint")
+    rows = (latest.withColumn("deleted", deleted).withColumn("saved_at", F.current_timestamp())
+            .withColumn("fence", F.lit(fence).cast("bigint")).withColumn("save", save))
     (rows.select(*DIM_COLS).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy("table").parquet(f"{path}/run={run_id}/batch_id={batch_id}"))
 
@@ -57,7 +62,8 @@ def _rows(spark, path, tables=()):
 def current(rows: DataFrame) -> DataFrame:
     """The row saved last of each key; partial aggregation before the shuffle."""
     rest = [c for c in DIM_COLS if c not in ("table", "id")]
-    order = F.struct("saved_at", "src_ts", "src_partition", "src_offset")
+    order = F.struct("fence", F.when(F.col("fence").isNull(), F.col("saved_at")), "save",
+                     "src_ts", "src_partition", "src_offset")
     return (rows.groupBy("table", "id").agg(F.max_by(F.struct(*rest), order).alias("w"))
             .select("table", "id", "w.*"))
 

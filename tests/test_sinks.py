@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from daystream.session import scratch_path
-from daystream.sinks import dim_index, dims, manifest, seen_index, upsert, versions
+from daystream.sinks import dim_index, dims, fence, manifest, seen_index, upsert, versions
 
 SCHEMA = StructType([StructField("mid", StringType()), StructField("n", IntegerType()), StructField("dt", StringType())])
 
@@ -175,3 +175,34 @@ def test_seen_index_of_large_batches_and_second_writers(spark, monkeypatch):
             seen_index.fold_seen(spark, path, index)
     ask = _first(spark, [("n1", day), ("n2", day), ("n3", day)])
     assert {r.mid for r in seen_index.seen_keys(spark, path, index, ask).collect()} == {"n1", "n2"}
+
+
+def test_dimension_rows_of_fenced_runs_need_no_clock(spark, monkeypatch):
+    store, index, ledger = scratch_path(spark, "ds"), scratch_path(spark, "di"), scratch_path(spark, "dl")
+    ids = spark.createDataFrame([("1",), ("2",), ("3",)], "user_id string")
+
+    def add(year, run, batch, fence, *pairs, op="U"):
+        with monkeypatch.context() as m:  # the clock of the run's driver
+            m.setattr(F, "current_timestamp", lambda: F.to_timestamp(F.lit(f"{year}-01-01 00:00:00")))
+            dims.append_dims(_dim(spark, [(i, v, op) for i, v in pairs], 1), store, run, batch, "drop", fence)
+
+    def check(want):
+        for found in (dims.read_dims(spark, store, ("user_info",)), dim_index.lookup(spark, store, index, "user_info", ids)):
+            assert {r.id: r.data for r in found.collect()} == want
+
+    add(2040, "old", 7, None, (1, "plain"), (2, "plain"), (3, "plain"))
+    one = fence.begin_run(spark, ledger)
+    add(2030, "a", 0, one, (1, "a0"), (2, "a0"))
+    add(2029, "a", 1, one, (1, "a1"))  # set back within the run
+    check({"1": "a1", "2": "a0", "3": "plain"})
+    dim_index.fold(spark, store, index)
+    two = fence.begin_run(spark, ledger)
+    add(2020, "b", 0, two, (1, "b0"))
+    add(2019, "b", 1, two, (3, "gone"), op="D")
+    check({"1": "b0", "2": "a0"})
+    # what the first run managed to write after that orders behind
+    add(2041, "a", 2, one, (1, "a2"), (2, "a2"))
+    check({"1": "b0", "2": "a2"})
+    old = dims.compact_dims(spark, store)
+    check({"1": "b0", "2": "a2"})
+    assert len(old) == 6
