@@ -2,8 +2,8 @@
 
 The result table is the seen-set; a day of it holds every device of that day.
 The index keeps the keys of its data files a second time, for each day in
-*levels*: a level is split into buckets by the hash of ``mid``, one file each,
-sorted by ``mid``, with a Bloom filter and small pages. A batch opens the
+*levels*: a level is split into buckets by the hash of ``mid``, as many as its
+size asks for, one file each, sorted by ``mid``, with a Bloom filter and small pages. A batch opens the
 buckets of its own devices and the data files that are not folded yet; few
 devices are also pushed down as a key list, so that of a bucket only the pages
 that may hold them are read.
@@ -16,6 +16,7 @@ same keys; deleting keys from the table needs a new index.
 
 from __future__ import annotations
 
+import math
 import uuid
 from functools import reduce
 
@@ -26,8 +27,8 @@ from daystream.sinks.dim_index import bucket_of
 from daystream.sinks.manifest import StaleWriter, commit, read_manifest
 from daystream.sinks.upsert import _fs, list_folders, table_exists
 
-#: A level's buckets for each day; more of them for days of very many devices.
-BUCKETS = 64
+#: Bytes of a day's data files that a bucket stands for (its keys are a small part of them).
+BUCKET_BYTES = 64 << 20
 #: Up to so many keys of a batch are pushed down as a list; more are met by the join alone.
 KEY_LIST = 500
 #: Longest list of equalities that the Parquet reader takes as such.
@@ -35,13 +36,13 @@ _IN_LIST = 10
 _KEYS = "mid string, dt string"
 
 
-def _files(spark: SparkSession, folder: str) -> list[str]:
-    """Data files of a day's folder."""
+def _files(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Data files of a day's folder and their bytes."""
     p, fs = _fs(spark, folder)
     if not fs.exists(p):
-        return []
-    names = (f.getPath().getName() for f in fs.listStatus(p) if f.isFile())
-    return sorted(n for n in names if not n.startswith(("_", ".")))
+        return {}
+    sizes = {f.getPath().getName(): f.getLen() for f in fs.listStatus(p) if f.isFile()}
+    return {n: sizes[n] for n in sorted(sizes) if not n.startswith(("_", "."))}
 
 
 def _read(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
@@ -65,13 +66,14 @@ def _buckets_of(spark: SparkSession, index_path: str, day: str, level: str, buck
 
 
 def fold_seen(spark: SparkSession, dau_path: str, index_path: str, days: list[str] | None = None,
-              max_levels: int = 8, buckets: int = BUCKETS) -> int:
+              max_levels: int = 8, bucket_bytes: int = BUCKET_BYTES) -> int:
     """Fold the data files that aren't in the index yet (of ``days``, default
     all) into a new level; a day with ``max_levels`` gets one level in place of
     them all. Readers see a day's new level from its manifest's switch on, and
     the levels it replaces stay for readers that hold them. Returns the files folded.
 
-    ``buckets`` is fixed for a day by its first fold. A second writer of a day fails
+    A level has a power of two of buckets, one for each ``bucket_bytes`` of the files folded
+    into it or somewhat more. A second writer of a day fails
     (:class:`daystream.sinks.manifest.StaleWriter`) and changes nothing.
     """
     if days is None:
@@ -82,16 +84,18 @@ def fold_seen(spark: SparkSession, dau_path: str, index_path: str, days: list[st
         new = _unfolded(spark, dau_path, day, m)
         if not new:
             continue
-        levels, n = m.get("levels", []), m.get("buckets", buckets)
+        levels, present = m.get("levels", []), _files(spark, f"{dau_path}/dt={day}")
         whole = len(levels) >= max_levels
-        old = [f for lv in levels for f in _buckets_of(spark, index_path, day, lv)] if whole else []
+        size = sum(present.get(f.rsplit("/", 1)[-1], 0) for f in new) + (sum(lv["bytes"] for lv in levels) if whole else 0)
+        n = 1 << max(0, math.ceil(size / bucket_bytes) - 1).bit_length()
         data, keys = sources.setdefault(n, ([], []))
         data.extend(new)
-        keys.extend(old)
-        present = set(_files(spark, f"{dau_path}/dt={day}"))
+        if whole:
+            keys.extend(f for lv in levels for f in _buckets_of(spark, index_path, day, lv["name"]))
         # names of files that a rewrite has dropped are forgotten
-        folded = sorted((set(m.get("folded", [])) & present) | {f.rsplit("/", 1)[-1] for f in new})
-        work[day] = (number + 1, {"levels": [name] if whole else [*levels, name], "buckets": n, "folded": folded})
+        folded = sorted((set(m.get("folded", [])) & set(present)) | {f.rsplit("/", 1)[-1] for f in new})
+        level = {"name": name, "buckets": n, "bytes": size}
+        work[day] = (number + 1, {"levels": [level] if whole else [*levels, level], "folded": folded})
     for n, (data, keys) in sources.items():
         rows = _read(spark, dau_path, data).unionByName(_read(spark, f"{index_path}/keys", keys))
         (rows.where("mid is not null").distinct().withColumn("level", F.lit(name)).withColumn("bucket", bucket_of("mid", n))
@@ -119,8 +123,8 @@ def seen_rows(spark: SparkSession, dau_path: str, index_path: str, candidates: D
     """Stored ``(dt, mid)`` that may be those of ``candidates``: from the buckets of their
     devices in every level of their days, and from files not folded yet.
 
-    What reaches the driver: the buckets of the batch's days (at most ``buckets`` a
-    day), and its keys if there are no more than ``KEY_LIST``.
+    What reaches the driver: the buckets of the batch's days (at most those of their
+    levels), and its keys if there are no more than ``KEY_LIST``.
     """
     none = spark.createDataFrame([], _KEYS)
     if not table_exists(spark, dau_path):
@@ -128,14 +132,14 @@ def seen_rows(spark: SparkSession, dau_path: str, index_path: str, candidates: D
     wanted = candidates.select("mid", "dt").where("mid is not null and dt is not null")
     days = sorted(r[0] for r in wanted.select("dt").distinct().collect())
     manifests = {d: read_manifest(spark, f"{index_path}/dt={d}")[1] for d in days}
-    fresh, stored, sizes = [], [], {m["buckets"] for m in manifests.values() if m}
-    for n in sizes:
+    fresh, stored = [], []
+    for n in sorted({lv["buckets"] for m in manifests.values() for lv in m.get("levels", [])}):
         mine = {}
         for d, b in wanted.select("dt", bucket_of("mid", n).alias("b")).distinct().collect():
             mine.setdefault(d, set()).add(b)
         for d in days:
-            if manifests[d] and manifests[d]["buckets"] == n:
-                stored.extend(f for lv in manifests[d]["levels"] for f in _buckets_of(spark, index_path, d, lv, mine[d]))
+            stored.extend(f for lv in manifests[d].get("levels", []) if lv["buckets"] == n
+                          for f in _buckets_of(spark, index_path, d, lv["name"], mine[d]))
     for d in days:
         fresh.extend(_unfolded(spark, dau_path, d, manifests[d]))
     rows = _read(spark, f"{index_path}/keys", stored).unionByName(_read(spark, dau_path, fresh))
