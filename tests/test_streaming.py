@@ -210,6 +210,35 @@ def test_lost_checkpoint_starts_with_the_stored_keys(spark, monkeypatch):
     assert {(r.dt, r.mid) for r in seen_state(spark, ck).collect()} == {("2024-01-03", "b"), ("2024-01-03", "c")}
 
 
+def test_state_mode_brings_its_own_state_store(spark):
+    """A session with the engine's default store, which has no timers, and none of its settings changed after."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    own = spark.conf.get(key)
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, default)
+    try:
+        batches = [_msgs(spark, [("a", BASE + 9, "later"), ("a", BASE + 3, "first")], 0), _msgs(spark, [("a", BASE + 1, "late")], 10)]
+        got, ck, _ = _dau_batches(spark, batches, "state")
+        assert got == {("2024-01-01", "a", "first")}
+        assert [(r.mid, r.ts) for r in seen_state(spark, ck).collect()] == [("a", BASE + 3)]
+        assert spark.conf.get(key) == default
+    finally:
+        spark.conf.set(key, own)
+
+
+def test_state_processor_travels_with_its_code(tmp_path):
+    """The process that starts it has none of the files that a session sends to its workers."""
+    import subprocess
+    import sys
+    from pyspark import cloudpickle
+    from daystream.streaming.first_seen import FirstSeen
+    (tmp_path / "p").write_bytes(cloudpickle.dumps(FirstSeen(["mid"])))
+    code = ("import sys; from pyspark import cloudpickle; p = cloudpickle.loads(open('p', 'rb').read()); "
+            "assert p.columns == ['mid'] and not any(m.startswith('daystream') for m in sys.modules)")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True, timeout=120)
+
+
 def test_supervise_restarts_and_stops(spark, tmp_path):
     """Two queries with a processing-time trigger: one fails once, then a marker stops both."""
     import threading
