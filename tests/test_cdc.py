@@ -99,3 +99,20 @@ def test_dimension_table_across_batches(spark):
     assert only_users.where("table <> 'user_info'").count() == 0
     ledger = jobs.read_ledger(spark, f"{out}/ledger").collect()
     assert [(r.group_id, r.batch_id) for r in ledger] == [("ODS_BASE_DB_GROUP", 2)]
+
+
+def test_ids_are_read_of_the_listed_tables_only(spark):
+    """The condition on ``id`` stays above the join with the lists: no row image of a fact is parsed for it."""
+    rows = [("insert", "user_info", '{"id":1}'), ("insert", "user_info", '{"x":1}'), ("insert", "order_info", '{"id":2}')]
+    vals = [f'{{"table":"{t}","type":"{c}","data":{d}}}' for c, t, d in rows]
+    parsed = cdc.with_op(cdc.parse_changes(envelopes(spark, vals, topic="ODS_BASE_DB")))
+    dims = cdc.dim_changes(parsed, routing_table(spark))
+    assert [(r.table, r.id) for r in dims.collect()] == [("user_info", "1")]
+    plan = dims._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("get_json_object") < plan.index("Join LeftSemi") and "get_json_object" not in plan[plan.index("Join LeftSemi"):]
+
+
+def test_value_is_kept_of_dead_messages_only(spark):
+    vals = ["{", '{"table":"user_info","type":"insert","data":{"id":1}}', " "]
+    got = cdc.parse_changes(envelopes(spark, vals, topic="ODS_BASE_DB")).collect()
+    assert [(r.dead_reason, r.value) for r in got] == [("corrupt", "{"), (None, None), ("empty", " ")]
