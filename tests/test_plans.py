@@ -56,3 +56,17 @@ def test_one_scan_per_dimension_source(spark):
     info = catalog.q_dau_info(spark, SF)
     assert scans(info, "customer") == 1 and scans(info, "nation") == 1
     assert scans(catalog.q_dau_province_join(spark, SF), "customer") == 0
+
+
+def test_arrivals_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Each stretch is written by the tasks that hold its rows, whole and in time order; both ways give the same rows."""
+    from pyspark.sql import DataFrame, functions as F
+    from daystream.plans import catalog
+    monkeypatch.setattr(DataFrame, "repartitionByRange", None)
+    rows = spark.range(0, 100, 1, 4).select("id", F.timestamp_millis(F.col("id") * 1000).alias("timestamp"))
+    for keep in (True, False):
+        src, seen = str(tmp_path / f"src{keep}"), []
+        catalog._arrive_in_slices(spark, rows, src, lambda: seen.append(
+            sorted(r.id for r in spark.read.option("recursiveFileLookup", "true").schema("id long").parquet(src).collect())), keep=keep)
+        assert seen == [list(range(n)) for n in (33, 66, 100)] or (len(seen) == 3 and seen[2] == list(range(100)) and all(
+            s == list(range(len(s))) for s in seen) and 0 < len(seen[0]) < len(seen[1]) < 100)
