@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -10,19 +11,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from daystream.llm import text as T
 from daystream.llm.store import stage
 
-def _byte_bpe(path: str):
+
+def _byte_bpe(spec: dict):
     """A faster encoder with the same ids, for plain byte-level BPE vocabularies.
 
     Only where the file has no normalizer, the standard byte-level split, and
     ids in the order of its merges (then a rank table says the same as the list
     of merges); else None, and the file's own tokenizer does it.
     """
-    import json
-
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
     model, pre = spec["model"], spec.get("pre_tokenizer") or {}
     plain = (spec.get("normalizer") is None and model.get("type") == "BPE" and pre.get("type") == "ByteLevel"
              and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not model.get("dropout")
@@ -76,14 +75,31 @@ class Encoder:
     ``special_tokens`` what the file's own tokenizer makes of them.
     """
 
-    def __init__(self, path: str, most: int = 400_000, special_tokens: bool = False):
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = not special_tokens
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()] if special_tokens else []
-        self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 65536 else "<u4")
-        self.fast = _byte_bpe(path)
+    def __init__(self, path: str, most: int = 250_000, special_tokens: bool = False):
+        import json
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.path, self.special_tokens = path, special_tokens
+        self.special = added if special_tokens else []
+        self.fast = _byte_bpe(spec)
+        size = len({*spec["model"]["vocab"], *added}) if self.fast is not None else self.tok.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 65536 else "<u4")
         self.most = most
+        self.forget()
+        del spec
+        T.release()
+
+    @cached_property
+    def tok(self):
+        """The file's own tokenizer, built when a text needs it."""
+        from tokenizers import Tokenizer
+        tok = Tokenizer.from_file(self.path)
+        tok.encode_special_tokens = not self.special_tokens
+        return tok
+
+    def forget(self) -> None:
         self.known = _Pieces(self._encode)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -95,7 +111,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.most:
-            self.known = _Pieces(self._encode)
+            self.forget()
         get, out = self.known.__getitem__, []
         for t in texts:
             if any(x in t for x in self.special):
@@ -141,6 +157,8 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 0, special_tokens: b
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(ids), part, np.int64)), pa.array(starts), b.column(0).slice(i, 256),
                      pa.array(n), pa.array(ids, pa.binary())], ["part", "local_start", "doc_id", "n", "ids"])
+        enc.forget()  # the worker lives on
+        T.release()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
         run, "part long, local_start long, doc_id long, n long, ids binary")

@@ -96,3 +96,15 @@ def test_special_token_strings_are_those_of_an_unmodified_tokenizer():
     d = ["<|endoftext|>", "a <|endoftext|> b", "x\n\n<|endoftext|>y<|endoftext|>", "<|endoftext", "plain text", ""]
     got = [np.frombuffer(x, "<u2").tolist() for x in pack.Encoder(pack.tokenizer_path(), special_tokens=True)(d)]
     assert got == [tok.encode(t, add_special_tokens=False).ids for t in d] and got[0] == [50256]
+
+
+def test_encoder_keeps_little_in_a_worker():
+    from daystream.llm import pack
+    enc = pack.Encoder(pack.tokenizer_path(), most=10, special_tokens=True)
+    plain = [" ".join(f"word{i}" for i in range(50)), "", "a  b\n\nc"]
+    got = enc(plain)
+    assert "tok" not in vars(enc)  # no second tokenizer in memory until a text needs it
+    assert len(enc.known) > 10 and enc(["word1"]) and len(enc.known) <= 3
+    own = enc.tok.encode_batch(plain, add_special_tokens=False)
+    assert [np.frombuffer(x, enc.dtype).tolist() for x in got] == [e.ids for e in own]
+    assert np.frombuffer(enc(["a<|endoftext|>b"])[0], enc.dtype).tolist() == enc.tok.encode("a<|endoftext|>b", add_special_tokens=False).ids
