@@ -10,7 +10,7 @@ import hashlib
 import re
 from array import array
 from collections.abc import Iterable
-from itertools import chain
+from itertools import chain, compress, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -25,9 +25,11 @@ from daystream.llm.store import stage
 #: Bytes of text that share one dictionary of id pairs.
 BLOCK = 4 << 20
 #: Characters that are encoded in one call.
-CALL = 1 << 16
+CALL = 1 << 13
 #: Links of a group that are written out one by one; larger groups go by distinct ids.
 WIDE = 4096
+#: Stretches whose tokens a worker remembers after a block (about 250 bytes each), and tokens of one of them at most.
+KNOWN, SHORT = 250_000, 64
 #: A place where neither tokenizer joins what is on either side.
 SEAM = re.compile(r"(?<=\S)(?=[ \n])")
 
@@ -61,6 +63,67 @@ class Tokens(NamedTuple):
     b_end: np.ndarray
 
 
+class Known:
+    """Tokens of the stretches that an aligner has met, numbered as they came.
+
+    Frequent words come back in every block, so their tokens are kept from one
+    to the next. :meth:`forget` bounds that: beyond ``most``, only those that
+    came in two blocks or more since the last time stay.
+    """
+
+    def __init__(self, most: int = KNOWN):
+        self.most = most
+        self.place = _Numbers()
+        self.size, self.seen, self.good = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        # of A and B: first token and number of tokens of each stretch; ids and ends of all tokens, ends from the stretch's start
+        self.first, self.count = ([np.zeros(0, np.int32) for _ in "ab"] for _ in range(2))
+        self.ids, self.ends = ([np.zeros(0, np.int32) for _ in "ab"] for _ in range(2))
+
+    def add(self, found: list[tuple[int, Tokens]], good: np.ndarray, size: np.ndarray, order: np.ndarray) -> None:
+        """The next stretches, with their bytes; :meth:`Aligner._many` had them in ``order``."""
+        end = np.cumsum(np.where(good, size, 0)[order])
+        start = np.r_[0, end]
+        for i in (0, 1):
+            ids, ends = (np.concatenate([t[2 * i + k] + (start[at] if k else 0) for at, t in found] or [np.zeros(0, np.int64)]) for k in (0, 1))
+            of = np.searchsorted(end, ends)
+            count = np.bincount(of, minlength=len(order))
+            first, n = np.empty((2, len(order)), np.int32)
+            first[order], n[order] = np.cumsum(count) - count + len(self.ids[i]), count
+            self.first[i], self.count[i] = np.r_[self.first[i], first], np.r_[self.count[i], n]
+            self.ids[i] = np.r_[self.ids[i], ids.astype(np.int32)]
+            self.ends[i] = np.r_[self.ends[i], (ends - start[of]).astype(np.int32)]
+        self.size, self.good = np.r_[self.size, np.where(good, size, 0)], np.r_[self.good, good]
+        self.seen = np.r_[self.seen, np.zeros(len(order), np.int32)]
+
+    def tokens(self, own: np.ndarray) -> tuple[Tokens, np.ndarray]:
+        """Tokens of the stretches ``own``, one after another, and the byte where each stretch ends."""
+        end, out = np.cumsum(self.size[own]), []
+        for i in (0, 1):
+            n = self.count[i][own].astype(np.int64)
+            at = T.ranges(self.first[i][own], n)
+            out += [self.ids[i][at].astype(np.int64), self.ends[i][at] + np.repeat(end - self.size[own], n)]
+        return Tokens(*out), end
+
+    def forget(self) -> None:
+        keep = self.good & (self.count[0] + self.count[1] <= SHORT)
+        if len(keep) > self.most:
+            keep &= self.seen > 1
+            self.seen[:] = 1
+            if keep.sum() > self.most:
+                keep[:] = False
+        if keep.all():
+            return
+        place = _Numbers()
+        place.update(zip(compress(self.place, keep.tolist()), range(int(keep.sum()))))
+        self.place = place
+        for i in (0, 1):
+            n = self.count[i][keep]
+            at = T.ranges(self.first[i][keep], n)
+            self.ids[i], self.ends[i] = self.ids[i][at], self.ends[i][at]
+            self.first[i], self.count[i] = (np.cumsum(n) - n).astype(np.int32), n
+        self.size, self.seen, self.good = self.size[keep], self.seen[keep], self.good[keep]
+
+
 class Aligned(NamedTuple):
     """Documents as stretches of text (``stretch`` up to ``stretch_end`` of each
     document), and of each stretch its tokens, groups, links, the groups written
@@ -121,9 +184,10 @@ class Aligner:
         piece = self.b.id_to_piece
         self.a_bytes, self.b_bytes = Bytes(a), Bytes([bytes([int(piece(i)[3:5], 16)]) if self.b.is_byte(i) else piece(i).replace("▁", " ").encode()
                                                       for i in range(self.b.get_piece_size())])
-        self.a_shown, self.b_shown = ([np.array([f"{i}{end}" for i in range(len(t.size))], object) for end in ends]
-                                      for t, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")))
+        # how ids are written: of A inside and at the end of their part of a group, then of B
+        self.shown = np.array([f"{i}{end}" for t, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for end in ends for i in range(len(t.size))], object)
         self.seams = self._seams(a_path, b_path)
+        self.known = Known()
 
     def _seams(self, a_path: str, b_path: str) -> bool:
         """Whether a text may be cut where a blank or line feed follows a visible character.
@@ -191,40 +255,50 @@ class Aligner:
 
     def __call__(self, texts: Iterable[str]) -> Aligned:
         """Aligns texts, each with its leading blank; '' and texts whose tokens' bytes differ have no stretch."""
-        place, stretch, ends = _Numbers(), array("i"), array("q")
+        texts, known = list(texts), self.known
+        stretch, ends = array("i"), array("q")
         for t in texts:
             if t:
-                stretch.extend(map(place.__getitem__, split_at_seams(t) if self.seams else (t,)))
+                stretch.extend(map(known.place.__getitem__, split_at_seams(t) if self.seams else (t,)))
             ends.append(len(stretch))
         stretch, ends = np.array(stretch, np.int64), np.array(ends, np.int64)
+        new = list(islice(known.place, len(known.size), None))
         # those that end in a blank, alone in their calls, after all others: the pieces of a call follow one another
-        pieces = list(place)
-        place.clear()
-        alone = np.array([not self.seams or t[-1].isspace() for t in pieces], bool)
+        alone = np.array([not self.seams or t[-1].isspace() for t in new], bool)
         order = np.argsort(alone, kind="stable")
-        stretch = np.argsort(order)[stretch]
-        pieces = [pieces[k] for k in order.tolist()]
-        found, good = self._many(pieces, int((~alone).sum()))
+        size = np.array([len(t) if t.isascii() else len(t.encode()) for t in new], np.int64)
+        found, good = self._many([new[k] for k in order.tolist()], int((~alone).sum()))
+        del new
+        right = np.empty(len(order), bool)
+        right[order] = good
+        known.add(found, right, size, order)
+        del found
+        # those of this block, as they came in it
+        place = np.full(len(known.size), len(stretch), np.int32)
+        place[stretch[::-1]] = np.arange(len(stretch) - 1, -1, -1)
+        own = np.flatnonzero(place < len(stretch))
+        own = own[np.argsort(place[own])]
+        place[own] = np.arange(len(own))
+        known.seen[own] += 1
+        every, end = known.tokens(own)
+        good, stretch = known.good[own], place[stretch].astype(np.int64)
         if not good.all():  # what differs in a part may be right in the whole
             parts = [stretch[i:j] for i, j in zip(np.r_[0, ends[:-1]], ends)]
-            bad = {d: "".join([pieces[k] for k in parts[d]]) for d in np.unique(np.searchsorted(ends, np.flatnonzero(~good[stretch]), "right")).tolist()}
-            pieces = [t if g else "" for t, g in zip(pieces, good)]
+            bad = {d: texts[d] for d in np.unique(np.searchsorted(ends, np.flatnonzero(~good[stretch]), "right")).tolist()}
+            place, more = {}, []
             for text in dict.fromkeys(bad.values()):
                 whole = self.tokens(text)
                 place[text] = -1
                 if whole is not None:
-                    place[text] = len(pieces)
-                    found.append((len(pieces), whole))
-                    pieces.append(text)
+                    place[text] = len(end)
+                    shift = int(end[-1])
+                    more.append(Tokens(whole.a, whole.a_end + shift, whole.b, whole.b_end + shift))
+                    end = np.r_[end, shift + len(text.encode())]
+            every = Tokens(*map(np.concatenate, zip(every, *more)))
             for d, text in bad.items():
                 parts[d] = np.array([place[text]] if place[text] >= 0 else [], np.int64)
             stretch, ends = np.concatenate(parts), np.cumsum([len(x) for x in parts], dtype=np.int64)
-        end = np.cumsum([len(t) if t.isascii() else len(t.encode()) for t in pieces], dtype=np.int64)
-        del pieces
-        shift = np.r_[0, end]
-        join = lambda k, moved: np.concatenate([x[k] + (shift[i] if moved else 0) for i, x in found] or [np.zeros(0, np.int64)])
-        every = Tokens(join(0, False), join(1, True), join(2, False), join(3, True))
-        del found
+        known.forget()
         return self._align(every, end, stretch, ends)
 
     def _align(self, t: Tokens, end: np.ndarray, stretch: np.ndarray, stretch_end: np.ndarray) -> Aligned:
@@ -259,15 +333,16 @@ class Aligner:
         pair_end = np.searchsorted(code, np.arange(1, n + 1) * max(1, len(id_pair)))
         # a1,a2|b1;a3|b2,b3
         last = lambda g: np.r_[g[1:] != g[:-1], True][:len(g)].astype(int)
-        shown = np.concatenate([np.where(last(ga), self.a_shown[1][t.a], self.a_shown[0][t.a]),
-                                np.where(last(gb), self.b_shown[1][t.b], self.b_shown[0][t.b])])
-        shown = shown[np.argsort(np.r_[2 * ga, 2 * gb + 1], kind="stable")].tolist()
+        del key, of, order, first, times, new
+        entry = np.concatenate([t.a + last(ga) * len(self.a_bytes.size), t.b + last(gb) * len(self.b_bytes.size) + 2 * len(self.a_bytes.size)])
+        shown = self.shown[entry[np.argsort(np.r_[2 * ga, 2 * gb + 1], kind="stable")]].tolist()
+        del entry
         to = np.cumsum(figures[0] + figures[1]).tolist()
         groups = ["".join(shown[i:j])[:-1] for i, j in zip([0, *to], to)]
         return Aligned(stretch, stretch_end, figures, groups, code % max(1, len(id_pair)), pair_end, links, id_pair)
 
 
-def documents_with(x: Aligned, most: int = 1 << 19) -> np.ndarray:
+def documents_with(x: Aligned, most: int = 1 << 17) -> np.ndarray:
     """How many documents hold each id pair: once for each document and pair (about ``most`` stretches at a time)."""
     n, pairs, out = max(1, len(x.pair_end)), max(1, len(x.id_pair)), np.zeros(len(x.id_pair), np.int64)
     count, first = np.diff(x.pair_end, prepend=0), np.r_[0, x.pair_end[:-1]]

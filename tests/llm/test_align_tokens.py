@@ -144,3 +144,26 @@ def test_empty(docs):
 def test_provided_table(spark, aligner):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert sorted(map(tuple, A.op13_align(spark, "/root/testdata/sf0.001").collect()), key=str) == slow(rows, aligner)
+
+
+def test_stretches_of_earlier_blocks_are_not_encoded_again(monkeypatch):
+    x, asked = A.Aligner(*FILES), []
+    tokens = x.tokens
+    monkeypatch.setattr(x, "tokens", lambda text: asked.append(text) or tokens(text))
+    one = x([" the cat sat", " on the mat"])
+    asked.clear()
+    two = x([" the mat sat here"])
+    assert "".join(asked) == " here"
+    assert shown(one)[1] == shown(A.Aligner(*FILES)([" on the mat"]))[0] and shown(two) == shown(A.Aligner(*FILES)([" the mat sat here"]))
+
+
+def test_remembered_stretches_are_bounded_and_change_nothing():
+    rng, x = random.Random(5), A.Aligner(*FILES)
+    x.known.most = 20
+    for _ in range(12):
+        texts = [" " + make(rng, rng.randrange(1, 40)) for _ in range(4)] + [" a▁b the", " the " + "z" * 500 + "q▁" * 50]
+        got, fresh = x(texts), A.Aligner(*FILES)(texts)
+        assert shown(got) == shown(fresh)
+        assert all((A.per_document(got, f) == A.per_document(fresh, g)).all() for f, g in zip(got.figures, fresh.figures))
+        assert dict(zip(got.id_pair.tolist(), A.documents_with(got).tolist())) == dict(zip(fresh.id_pair.tolist(), A.documents_with(fresh).tolist()))
+        assert len(x.known.place) == len(x.known.size) <= 20 and not any("▁" in s or len(s) > 400 for s in x.known.place)
